@@ -27,7 +27,7 @@ def pubmed_extract(articles: DataFrame, dois: DataFrame) -> DataFrame:
             ),
             lambda bank: F.transform(
                 bank.AccessionNumberList.AccessionNumber,
-                lambda number: F.struct(bank.DataBankName.alias("name"), number.alias("id")),
+                lambda number: F.named_struct(F.lit("name"), bank.DataBankName, F.lit("id"), number),
             ),
         )
     )
