@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sample_tables as tables
@@ -17,7 +17,7 @@ from scholaudit.config import Provenance
 from scholaudit.functions import casts
 from scholaudit.functions.arrays import first_green_date
 from scholaudit.functions.dates import month_boundary_diff
-from scholaudit.functions.text import dedupe_string, key, string_agg, trim_ws
+from scholaudit.functions.text import dedupe_string, string_agg, trim_ws
 from scholaudit.operators import publications, trial_ids, trial_links
 from scholaudit.operators.audit import audit_tables, utility_years
 from scholaudit.operators.extract import pubmed_extract
@@ -41,58 +41,40 @@ INSTITUTION_CUTOFFS = {f"Brand#{number}": CUTOFF for number in range(1, 26)}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _ids_text(ids: Column) -> Column:
-    return F.coalesce(F.array_join(F.sort_array(F.transform(ids, lambda one: one.id)), " "), F.lit(None))
+def _ids_text(ids: str) -> str:
+    return f"array_join(sort_array(transform({ids}, one -> one.id)), ' ')"
 
 
-def _sorted_parts(text: Column) -> Column:
-    return F.array_join(F.sort_array(F.split(text, " ")), " ")
+def _sorted_parts(text: str) -> str:
+    return f"array_join(sort_array(split({text}, ' ')), ' ')"
 
 
-def _bank_text(entries: Column, label: str) -> Column:
+def _bank_text(entries: str) -> str:
     """Entries with an id list as text, in their order."""
-    dash = F.lit("-")
-    return F.array_join(
-        F.transform(
-            entries,
-            lambda one: F.concat(
-                F.coalesce(one[label], dash), F.lit(":"), F.coalesce(F.array_join(one.id, "+"), dash)
-            ),
-        ),
-        ";",
-    )
+    one = "concat(coalesce(one.registry, '-'), ':', coalesce(array_join(one.id, '+'), '-'))"
+    return f"array_join(transform({entries}, one -> {one}), ';')"
 
 
-def _field_text(entries: Column) -> Column:
-    dash = F.lit("-")
-    return F.array_join(
-        F.transform(
-            entries, lambda one: F.concat(F.coalesce(one.type, dash), F.lit(":"), F.coalesce(one.id, F.lit("")))
-        ),
-        ";",
-    )
+def _field_text(entries: str) -> str:
+    one = "concat(coalesce(one.type, '-'), ':', coalesce(one.id, ''))"
+    return f"array_join(transform({entries}, one -> {one}), ';')"
 
 
-def _texts(names: list[str]) -> dict[str, Column]:
+def _shown(df: DataFrame) -> DataFrame:
     """Scalar forms of the array and list columns of ``alltrials``."""
     shown = {}
-    for name in names:
-        column = F.col(name)
+    for name in df.columns:
         if name.endswith("_fromabstract"):
-            shown[f"{name}_ids"] = _ids_text(column)
+            shown[f"{name}_ids"] = _ids_text(name)
         elif name == "CROSSREF_clintrial_fromfield":
-            shown[f"{name}_entries"] = _field_text(column)
+            shown[f"{name}_entries"] = _field_text(name)
         elif name.endswith("_fromfield"):
-            shown[f"{name}_entries"] = _bank_text(column, "registry")
+            shown[f"{name}_entries"] = _bank_text(name)
         elif name.endswith("_fromabstract_idlist") or name == "ANYSOURCE_clintrial_idlist":
-            shown[name] = _sorted_parts(column)
+            shown[name] = _sorted_parts(name)
         else:
-            shown[name] = column
-    return shown
-
-
-def _shown(df: DataFrame) -> DataFrame:
-    return df.select(*[column.alias(name) for name, column in _texts(df.columns).items()])
+            shown[name] = name
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in shown.items()])
 
 
 def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +91,13 @@ def _q_trial_ids_in_text(spark, sf_dir):
         F.col("crossref.abstract").alias("crossref_abstract"),
         F.col(trial_ids.PUBMED_ABSTRACT).alias("pubmed_abstract"),
     )
-    found = trial_ids.trial_ids_in_text(works, F.col("crossref_abstract"), "CROSSREF_clintrial_fromabstract")
-    found = trial_ids.trial_ids_in_text(found, F.col("pubmed_abstract"), "PUBMED_clintrial_fromabstract")
+    found = trial_ids.trial_ids_in_text(
+        works,
+        {
+            "CROSSREF_clintrial_fromabstract": "crossref_abstract",
+            "PUBMED_clintrial_fromabstract": "pubmed_abstract",
+        },
+    )
     return _shown(found.drop("crossref_abstract", "pubmed_abstract"))
 
 
@@ -261,8 +248,8 @@ def _q_researcher_orcid(spark, sf_dir):
 
 def _q_pubmed_extract(spark, sf_dir):
     found = pubmed_extract(tables.articles(spark, sf_dir), tables.dois(spark, sf_dir))
-    entries = F.sort_array(F.transform("pubmed_DataBankList", lambda one: F.concat(one["name"], F.lit(":"), one["id"])))
-    return found.withColumn("pubmed_DataBankList", F.array_join(entries, ";"))
+    entries = "sort_array(transform(pubmed_DataBankList, one -> concat(one.name, ':', one.id)))"
+    return found.withColumn("pubmed_DataBankList", F.expr(f"array_join({entries}, ';')"))
 
 
 def _q_table_audit(spark, sf_dir):
@@ -284,46 +271,44 @@ def _q_utility_years(spark, sf_dir):
 
 def _q_dedupe_string(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return texts.select("doc_id", dedupe_string(F.col("text")).alias("deduped"))
+    return texts.select("doc_id", F.expr(dedupe_string("text")).alias("deduped"))
 
 
 def _q_na_cast(spark, sf_dir):
     raw = tables.trials_raw(spark, sf_dir)
     return raw.select(
         F.col("nct_id").alias("raw_id"),
-        casts.cast_string(F.col("nct_id")).alias("as_string"),
-        casts.cast_date(F.col("registry_query_date")).alias("as_date"),
-        casts.cast_datetime(F.col("completion_date")).alias("as_datetime"),
-        casts.cast_boolean(F.col("is_prospective")).alias("as_boolean"),
-        casts.cast_int(F.length("is_prospective")).alias("as_int"),
+        F.expr(casts.cast_string("nct_id")).alias("as_string"),
+        F.expr(casts.cast_date("registry_query_date")).alias("as_date"),
+        F.expr(casts.cast_datetime("completion_date")).alias("as_datetime"),
+        F.expr(casts.cast_boolean("is_prospective")).alias("as_boolean"),
+        F.expr(casts.cast_int("length(is_prospective)")).alias("as_int"),
     )
 
 
 def _q_first_green_date(spark, sf_dir):
     return tables.unpaywall(spark, sf_dir).select(
-        "doi", first_green_date(F.col("oa_locations")).alias("first_green_oa_date")
+        "doi", F.expr(first_green_date("oa_locations")).alias("first_green_oa_date")
     )
 
 
 def _q_month_boundary_diff(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_shipdate")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
-    months = month_boundary_diff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
+    months = F.expr(month_boundary_diff("l_shipdate", "o_orderdate"))
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "o_orderkey", "l_linenumber", months.alias("months")
     )
 
 
 def _q_array_string_agg(spark, sf_dir):
-    numbers = F.transform(
-        "crossref.clinical_trial_number", lambda item: trim_ws(item.clinical_trial_number)
-    )
-    return tables.works(spark, sf_dir).select("doi", string_agg(numbers).alias("joined"))
+    numbers = f"transform({trial_ids.FIELD}, number -> {trim_ws('number.clinical_trial_number')})"
+    return tables.works(spark, sf_dir).select("doi", F.expr(string_agg(numbers)).alias("joined"))
 
 
 def _q_case_insensitive_left_join(spark, sf_dir):
-    listed = tables.dois(spark, sf_dir).select(F.col("doi").alias("listed_doi")).withColumn("k", key(F.col("listed_doi")))
-    works = tables.works(spark, sf_dir).select(F.col("doi").alias("work_doi")).withColumn("k", key(F.col("work_doi")))
+    listed = tables.dois(spark, sf_dir).select(F.col("doi").alias("listed_doi")).withColumn("k", F.lower("listed_doi"))
+    works = tables.works(spark, sf_dir).select(F.col("doi").alias("work_doi")).withColumn("k", F.lower("work_doi"))
     return listed.join(works, "k", "left").select("listed_doi", "work_doi")
 
 

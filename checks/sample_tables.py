@@ -140,12 +140,13 @@ def works(spark: SparkSession, sf_dir: str) -> DataFrame:
                     when 2 then array(named_struct('URL', concat('https://example.org/', k)),
                                       named_struct('URL', concat('https://example.org/', k, '.pdf'))) end
         ) as crossref""",
-        f"""case when k % 6 <> 0 then named_struct(
-            'doi', upper({_WORK_DOI}),
+        f"""named_struct(
+            'doi', case when k % 6 <> 0 then upper({_WORK_DOI}) end,
             'MedlineCitation', named_struct('Article', named_struct(
-                'Abstract', named_struct('AbstractText', case k % 9 when 0 then NULL when 1 then ''
-                    when 2 then concat(text, ' see nct', {_trial(trial + ' + 2')}) else text end),
-                'DataBankList', {_banks()}))) end as pubmed""",
+                'Abstract', named_struct('AbstractText', case when k % 6 = 0 then NULL when k % 9 = 0 then NULL
+                    when k % 9 = 1 then '' when k % 9 = 2 then concat(text, ' see nct', {_trial(trial + ' + 2')})
+                    else text end),
+                'DataBankList', case when k % 6 <> 0 then {_banks()} end))) as pubmed""",
         """named_struct('oa', named_struct('coki', case when k % 17 <> 0 then named_struct(
             'open', case when k % 19 <> 0 then k % 5 <> 4 end,
             'publisher', k % 5 < 2,
@@ -259,7 +260,7 @@ def orcids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PubMed articles: the works' banks and abstracts in PubMed's own nesting."""
-    return works(spark, sf_dir).where("pubmed is not null").selectExpr(
+    return works(spark, sf_dir).where("pubmed.doi is not null").selectExpr(
         """named_struct('ArticleIdList', named_struct('ArticleId', array(
             named_struct('value', concat('pm', pubmed.doi), 'IdType', 'pubmed'),
             named_struct('value', pubmed.doi, 'IdType', 'doi')))) as PubmedData""",

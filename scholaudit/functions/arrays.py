@@ -1,36 +1,31 @@
-"""Arrays of structs."""
+"""Arrays of structs. Arguments and results are SQL expression text."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+def any_item(items: str, field: str) -> str:
+    """TRUE when some item has the field; FALSE for a NULL or empty array."""
+    return f"coalesce(exists({items}, item -> item.{field} IS NOT NULL), FALSE)"
 
 
-def any_item(items: Column, test: Callable[[Column], Column]) -> Column:
-    """TRUE when some item passes; FALSE for a NULL or empty array."""
-    return F.coalesce(F.exists(items, lambda item: F.coalesce(test(item), F.lit(False))), F.lit(False))
-
-
-def has_items(items: Column) -> Column:
+def has_items(items: str) -> str:
     """TRUE when the array holds something; FALSE when it is NULL or empty."""
-    return F.coalesce(F.size(items) > 0, F.lit(False))
+    return f"coalesce(size({items}) > 0, FALSE)"
 
 
-def null_if_empty(items: Column) -> Column:
-    return F.when(F.size(items) > 0, items)
+def null_if_empty(items: str) -> str:
+    return f"if(size({items}) > 0, {items}, NULL)"
 
 
-def first_green_date(locations: Column) -> Column:
+def first_green_date(locations: str) -> str:
     """Earliest date among repository copies.
 
     An undated copy sorts first, so one of them makes the result NULL.
     """
-    green = F.filter(locations, lambda place: place.host_type == "repository")
-    return F.get(F.sort_array(F.transform(green, lambda place: place.oa_date)), F.lit(0))
+    green = f"filter({locations}, place -> place.host_type = 'repository')"
+    return f"get(sort_array(transform({green}, place -> place.oa_date)), 0)"
 
 
-def repeat_items(counted: Column, value: Callable[[Column], Column]) -> Column:
-    """Write out an array of (value, n) structs: each value n times, order kept."""
-    return F.flatten(F.transform(counted, lambda item: F.array_repeat(value(item), item.n.cast("int"))))
+def repeat_items(counted: str, value: str) -> str:
+    """Write out an array of structs with a number ``n``: the value of each ``item`` n times, order kept."""
+    return f"flatten(transform({counted}, item -> array_repeat({value}, int(item.n))))"

@@ -2,12 +2,12 @@
 
 Spark reads more spellings than the input contract allows ('yes' as a
 boolean, '2020' as a date). Such text is an error here, never a guess.
+Arguments and results are SQL expression text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from scholaudit.functions.sql import literal
 
 MISSING = "NA"
 
@@ -22,28 +22,31 @@ INTEGER_FORM = r"^[+-]?[0-9]+$"
 BOOLEAN_FORM = r"^([Tt][Rr][Uu][Ee]|[Ff][Aa][Ll][Ss][Ee])$"
 
 
-def cast_string(value: Column) -> Column:
-    return F.nullif(value.cast("string"), F.lit(MISSING))
+def cast_string(value: str) -> str:
+    return f"nullif(string({value}), {literal(MISSING)})"
 
 
-def _strict(value: Column, form: str, target: str) -> Column:
+def _strict(value: str, form: str, target: str) -> str:
     text = cast_string(value)
-    complaint = F.raise_error(F.concat(F.lit(f"not a valid {target}: "), text)).cast(target)
-    return F.when(text.isNull() | text.rlike(form), text.cast(target)).otherwise(complaint)
+    complaint = f"raise_error(concat({literal(f'not a valid {target}: ')}, {text}))"
+    return (
+        f"CASE WHEN {text} IS NULL OR {text} RLIKE {literal(form)} THEN cast({text} AS {target}) "
+        f"ELSE cast({complaint} AS {target}) END"
+    )
 
 
-def cast_date(value: Column) -> Column:
+def cast_date(value: str) -> str:
     return _strict(value, DATE_FORM, "date")
 
 
-def cast_int(value: Column) -> Column:
+def cast_int(value: str) -> str:
     return _strict(value, INTEGER_FORM, "bigint")
 
 
-def cast_boolean(value: Column) -> Column:
+def cast_boolean(value: str) -> str:
     return _strict(value, BOOLEAN_FORM, "boolean")
 
 
-def cast_datetime(value: Column) -> Column:
+def cast_datetime(value: str) -> str:
     """Timestamp text to its (UTC) date."""
-    return _strict(value, TIMESTAMP_FORM, "timestamp").cast("date")
+    return f"date({_strict(value, TIMESTAMP_FORM, 'timestamp')})"

@@ -20,11 +20,8 @@ def count_copies(df: DataFrame, *columns: str, n: str = "n") -> DataFrame:
 
 def expand_copies(df: DataFrame, n: Column) -> DataFrame:
     """Emit every row ``n`` times (NULL counts as once), in chunks of bounded size."""
-    times = F.coalesce(n, F.lit(1)).cast("bigint")
-    chunks = df.withColumn("_times", times).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(_times - 1) div %d" % CHUNK)))
-    )
-    inside = F.least(F.lit(CHUNK).cast("bigint"), F.col("_times") - F.col("_chunk") * CHUNK)
-    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), inside))).drop(
-        "_times", "_chunk", "_copy"
+    chunks = df.withColumn("_times", F.coalesce(n, F.lit(1)).cast("bigint")).withColumn(
+        "_chunk", F.expr(f"explode(sequence(0L, (_times - 1) div {CHUNK}))")
     )
+    inside = f"explode(sequence(1L, least({CHUNK}L, _times - _chunk * {CHUNK})))"
+    return chunks.withColumn("_copy", F.expr(inside)).drop("_times", "_chunk", "_copy")

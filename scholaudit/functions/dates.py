@@ -1,19 +1,13 @@
-"""Dates."""
+"""Dates. Arguments and results are SQL expression text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def month_boundary_diff(later: Column, earlier: Column) -> Column:
+def month_boundary_diff(later: str, earlier: str) -> str:
     """Calendar-month boundaries between two dates (31 Jan to 1 Feb is one)."""
-    months = lambda day: F.year(day) * 12 + F.month(day)
-    return (months(later) - months(earlier)).cast("bigint")
+    return f"bigint(year({later}) * 12 + month({later}) - year({earlier}) * 12 - month({earlier}))"
 
 
-def first_of_month(year: Column, month: Column) -> Column:
+def first_of_month(year: str, month: str) -> str:
     """First day of the month; a month above 12 is unknown, month 0 is an error."""
-    return F.when(month > 12, F.lit(None)).otherwise(
-        F.make_date(year.cast("int"), month.cast("int"), F.lit(1))
-    )
+    return f"if({month} > 12, NULL, make_date(int({year}), int({month}), 1))"

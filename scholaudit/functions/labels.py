@@ -1,34 +1,7 @@
-"""Labels, sort ranks and groups shown on the dashboard, and the CASE chains over them."""
+"""Labels, sort ranks and groups shown on the dashboard."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def lookup(value: Column, pairs: Iterable[tuple[object, object]], default: object) -> Column:
-    """First matching pair's result, else the default. NULL matches nothing."""
-    chain = F
-    for match, result in pairs:
-        chain = chain.when(value == F.lit(match), F.lit(result))
-    return chain.otherwise(F.lit(default))
-
-
-def choose(cases: Iterable[tuple[Column, object]], default: object) -> Column:
-    """First case whose condition is TRUE, else the default."""
-    chain = F
-    for condition, result in cases:
-        chain = chain.when(condition, F.lit(result))
-    return chain.otherwise(F.lit(default))
-
-
-def either(condition: Column, yes: str, no: str) -> Column:
-    """``yes`` when the condition is TRUE; FALSE and NULL give ``no``."""
-    return F.when(condition, F.lit(yes)).otherwise(F.lit(no))
-
-
 # Result-reporting code, label, rank.
 RESULTS_REPORTING = (
     ("results_timely", "Trial reported summary results on time", 1),

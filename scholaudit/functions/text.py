@@ -1,11 +1,10 @@
-"""Strings and lists of strings."""
+"""Strings and lists of strings. Arguments and results are SQL expression text."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from scholaudit.functions.sql import literal
 
 # Fixed value: the Unicode white-space characters. Spark's own trim() removes
 # only the plain space.
@@ -15,38 +14,27 @@ WHITESPACE = (
 )
 
 
-def trim_ws(text: Column) -> Column:
+def trim_ws(text: str) -> str:
     """Strip every kind of white space from both ends."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    return f"btrim({text}, {literal(WHITESPACE)})"
 
 
-def key(text: Column) -> Column:
-    """Join key for identifiers that compare without regard to case."""
-    return F.lower(text)
-
-
-def doi_key(df: DataFrame) -> Column:
-    """A table's DOI key: its stored ``doi_key`` where it has one."""
-    return (F.col("doi_key") if "doi_key" in df.columns else key(F.col("doi"))).alias("doi_key")
-
-
-def split_on(text: Column, separator: str) -> Column:
+def split_on(text: str, separator: str) -> str:
     """Split at a literal separator."""
     if not separator:
         raise ValueError("separator must not be empty")
-    return F.split(text, re.escape(separator))
+    return f"split({text}, {literal(re.escape(separator))})"
 
 
-def dedupe_string(text: Column, separator: str = " ") -> Column:
+def dedupe_string(text: str, separator: str = " ") -> str:
     """Drop repeated parts of a separated list, keeping the first of each.
 
     A NULL list has no parts, so it gives the empty string.
     """
-    parts = F.array_distinct(split_on(text, separator))
-    return F.coalesce(F.array_join(parts, separator), F.lit(""))
+    return f"coalesce(array_join(array_distinct({split_on(text, separator)}), {literal(separator)}), '')"
 
 
-def string_agg(items: Column, separator: str = " ") -> Column:
+def string_agg(items: str, separator: str = " ") -> str:
     """Join the non-null items of one row's array; NULL when there are none."""
-    present = F.filter(items, lambda item: item.isNotNull())
-    return F.when(F.size(present) > 0, F.array_join(present, separator))
+    present = f"filter({items}, item -> item IS NOT NULL)"
+    return f"array_join(nullif({present}, array()), {literal(separator)})"

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.functions.arrays import repeat_items
-from scholaudit.functions.text import key
 
 
 def pubmed_extract(articles: DataFrame, dois: DataFrame) -> DataFrame:
@@ -15,31 +14,27 @@ def pubmed_extract(articles: DataFrame, dois: DataFrame) -> DataFrame:
     Articles without an accession number count as not found. Of several
     abstracts the smallest is taken, so that the result is stable.
     """
-    targets = dois.select("doi").distinct().withColumn("doi_key", key(F.col("doi")))
+    targets = dois.select("doi").distinct().withColumn("doi_key", F.lower("doi"))
     keys = targets.select("doi_key").where(F.col("doi_key").isNotNull()).distinct()
 
-    own_ids = F.filter("PubmedData.ArticleIdList.ArticleId", lambda one: one.IdType == "doi")
-    numbers = F.flatten(
-        F.transform(
-            F.filter(
-                "MedlineCitation.Article.DataBankList.DataBank",
-                lambda bank: bank.AccessionNumberList.AccessionNumber.isNotNull(),
-            ),
-            lambda bank: F.transform(
-                bank.AccessionNumberList.AccessionNumber,
-                lambda number: F.named_struct(F.lit("name"), bank.DataBankName, F.lit("id"), number),
-            ),
-        )
+    own_ids = "filter(PubmedData.ArticleIdList.ArticleId, one -> one.IdType = 'doi')"
+    banks = (
+        "filter(MedlineCitation.Article.DataBankList.DataBank, "
+        "bank -> bank.AccessionNumberList.AccessionNumber IS NOT NULL)"
+    )
+    numbers = (
+        f"flatten(transform({banks}, bank -> transform(bank.AccessionNumberList.AccessionNumber, "
+        "number -> named_struct('name', bank.DataBankName, 'id', number))))"
     )
     flat = (
         articles.select(
-            F.explode(own_ids).alias("article_id"),
+            F.expr(f"explode({own_ids})").alias("article_id"),
             F.col("MedlineCitation.Article.Abstract.AbstractText").alias("abstract"),
-            numbers.alias("entries"),
+            F.expr(numbers).alias("entries"),
         )
         .where(F.size("entries") > 0)
         .select(F.col("article_id.value").alias("pubmed_doi"), "abstract", "entries")
-        .withColumn("doi_key", key(F.col("pubmed_doi")))
+        .withColumn("doi_key", F.lower("pubmed_doi"))
         .join(keys, "doi_key", "left_semi")
     )
     # Equal articles of a DOI are counted first, so copies are gathered once.
@@ -54,6 +49,6 @@ def pubmed_extract(articles: DataFrame, dois: DataFrame) -> DataFrame:
         "doi_key",
         "pubmed_doi",
         "pubmed_Abstract",
-        F.flatten(repeat_items(F.col("lists"), lambda item: item.entries)).alias("pubmed_DataBankList"),
+        F.expr(f"flatten({repeat_items('lists', 'item.entries')})").alias("pubmed_DataBankList"),
     )
     return targets.join(found, "doi_key", "left").select("pubmed_doi", "pubmed_Abstract", "pubmed_DataBankList")

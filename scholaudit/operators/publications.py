@@ -7,45 +7,51 @@ a publication without a matching work has NULL facts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.functions import labels as texts
 from scholaudit.functions.arrays import any_item, first_green_date
 from scholaudit.functions.copies import count_copies, expand_copies
 from scholaudit.functions.dates import first_of_month, month_boundary_diff
-from scholaudit.functions.labels import choose, either, lookup
-from scholaudit.functions.text import doi_key, key, string_agg
+from scholaudit.functions.keys import doi_key
+from scholaudit.functions.sql import case, either, lookup
+from scholaudit.functions.text import string_agg
+
+WORK_FACTS = {
+    "work_doi": "doi",
+    "published_year": "crossref.published_year",
+    "cr_published_date": first_of_month("crossref.published_year", "crossref.published_month"),
+    "container_title_concat": "array_join(crossref.container_title, ' ')",
+    "title_concat": "array_join(crossref.title, ' ')",
+    "crossref_type": "crossref.type",
+    "coki": "coki.oa.coki",
+    "publisher_orcid": any_item("crossref.author", "ORCID"),
+    "author_orcid": any_item("affiliations.authors", "identifier"),
+    "funder": any_item("affiliations.funders", "identifier"),
+    "crossref_fulltext_URL_CONCAT": string_agg("crossref.link.URL"),
+    "abstract_crossref": "crossref.abstract",
+}
+
+
+def _as_columns(group: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in group.items()}
 
 
 def work_facts(works: DataFrame) -> DataFrame:
     """One narrow row per work."""
-    return works.select(
-        doi_key(works),
-        F.col("doi").alias("work_doi"),
-        F.col("crossref.published_year").alias("published_year"),
-        first_of_month(F.col("crossref.published_year"), F.col("crossref.published_month")).alias("cr_published_date"),
-        F.array_join("crossref.container_title", " ").alias("container_title_concat"),
-        F.array_join("crossref.title", " ").alias("title_concat"),
-        F.col("crossref.type").alias("crossref_type"),
-        F.col("coki.oa.coki").alias("coki"),
-        any_item(F.col("crossref.author"), lambda person: person.ORCID.isNotNull()).alias("publisher_orcid"),
-        any_item(F.col("affiliations.authors"), lambda person: person.identifier.isNotNull()).alias("author_orcid"),
-        any_item(F.col("affiliations.funders"), lambda body: body.identifier.isNotNull()).alias("funder"),
-        string_agg(F.transform("crossref.link", lambda link: link.URL)).alias("crossref_fulltext_URL_CONCAT"),
-        F.col("crossref.abstract").alias("abstract_crossref"),
-    )
+    return works.select(doi_key(works), *[F.expr(text).alias(name) for name, text in WORK_FACTS.items()])
 
 
 def access_facts(unpaywall: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """First green date and licence per DOI (of the given keys), repeats counted."""
     facts = unpaywall.select(
         doi_key(unpaywall),
-        first_green_date(F.col("oa_locations")).alias("first_green_oa_date"),
+        F.expr(first_green_date("oa_locations")).alias("first_green_oa_date"),
         F.col("best_oa_location.license").alias("license"),
-    ).where(F.col("doi_key").isNotNull())
+    ).where("doi_key IS NOT NULL")
     if keys is not None:
         facts = facts.join(keys, "doi_key", "left_semi")
     return count_copies(facts, "doi_key", "first_green_oa_date", "license", n="n_access")
@@ -53,11 +59,8 @@ def access_facts(unpaywall: DataFrame, keys: DataFrame | None = None) -> DataFra
 
 def oddpub_facts(oddpub: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Open-data and open-code results per DOI, repeats counted."""
-    facts = oddpub.select(
-        *scope, key(F.col("doi")).alias("doi_key"), "is_open_data", "is_open_code"
-    ).where(F.col("doi_key").isNotNull())
-    counted = count_copies(facts, *scope, "doi_key", "is_open_data", "is_open_code", n="n_oddpub")
-    return counted.withColumn("has_oddpub_processing", F.lit(True))
+    facts = oddpub.select(*scope, doi_key(oddpub), "is_open_data", "is_open_code").where("doi_key IS NOT NULL")
+    return count_copies(facts, *scope, "doi_key", "is_open_data", "is_open_code", n="n_oddpub")
 
 
 # Columns of ``alltrials`` that the earlier publication table also carried.
@@ -81,7 +84,7 @@ def extract_facts(alltrials: DataFrame, columns: Sequence[str] = (), edition: Se
     """What publications take over from ``alltrials``."""
     return alltrials.select(
         *edition, doi_key(alltrials), F.col("abstract_PUBMED").alias("abstract_pubmed"), *columns
-    ).where(F.col("doi_key").isNotNull())
+    ).where("doi_key IS NOT NULL")
 
 
 def enriched_doi(works: DataFrame, unpaywall: DataFrame, alltrials: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -94,108 +97,155 @@ def enriched_doi(works: DataFrame, unpaywall: DataFrame, alltrials: DataFrame, c
     return expand_copies(joined, F.col("n_access")).drop("n_access")
 
 
-# Each function below adds one group of output columns.
-
-
-def doi_match_label(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "doi_academicobservatory": F.lower("work_doi"),
-            "doi_in_academicobservatory_PRETTY": either(F.col("work_doi").isNull(), "No", "Yes"),
-        }
-    )
-
-
-def bibliographic_fields(df: DataFrame) -> DataFrame:
-    """Year as a whole number; the joined titles come with the work facts."""
-    return df.withColumn("published_year_PRETTY", F.col("published_year").cast("bigint"))
-
-
-def publication_type_label(df: DataFrame) -> DataFrame:
-    return df.withColumn("crossref_type_PRETTY", lookup(F.col("crossref_type"), texts.WORK_TYPES, None))
-
-
-def oa_category(df: DataFrame) -> DataFrame:
-    """First route that applies; unknown and unmatched count as closed."""
-    label, rank = texts.CLOSED_ACCESS
-    flags = [(F.col(f"coki.{flag}"), text, order) for flag, text, order in texts.ACCESS_ROUTES]
-    return df.withColumns(
-        {
-            "oa_coki_PRETTY": choose([(flag, text) for flag, text, _ in flags], label),
-            "oa_coki_GRAPHORDER": choose([(flag, order) for flag, _, order in flags], rank).cast("bigint"),
-        }
-    )
-
-
-def oa_open_status(df: DataFrame) -> DataFrame:
-    is_open = F.col("coki.open")
-    return df.withColumns(
-        {
-            "oa_coki_open_PRETTY": choose([(is_open, "Open Access"), (~is_open, "Closed Access")], "Unknown"),
-            "oa_coki_OA_open": choose([(is_open, 1)], 0).cast("bigint"),
-            "oa_coki_OA_closed": choose([(~is_open, 1)], 0).cast("bigint"),
-        }
-    )
-
-
-def embargo_months(df: DataFrame) -> DataFrame:
-    return df.withColumn("embargo", month_boundary_diff(F.col("first_green_oa_date"), F.col("cr_published_date")))
-
-
-def embargo_label(df: DataFrame) -> DataFrame:
-    """Label and rank of ``embargo``."""
-    months = F.col("embargo")
-    steps = [(months < limit, text, rank) for limit, text, rank in texts.EMBARGO_STEPS]
-    steps.append((months.isNotNull(), *texts.EMBARGO_BEYOND))
-    label, rank = texts.EMBARGO_UNKNOWN
-    return df.withColumns(
-        {
-            "embargo_PRETTY": choose([(test, text) for test, text, _ in steps], label),
-            "embargo_GRAPHORDER": choose([(test, order) for test, _, order in steps], rank).cast("bigint"),
-        }
-    )
+# Output columns by group, as name to SQL expression over the facts.
 
+DOI_MATCH = {
+    "doi_academicobservatory": "lower(work_doi)",
+    "doi_in_academicobservatory_PRETTY": either("work_doi IS NULL", "No", "Yes"),
+}
 
-def license_label(df: DataFrame) -> DataFrame:
-    code = F.col("license")
-    label, rank = texts.LICENSE_UNKNOWN
-    ranks = [(name, place) for place, (name, _, _) in enumerate(texts.LICENSES, start=1)]
-    return df.withColumns(
-        {
-            "license_PRETTY": lookup(code, [(name, text) for name, text, _ in texts.LICENSES], label),
-            "license_GRAPHORDER": lookup(code, ranks, rank).cast("bigint"),
-            "license_GROUP": lookup(code, [(name, group) for name, _, group in texts.LICENSES], label),
-        }
-    )
+# The joined titles come with the work facts.
+BIBLIOGRAPHIC = {"published_year_PRETTY": "bigint(published_year)"}
 
+PUBLICATION_TYPE = {"crossref_type_PRETTY": lookup("crossref_type", texts.WORK_TYPES, None)}
 
-def _flag(df: DataFrame, fact: str, name: str, yes: str, no: str) -> DataFrame:
-    value = F.coalesce(F.col(fact), F.lit(False))
-    return df.withColumns({name: value, f"{name}_PRETTY": either(value, yes, no)})
+# First route that applies; unknown and unmatched count as closed.
+OA_CATEGORY = {
+    "oa_coki_PRETTY": case(
+        [(f"coki.{flag}", text) for flag, text, _ in texts.ACCESS_ROUTES], texts.CLOSED_ACCESS[0]
+    ),
+    "oa_coki_GRAPHORDER": case(
+        [(f"coki.{flag}", rank) for flag, _, rank in texts.ACCESS_ROUTES], texts.CLOSED_ACCESS[1]
+    ),
+}
 
+OA_OPEN_STATUS = {
+    "oa_coki_open_PRETTY": case([("coki.open", "Open Access"), ("NOT coki.open", "Closed Access")], "Unknown"),
+    "oa_coki_OA_open": case([("coki.open", 1)], 0),
+    "oa_coki_OA_closed": case([("NOT coki.open", 1)], 0),
+}
 
-def orcid_publisher(df: DataFrame) -> DataFrame:
-    return _flag(
-        df, "publisher_orcid", "has_publisher_orcid", "Has publisher ORCID", "Does not have publisher ORCID"
-    )
+EMBARGO = {"embargo": month_boundary_diff("first_green_oa_date", "cr_published_date")}
 
+_EMBARGO_STEPS = [(f"embargo < {limit}", text, rank) for limit, text, rank in texts.EMBARGO_STEPS] + [
+    ("embargo IS NOT NULL", *texts.EMBARGO_BEYOND)
+]
+EMBARGO_LABEL = {
+    "embargo_PRETTY": case([(test, text) for test, text, _ in _EMBARGO_STEPS], texts.EMBARGO_UNKNOWN[0]),
+    "embargo_GRAPHORDER": case([(test, rank) for test, _, rank in _EMBARGO_STEPS], texts.EMBARGO_UNKNOWN[1]),
+}
 
-def orcid_author_record(df: DataFrame) -> DataFrame:
-    return _flag(df, "author_orcid", "in_orcid_record", "In an ORCID record", "Not in any ORCID record")
+LICENSE = {
+    "license_PRETTY": lookup("license", [(code, text) for code, text, _ in texts.LICENSES], texts.LICENSE_UNKNOWN[0]),
+    "license_GRAPHORDER": lookup(
+        "license",
+        [(code, place) for place, (code, _, _) in enumerate(texts.LICENSES, start=1)],
+        texts.LICENSE_UNKNOWN[1],
+    ),
+    "license_GROUP": lookup("license", [(code, group) for code, _, group in texts.LICENSES], texts.LICENSE_UNKNOWN[0]),
+}
 
 
-def funder_record(df: DataFrame) -> DataFrame:
-    return _flag(
-        df, "funder", "has_cr_funder_record", "Has funder acknowledgement", "No funder acknowledgement"
-    )
+def _flag(fact: str, name: str, yes: str, no: str) -> dict[str, str]:
+    return {name: f"coalesce({fact}, FALSE)", f"{name}_PRETTY": either(fact, yes, no)}
 
 
-def preprint_label(df: DataFrame) -> DataFrame:
-    """The flag keeps its NULL; the label does not."""
-    flag = F.col("coki.other_platform_categories.preprint")
-    return df.withColumns(
-        {"has_preprint": flag, "has_preprint_PRETTY": either(flag, "Has a preprint", "No preprint identified")}
+PUBLISHER_ORCID = _flag(
+    "publisher_orcid", "has_publisher_orcid", "Has publisher ORCID", "Does not have publisher ORCID"
+)
+AUTHOR_ORCID = _flag("author_orcid", "in_orcid_record", "In an ORCID record", "Not in any ORCID record")
+FUNDER = _flag("funder", "has_cr_funder_record", "Has funder acknowledgement", "No funder acknowledgement")
+
+# The flag keeps its NULL; the label does not.
+_PREPRINT = "coki.other_platform_categories.preprint"
+PREPRINT = {
+    "has_preprint": _PREPRINT,
+    "has_preprint_PRETTY": either(_PREPRINT, "Has a preprint", "No preprint identified"),
+}
+
+OPEN_DATA_CODE = {
+    "has_oddpub_processing": "n_oddpub IS NOT NULL",
+    **_flag(
+        "is_open_data",
+        "has_open_data_oddpub",
+        "Contains reference to Open data",
+        "No reference to Open data found",
+    ),
+    **_flag(
+        "is_open_code",
+        "has_open_code_oddpub",
+        "Contains reference to Open code",
+        "No reference to Open code found",
+    ),
+}
+
+# Earlier form's rule over open status, licence, route and embargo. An unknown
+# status or licence is not refused.
+_PLAN_S_CASES = (
+    ("NOT coki.open", False),
+    ("license != 'cc-by'", False),
+    ("coki.publisher", True),
+    ("embargo < 1", True),
+)
+PLAN_S = {
+    "plans_compliant": case(_PLAN_S_CASES, False),
+    "plans_compliant_PRETTY": either(case(_PLAN_S_CASES, False), "PlanS Compliant", "Not PlanS Compliant"),
+}
+
+# Labels of the trial and data-bank flags carried over from ``alltrials``.
+TRIAL_FLAGS = {
+    "ANYSOURCE_clintrial_found_PRETTY": either(
+        "ANYSOURCE_clintrial_found",
+        "Trial-ID found in any publication in Pubmed or Crossref",
+        "No Trial-ID found in any publication in Pubmed or Crossref",
+    ),
+    "PUBMED_opendata_fromfield_found_PRETTY": either(
+        "PUBMED_opendata_fromfield_found",
+        "Databank-ID found in Pubmed",
+        "No Databank-ID number found in Pubmed",
+    ),
+}
+
+
+def adding(group: dict[str, str]) -> Callable[[DataFrame], DataFrame]:
+    """The operator that adds a group of columns."""
+    return lambda df: df.withColumns(_as_columns(group))
+
+
+doi_match_label = adding(DOI_MATCH)
+bibliographic_fields = adding(BIBLIOGRAPHIC)
+publication_type_label = adding(PUBLICATION_TYPE)
+oa_category = adding(OA_CATEGORY)
+oa_open_status = adding(OA_OPEN_STATUS)
+embargo_months = adding(EMBARGO)
+embargo_label = adding(EMBARGO_LABEL)  # over ``embargo``
+license_label = adding(LICENSE)
+orcid_publisher = adding(PUBLISHER_ORCID)
+orcid_author_record = adding(AUTHOR_ORCID)
+funder_record = adding(FUNDER)
+preprint_label = adding(PREPRINT)
+plan_s_compliance = adding(PLAN_S)  # over ``embargo``
+publication_trial_columns = adding(TRIAL_FLAGS)
+
+
+def add_labels(df: DataFrame) -> DataFrame:
+    """All column groups of the publication table; the embargo is needed first."""
+    groups = (
+        DOI_MATCH,
+        BIBLIOGRAPHIC,
+        PUBLICATION_TYPE,
+        OA_CATEGORY,
+        OA_OPEN_STATUS,
+        EMBARGO_LABEL,
+        LICENSE,
+        PUBLISHER_ORCID,
+        AUTHOR_ORCID,
+        FUNDER,
+        PREPRINT,
+        OPEN_DATA_CODE,
     )
+    every = {name: text for group in groups for name, text in group.items()}
+    return embargo_months(df).withColumns(_as_columns(every))
 
 
 def attach_oddpub(pubs: DataFrame, oddpub: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -203,83 +253,13 @@ def attach_oddpub(pubs: DataFrame, oddpub: DataFrame, scope: Sequence[str] = ())
     return pubs.join(oddpub_facts(oddpub, scope), [*scope, "doi_key"], "left")
 
 
-def open_data_code_labels(df: DataFrame) -> DataFrame:
-    data = F.coalesce(F.col("is_open_data"), F.lit(False))
-    code = F.coalesce(F.col("is_open_code"), F.lit(False))
-    return df.withColumns(
-        {
-            "has_oddpub_processing": F.coalesce(F.col("has_oddpub_processing"), F.lit(False)),
-            "has_open_data_oddpub": data,
-            "has_open_data_oddpub_PRETTY": either(
-                data, "Contains reference to Open data", "No reference to Open data found"
-            ),
-            "has_open_code_oddpub": code,
-            "has_open_code_oddpub_PRETTY": either(
-                code, "Contains reference to Open code", "No reference to Open code found"
-            ),
-        }
-    )
-
-
 def open_data_code(pubs: DataFrame, oddpub: DataFrame) -> DataFrame:
     """Publications (with a ``doi``) and the result of the open data and code check."""
-    joined = attach_oddpub(pubs.withColumn("doi_key", key(F.col("doi"))), oddpub)
-    labelled = open_data_code_labels(expand_copies(joined, F.col("n_oddpub")))
+    joined = attach_oddpub(pubs.withColumn("doi_key", F.lower("doi")), oddpub)
+    labelled = expand_copies(joined, F.col("n_oddpub")).withColumns(_as_columns(OPEN_DATA_CODE))
     return labelled.drop("doi_key", "n_oddpub", "is_open_data", "is_open_code")
 
 
-def plan_s_compliance(df: DataFrame) -> DataFrame:
-    """Earlier form's Plan S rule over open status, licence, route and ``embargo``."""
-    refused = (~F.col("coki.open"), F.col("license") != "cc-by")
-    granted = (F.col("coki.publisher"), F.col("embargo") < 1)
-    cases = [(test, False) for test in refused] + [(test, True) for test in granted]
-    compliant = choose(cases, False)
-    return df.withColumn("plans_compliant", compliant).withColumn(
-        "plans_compliant_PRETTY", either(F.col("plans_compliant"), "PlanS Compliant", "Not PlanS Compliant")
-    )
-
-
-def publication_trial_columns(df: DataFrame) -> DataFrame:
-    """Labels of the trial and data-bank flags carried over from ``alltrials``."""
-    return df.withColumns(
-        {
-            "ANYSOURCE_clintrial_found_PRETTY": either(
-                F.col("ANYSOURCE_clintrial_found"),
-                "Trial-ID found in any publication in Pubmed or Crossref",
-                "No Trial-ID found in any publication in Pubmed or Crossref",
-            ),
-            "PUBMED_opendata_fromfield_found_PRETTY": either(
-                F.col("PUBMED_opendata_fromfield_found"),
-                "Databank-ID found in Pubmed",
-                "No Databank-ID number found in Pubmed",
-            ),
-        }
-    )
-
-
-WORK_LABELS = (
-    doi_match_label,
-    bibliographic_fields,
-    publication_type_label,
-    oa_category,
-    oa_open_status,
-    embargo_months,
-    embargo_label,
-    license_label,
-    orcid_publisher,
-    orcid_author_record,
-    funder_record,
-    preprint_label,
-)
-
-
-def add_work_labels(df: DataFrame) -> DataFrame:
-    """All label groups that need no institution input."""
-    for add in WORK_LABELS:
-        df = df.transform(add)
-    return df
-
-
 def for_export(pubs: DataFrame) -> DataFrame:
     """Newest first, then by DOI. Only for files read in order; tables are not sorted."""
     return pubs.orderBy(F.col("published_year").desc(), F.col("doi_academicobservatory").asc())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.functions.casts import cast_boolean, cast_string
-from scholaudit.functions.labels import either
+from scholaudit.functions.sql import either
 
 # Flag, label when TRUE, label otherwise.
 FLAGS = (
@@ -18,12 +18,12 @@ FLAGS = (
 
 def researcher_orcid(orcids: DataFrame, script_name: str, dataset_name: str, output_table: str) -> DataFrame:
     """Cleaned ids, given only where the record is an ORCID, with labelled flags."""
-    orcid = cast_string(F.col("orcid_id"))
+    orcid = F.expr(cast_string("orcid_id"))
     labelled = []
     for flag, yes, no in FLAGS:
         labelled += [
-            cast_boolean(F.col(flag)).alias(flag),
-            either(F.col(flag), yes, no).alias(f"{flag}_PRETTY"),
+            F.expr(cast_boolean(flag)).alias(flag),
+            F.expr(either(flag, yes, no)).alias(f"{flag}_PRETTY"),
         ]
     return orcids.select(
         orcid.alias("orcid_id_raw"),

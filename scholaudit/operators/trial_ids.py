@@ -1,6 +1,6 @@
 """Trial and data-bank identifiers found in works.
 
-Sources per work: the two abstracts (row-local regex search), the Crossref
+Sources per work: the two abstracts (row-local search), the Crossref
 trial-number field and the PubMed data-bank list (both grouped by DOI).
 """
 
@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.functions.arrays import has_items, null_if_empty, repeat_items
+from scholaudit.functions.arrays import has_items, repeat_items
 from scholaudit.functions.copies import count_copies
-from scholaudit.functions.text import dedupe_string, doi_key, key, split_on, string_agg, trim_ws
+from scholaudit.functions.keys import doi_key
+from scholaudit.functions.sql import literal
+from scholaudit.functions.text import dedupe_string, split_on, string_agg, trim_ws
 
 # One registry's identifier form, and the names looked for in data-bank lists.
 TRIAL_ID = "NCT[0-9][0-9][0-9][0-9][0-9][0-9][0-9][0-9]"
@@ -26,13 +28,20 @@ DATABANKS = (
     "PubChem-Substance|RefSeq|SRA|SWISSPROT|UniMES|UniParc|UniProtKB|UniRef|PDB|Protein"
 )
 
+# The identifier form before upper-casing. The third N is the one other letter
+# whose upper case ends in N.
+TRIAL_ID_ANY_CASE = "[Nn\u0149][Cc][Tt]([0-9]{8})"
+
 PUBMED_ABSTRACT = "pubmed.MedlineCitation.Article.Abstract.AbstractText"
 PUBMED_BANKS = "pubmed.MedlineCitation.Article.DataBankList"
+FIELD = "crossref.clinical_trial_number"
 
-# Kinds of grouped evidence and the columns they fill.
+# Kinds of grouped evidence.
 REGISTRY, DATABANK, CROSSREF = "registry", "databank", "crossref"
 
-_ENTRY_TYPE = "array<struct<kind:string,doi:string,ids:array<string>,label:string>>"
+# How an entry of each kind is shown in the output arrays.
+_AS_BANK = "named_struct('id', item.ids, 'registry', item.label)"
+_AS_FIELD = "named_struct('id', item.ids[0], 'type', item.label)"
 
 
 def published_after(works: DataFrame, cutoff: int) -> DataFrame:
@@ -40,56 +49,48 @@ def published_after(works: DataFrame, cutoff: int) -> DataFrame:
     return works.where(F.col("crossref.published_year") > F.lit(cutoff))
 
 
-def ids_in_text(text: Column) -> Column:
-    """Distinct trial ids of a text in order of appearance; NULL when there are none.
+def trial_ids_in_text(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Add ``<name>_found`` and ``<name>`` for each text (name to column).
 
-    Empty and '{}' abstracts hold no id, so they need no case of their own.
+    The ids are the distinct ones of the upper-cased text in order of
+    appearance, as an array of structs, NULL when there are none; only the
+    matches are looked at, so the text itself is never upper-cased. Empty and
+    '{}' abstracts hold no id and need no case of their own.
     """
-    found = F.array_distinct(F.regexp_extract_all(F.upper(text), F.lit(TRIAL_ID), F.lit(0)))
-    return null_if_empty(found)
-
-
-def id_structs(ids: Column) -> Column:
-    return F.transform(ids, lambda one: F.struct(one.alias("id")))
+    form = literal(TRIAL_ID_ANY_CASE)
+    # A projection of its own, so that each text is searched once.
+    searched = df.withColumns(
+        {
+            f"_{name}": F.expr(f"array_distinct(regexp_extract_all({text}, {form}, 1))")
+            for name, text in texts.items()
+        }
+    )
+    found: dict[str, object] = {}
+    for name in texts:
+        ids = f"transform(_{name}, digits -> named_struct('id', concat('NCT', digits)))"
+        found[f"{name}_found"] = F.expr(has_items(f"_{name}"))
+        found[name] = F.expr(f"if(size(_{name}) > 0, {ids}, NULL)")
+    return searched.withColumns(found).drop(*[f"_{name}" for name in texts])
 
 
-def trial_ids_in_text(df: DataFrame, text: Column, prefix: str) -> DataFrame:
-    """Add ``<prefix>_found`` and ``<prefix>`` (array of id structs, or NULL)."""
-    # The ids are their own projection so that the text is searched once.
+def _bank_entries(names: str, kind: str) -> str:
+    """One row's data-bank entries whose name matches, tagged with the kind."""
+    matching = f"filter({PUBMED_BANKS}, bank -> bank.DataBankName RLIKE {literal(names)})"
     return (
-        df.withColumn("_ids", ids_in_text(text))
-        .withColumn(f"{prefix}_found", F.col("_ids").isNotNull())
-        .withColumn(prefix, id_structs(F.col("_ids")))
-        .drop("_ids")
+        f"transform({matching}, bank -> named_struct('kind', {literal(kind)}, 'doi', pubmed.doi, "
+        "'ids', bank.AccessionNumberList, 'label', bank.DataBankName))"
     )
 
 
-def _bank_entries(names: str, kind: str) -> Column:
-    """One row's data-bank entries whose name matches, tagged with the kind."""
-    matching = F.filter(F.col(PUBMED_BANKS), lambda bank: bank.DataBankName.rlike(names))
-    tagged = F.transform(
-        matching,
-        lambda bank: F.struct(
-            F.lit(kind).alias("kind"),
-            F.col("pubmed.doi").alias("doi"),
-            bank.AccessionNumberList.alias("ids"),
-            bank.DataBankName.alias("label"),
-        ),
-    )
-    return F.coalesce(tagged, F.array().cast(_ENTRY_TYPE))
-
-
-def _field_entries() -> Column:
-    tagged = F.transform(
-        F.col("crossref.clinical_trial_number"),
-        lambda item: F.struct(
-            F.lit(CROSSREF).alias("kind"),
-            F.col("doi").alias("doi"),
-            F.array(F.upper(item.clinical_trial_number)).alias("ids"),
-            item.type.alias("label"),
-        ),
-    )
-    return F.coalesce(tagged, F.array().cast(_ENTRY_TYPE))
+_FIELD_ENTRIES = (
+    f"transform({FIELD}, number -> named_struct('kind', {literal(CROSSREF)}, 'doi', doi, "
+    "'ids', array(upper(number.clinical_trial_number)), 'label', number.type))"
+)
+_ENTRIES = {
+    REGISTRY: _bank_entries(REGISTRIES, REGISTRY),
+    DATABANK: _bank_entries(DATABANKS, DATABANK),
+    CROSSREF: _FIELD_ENTRIES,
+}
 
 
 def evidence_entries(works: DataFrame, kinds: Sequence[str], edition: Sequence[str] = ()) -> DataFrame:
@@ -97,44 +98,29 @@ def evidence_entries(works: DataFrame, kinds: Sequence[str], edition: Sequence[s
 
     Entries without a DOI are left out: they match no work.
     """
-    available = {
-        REGISTRY: lambda: _bank_entries(REGISTRIES, REGISTRY),
-        DATABANK: lambda: _bank_entries(DATABANKS, DATABANK),
-        CROSSREF: _field_entries,
-    }
-    entries = F.concat(*[available[kind]() for kind in kinds])
-    rows = works.select(*edition, F.explode(entries).alias("entry")).select(*edition, "entry.*")
-    return count_copies(rows.where(F.col("doi").isNotNull()), *edition, "kind", "doi", "ids", "label")
-
+    lists = ", ".join(f"coalesce({_ENTRIES[kind]}, array())" for kind in kinds)
+    rows = works.select(*edition, F.expr(f"explode(concat({lists}))").alias("entry")).select(*edition, "entry.*")
+    return count_copies(rows.where("doi IS NOT NULL"), *edition, "kind", "doi", "ids", "label")
 
-def _entry_list(kind: str) -> Column:
-    """Sorted, counted entries of one kind within a group."""
-    entry = F.struct("ids", "label", "n")
-    return null_if_empty(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, entry))))
 
-
-def _as_banks(counted: Column) -> Column:
-    return repeat_items(counted, lambda item: F.struct(item.ids.alias("id"), item.label.alias("registry")))
-
-
-def _as_field(counted: Column) -> Column:
-    return repeat_items(
-        counted, lambda item: F.struct(F.get(item.ids, F.lit(0)).alias("id"), item.label.alias("type"))
+def _entries_by_doi(works: DataFrame, kind: str, shown: str, name: str) -> DataFrame:
+    """One kind's entries per DOI as spelled, sorted, repeats kept."""
+    grouped = (
+        evidence_entries(works, [kind])
+        .groupBy("doi")
+        .agg(F.sort_array(F.collect_list(F.struct("ids", "label", "n"))).alias("entries"))
     )
+    return grouped.select("doi", F.expr(repeat_items("entries", shown)).alias(name))
 
 
 def registry_entries(works: DataFrame, cutoff: int) -> DataFrame:
     """Trial-registry entries per PubMed DOI."""
-    counted = evidence_entries(published_after(works, cutoff), [REGISTRY])
-    grouped = counted.groupBy("doi").agg(_entry_list(REGISTRY).alias("counted"))
-    return grouped.select("doi", _as_banks(F.col("counted")).alias("PUBMED_clintrial_fromfield"))
+    return _entries_by_doi(published_after(works, cutoff), REGISTRY, _AS_BANK, "PUBMED_clintrial_fromfield")
 
 
 def databank_entries(works: DataFrame, cutoff: int) -> DataFrame:
     """Open-data bank entries per PubMed DOI."""
-    counted = evidence_entries(published_after(works, cutoff), [DATABANK])
-    grouped = counted.groupBy("doi").agg(_entry_list(DATABANK).alias("counted"))
-    return grouped.select("doi", _as_banks(F.col("counted")).alias("PUBMED_opendata_fromfield"))
+    return _entries_by_doi(published_after(works, cutoff), DATABANK, _AS_BANK, "PUBMED_opendata_fromfield")
 
 
 def trial_ids_in_field(works: DataFrame) -> DataFrame:
@@ -143,33 +129,23 @@ def trial_ids_in_field(works: DataFrame) -> DataFrame:
     The flag looks at the work's own field; the upper-cased entries are those
     of every work with the DOI so spelled, matched without regard to case.
     """
-    counted = evidence_entries(works, [CROSSREF])
-    grouped = counted.groupBy("doi").agg(_entry_list(CROSSREF).alias("counted"))
-    entries = grouped.select(
-        key(F.col("doi")).alias("doi_key"), _as_field(F.col("counted")).alias("CROSSREF_clintrial_fromfield")
-    )
+    entries = _entries_by_doi(works, CROSSREF, _AS_FIELD, "CROSSREF_clintrial_fromfield")
     flagged = works.select(
-        "doi",
-        doi_key(works),
-        has_items(F.col("crossref.clinical_trial_number")).alias("CROSSREF_clintrial_fromfield_found"),
+        "doi", doi_key(works), F.expr(has_items(FIELD)).alias("CROSSREF_clintrial_fromfield_found")
+    )
+    return flagged.join(entries.select(doi_key(entries), "CROSSREF_clintrial_fromfield"), "doi_key", "left").drop(
+        "doi_key"
     )
-    return flagged.join(entries, "doi_key", "left").drop("doi_key")
 
 
 def trial_evidence(works: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """All grouped evidence, one row per join key.
-
-    Lists are grouped by the DOI as spelled, but works are matched without
-    regard to case, so each kind holds one counted list per spelling and a
-    work is repeated for each of them.
-    """
-    spelled = (
+    """Counted entries of all kinds, sorted, one row per join key."""
+    entry = F.struct("kind", "doi", "ids", "label", "n")
+    return (
         evidence_entries(works, [REGISTRY, DATABANK, CROSSREF], edition)
-        .groupBy(*edition, key(F.col("doi")).alias("doi_key"), "doi")
-        .agg(*[_entry_list(kind).alias(kind) for kind in (REGISTRY, DATABANK, CROSSREF)])
+        .groupBy(*edition, F.lower("doi").alias("doi_key"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
-    per_kind = [F.collect_list(kind).alias(kind) for kind in (REGISTRY, DATABANK, CROSSREF)]
-    return spelled.groupBy(*edition, "doi_key").agg(*per_kind)
 
 
 def text_evidence(works: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
@@ -181,51 +157,76 @@ def text_evidence(works: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
         F.col("crossref.published_year").alias("published_year"),
         F.col("crossref.abstract").alias("abstract_CROSSREF"),
         F.col(PUBMED_ABSTRACT).alias("abstract_PUBMED"),
-        has_items(F.col("crossref.clinical_trial_number")).alias("CROSSREF_clintrial_fromfield_found"),
+        F.expr(has_items(FIELD)).alias("CROSSREF_clintrial_fromfield_found"),
+    )
+    return trial_ids_in_text(
+        base,
+        {
+            "CROSSREF_clintrial_fromabstract": "abstract_CROSSREF",
+            "PUBMED_clintrial_fromabstract": "abstract_PUBMED",
+        },
     )
-    base = trial_ids_in_text(base, F.col("abstract_CROSSREF"), "CROSSREF_clintrial_fromabstract")
-    return trial_ids_in_text(base, F.col("abstract_PUBMED"), "PUBMED_clintrial_fromabstract")
+
+
+def _by_spelling(kind: str) -> str:
+    """One kind's entries as a list per spelling of the DOI.
+
+    Lists belong to a DOI as spelled but are matched without regard to case,
+    so a work is repeated for every spelling that has a list of the kind.
+    """
+    own = f"filter(entries, item -> item.kind = {literal(kind)})"
+    spellings = f"array_distinct(transform({own}, item -> item.doi))"
+    return f"transform({spellings}, spelling -> filter({own}, item -> item.doi = spelling))"
 
 
 def attach_evidence(works: DataFrame, evidence: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """Join the grouped evidence to the works; one row per spelling of each list."""
+    """Join the grouped evidence to the works and write out its entries."""
     joined = works.join(evidence, [*edition, "doi_key"], "left")
     for kind in (REGISTRY, DATABANK, CROSSREF):
-        joined = joined.withColumn(kind, F.explode_outer(kind))
+        joined = joined.withColumn(kind, F.expr(f"explode_outer({_by_spelling(kind)})"))
     return joined.select(
         *works.columns,
-        _as_banks(F.col(REGISTRY)).alias("PUBMED_clintrial_fromfield"),
+        F.expr(repeat_items(REGISTRY, _AS_BANK)).alias("PUBMED_clintrial_fromfield"),
         F.col(REGISTRY).isNotNull().alias("PUBMED_clintrial_fromfield_found"),
-        _as_banks(F.col(DATABANK)).alias("PUBMED_opendata_fromfield"),
+        F.expr(repeat_items(DATABANK, _AS_BANK)).alias("PUBMED_opendata_fromfield"),
         F.col(DATABANK).isNotNull().alias("PUBMED_opendata_fromfield_found"),
-        _as_field(F.col(CROSSREF)).alias("CROSSREF_clintrial_fromfield"),
+        F.expr(repeat_items(CROSSREF, _AS_FIELD)).alias("CROSSREF_clintrial_fromfield"),
     )
 
 
-def _flat_ids(entries: Column) -> Column:
+def _flat_ids(entries: str) -> str:
     """Trimmed ids of entries that each hold one id."""
-    return F.transform(entries, lambda entry: trim_ws(entry.id))
+    return f"transform({entries}, entry -> {trim_ws('entry.id')})"
 
 
-def _nested_ids(entries: Column) -> Column:
+def _nested_ids(entries: str) -> str:
     """Trimmed ids of entries that each hold a list of ids, which may be NULL."""
-    lists = F.transform(entries, lambda entry: F.coalesce(entry.id, F.array().cast("array<string>")))
-    return F.transform(F.flatten(lists), trim_ws)
+    lists = f"transform({entries}, entry -> coalesce(entry.id, array()))"
+    return f"transform(flatten({lists}), one -> {trim_ws('one')})"
 
 
-def _list_or_blank(entries: Column, ids: Column) -> Column:
+def _list_or_blank(entries: str, ids: str) -> str:
     """'' without entries; NULL when there are entries but no id among them."""
-    return F.when(entries.isNull(), F.lit("")).otherwise(trim_ws(string_agg(ids)))
+    return f"if({entries} IS NULL, '', {trim_ws(string_agg(ids))})"
 
 
 def id_list_strings(df: DataFrame) -> DataFrame:
     """Add the space-separated id list of each source."""
     flat = ("CROSSREF_clintrial_fromabstract", "CROSSREF_clintrial_fromfield", "PUBMED_clintrial_fromabstract")
-    lists = {f"{name}_idlist": _list_or_blank(F.col(name), _flat_ids(F.col(name))) for name in flat}
-    registry = F.col("PUBMED_clintrial_fromfield")
-    lists["PUBMED_clintrial_fromfield_idlist"] = _list_or_blank(registry, _nested_ids(registry))
-    lists["PUBMED_opendata_fromfield_idlist"] = string_agg(_nested_ids(F.col("PUBMED_opendata_fromfield")))
-    return df.withColumns(lists)
+    lists = {f"{name}_idlist": _list_or_blank(name, _flat_ids(name)) for name in flat}
+    registry, databank = "PUBMED_clintrial_fromfield", "PUBMED_opendata_fromfield"
+    lists[f"{registry}_idlist"] = _list_or_blank(registry, _nested_ids(registry))
+    lists[f"{databank}_idlist"] = string_agg(_nested_ids(databank))
+    return df.withColumns({name: F.expr(text) for name, text in lists.items()})
+
+
+# Sources of trial ids, in the order of the combined list.
+TRIAL_SOURCES = (
+    "CROSSREF_clintrial_fromabstract",
+    "CROSSREF_clintrial_fromfield",
+    "PUBMED_clintrial_fromabstract",
+    "PUBMED_clintrial_fromfield",
+)
 
 
 def any_source_trials(df: DataFrame) -> DataFrame:
@@ -235,41 +236,22 @@ def any_source_trials(df: DataFrame) -> DataFrame:
     between can leave an empty part in the list. A NULL list of one source
     makes the combined list empty.
     """
-    sources = (
-        "CROSSREF_clintrial_fromabstract",
-        "CROSSREF_clintrial_fromfield",
-        "PUBMED_clintrial_fromabstract",
-        "PUBMED_clintrial_fromfield",
-    )
-    first, second, third, fourth = sources
-    found = (
-        F.col(f"{second}_found") | F.col(f"{first}_found") | F.col(f"{fourth}_found") | F.col(f"{third}_found")
-    )
-    space = F.lit(" ")
-    combined = F.concat(
-        F.col(f"{first}_idlist"), space,
-        F.col(f"{second}_idlist"), space,
-        F.col(f"{third}_idlist"), space,
-        F.col(f"{fourth}_idlist"),
-    )
-    squeezed = trim_ws(F.replace(combined, F.lit("  "), space))
+    found = " OR ".join(f"{source}_found" for source in TRIAL_SOURCES)
+    combined = "concat(" + ", ' ', ".join(f"{source}_idlist" for source in TRIAL_SOURCES) + ")"
+    squeezed = trim_ws(f"replace({combined}, '  ', ' ')")
     return df.withColumns(
         {
-            "ANYSOURCE_clintrial_found": F.coalesce(found, F.lit(False)),
-            "ANYSOURCE_clintrial_idlist": dedupe_string(squeezed),
+            "ANYSOURCE_clintrial_found": F.expr(f"coalesce({found}, FALSE)"),
+            "ANYSOURCE_clintrial_idlist": F.expr(dedupe_string(squeezed)),
         }
     )
 
 
 def flatten_trial_pairs(alltrials: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
     """(DOI, trial id) pairs of the works with a trial id from any source."""
-    ids = split_on(trim_ws(F.col("ANYSOURCE_clintrial_idlist")), " ")
+    ids = split_on(trim_ws("ANYSOURCE_clintrial_idlist"), " ")
     return (
         alltrials.where("ANYSOURCE_clintrial_found")
-        .select(*edition, key(F.col("doi")).alias("ANYSOURCE_doi"), F.explode(ids).alias("one"))
-        .select(
-            *edition,
-            "ANYSOURCE_doi",
-            F.upper(trim_ws(F.col("one"))).alias("ANYSOURCE_clintrial_id_flat"),
-        )
+        .select(*edition, F.lower("doi").alias("ANYSOURCE_doi"), F.expr(f"explode({ids})").alias("one"))
+        .select(*edition, "ANYSOURCE_doi", F.expr(f"upper({trim_ws('one')})").alias("ANYSOURCE_clintrial_id_flat"))
     )

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
 from scholaudit.functions.copies import expand_copies
-from scholaudit.functions.text import key
 from scholaudit.operators.publications import (
     access_facts,
-    add_work_labels,
+    add_labels,
     attach_oddpub,
     extract_facts,
-    open_data_code_labels,
     work_facts,
 )
 
@@ -81,7 +79,7 @@ def audit_publications(
     tables is shuffled. Works join it inner, so a DOI with very many rows can
     be split on either side; listed DOIs without a work are added after.
     """
-    listed = dois.select(*scope, *edition, "doi").distinct().withColumn("doi_key", key(F.col("doi")))
+    listed = dois.select(*scope, *edition, "doi").distinct().withColumn("doi_key", F.lower("doi"))
     keys = listed.select("doi_key").where(F.col("doi_key").isNotNull()).distinct()
 
     facts = work_facts(works)
@@ -97,8 +95,7 @@ def audit_publications(
     complete = joined.unionByName(missing, allowMissingColumns=True)
     checked = attach_oddpub(complete, oddpub, scope)
     copies = F.coalesce(F.col("n_access"), F.lit(1)) * F.coalesce(F.col("n_oddpub"), F.lit(1))
-    labelled = open_data_code_labels(add_work_labels(expand_copies(checked, copies)))
-    return labelled.withColumn("doi", F.lower("doi"))
+    return add_labels(expand_copies(checked, copies)).withColumn("doi", F.lower("doi"))
 
 
 def pubs(

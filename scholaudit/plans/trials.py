@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
-from scholaudit.functions.labels import either
+from scholaudit.functions.sql import either
 from scholaudit.operators.trial_ids import flatten_trial_pairs
 from scholaudit.operators.trial_links import attach_links, clean_trials, trials_in_publications
 
@@ -24,10 +24,12 @@ def link_trials(
     cleaned = clean_trials(trials_raw, scope)
     pairs = flatten_trial_pairs(alltrials, edition)
     links = trials_in_publications(pairs, dois, cleaned, scope, edition)
-    found = F.col("PUBSDATA_doi").isNotNull()
     tail = "Trial-IDs from the institution's trial dataset found in a publication from the institution"
     return attach_links(cleaned, links, scope).withColumns(
-        {"PUBSDATA_doi_found": found, "PUBSDATA_doi_found_PRETTY": either(found, tail, f"No {tail}")}
+        {
+            "PUBSDATA_doi_found": F.col("PUBSDATA_doi").isNotNull(),
+            "PUBSDATA_doi_found_PRETTY": F.expr(either("PUBSDATA_doi IS NOT NULL", tail, f"No {tail}")),
+        }
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaudit.config import Institution, Run
-from scholaudit.functions.text import key
 
 WORKS_DATABASE = "observatory"
 ACCESS_TABLE = "unpaywall.unpaywall"
@@ -77,7 +76,7 @@ def write_bucketed_by_doi(df: DataFrame, name: str, buckets: int) -> None:
     number of buckets should give files of a few hundred MB.
     """
     (
-        df.withColumn("doi_key", key(F.col("doi")))
+        df.withColumn("doi_key", F.lower("doi"))
         .repartition(buckets, "doi_key")
         .write.mode("overwrite")
         .bucketBy(buckets, "doi_key")
