@@ -1,0 +1,162 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+
+from scholaudit.functions import casts
+from scholaudit.functions.arrays import any_item, first_green_date, has_items, repeat_items
+from scholaudit.functions.copies import CHUNK, count_copies, expand_copies
+from scholaudit.functions.dates import first_of_month, month_boundary_diff
+from scholaudit.functions.sql import case, either, literal, lookup
+from scholaudit.functions.text import dedupe_string, split_on, string_agg, trim_ws
+from pyspark.sql import functions as F
+
+
+def value(spark, expression):
+    return spark.sql(f"SELECT {expression} AS v").first().v
+
+
+def values(spark, rows, ddl, expression):
+    df = spark.createDataFrame(rows, ddl)
+    return [row.v for row in df.select(F.expr(expression).alias("v")).collect()]
+
+
+def test_trim_ws_strips_every_white_space(spark):
+    texts = [(" a\tb\n",), ("  x　\r",), ("",), (None,)]
+    assert values(spark, texts, "t string", trim_ws("t")) == ["a\tb", "x", "", None]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [("A B A", "A B"), ("A  B", "A  B"), ("A   B", "A  B"), ("", ""), (None, ""), ("a A a", "a A")],
+)
+def test_dedupe_string(spark, text, expected):
+    assert values(spark, [(text,)], "t string", dedupe_string("t")) == [expected]
+
+
+def test_dedupe_string_takes_separators_literally(spark):
+    assert values(spark, [("a.b.a",)], "t string", dedupe_string("t", ".")) == ["a.b"]
+    assert values(spark, [("a||b||a",)], "t string", dedupe_string("t", "||")) == ["a||b"]
+    with pytest.raises(ValueError):
+        split_on("t", "")
+
+
+@pytest.mark.parametrize(
+    ("items", "expected"),
+    [(["a", "b"], "a b"), (["a", None, "b"], "a b"), ([None], None), ([], None), (None, None), ([""], "")],
+)
+def test_string_agg(spark, items, expected):
+    assert values(spark, [(items,)], "a array<string>", string_agg("a")) == [expected]
+
+
+@pytest.mark.parametrize(
+    ("items", "expected"), [([("x",)], True), ([(None,)], False), ([(None,), ("x",)], True), ([], False), (None, False)]
+)
+def test_any_item(spark, items, expected):
+    assert values(spark, [(items,)], "a array<struct<f:string>>", any_item("a", "f")) == [expected]
+
+
+def test_has_items(spark):
+    rows = [(["x"],), ([None],), ([],), (None,)]
+    assert values(spark, rows, "a array<string>", has_items("a")) == [True, True, False, False]
+
+
+def test_first_green_date_is_null_when_a_copy_is_undated(spark):
+    early, late = datetime.date(2020, 1, 31), datetime.date(2021, 5, 1)
+    rows = [
+        ([("repository", late), ("repository", early)],),
+        ([("repository", early), ("repository", None)],),
+        ([("publisher", early), ("repository", late)],),
+        ([("publisher", early)],),
+        ([],),
+        (None,),
+    ]
+    found = values(spark, rows, "a array<struct<host_type:string,oa_date:date>>", first_green_date("a"))
+    assert found == [early, None, late, None, None, None]
+
+
+@pytest.mark.parametrize(
+    ("later", "earlier", "expected"),
+    [
+        ("2020-02-01", "2020-01-31", 1),
+        ("2020-01-31", "2020-02-01", -1),
+        ("2020-01-31", "2020-01-01", 0),
+        ("2021-01-01", "2019-12-31", 13),
+    ],
+)
+def test_month_boundary_diff(spark, later, earlier, expected):
+    assert value(spark, month_boundary_diff(f"date'{later}'", f"date'{earlier}'")) == expected
+
+
+def test_first_of_month(spark):
+    ddl = "y bigint, m bigint"
+    rows = [(2020, 12), (2020, 13), (2020, None), (None, 5)]
+    assert values(spark, rows, ddl, first_of_month("y", "m")) == [datetime.date(2020, 12, 1), None, None, None]
+    with pytest.raises(PySparkException):
+        values(spark, [(2020, 0)], ddl, first_of_month("y", "m"))
+
+
+def test_na_casts(spark):
+    rows = [("NA",), (None,)]
+    for cast in (casts.cast_string, casts.cast_date, casts.cast_int, casts.cast_boolean, casts.cast_datetime):
+        assert values(spark, rows, "t string", cast("t")) == [None, None]
+    assert value(spark, casts.cast_string("'na'")) == "na"
+    assert value(spark, casts.cast_date("'2020-2-3'")) == datetime.date(2020, 2, 3)
+    assert value(spark, casts.cast_int("'9999999999'")) == 9999999999
+    assert value(spark, casts.cast_boolean("'True'")) is True
+    assert value(spark, casts.cast_boolean("false")) is False
+    assert value(spark, casts.cast_datetime("'2020-01-02 23:59:59'")) == datetime.date(2020, 1, 2)
+    assert value(spark, casts.cast_datetime("'2020-01-02 23:00:00-05:00'")) == datetime.date(2020, 1, 3)
+
+
+@pytest.mark.parametrize(
+    ("cast", "text"),
+    [
+        (casts.cast_date, "2020"),
+        (casts.cast_date, "yesterday"),
+        (casts.cast_boolean, "yes"),
+        (casts.cast_boolean, "1"),
+        (casts.cast_int, "1.5"),
+        (casts.cast_datetime, "12:00"),
+        (casts.cast_date, "2020-02-30"),
+    ],
+)
+def test_na_casts_refuse_dirty_text(spark, cast, text):
+    with pytest.raises(PySparkException):
+        values(spark, [(text,)], "t string", cast("t"))
+
+
+def test_sql_text(spark):
+    awkward = "it's a \\ \"quote\""
+    assert value(spark, literal(awkward)) == awkward
+    assert value(spark, literal(None)) is None
+    assert value(spark, case([("boolean(NULL)", "a"), ("1 > 0", "b")], "c")) == "b"
+    assert value(spark, lookup("'x'", [("y", 1), ("x", 2)], 9)) == 2
+    assert value(spark, lookup("string(NULL)", [("y", 1)], 9)) == 9
+    assert value(spark, either("boolean(NULL)", "yes", "no")) == "no"
+
+
+def test_copies_are_counted_and_written_out(spark):
+    rows = [("a", 1)] * 3 + [("b", None)] * 2 + [("b", 2)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    counted = count_copies(df, "k", "v")
+    assert counted.count() == 3
+    again = expand_copies(counted, F.col("n")).select("k", "v")
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_copies_beyond_one_chunk(spark):
+    many = 2 * CHUNK + 7
+    df = spark.createDataFrame([("a", many), ("b", None), ("c", CHUNK), ("d", 1)], "k string, n bigint")
+    found = {row.k: row["count"] for row in expand_copies(df, F.col("n")).groupBy("k").count().collect()}
+    assert found == {"a": many, "b": 1, "c": CHUNK, "d": 1}
+
+
+def test_repeat_items(spark):
+    rows = [([("a", 2), ("b", 1)],), (None,)]
+    assert values(spark, rows, "a array<struct<v:string,n:bigint>>", repeat_items("a", "item.v")) == [
+        ["a", "a", "b"],
+        None,
+    ]
