@@ -22,7 +22,7 @@ from scholaudit.operators import publications, trial_ids, trial_links
 from scholaudit.operators.audit import audit_tables, utility_years
 from scholaudit.operators.extract import pubmed_extract
 from scholaudit.operators.researchers import researcher_orcid
-from scholaudit.plans.alltrials import alltrials, alltrials_by_cutoff, combine
+from scholaudit.plans.alltrials import alltrials, alltrials_by_cutoff
 from scholaudit.plans.many import all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
 from scholaudit.plans.trials import trials
@@ -77,10 +77,6 @@ def _shown(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{text} AS {name}" for name, text in shown.items()])
 
 
-def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine(trial_ids.published_after(tables.works(spark, sf_dir), CUTOFF))
-
-
 def _alltrials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alltrials(tables.works(spark, sf_dir), CUTOFF, PROVENANCE)
 
@@ -114,13 +110,13 @@ def _q_databank_entries(spark, sf_dir):
 
 
 def _q_id_list_strings(spark, sf_dir):
-    found = _combined(spark, sf_dir)
+    found = _alltrials(spark, sf_dir)
     return _shown(found.select("doi", *[c for c in found.columns if c.endswith("_idlist") and "ANYSOURCE" not in c]))
 
 
 def _q_any_source_trials(spark, sf_dir):
     return _shown(
-        _combined(spark, sf_dir).select("doi", "ANYSOURCE_clintrial_found", "ANYSOURCE_clintrial_idlist")
+        _alltrials(spark, sf_dir).select("doi", "ANYSOURCE_clintrial_found", "ANYSOURCE_clintrial_idlist")
     )
 
 

@@ -36,5 +36,4 @@ def dedupe_string(text: str, separator: str = " ") -> str:
 
 def string_agg(items: str, separator: str = " ") -> str:
     """Join the non-null items of one row's array; NULL when there are none."""
-    present = f"filter({items}, item -> item IS NOT NULL)"
-    return f"array_join(nullif({present}, array()), {literal(separator)})"
+    return f"if(exists({items}, item -> item IS NOT NULL), array_join({items}, {literal(separator)}), NULL)"

@@ -148,10 +148,9 @@ def trial_evidence(works: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def text_evidence(works: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
+def text_evidence(works: DataFrame) -> DataFrame:
     """The row-local part of ``alltrials``: abstracts and the ids found in them."""
     base = works.select(
-        *edition,
         "doi",
         doi_key(works),
         F.col("crossref.published_year").alias("published_year"),

@@ -182,10 +182,10 @@ def trials_matching_publication(pubs: DataFrame, trials: DataFrame, owner: str =
     """Publications with the institution's trials that they report (earlier form)."""
     name = "TRIALSDATA_matching_doi_CONCAT"
     dois = split_on(trim_ws("PUBSDATA_doi"), " ")
-    flat = trials.where("PUBSDATA_doi_found").select(
-        "nct_id", F.expr(f"explode({dois})").alias("PUBSDATA_doi_flat")
-    )
-    counted = count_copies(flat, "PUBSDATA_doi_flat", "nct_id")
+    # Equal rows carry equal lists, so they are counted before the lists are split.
+    rows = count_copies(trials.where("PUBSDATA_doi_found"), "nct_id", "PUBSDATA_doi", n="n_rows")
+    flat = rows.select("nct_id", "n_rows", F.expr(f"explode({dois})").alias("PUBSDATA_doi_flat"))
+    counted = flat.groupBy("PUBSDATA_doi_flat", "nct_id").agg(F.sum("n_rows").alias("n"))
     listed = _joined_list(counted, ["PUBSDATA_doi_flat"], "nct_id", name)
     matched = listed.select(F.lower("PUBSDATA_doi_flat").alias("work_key"), name, F.lit(True).alias("_hit"))
     joined = pubs.withColumn("work_key", F.lower("doi_academicobservatory")).join(matched, "work_key", "left")

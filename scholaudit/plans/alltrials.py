@@ -39,33 +39,34 @@ COLUMNS = (
 CUTOFF = "year_cutoff"
 
 
-def with_cutoffs(works: DataFrame, cutoffs: Iterable[int]) -> DataFrame:
-    """Works once per cutoff that they pass.
+def with_cutoffs(df: DataFrame, cutoffs: Iterable[int], year: str = "crossref.published_year") -> DataFrame:
+    """Rows once per cutoff that their year passes.
 
     Lists are grouped after the cutoff, so a build at the lowest cutoff could
     not be filtered down to a higher one.
     """
-    known = F.array(*[F.lit(int(cutoff)) for cutoff in sorted(set(cutoffs))])
-    passed = F.filter(known, lambda cutoff: F.col("crossref.published_year") > cutoff)
-    return works.withColumn(CUTOFF, F.explode(passed))
+    known = ", ".join(f"{int(cutoff)}L" for cutoff in sorted(set(cutoffs)))
+    passed = f"explode(filter(array({known}), cutoff -> {year} > cutoff))"
+    return df.withColumn(CUTOFF, F.expr(passed))
 
 
-def combine(works: DataFrame, evidence: DataFrame | None = None, edition: tuple[str, ...] = ()) -> DataFrame:
-    """All columns but provenance, for works already limited by year.
+def combine(searched: DataFrame, evidence: DataFrame, edition: tuple[str, ...] = ()) -> DataFrame:
+    """All columns but provenance, from works whose texts have been searched."""
+    joined = attach_evidence(searched, evidence, edition)
+    return any_source_trials(id_list_strings(joined)).select(*edition, *COLUMNS)
+
+
+def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: DataFrame | None = None) -> DataFrame:
+    """One institution's table.
 
     ``evidence`` may be passed in from a written table: its size is then known
     before the join, and when it fits the broadcast threshold the wide works
     table is not shuffled at all.
     """
+    recent = published_after(works, cutoff)
     if evidence is None:
-        evidence = trial_evidence(works, edition)
-    joined = attach_evidence(text_evidence(works, edition), evidence, edition)
-    return any_source_trials(id_list_strings(joined)).select(*edition, *COLUMNS)
-
-
-def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: DataFrame | None = None) -> DataFrame:
-    """One institution's table."""
-    return combine(published_after(works, cutoff), evidence).select(
+        evidence = trial_evidence(recent)
+    return combine(text_evidence(recent), evidence).select(
         "*",
         F.lit(provenance.works_table).alias("var_AcademicObservatory_doi"),
         F.lit(cutoff).cast("bigint").alias("var_SQL_year_cutoff"),
@@ -74,6 +75,17 @@ def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: D
     )
 
 
+def evidence_by_cutoff(works: DataFrame, cutoffs: Iterable[int]) -> DataFrame:
+    return trial_evidence(with_cutoffs(works, cutoffs), (CUTOFF,))
+
+
 def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], evidence: DataFrame | None = None) -> DataFrame:
-    """One table for all institutions, with a row set per distinct cutoff."""
-    return combine(with_cutoffs(works, cutoffs), evidence, (CUTOFF,))
+    """One table for all institutions, with a row set per distinct cutoff.
+
+    Texts are searched once, before the rows are repeated for the cutoffs.
+    """
+    years = sorted(set(cutoffs))
+    if evidence is None:
+        evidence = evidence_by_cutoff(works, years)
+    searched = text_evidence(published_after(works, years[0]))
+    return combine(with_cutoffs(searched, years, "published_year"), evidence, (CUTOFF,))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scholaudit.config import Institution, Provenance, Run
 from scholaudit.operators.audit import utility_years
 from scholaudit.operators.trial_ids import published_after, trial_evidence
-from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, with_cutoffs
+from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, evidence_by_cutoff
 from scholaudit.plans.many import INSTITUTION, all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
 from scholaudit.plans.trials import trials
@@ -108,7 +108,7 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     works = read_works(spark, run)
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
     evidence = stage(
-        trial_evidence(with_cutoffs(works, cutoffs.values()), (CUTOFF,)), f"evidence_{database}_{run.run_version}"
+        evidence_by_cutoff(works, cutoffs.values()), f"evidence_{database}_{run.run_version}"
     )
     _write_partitioned(alltrials_by_cutoff(works, cutoffs.values(), evidence), names["alltrials"], CUTOFF)
     found = spark.table(names["alltrials"])

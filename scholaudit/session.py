@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Upper size, by file statistics, of a table that is sent to every executor.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
 

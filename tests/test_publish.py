@@ -118,17 +118,19 @@ def test_staging_uses_the_named_folder(spark):
 def test_bucketed_works_are_joined_without_moving_them(spark, run):
     from pyspark.sql import functions as F
 
-    from scholaudit.plans.alltrials import combine
+    from scholaudit.config import Provenance
+    from scholaudit.plans.alltrials import alltrials
 
     write_bucketed_by_doi(spark.table(f"observatory.{run.works_table}"), "observatory.works_bucketed", 4)
     works = spark.table("observatory.works_bucketed")
+    provenance = Provenance("v1", "doi1", "dois_1", "oddpub_1", "trials_1", "inst")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = combine(works)
+        joined = alltrials(works, 1, provenance)
         plan = joined._jdf.queryExecution().executedPlan().toString()
         left = plan.split("SortMergeJoin")[1].split("ObjectHashAggregate")[0]
         assert "Exchange" not in left.split("Sort [")[1]
-        same = combine(spark.table(f"observatory.{run.works_table}"))
+        same = alltrials(spark.table(f"observatory.{run.works_table}"), 1, provenance)
         assert joined.exceptAll(same).count() == 0
         assert joined.agg(F.count("*")).first()[0] == same.count()
     finally:

@@ -4,9 +4,15 @@ from builders import plain, work, works
 
 from scholaudit.config import Provenance
 from scholaudit.operators import trial_ids
-from scholaudit.plans.alltrials import COLUMNS, alltrials, alltrials_by_cutoff, combine
+from scholaudit.plans.alltrials import COLUMNS, alltrials, alltrials_by_cutoff
 
 PROVENANCE = Provenance("v1", "doi1", "dois_1", "oddpub_1", "trials_1", "inst")
+
+
+def combine(df):
+    return alltrials(df, 1, PROVENANCE)
+
+
 ID1, ID2, ID3 = "NCT00000001", "NCT00000002", "NCT00000003"
 
 
@@ -174,8 +180,9 @@ def test_one_pass_over_cutoffs_equals_single_runs(spark):
     )
     together = alltrials_by_cutoff(df, [2000, 2010, 2000])
     for cutoff in (2000, 2010):
-        single = plain(combine(trial_ids.published_after(df, cutoff)).collect())
-        assert plain(together.where(f"year_cutoff = {cutoff}").drop("year_cutoff").collect()) == single
+        single = alltrials(df, cutoff, PROVENANCE).select(*COLUMNS)
+        own = together.where(f"year_cutoff = {cutoff}").drop("year_cutoff")
+        assert plain(own.collect()) == plain(single.collect())
     assert together.where("year_cutoff = 2010 and doi = 'a'").first().PUBMED_clintrial_fromfield_idlist == "I2"
 
 
