@@ -248,14 +248,9 @@ def add_labels(df: DataFrame) -> DataFrame:
     return embargo_months(df).withColumns(_as_columns(every))
 
 
-def attach_oddpub(pubs: DataFrame, oddpub: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Left join on ``doi_key`` with the number of repeats in ``n_oddpub``."""
-    return pubs.join(oddpub_facts(oddpub, scope), [*scope, "doi_key"], "left")
-
-
 def open_data_code(pubs: DataFrame, oddpub: DataFrame) -> DataFrame:
     """Publications (with a ``doi``) and the result of the open data and code check."""
-    joined = attach_oddpub(pubs.withColumn("doi_key", F.lower("doi")), oddpub)
+    joined = pubs.withColumn("doi_key", F.lower("doi")).join(oddpub_facts(oddpub), "doi_key", "left")
     labelled = expand_copies(joined, F.col("n_oddpub")).withColumns(_as_columns(OPEN_DATA_CODE))
     return labelled.drop("doi_key", "n_oddpub", "is_open_data", "is_open_code")
 

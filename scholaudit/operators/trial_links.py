@@ -13,6 +13,7 @@ from scholaudit.functions.copies import count_copies
 from scholaudit.functions.labels import RESULTS_REPORTING
 from scholaudit.functions.sql import case, either, lookup
 from scholaudit.functions.text import split_on, trim_ws
+from scholaudit.sources.staging import Keep, lazily
 
 # Column groups, as output name to SQL expression over the raw columns.
 
@@ -131,6 +132,7 @@ def trials_in_publications(
     trials: DataFrame,
     scope: Sequence[str] = (),
     edition: Sequence[str] = (),
+    keep: Keep = lazily,
 ) -> DataFrame:
     """DOIs of the institution's publications per trial of the institution.
 
@@ -138,17 +140,18 @@ def trials_in_publications(
     the list; both sides are counted first and multiplied after the joins.
     """
     wanted = dois.where(F.col("doi").isNotNull()).withColumn("doi_key", F.lower("doi"))
-    doi_counts = count_copies(wanted, *scope, *edition, "doi_key", n="n_dois")
+    doi_counts = keep(count_copies(wanted, *scope, *edition, "doi_key", n="n_dois"), "doi_counts")
+    trial_counts = keep(_trial_counts(trials, scope), "trial_counts")
     found = pairs.withColumns(
         {"doi_key": F.col("ANYSOURCE_doi"), "trial_key": F.lower("ANYSOURCE_clintrial_id_flat")}
     )
     linked = (
         found.join(doi_counts, [*edition, "doi_key"], "inner")
-        .join(_trial_counts(trials, scope), [*scope, "trial_key"], "inner")
+        .join(trial_counts, [*scope, "trial_key"], "inner")
         .groupBy(*scope, "nct_id", F.expr(trim_ws("doi_key")).alias("PUBSDATA_doi"))
         .agg(F.sum(F.col("n_dois") * F.col("n_trials")).alias("n"))
     )
-    return _joined_list(linked, [*scope, "nct_id"], "PUBSDATA_doi", "PUBSDATA_doi")
+    return keep(_joined_list(linked, [*scope, "nct_id"], "PUBSDATA_doi", "PUBSDATA_doi"), "links")
 
 
 def attach_links(trials: DataFrame, links: DataFrame, scope: Sequence[str] = ()) -> DataFrame:

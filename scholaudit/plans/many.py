@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scholaudit.plans.alltrials import CUTOFF
 from scholaudit.plans.pubs import COLUMNS, audit_publications
 from scholaudit.plans.trials import link_trials
+from scholaudit.sources.staging import Keep, lazily
 
 INSTITUTION = "institution_id"
 
@@ -29,10 +30,14 @@ def with_cutoff(lists: DataFrame, cutoffs: Mapping[str, int]) -> DataFrame:
 
 
 def all_trials_linked(
-    trials_raw: DataFrame, alltrials: DataFrame, dois: DataFrame, cutoffs: Mapping[str, int]
+    trials_raw: DataFrame,
+    alltrials: DataFrame,
+    dois: DataFrame,
+    cutoffs: Mapping[str, int],
+    keep: Keep = lazily,
 ) -> DataFrame:
     """``trials`` of every institution. ``alltrials`` carries the cutoff column."""
-    return link_trials(trials_raw, alltrials, with_cutoff(dois, cutoffs), (INSTITUTION,), (CUTOFF,))
+    return link_trials(trials_raw, alltrials, with_cutoff(dois, cutoffs), (INSTITUTION,), (CUTOFF,), keep)
 
 
 def all_publications_audited(
@@ -42,9 +47,10 @@ def all_publications_audited(
     alltrials: DataFrame,
     oddpub: DataFrame,
     cutoffs: Mapping[str, int],
+    keep: Keep = lazily,
 ) -> DataFrame:
     """``pubs`` of every institution. ``alltrials`` carries the cutoff column."""
     audited = audit_publications(
-        with_cutoff(dois, cutoffs), works, unpaywall, alltrials, oddpub, (INSTITUTION,), (CUTOFF,)
+        with_cutoff(dois, cutoffs), works, unpaywall, alltrials, oddpub, (INSTITUTION,), (CUTOFF,), keep=keep
     )
     return audited.select(INSTITUTION, *[F.col(name) for name in COLUMNS])

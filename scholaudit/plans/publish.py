@@ -14,7 +14,7 @@ from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, e
 from scholaudit.plans.many import INSTITUTION, all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
 from scholaudit.plans.trials import trials
-from scholaudit.sources.staging import stage
+from scholaudit.sources.staging import stager
 from scholaudit.sources.tables import (
     ACCESS_TABLE,
     WORKS_DATABASE,
@@ -45,18 +45,16 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     works, dois = read_works(spark, run), read_input(spark, institution, institution.dois_table)
     names = dict(zip(("alltrials", "trials", "pubs"), output_names(run, institution), strict=True))
 
-    evidence = stage(
-        trial_evidence(published_after(works, institution.year_cutoff)),
-        f"evidence_{institution.institution_id}_{run.run_version}",
-    )
+    keep = stager(f"{institution.institution_id}_{run.run_version}")
+    evidence = keep(trial_evidence(published_after(works, institution.year_cutoff)), "evidence")
     create_or_replace(alltrials(works, institution.year_cutoff, provenance, evidence), names["alltrials"])
     found = spark.table(names["alltrials"])
 
     listed = read_input(spark, institution, institution.trials_table)
-    create_or_replace(trials(listed, found, dois, provenance), names["trials"])
+    create_or_replace(trials(listed, found, dois, provenance, keep), names["trials"])
 
     oddpub = read_input(spark, institution, institution.oddpub_table)
-    create_or_replace(pubs(dois, works, read_access(spark), found, oddpub, provenance), names["pubs"])
+    create_or_replace(pubs(dois, works, read_access(spark), found, oddpub, provenance, keep), names["pubs"])
 
     require_tables(spark, names.values())
     for kind in LATEST:
@@ -107,20 +105,19 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
 
     works = read_works(spark, run)
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
-    evidence = stage(
-        evidence_by_cutoff(works, cutoffs.values()), f"evidence_{database}_{run.run_version}"
-    )
+    keep = stager(f"{database}_{run.run_version}")
+    evidence = keep(evidence_by_cutoff(works, cutoffs.values()), "evidence")
     _write_partitioned(alltrials_by_cutoff(works, cutoffs.values(), evidence), names["alltrials"], CUTOFF)
     found = spark.table(names["alltrials"])
 
     dois = _together(spark, run, lambda one: one.dois_table)
-    linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs)
+    linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs, keep)
     trial_names = _provenance(spark, run, "trials", "dois")
     version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
     _write_partitioned(linked.join(trial_names, INSTITUTION).select("*", version), names["trials"], INSTITUTION)
 
     oddpub = _together(spark, run, lambda one: one.oddpub_table)
-    audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs)
+    audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs, keep)
     pub_names = _provenance(spark, run, "dois", "oddpub")
     _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version), names["pubs"], INSTITUTION)
 

@@ -12,10 +12,11 @@ from scholaudit.functions.copies import expand_copies
 from scholaudit.operators.publications import (
     access_facts,
     add_labels,
-    attach_oddpub,
     extract_facts,
+    oddpub_facts,
     work_facts,
 )
+from scholaudit.sources.staging import Keep, lazily
 
 # Output columns in order.
 COLUMNS = (
@@ -71,6 +72,7 @@ def audit_publications(
     scope: Sequence[str] = (),
     edition: Sequence[str] = (),
     extra: Sequence[str] = (),
+    keep: Keep = lazily,
 ) -> DataFrame:
     """Distinct listed DOIs with everything known about them, and ``doi_key``.
 
@@ -80,7 +82,8 @@ def audit_publications(
     be split on either side; listed DOIs without a work are added after.
     """
     listed = dois.select(*scope, *edition, "doi").distinct().withColumn("doi_key", F.lower("doi"))
-    keys = listed.select("doi_key").where(F.col("doi_key").isNotNull()).distinct()
+    listed = keep(listed, "listed")
+    keys = listed.select("doi_key").where("doi_key IS NOT NULL").distinct()
 
     facts = work_facts(works)
     known = facts.select("doi_key").join(keys, "doi_key", "left_semi").distinct()
@@ -88,12 +91,13 @@ def audit_publications(
     missing = listed.join(known, "doi_key", "left_anti")
 
     # Reduced to the listed DOIs and to counted facts, row by row of the key.
-    access = access_facts(unpaywall, keys)
+    access = keep(access_facts(unpaywall, keys), "access")
     extract = extract_facts(alltrials, extra, edition).join(keys, "doi_key", "left_semi")
+    checks = keep(oddpub_facts(oddpub, scope), "checks")
 
     joined = matched.join(access, "doi_key", "left").join(extract, [*edition, "doi_key"], "left")
     complete = joined.unionByName(missing, allowMissingColumns=True)
-    checked = attach_oddpub(complete, oddpub, scope)
+    checked = complete.join(checks, [*scope, "doi_key"], "left")
     copies = F.coalesce(F.col("n_access"), F.lit(1)) * F.coalesce(F.col("n_oddpub"), F.lit(1))
     return add_labels(expand_copies(checked, copies)).withColumn("doi", F.lower("doi"))
 
@@ -105,9 +109,10 @@ def pubs(
     alltrials: DataFrame,
     oddpub: DataFrame,
     provenance: Provenance,
+    keep: Keep = lazily,
 ) -> DataFrame:
     """One institution's table."""
-    return audit_publications(dois, works, unpaywall, alltrials, oddpub).select(
+    return audit_publications(dois, works, unpaywall, alltrials, oddpub, keep=keep).select(
         *COLUMNS,
         F.lit(provenance.workflow_version).alias("var_SQL_workflow_version"),
         F.lit(provenance.dois_table).alias("var_data_dois"),

@@ -11,6 +11,7 @@ from scholaudit.config import Provenance
 from scholaudit.functions.sql import either
 from scholaudit.operators.trial_ids import flatten_trial_pairs
 from scholaudit.operators.trial_links import attach_links, clean_trials, trials_in_publications
+from scholaudit.sources.staging import Keep, lazily
 
 
 def link_trials(
@@ -19,11 +20,12 @@ def link_trials(
     dois: DataFrame,
     scope: Sequence[str] = (),
     edition: Sequence[str] = (),
+    keep: Keep = lazily,
 ) -> DataFrame:
     """Cleaned trials with the DOIs of the institution's publications naming them."""
     cleaned = clean_trials(trials_raw, scope)
     pairs = flatten_trial_pairs(alltrials, edition)
-    links = trials_in_publications(pairs, dois, cleaned, scope, edition)
+    links = trials_in_publications(pairs, dois, cleaned, scope, edition, keep)
     tail = "Trial-IDs from the institution's trial dataset found in a publication from the institution"
     return attach_links(cleaned, links, scope).withColumns(
         {
@@ -33,9 +35,15 @@ def link_trials(
     )
 
 
-def trials(trials_raw: DataFrame, alltrials: DataFrame, dois: DataFrame, provenance: Provenance) -> DataFrame:
+def trials(
+    trials_raw: DataFrame,
+    alltrials: DataFrame,
+    dois: DataFrame,
+    provenance: Provenance,
+    keep: Keep = lazily,
+) -> DataFrame:
     """One institution's table: a row per row of its trial list."""
-    return link_trials(trials_raw, alltrials, dois).select(
+    return link_trials(trials_raw, alltrials, dois, keep=keep).select(
         "*",
         F.lit(provenance.workflow_version).alias("var_SQL_workflow_version"),
         F.lit(provenance.trials_table).alias("var_data_trials"),

@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot key is worth another shuffle after the join that splits it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Upper size, by file statistics, of a table that is sent to every executor.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",

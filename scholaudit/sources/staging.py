@@ -6,8 +6,13 @@ planner its true size for the joins that read it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+# Takes a grouped side of a join and its name, gives the table to join with.
+Keep = Callable[[DataFrame, str], DataFrame]
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -17,6 +22,20 @@ def staging_root(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
+def lazily(df: DataFrame, name: str) -> DataFrame:
+    """Leave the rows to the plan that uses them."""
+    return df
+
+
+def stager(prefix: str) -> Keep:
+    """Stage under names of one run.
+
+    Skewed joins are split only where both sides come straight from a
+    shuffle, which a grouped side does not; a staged one does.
+    """
+    return lambda df, name: stage(df, f"{prefix}/{name}")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the rows under this application's folder and read them back."""
     spark = df.sparkSession
