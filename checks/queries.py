@@ -77,8 +77,8 @@ def _shown(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{text} AS {name}" for name, text in shown.items()])
 
 
-def _alltrials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alltrials(tables.works(spark, sf_dir), CUTOFF, PROVENANCE)
+def _alltrials(works: DataFrame) -> DataFrame:
+    return alltrials(works, CUTOFF, PROVENANCE)
 
 
 def _q_trial_ids_in_text(spark, sf_dir):
@@ -110,22 +110,22 @@ def _q_databank_entries(spark, sf_dir):
 
 
 def _q_id_list_strings(spark, sf_dir):
-    found = _alltrials(spark, sf_dir)
+    found = _alltrials(tables.works(spark, sf_dir))
     return _shown(found.select("doi", *[c for c in found.columns if c.endswith("_idlist") and "ANYSOURCE" not in c]))
 
 
 def _q_any_source_trials(spark, sf_dir):
     return _shown(
-        _alltrials(spark, sf_dir).select("doi", "ANYSOURCE_clintrial_found", "ANYSOURCE_clintrial_idlist")
+        _alltrials(tables.works(spark, sf_dir)).select("doi", "ANYSOURCE_clintrial_found", "ANYSOURCE_clintrial_idlist")
     )
 
 
 def _q_alltrials(spark, sf_dir):
-    return _shown(_alltrials(spark, sf_dir))
+    return _shown(_alltrials(tables.works(spark, sf_dir)))
 
 
 def _q_flatten_trial_pairs(spark, sf_dir):
-    return trial_ids.flatten_trial_pairs(_alltrials(spark, sf_dir))
+    return trial_ids.flatten_trial_pairs(_alltrials(tables.works(spark, sf_dir)))
 
 
 def _of_raw_trials(operator) -> Query:
@@ -142,7 +142,7 @@ def _q_trials_in_publications(spark, sf_dir):
 
 def _q_trials(spark, sf_dir):
     return trials(
-        tables.trials_raw(spark, sf_dir), _alltrials(spark, sf_dir), tables.dois(spark, sf_dir), PROVENANCE
+        tables.trials_raw(spark, sf_dir), _alltrials(tables.works(spark, sf_dir)), tables.dois(spark, sf_dir), PROVENANCE
     )
 
 
@@ -152,9 +152,8 @@ def _q_any_source_links(spark, sf_dir):
 
 
 def _enriched(spark: SparkSession, sf_dir: str, columns=()) -> DataFrame:
-    return publications.enriched_doi(
-        tables.works(spark, sf_dir), tables.unpaywall(spark, sf_dir), _alltrials(spark, sf_dir), columns
-    )
+    works = tables.works(spark, sf_dir)
+    return publications.enriched_doi(works, tables.unpaywall(spark, sf_dir), _alltrials(works), columns)
 
 
 def _q_enriched_doi(spark, sf_dir):
@@ -203,11 +202,12 @@ def _q_open_data_code(spark, sf_dir):
 
 
 def _pubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    works = tables.works(spark, sf_dir)
     return pubs(
         tables.dois(spark, sf_dir),
-        tables.works(spark, sf_dir),
+        works,
         tables.unpaywall(spark, sf_dir),
-        _alltrials(spark, sf_dir),
+        _alltrials(works),
         tables.oddpub(spark, sf_dir),
         PROVENANCE,
     )
@@ -308,14 +308,14 @@ def _q_case_insensitive_left_join(spark, sf_dir):
     return listed.join(works, "k", "left").select("listed_doi", "work_doi")
 
 
-def _by_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alltrials_by_cutoff(tables.works(spark, sf_dir), INSTITUTION_CUTOFFS.values())
+def _by_cutoff(works: DataFrame) -> DataFrame:
+    return alltrials_by_cutoff(works, INSTITUTION_CUTOFFS.values())
 
 
 def _q_many_institutions_trials(spark, sf_dir):
     linked = all_trials_linked(
         tables.trials_raw(spark, sf_dir),
-        _by_cutoff(spark, sf_dir),
+        _by_cutoff(tables.works(spark, sf_dir)),
         tables.dois(spark, sf_dir),
         INSTITUTION_CUTOFFS,
     )
@@ -323,11 +323,12 @@ def _q_many_institutions_trials(spark, sf_dir):
 
 
 def _q_many_institutions_pubs(spark, sf_dir):
+    works = tables.works(spark, sf_dir)
     audited = all_publications_audited(
         tables.dois(spark, sf_dir),
-        tables.works(spark, sf_dir),
+        works,
         tables.unpaywall(spark, sf_dir),
-        _by_cutoff(spark, sf_dir),
+        _by_cutoff(works),
         tables.oddpub(spark, sf_dir),
         INSTITUTION_CUTOFFS,
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# No array built while expanding holds more items than this.
-CHUNK = 10_000
+# Copies written out from one row of a task.
+CHUNK = 100
 
 
 def count_copies(df: DataFrame, *columns: str, n: str = "n") -> DataFrame:
@@ -18,10 +20,17 @@ def count_copies(df: DataFrame, *columns: str, n: str = "n") -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(n))
 
 
-def expand_copies(df: DataFrame, n: Column) -> DataFrame:
-    """Emit every row ``n`` times (NULL counts as once), in chunks of bounded size."""
+def expand_copies(df: DataFrame, n: Column, spread: Sequence[str] | None = None) -> DataFrame:
+    """Emit every row ``n`` times (NULL counts as once).
+
+    Rows are first cut into chunks of few copies. With ``spread`` the chunks
+    are then rebalanced over the tasks (within the given columns, if any), so
+    that the copies of one row need not come from one task.
+    """
     chunks = df.withColumn("_times", F.coalesce(n, F.lit(1)).cast("bigint")).withColumn(
         "_chunk", F.expr(f"explode(sequence(0L, (_times - 1) div {CHUNK}))")
     )
+    if spread is not None:
+        chunks = chunks.hint("rebalance", *[F.col(name) for name in spread])
     inside = f"explode(sequence(1L, least({CHUNK}L, _times - _chunk * {CHUNK})))"
     return chunks.withColumn("_copy", F.expr(inside)).drop("_times", "_chunk", "_copy")

@@ -6,7 +6,9 @@ text: the plan is the same, and building it takes one call to the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def literal(value: str | int | bool | None) -> str:
@@ -36,3 +38,9 @@ def lookup(
 def either(condition: str, yes: str, no: str) -> str:
     """``yes`` when the condition is TRUE; FALSE and NULL give ``no``."""
     return f"if({condition}, {literal(yes)}, {literal(no)})"
+
+
+def inline_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:
+    """Constants of a configuration as a table whose size the planner knows."""
+    values = ", ".join("(" + ", ".join(literal(value) for value in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")

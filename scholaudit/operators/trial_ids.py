@@ -31,6 +31,8 @@ DATABANKS = (
 # The identifier form before upper-casing. The third N is the one other letter
 # whose upper case ends in N.
 TRIAL_ID_ANY_CASE = "[Nn\u0149][Cc][Tt]([0-9]{8})"
+# What every identifier holds; a quicker search that most texts do not pass.
+TRIAL_ID_TAIL = "(?i)ct[0-9]{8}"
 
 PUBMED_ABSTRACT = "pubmed.MedlineCitation.Article.Abstract.AbstractText"
 PUBMED_BANKS = "pubmed.MedlineCitation.Article.DataBankList"
@@ -57,11 +59,13 @@ def trial_ids_in_text(df: DataFrame, texts: dict[str, str]) -> DataFrame:
     matches are looked at, so the text itself is never upper-cased. Empty and
     '{}' abstracts hold no id and need no case of their own.
     """
-    form = literal(TRIAL_ID_ANY_CASE)
+    form, tail = literal(TRIAL_ID_ANY_CASE), literal(TRIAL_ID_TAIL)
     # A projection of its own, so that each text is searched once.
     searched = df.withColumns(
         {
-            f"_{name}": F.expr(f"array_distinct(regexp_extract_all({text}, {form}, 1))")
+            f"_{name}": F.expr(
+                f"if({text} RLIKE {tail}, array_distinct(regexp_extract_all({text}, {form}, 1)), NULL)"
+            )
             for name, text in texts.items()
         }
     )
@@ -93,20 +97,23 @@ _ENTRIES = {
 }
 
 
-def evidence_entries(works: DataFrame, kinds: Sequence[str], edition: Sequence[str] = ()) -> DataFrame:
-    """Counted (kind, doi, ids, label) rows of the asked kinds, from one narrow scan.
+def evidence_rows(works: DataFrame, kinds: Sequence[str] = tuple(_ENTRIES)) -> DataFrame:
+    """(published_year, kind, doi, ids, label) entries of the asked kinds, from one narrow scan.
 
     Entries without a DOI are left out: they match no work.
     """
     lists = ", ".join(f"coalesce({_ENTRIES[kind]}, array())" for kind in kinds)
-    rows = works.select(*edition, F.expr(f"explode(concat({lists}))").alias("entry")).select(*edition, "entry.*")
-    return count_copies(rows.where("doi IS NOT NULL"), *edition, "kind", "doi", "ids", "label")
+    rows = works.select(
+        F.col("crossref.published_year").alias("published_year"),
+        F.expr(f"explode(concat({lists}))").alias("entry"),
+    )
+    return rows.select("published_year", "entry.*").where("doi IS NOT NULL")
 
 
 def _entries_by_doi(works: DataFrame, kind: str, shown: str, name: str) -> DataFrame:
     """One kind's entries per DOI as spelled, sorted, repeats kept."""
     grouped = (
-        evidence_entries(works, [kind])
+        count_copies(evidence_rows(works, [kind]), "doi", "ids", "label")
         .groupBy("doi")
         .agg(F.sort_array(F.collect_list(F.struct("ids", "label", "n"))).alias("entries"))
     )
@@ -138,16 +145,24 @@ def trial_ids_in_field(works: DataFrame) -> DataFrame:
     )
 
 
-def trial_evidence(works: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """Counted entries of all kinds, sorted, one row per join key."""
+def group_evidence(rows: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
+    """Entries with their numbers, sorted, one row per join key.
+
+    Equal entries are counted first, so a group gathers distinct ones only.
+    """
     entry = F.struct("kind", "doi", "ids", "label", "n")
     return (
-        evidence_entries(works, [REGISTRY, DATABANK, CROSSREF], edition)
+        count_copies(rows, *edition, "kind", "doi", "ids", "label")
         .groupBy(*edition, F.lower("doi").alias("doi_key"))
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
 
 
+def trial_evidence(works: DataFrame) -> DataFrame:
+    """All grouped evidence of the works."""
+    return group_evidence(evidence_rows(works))
+
+
 def text_evidence(works: DataFrame) -> DataFrame:
     """The row-local part of ``alltrials``: abstracts and the ids found in them."""
     base = works.select(

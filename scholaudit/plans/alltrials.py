@@ -11,6 +11,8 @@ from scholaudit.config import Provenance
 from scholaudit.operators.trial_ids import (
     any_source_trials,
     attach_evidence,
+    evidence_rows,
+    group_evidence,
     id_list_strings,
     published_after,
     text_evidence,
@@ -39,14 +41,14 @@ COLUMNS = (
 CUTOFF = "year_cutoff"
 
 
-def with_cutoffs(df: DataFrame, cutoffs: Iterable[int], year: str = "crossref.published_year") -> DataFrame:
-    """Rows once per cutoff that their year passes.
+def with_cutoffs(df: DataFrame, cutoffs: Iterable[int]) -> DataFrame:
+    """Rows once per cutoff that their ``published_year`` passes.
 
     Lists are grouped after the cutoff, so a build at the lowest cutoff could
     not be filtered down to a higher one.
     """
     known = ", ".join(f"{int(cutoff)}L" for cutoff in sorted(set(cutoffs)))
-    passed = f"explode(filter(array({known}), cutoff -> {year} > cutoff))"
+    passed = f"explode(filter(array({known}), cutoff -> published_year > cutoff))"
     return df.withColumn(CUTOFF, F.expr(passed))
 
 
@@ -76,7 +78,10 @@ def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: D
 
 
 def evidence_by_cutoff(works: DataFrame, cutoffs: Iterable[int]) -> DataFrame:
-    return trial_evidence(with_cutoffs(works, cutoffs), (CUTOFF,))
+    """Grouped evidence per cutoff; only found entries are repeated for the cutoffs."""
+    years = sorted(set(cutoffs))
+    rows = evidence_rows(published_after(works, years[0]))
+    return group_evidence(with_cutoffs(rows, years), (CUTOFF,))
 
 
 def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], evidence: DataFrame | None = None) -> DataFrame:
@@ -88,4 +93,4 @@ def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], evidence: Data
     if evidence is None:
         evidence = evidence_by_cutoff(works, years)
     searched = text_evidence(published_after(works, years[0]))
-    return combine(with_cutoffs(searched, years, "published_year"), evidence, (CUTOFF,))
+    return combine(with_cutoffs(searched, years), evidence, (CUTOFF,))

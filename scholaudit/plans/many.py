@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholaudit.functions.sql import inline_table
 from scholaudit.plans.alltrials import CUTOFF
 from scholaudit.plans.pubs import COLUMNS, audit_publications
 from scholaudit.plans.trials import link_trials
@@ -23,9 +24,7 @@ INSTITUTION = "institution_id"
 
 def with_cutoff(lists: DataFrame, cutoffs: Mapping[str, int]) -> DataFrame:
     """Add each institution's cutoff; the mapping comes from the run's configuration."""
-    known = lists.sparkSession.createDataFrame(
-        [(name, int(cutoff)) for name, cutoff in cutoffs.items()], f"{INSTITUTION} string, {CUTOFF} bigint"
-    )
+    known = inline_table(lists.sparkSession, (INSTITUTION, CUTOFF), cutoffs.items())
     return lists.join(known, INSTITUTION, "inner")
 
 

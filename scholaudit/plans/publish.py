@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaudit.config import Institution, Provenance, Run
+from scholaudit.functions.sql import inline_table
 from scholaudit.operators.audit import utility_years
 from scholaudit.operators.trial_ids import published_after, trial_evidence
 from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, evidence_by_cutoff
@@ -75,17 +76,20 @@ def _together(spark: SparkSession, run: Run, table_of) -> DataFrame:
 
 def _provenance(spark: SparkSession, run: Run, *fields: str) -> DataFrame:
     """Input-table names per institution, from the configuration."""
-    columns = ", ".join(f"var_data_{field} string" for field in fields)
+    columns = [INSTITUTION, *[f"var_data_{field}" for field in fields]]
     rows = [
         (one.institution_id, *[getattr(one, f"{field}_table") for field in fields]) for one in run.institutions
     ]
-    return spark.createDataFrame(rows, f"{INSTITUTION} string, {columns}")
+    return inline_table(spark, columns, rows)
 
 
 def _write_partitioned(df: DataFrame, name: str, column: str) -> None:
-    # The rebalance gives each partition value few files, and splits the tasks
-    # of a value that holds a large share of the rows.
-    df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).saveAsTable(name)
+    df.write.mode("overwrite").partitionBy(column).saveAsTable(name)
+
+
+def _by_institution(df: DataFrame) -> DataFrame:
+    """Few files per institution, and several tasks for one that holds a large share of the rows."""
+    return df.hint("rebalance", F.col(INSTITUTION))
 
 
 def publish_all(spark: SparkSession, run: Run, database: str) -> None:
@@ -114,14 +118,15 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs, keep)
     trial_names = _provenance(spark, run, "trials", "dois")
     version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
-    _write_partitioned(linked.join(trial_names, INSTITUTION).select("*", version), names["trials"], INSTITUTION)
+    listed = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version))
+    _write_partitioned(listed, names["trials"], INSTITUTION)
 
     oddpub = _together(spark, run, lambda one: one.oddpub_table)
     audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs, keep)
+    # Rows come rebalanced by institution.
     pub_names = _provenance(spark, run, "dois", "oddpub")
     _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version), names["pubs"], INSTITUTION)
 
     require_tables(spark, names.values())
     for kind in LATEST:
-        written = spark.table(names[kind])
-        written.write.mode("overwrite").partitionBy(INSTITUTION).saveAsTable(f"{latest}.{kind}")
+        _write_partitioned(_by_institution(spark.table(names[kind])), f"{latest}.{kind}", INSTITUTION)

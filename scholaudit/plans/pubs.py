@@ -99,7 +99,7 @@ def audit_publications(
     complete = joined.unionByName(missing, allowMissingColumns=True)
     checked = complete.join(checks, [*scope, "doi_key"], "left")
     copies = F.coalesce(F.col("n_access"), F.lit(1)) * F.coalesce(F.col("n_oddpub"), F.lit(1))
-    return add_labels(expand_copies(checked, copies)).withColumn("doi", F.lower("doi"))
+    return add_labels(expand_copies(checked, copies, spread=scope)).withColumn("doi", F.lower("doi"))
 
 
 def pubs(

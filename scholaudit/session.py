@@ -14,8 +14,10 @@ DEFAULTS = {
     # A hot key is worth another shuffle after the join that splits it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Upper size, by file statistics, of a table that is sent to every executor.
+    # Upper size of a table that is sent to every executor, and how much larger
+    # than its compressed files a table is taken to be when that is checked.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
