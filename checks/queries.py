@@ -213,14 +213,14 @@ def _pubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _flat_coki(df: DataFrame) -> DataFrame:
+def _flat_open_access(df: DataFrame) -> DataFrame:
     """The open-access struct field by field; the preprint flag has its own column."""
     flags = ("open", "publisher", "publisher_only", "both", "other_platform_only")
     return df.select("*", *[F.col(f"coki.{flag}").alias(f"coki_{flag}") for flag in flags]).drop("coki")
 
 
 def _q_pubs(spark, sf_dir):
-    return _flat_coki(_pubs(spark, sf_dir))
+    return _flat_open_access(_pubs(spark, sf_dir))
 
 
 def _q_export_order(spark, sf_dir):
@@ -266,7 +266,7 @@ def _q_utility_years(spark, sf_dir):
 
 
 def _q_dedupe_string(spark, sf_dir):
-    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = tables.table(spark, sf_dir, "documents")
     return texts.select("doc_id", F.expr(dedupe_string("text")).alias("deduped"))
 
 
@@ -289,8 +289,8 @@ def _q_first_green_date(spark, sf_dir):
 
 
 def _q_month_boundary_diff(spark, sf_dir):
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_shipdate")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    items = tables.table(spark, sf_dir, "lineitem")
+    orders = tables.table(spark, sf_dir, "orders")
     months = F.expr(month_boundary_diff("l_shipdate", "o_orderdate"))
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "o_orderkey", "l_linenumber", months.alias("months")
@@ -332,7 +332,7 @@ def _q_many_institutions_pubs(spark, sf_dir):
         tables.oddpub(spark, sf_dir),
         INSTITUTION_CUTOFFS,
     )
-    return _flat_coki(audited)
+    return _flat_open_access(audited)
 
 
 QUERIES: dict[str, Query] = {

@@ -54,8 +54,20 @@ WORK_TYPES = (
 )
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns read from each source table.
+SOURCES = {
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_size int",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A source table, read without a job to infer its schema."""
+    return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _literal(value: str | None) -> str:
@@ -114,7 +126,7 @@ def works(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat(text, ' nct', {_trial(trial)}, ' NCT', {_trial(trial)}, ' NCT', {_trial(trial + ' + 1')}, '9')"
     )
     numbers = "array<struct<clinical_trial_number:string,type:string>>"
-    return _table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "k").selectExpr(
+    return table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "k").selectExpr(
         f"{_WORK_DOI} as doi",
         f"""named_struct(
             'published_year', case when k % 23 <> 0 then 2010 + k % 15 end,
@@ -167,7 +179,7 @@ def unpaywall(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"named_struct('host_type', '{host}', 'oa_date', {when})"
 
     return (
-        _table(spark, sf_dir, "customer")
+        table(spark, sf_dir, "customer")
         .selectExpr("c_custkey as c", "c_custkey + c_nationkey as k")
         .selectExpr(
             "concat('10.5555/W', k) as doi",
@@ -187,7 +199,7 @@ def unpaywall(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dois(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the owning institution, for jobs over many institutions."""
     return (
-        _table(spark, sf_dir, "part")
+        table(spark, sf_dir, "part")
         .selectExpr("p_partkey div 2 + p_size as k", "p_size", "p_brand")
         .selectExpr(
             "p_brand as institution_id",
@@ -201,7 +213,7 @@ def dois(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oddpub(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _table(spark, sf_dir, "labels")
+        table(spark, sf_dir, "labels")
         .selectExpr("doc_id", "quality", "toxic", "case when doc_id % 7 = 0 then doc_id - 1 else doc_id end as k")
         .selectExpr(
             "concat('Brand#', 1 + k % 25) as institution_id",
@@ -222,7 +234,7 @@ def trials_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"array('TRUE', 'FALSE', 'NA', NULL)[cast((c + {step}) % 4 as int)]"
 
     return (
-        _table(spark, sf_dir, "customer")
+        table(spark, sf_dir, "customer")
         .selectExpr("c_custkey as c", "c_nationkey")
         .selectExpr(
             "concat('Brand#', 1 + c_nationkey) as institution_id",
@@ -247,7 +259,7 @@ def orcids(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"case c % {base} when 0 then true when 1 then false end"
 
     return (
-        _table(spark, sf_dir, "customer")
+        table(spark, sf_dir, "customer")
         .selectExpr("c_custkey as c")
         .selectExpr(
             f"case when c % 10 = 0 then 'NA' else concat('0000-0001-', {_trial('c')}) end as orcid_id",
