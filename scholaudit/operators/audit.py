@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -31,8 +31,7 @@ def audit_tables(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def utility_years(pubs: DataFrame) -> DataFrame:
-    """Every year between the first and the last publication."""
-    bounds = pubs.agg(F.min("published_year").alias("first"), F.max("published_year").alias("last"))
-    years = F.explode(F.sequence("first", "last")).alias("year")
-    return bounds.where(F.col("first").isNotNull()).select(years)
+def utility_years(pubs: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Every year between the first and the last publication (of each institution)."""
+    bounds = pubs.groupBy(*scope).agg(F.min("published_year").alias("first"), F.max("published_year").alias("last"))
+    return bounds.where("first IS NOT NULL").select(*scope, F.expr("explode(sequence(first, last))").alias("year"))

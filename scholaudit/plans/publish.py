@@ -111,22 +111,31 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
     keep = stager(f"{database}_{run.run_version}")
     evidence = keep(evidence_by_cutoff(works, cutoffs.values()), "evidence")
-    _write_partitioned(alltrials_by_cutoff(works, cutoffs.values(), evidence), names["alltrials"], CUTOFF)
+    version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
+    searched = alltrials_by_cutoff(works, cutoffs.values(), evidence).select(
+        "*",
+        F.lit(run.works_table).alias("var_AcademicObservatory_doi"),
+        F.col(CUTOFF).alias("var_SQL_year_cutoff"),
+        version,
+    )
+    _write_partitioned(searched, names["alltrials"], CUTOFF)
     found = spark.table(names["alltrials"])
 
     dois = _together(spark, run, lambda one: one.dois_table)
     linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs, keep)
+    owner = F.col(INSTITUTION).alias("var_institution_id")
     trial_names = _provenance(spark, run, "trials", "dois")
-    version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
-    listed = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version))
+    listed = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version, owner))
     _write_partitioned(listed, names["trials"], INSTITUTION)
 
     oddpub = _together(spark, run, lambda one: one.oddpub_table)
     audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs, keep)
     # Rows come rebalanced by institution.
     pub_names = _provenance(spark, run, "dois", "oddpub")
-    _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version), names["pubs"], INSTITUTION)
+    _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version, owner), names["pubs"], INSTITUTION)
 
     require_tables(spark, names.values())
     for kind in LATEST:
         _write_partitioned(_by_institution(spark.table(names[kind])), f"{latest}.{kind}", INSTITUTION)
+    years = utility_years(spark.table(names["pubs"]), (INSTITUTION,))
+    _write_partitioned(years, f"{latest}.{YEARS}", INSTITUTION)
