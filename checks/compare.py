@@ -63,7 +63,9 @@ def differences(spark: SparkSession, connection, sf_dir: str, name: str) -> str
     for mine, theirs in zip(own, expected, strict=True):
         if mine != theirs:
             found = [
-                (column, str(a)[:200], str(b)[:200]) for column, a, b in zip(columns, mine, theirs, strict=True) if a != b
+                (column, str(a)[:200], str(b)[:200])
+                for column, a, b in zip(columns, mine, theirs, strict=True)
+                if a != b
             ]
             return f"first differing row: {found}"
     return None

@@ -390,7 +390,8 @@ def _sql(final: str, *names: str) -> str:
 
 _TEXT_COLUMNS = """fa_found AS "CROSSREF_clintrial_fromabstract_found",
     array_to_string(fa, ' ') AS "CROSSREF_clintrial_fromabstract_ids",
-    pa_found AS "PUBMED_clintrial_fromabstract_found", array_to_string(pa, ' ') AS "PUBMED_clintrial_fromabstract_ids" """
+    pa_found AS "PUBMED_clintrial_fromabstract_found",
+    array_to_string(pa, ' ') AS "PUBMED_clintrial_fromabstract_ids" """
 # The order of ids within a text is the order of appearance in Spark and sorted here, so lists that
 # start with them are compared as sorted parts.
 _SORTED = "array_to_string(list_sort(string_split({}, ' ')), ' ')"
@@ -398,11 +399,13 @@ _LIST_COLUMNS = f"""{_SORTED.format('fa_list')} AS "CROSSREF_clintrial_fromabstr
     ff_list AS "CROSSREF_clintrial_fromfield_idlist",
     {_SORTED.format('pa_list')} AS "PUBMED_clintrial_fromabstract_idlist",
     pf_list AS "PUBMED_clintrial_fromfield_idlist", od_list AS "PUBMED_opendata_fromfield_idlist" """
-_ANY_COLUMNS = f"""any_found AS "ANYSOURCE_clintrial_found", {_SORTED.format('any_list')} AS "ANYSOURCE_clintrial_idlist" """
+_ANY_COLUMNS = f"""any_found AS "ANYSOURCE_clintrial_found",
+    {_SORTED.format('any_list')} AS "ANYSOURCE_clintrial_idlist" """
 _ALLTRIALS_COLUMNS = f"""doi, CAST(published_year AS BIGINT) AS published_year, abstract AS "abstract_CROSSREF",
     pubmed_abstract AS "abstract_PUBMED", {_TEXT_COLUMNS}, ff_found AS "CROSSREF_clintrial_fromfield_found",
     {_entries('ff', 'type')} AS "CROSSREF_clintrial_fromfield_entries",
-    pf_found AS "PUBMED_clintrial_fromfield_found", {_entries('pf', 'registry')} AS "PUBMED_clintrial_fromfield_entries",
+    pf_found AS "PUBMED_clintrial_fromfield_found",
+    {_entries('pf', 'registry')} AS "PUBMED_clintrial_fromfield_entries",
     od_found AS "PUBMED_opendata_fromfield_found", {_entries('od', 'registry')} AS "PUBMED_opendata_fromfield_entries",
     {_LIST_COLUMNS}, {_ANY_COLUMNS}, 'doi20240512' AS "var_AcademicObservatory_doi",
     CAST({CUTOFF} AS BIGINT) AS "var_SQL_year_cutoff", 'v1' AS "var_SQL_workflow_version",

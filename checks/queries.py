@@ -141,9 +141,8 @@ def _q_trials_in_publications(spark, sf_dir):
 
 
 def _q_trials(spark, sf_dir):
-    return trials(
-        tables.trials_raw(spark, sf_dir), _alltrials(tables.works(spark, sf_dir)), tables.dois(spark, sf_dir), PROVENANCE
-    )
+    found = _alltrials(tables.works(spark, sf_dir))
+    return trials(tables.trials_raw(spark, sf_dir), found, tables.dois(spark, sf_dir), PROVENANCE)
 
 
 def _q_any_source_links(spark, sf_dir):

@@ -17,7 +17,6 @@ for DuckDB.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CUTOFF = 2012
 

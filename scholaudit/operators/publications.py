@@ -87,7 +87,9 @@ def extract_facts(alltrials: DataFrame, columns: Sequence[str] = (), edition: Se
     ).where("doi_key IS NOT NULL")
 
 
-def enriched_doi(works: DataFrame, unpaywall: DataFrame, alltrials: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+def enriched_doi(
+    works: DataFrame, unpaywall: DataFrame, alltrials: DataFrame, columns: Sequence[str] = ()
+) -> DataFrame:
     """Works with their open-access facts and PubMed extract, repeats multiplied."""
     joined = (
         work_facts(works)

@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from scholaudit.functions import casts
 from scholaudit.functions.arrays import any_item, first_green_date, has_items, repeat_items
@@ -11,7 +12,7 @@ from scholaudit.functions.copies import CHUNK, count_copies, expand_copies
 from scholaudit.functions.dates import first_of_month, month_boundary_diff
 from scholaudit.functions.sql import case, either, literal, lookup
 from scholaudit.functions.text import dedupe_string, split_on, string_agg, trim_ws
-from pyspark.sql import functions as F
+from scholaudit.session import DEFAULTS, apply_defaults
 
 
 def value(spark, expression):
@@ -160,3 +161,8 @@ def test_repeat_items(spark):
         ["a", "a", "b"],
         None,
     ]
+
+
+def test_defaults_can_be_set_on_a_running_session(spark):
+    apply_defaults(spark)
+    assert all(spark.conf.get(name) == setting for name, setting in DEFAULTS.items())

@@ -20,7 +20,12 @@ def article(ids, abstract, banks):
 
 def test_researcher_orcid(spark):
     df = spark.createDataFrame(
-        [("0000-1", True, False, None), ("NA", True, True, True), ("0000-2", False, None, False), ("0000-3", None, None, None)],
+        [
+            ("0000-1", True, False, None),
+            ("NA", True, True, True),
+            ("0000-2", False, None, False),
+            ("0000-3", None, None, None),
+        ],
         "orcid_id string, is_orcid boolean, orcid_verified boolean, is_affiliation boolean",
     )
     rows = researcher_orcid(df, "script", "list", "out").collect()
@@ -29,7 +34,8 @@ def test_researcher_orcid(spark):
     assert [row.is_orcid_PRETTY == "ORCID found for researcher" for row in rows] == [True, True, False, False]
     assert [row.orcid_verified for row in rows] == [False, True, None, None]
     assert rows[1].is_affiliation_PRETTY == "ORCID affiliation found for researcher"
-    assert (rows[0].var_SQL_script_name, rows[0].var_ORCID_Dataset_name, rows[0].var_output_table) == ("script", "list", "out")
+    assert rows[0].var_SQL_script_name == "script"
+    assert (rows[0].var_ORCID_Dataset_name, rows[0].var_output_table) == ("list", "out")
 
 
 def test_pubmed_extract(spark):

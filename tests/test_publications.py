@@ -81,8 +81,12 @@ def test_repeats_multiply(spark):
 
 
 def test_bibliographic_fields_and_types(spark):
-    kinds = ["journal-article", "book-chapter", "posted-content", "book", "mongraphs", "proceedings-article", "monograph", None]
-    rows = [work(str(n), year=2000 + n, type=kind, title=["A", None, "B"], container=[]) for n, kind in enumerate(kinds)]
+    kinds = [
+        "journal-article", "book-chapter", "posted-content", "book", "mongraphs", "proceedings-article", "monograph", None,
+    ]
+    rows = [
+        work(str(n), year=2000 + n, type=kind, title=["A", None, "B"], container=[]) for n, kind in enumerate(kinds)
+    ]
     found = {row.doi: row for row in audited(spark, [str(n) for n in range(len(kinds))], rows).collect()}
     assert [found[str(n)].crossref_type_PRETTY for n in range(len(kinds))] == [
         "Journal articles", "Book chapter", "Preprint", "Book", "Book", "Conference proceedings", None, None,
@@ -94,9 +98,15 @@ def test_bibliographic_fields_and_types(spark):
 
 def test_open_access_labels(spark):
     cases = {
-        "publisher": (open_access(open=True, publisher_only=True, both=True), ("Publisher Open Access", 0, "Open Access", 1, 0)),
+        "publisher": (
+            open_access(open=True, publisher_only=True, both=True),
+            ("Publisher Open Access", 0, "Open Access", 1, 0),
+        ),
         "both": (open_access(open=True, both=True), ("Both", 1, "Open Access", 1, 0)),
-        "other": (open_access(open=True, other_platform_only=True), ("Other Platform Open Access", 2, "Open Access", 1, 0)),
+        "other": (
+            open_access(open=True, other_platform_only=True),
+            ("Other Platform Open Access", 2, "Open Access", 1, 0),
+        ),
         "closed": (open_access(open=False), ("Closed Access", 3, "Closed Access", 0, 1)),
         "unknown": (open_access(), ("Closed Access", 3, "Unknown", 0, 0)),
         "absent": (None, ("Closed Access", 3, "Unknown", 0, 0)),
@@ -160,7 +170,8 @@ def test_people_flags(spark):
     found = {row.doi: row for row in audited(spark, list(cases), rows).collect()}
     for doi in cases:
         expected = doi == "with"
-        assert found[doi].has_publisher_orcid is found[doi].in_orcid_record is found[doi].has_cr_funder_record is expected
+        row = found[doi]
+        assert row.has_publisher_orcid is row.in_orcid_record is row.has_cr_funder_record is expected
     assert found["with"].in_orcid_record_PRETTY == "In an ORCID record"
     assert found["null"].has_cr_funder_record_PRETTY == "No funder acknowledgement"
 
@@ -202,7 +213,7 @@ def test_plan_s(spark):
         (True, "cc-by", False, None, False),
     ]
     df = spark.createDataFrame(
-        [(place, (is_open, publisher), license, embargo) for place, (is_open, license, publisher, embargo, _) in enumerate(rows)],
+        [(place, (row[0], row[2]), row[1], row[3]) for place, row in enumerate(rows)],
         "place int, coki struct<open:boolean,publisher:boolean>, license string, embargo bigint",
     )
     found = publications.plan_s_compliance(df).orderBy("place").collect()
@@ -211,7 +222,10 @@ def test_plan_s(spark):
 
 
 def test_trial_flag_labels(spark):
-    df = spark.createDataFrame([(True, None), (False, True), (None, False)], "ANYSOURCE_clintrial_found boolean, PUBMED_opendata_fromfield_found boolean")
+    df = spark.createDataFrame(
+        [(True, None), (False, True), (None, False)],
+        "ANYSOURCE_clintrial_found boolean, PUBMED_opendata_fromfield_found boolean",
+    )
     rows = publications.publication_trial_columns(df).collect()
     assert [row.ANYSOURCE_clintrial_found_PRETTY.startswith("No ") for row in rows] == [False, True, True]
     assert [row.PUBMED_opendata_fromfield_found_PRETTY.startswith("No ") for row in rows] == [True, False, True]
@@ -222,7 +236,8 @@ def naive(listed, own_works, access, found, odd):
     enriched = publications.enriched_doi(own_works, access, found).withColumn("k", F.lower("work_doi")).drop("doi_key")
     start = listed.select("doi").distinct().withColumn("k", F.lower("doi"))
     checks = odd.select(F.lower("doi").alias("k"), "is_open_data", "is_open_code", F.lit(1).alias("n_oddpub"))
-    return publications.add_labels(start.join(enriched, "k", "left").join(checks, "k", "left")).withColumn("doi", F.lower("doi")).select(*COLUMNS)
+    joined = start.join(enriched, "k", "left").join(checks, "k", "left")
+    return publications.add_labels(joined).withColumn("doi", F.lower("doi")).select(*COLUMNS)
 
 
 def test_cutting_down_first_equals_joining_first(spark):
@@ -244,7 +259,10 @@ def test_cutting_down_first_equals_joining_first(spark):
 
 
 def test_export_order(spark):
-    df = spark.createDataFrame([(None, "a"), (2020, "b"), (2021, "z"), (2020, None), (2020, "a")], "published_year int, doi_academicobservatory string")
+    df = spark.createDataFrame(
+        [(None, "a"), (2020, "b"), (2021, "z"), (2020, None), (2020, "a")],
+        "published_year int, doi_academicobservatory string",
+    )
     assert [tuple(row) for row in publications.for_export(df).collect()] == [
         (2021, "z"), (2020, None), (2020, "a"), (2020, "b"), (None, "a"),
     ]

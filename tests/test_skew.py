@@ -102,7 +102,11 @@ def test_pubs(spark, hot_works):
         listed.distinct()
         .withColumn("doi_key", F.lower("doi"))
         .join(enriched, "doi_key", "left")
-        .join(checks.select(F.lower("doi").alias("doi_key"), "is_open_data", "is_open_code", F.lit(1).alias("n_oddpub")), "doi_key", "left")
+        .join(
+            checks.select(F.lower("doi").alias("doi_key"), "is_open_data", "is_open_code", F.lit(1).alias("n_oddpub")),
+            "doi_key",
+            "left",
+        )
     )
     expected = publications.add_labels(plain_join).withColumn("doi", F.lower("doi")).select(*COLUMNS)
     assert audited.count() == HOT * HOT + HOT + 1 + 1 + 1 + 1

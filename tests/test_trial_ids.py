@@ -19,7 +19,9 @@ ID1, ID2, ID3 = "NCT00000001", "NCT00000002", "NCT00000003"
 def ids_of(spark, texts):
     df = spark.createDataFrame([(place, text) for place, text in enumerate(texts)], "place int, text string")
     found = trial_ids.trial_ids_in_text(df, {"found_ids": "text"}).orderBy("place").collect()
-    return [(row.found_ids_found, [one.id for one in row.found_ids] if row.found_ids is not None else None) for row in found]
+    return [
+        (row.found_ids_found, None if row.found_ids is None else [one.id for one in row.found_ids]) for row in found
+    ]
 
 
 def test_ids_in_text(spark):
@@ -90,7 +92,10 @@ def test_works_repeat_for_every_spelling_of_each_list(spark):
         "CROSSREF_clintrial_fromfield_idlist",
     )
     assert plain(rows.collect()) == sorted(
-        (doi, registry, "G1", field) for doi in ("10.1/x", "10.1/X") for registry in ("I1", "I2") for field in ("N1", "N2")
+        (doi, registry, "G1", field)
+        for doi in ("10.1/x", "10.1/X")
+        for registry in ("I1", "I2")
+        for field in ("N1", "N2")
     )
 
 

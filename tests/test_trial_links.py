@@ -45,7 +45,8 @@ def test_dates(spark):
 
 def test_unknown_flags_take_the_second_label(spark):
     raw = trials_raw(
-        spark, *[trial("x", is_prospective=value, has_linked_reference=value) for value in ("TRUE", "false", "NA", None)]
+        spark,
+        *[trial("x", is_prospective=value, has_linked_reference=value) for value in ("TRUE", "false", "NA", None)],
     )
     rows = trial_links.clean_trials(raw).collect()
     assert [row.is_prospective for row in rows] == [True, False, None, None]
@@ -56,7 +57,8 @@ def test_unknown_flags_take_the_second_label(spark):
 
 
 def test_reporting_labels_match_the_raw_code(spark):
-    codes = ["results_timely", "results_due_late", "results_due_missing", "results_not_due", "Results_Timely", "NA", None]
+    known = ["results_timely", "results_due_late", "results_due_missing", "results_not_due"]
+    codes = [*known, "Results_Timely", "NA", None]
     rows = trial_links.results_reporting_label(
         trials_raw(spark, *[trial("x", summary_results_reporting=code) for code in codes])
     ).collect()
@@ -86,7 +88,11 @@ def test_links_keep_repeats(spark):
         trials_raw(spark, trial("nct1"), trial("NCT1"), trial("NCT2"), trial(None), trial("NA"), trial("NCT9"))
     )
     found = trial_links.trials_in_publications(
-        pairs(spark, ("a", "NCT1"), ("a", "NCT1"), ("b", "NCT1"), ("b", "NCT2"), ("c", "NCT2"), (None, "NCT2"), ("a", "")),
+        pairs(
+            spark,
+            *[("a", "NCT1"), ("a", "NCT1"), ("b", "NCT1"), ("b", "NCT2")],
+            *[("c", "NCT2"), (None, "NCT2"), ("a", "")],
+        ),
         dois(spark, "A", "a", "B", "zz", None, " c"),
         cleaned,
     )
@@ -136,7 +142,9 @@ def test_any_source_links(spark):
     found = trial_links.any_source_links(
         cleaned, pairs(spark, ("b", "NCT1"), ("a", "NCT1"), (None, "NCT2"), ("a", "NCT3")), owner="the Institute"
     )
-    rows = found.select("nct_id", "ANYSOURCE_dois_matching_trialid", "ANYSOURCE_doi_found", "ANYSOURCE_doi_found_PRETTY")
+    rows = found.select(
+        "nct_id", "ANYSOURCE_dois_matching_trialid", "ANYSOURCE_doi_found", "ANYSOURCE_doi_found_PRETTY"
+    )
     tail = "Trial-IDs from the Institute's trial dataset found in a Crossref or Pubmed publication"
     assert plain(rows.collect()) == sorted(
         [("NCT1", "a b", True, tail), ("NCT2", None, False, f"No {tail}"), (None, None, False, f"No {tail}")], key=repr
@@ -162,12 +170,15 @@ def test_trials_matching_publication(spark):
 
 def test_institutions_together_equal_single_runs(spark):
     found = alltrials_rows(spark, ("x", True, "NCT1 NCT2"), ("y", True, "NCT1"))
-    both_dois = spark.createDataFrame([("i", "X"), ("i", "y"), ("j", "y"), ("j", "y")], "institution_id string, doi string")
+    both_dois = spark.createDataFrame(
+        [("i", "X"), ("i", "y"), ("j", "y"), ("j", "y")], "institution_id string, doi string"
+    )
     both_raw = {"i": [trial("nct1"), trial("NCT2")], "j": [trial("NCT1"), trial("NCT1"), trial(None)]}
     ddl = "institution_id string, " + trials_raw(spark, trial("x")).schema.simpleString()[7:-1]
     everything = spark.createDataFrame([(name, *row) for name, rows in both_raw.items() for row in rows], ddl)
     together = link_trials(everything, found, both_dois, ("institution_id",))
     for name, rows in both_raw.items():
-        single = link_trials(trials_raw(spark, *rows), found, both_dois.where(f"institution_id = '{name}'").select("doi"))
+        own_dois = both_dois.where(f"institution_id = '{name}'").select("doi")
+        single = link_trials(trials_raw(spark, *rows), found, own_dois)
         own = together.where(f"institution_id = '{name}'").select(single.columns)
         assert plain(own.collect()) == plain(single.collect())
