@@ -16,6 +16,7 @@ from scholaudit.functions.copies import count_copies
 from scholaudit.functions.keys import doi_key
 from scholaudit.functions.sql import literal
 from scholaudit.functions.text import dedupe_string, split_on, string_agg, trim_ws
+from scholaudit.sources.staging import Keep, lazily
 
 # One registry's identifier form, and the names looked for in data-bank lists.
 TRIAL_ID = "NCT[0-9][0-9][0-9][0-9][0-9][0-9][0-9][0-9]"
@@ -98,16 +99,19 @@ _ENTRIES = {
 
 
 def evidence_rows(works: DataFrame, kinds: Sequence[str] = tuple(_ENTRIES)) -> DataFrame:
-    """(published_year, kind, doi, ids, label) entries of the asked kinds, from one narrow scan.
+    """(published_year, kind, doi, ids, label, own) entries of the asked kinds, from one narrow scan.
 
-    Entries without a DOI are left out: they match no work.
+    ``own`` tells that the entry carries the DOI of its own work. Entries
+    without a DOI are left out: they match no work.
     """
     lists = ", ".join(f"coalesce({_ENTRIES[kind]}, array())" for kind in kinds)
     rows = works.select(
         F.col("crossref.published_year").alias("published_year"),
+        F.lower("doi").alias("work_key"),
         F.expr(f"explode(concat({lists}))").alias("entry"),
     )
-    return rows.select("published_year", "entry.*").where("doi IS NOT NULL")
+    own = F.expr("coalesce(lower(entry.doi) = work_key, FALSE)").alias("own")
+    return rows.select("published_year", "entry.*", own).where("doi IS NOT NULL")
 
 
 def _entries_by_doi(works: DataFrame, kind: str, shown: str, name: str) -> DataFrame:
@@ -145,22 +149,46 @@ def trial_ids_in_field(works: DataFrame) -> DataFrame:
     )
 
 
-def group_evidence(rows: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """Entries with their numbers, sorted, one row per join key.
-
-    Equal entries are counted first, so a group gathers distinct ones only.
-    """
-    entry = F.struct("kind", "doi", "ids", "label", "n")
+def count_entries(rows: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
+    """Distinct entries with their number and join key."""
     return (
-        count_copies(rows, *edition, "kind", "doi", "ids", "label")
-        .groupBy(*edition, F.lower("doi").alias("doi_key"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        rows.groupBy(*edition, "kind", "doi", "ids", "label")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
+        .withColumn("doi_key", F.lower("doi"))
     )
 
 
-def trial_evidence(works: DataFrame) -> DataFrame:
-    """All grouped evidence of the works."""
-    return group_evidence(evidence_rows(works))
+def matched_entries(entries: DataFrame, works: DataFrame) -> DataFrame:
+    """Entries that some work can match.
+
+    A placeholder in place of PubMed's DOI may gather entries of very many
+    works and match none of them. Only keys that no entry's own work carries
+    are looked up. ``entries`` should be a written table, as it is read twice.
+    """
+    foreign = entries.where("NOT own")
+    asked = foreign.select("doi_key").distinct()
+    present = works.select(doi_key(works)).join(asked, "doi_key", "left_semi").distinct()
+    return entries.where("own").unionByName(foreign.join(present, "doi_key", "left_semi"))
+
+
+def group_evidence(entries: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
+    """Counted entries of all kinds, sorted, one row per join key.
+
+    Equal entries have been counted, so a group gathers distinct ones only.
+    """
+    entry = F.struct("kind", "doi", "ids", "label", "n")
+    return entries.groupBy(*edition, "doi_key").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+
+
+def trial_evidence(
+    works: DataFrame, rows: DataFrame | None = None, edition: Sequence[str] = (), keep: Keep = lazily
+) -> DataFrame:
+    """All grouped evidence of the works (or of the given entry rows, which carry their edition)."""
+    entries = count_entries(evidence_rows(works) if rows is None else rows, edition)
+    if keep is lazily:
+        return group_evidence(entries, edition)
+    matched = matched_entries(keep(entries, "entries"), works)
+    return keep(group_evidence(matched, edition), "evidence")
 
 
 def text_evidence(works: DataFrame) -> DataFrame:

@@ -12,12 +12,12 @@ from scholaudit.operators.trial_ids import (
     any_source_trials,
     attach_evidence,
     evidence_rows,
-    group_evidence,
     id_list_strings,
     published_after,
     text_evidence,
     trial_evidence,
 )
+from scholaudit.sources.staging import Keep, lazily
 
 # Output columns in order.
 SOURCES = (
@@ -77,11 +77,11 @@ def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: D
     )
 
 
-def evidence_by_cutoff(works: DataFrame, cutoffs: Iterable[int]) -> DataFrame:
+def evidence_by_cutoff(works: DataFrame, cutoffs: Iterable[int], keep: Keep = lazily) -> DataFrame:
     """Grouped evidence per cutoff; only found entries are repeated for the cutoffs."""
     years = sorted(set(cutoffs))
-    rows = evidence_rows(published_after(works, years[0]))
-    return group_evidence(with_cutoffs(rows, years), (CUTOFF,))
+    recent = published_after(works, years[0])
+    return trial_evidence(recent, with_cutoffs(evidence_rows(recent), years), (CUTOFF,), keep)
 
 
 def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], evidence: DataFrame | None = None) -> DataFrame:

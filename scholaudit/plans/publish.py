@@ -47,7 +47,7 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     names = dict(zip(("alltrials", "trials", "pubs"), output_names(run, institution), strict=True))
 
     keep = stager(f"{institution.institution_id}_{run.run_version}")
-    evidence = keep(trial_evidence(published_after(works, institution.year_cutoff)), "evidence")
+    evidence = trial_evidence(published_after(works, institution.year_cutoff), keep=keep)
     create_or_replace(alltrials(works, institution.year_cutoff, provenance, evidence), names["alltrials"])
     found = spark.table(names["alltrials"])
 
@@ -110,7 +110,7 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     works = read_works(spark, run)
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
     keep = stager(f"{database}_{run.run_version}")
-    evidence = keep(evidence_by_cutoff(works, cutoffs.values()), "evidence")
+    evidence = evidence_by_cutoff(works, cutoffs.values(), keep)
     version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
     searched = alltrials_by_cutoff(works, cutoffs.values(), evidence).select(
         "*",

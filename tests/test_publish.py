@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from builders import plain
 
@@ -137,3 +139,34 @@ def test_bucketed_works_are_joined_without_moving_them(spark, run):
         assert joined.agg(F.count("*")).first()[0] == same.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_works_meet_a_long_list_without_moving(spark, run):
+    from scholaudit.config import Provenance
+    from scholaudit.plans.alltrials import alltrials
+    from scholaudit.plans.pubs import pubs
+
+    provenance = Provenance("v1", "doi1", "dois_1", "oddpub_1", "trials_1", "inst")
+    write_bucketed_by_doi(spark.table(f"observatory.{run.works_table}"), "observatory.works_bucketed", 4)
+    inputs = (tables.unpaywall(spark, SF_DIR), tables.oddpub(spark, SF_DIR))
+
+    def audited(works):
+        found = alltrials(works, 2012, provenance)
+        return pubs(tables.dois(spark, SF_DIR), works, inputs[0], found, inputs[1], provenance)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = audited(spark.table("observatory.works_bucketed"))
+        lines = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        scans = [place for place, line in enumerate(lines) if "works_bucketed" in line and "abstract" in line]
+        assert scans
+        for scan in scans:
+            depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+            above = next(
+                line for line in reversed(lines[:scan])
+                if len(line) - len(line.lstrip(" :+-")) < depth and not re.search("Project|Filter|ColumnarToRow", line)
+            )
+            assert "Exchange" not in above
+        assert joined.exceptAll(audited(spark.table(f"observatory.{run.works_table}"))).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

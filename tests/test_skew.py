@@ -12,7 +12,7 @@ from scholaudit.config import Provenance
 from scholaudit.operators import publications, trial_ids, trial_links
 from scholaudit.plans.alltrials import alltrials
 from scholaudit.plans.pubs import COLUMNS, audit_publications
-from scholaudit.sources.staging import stage
+from scholaudit.sources.staging import stager
 
 PROVENANCE = Provenance("v1", "doi1", "dois_1", "oddpub_1", "trials_1", "inst")
 HOT = 30
@@ -133,6 +133,20 @@ def test_links(spark):
     assert attached.count() == raw.count()
 
 
+def test_a_placeholder_doi_gathers_nothing(spark):
+    """A third of the works carry the same PubMed DOI, which is no work's; others name another work."""
+    rows = [work(f"10.1/{n}", pubmed=("n/a", None, [("ISRCTN", [f"I{n}"])])) for n in range(HOT)]
+    rows += [work(f"10.2/{n}", pubmed=(f"10.2/{n}".upper(), None, [("ISRCTN", [f"J{n}"])])) for n in range(HOT)]
+    rows += [work(f"10.3/{n}", pubmed=(f"10.1/{n % 5}", None, [("GEO", [f"G{n}"])])) for n in range(HOT)]
+    df = works(spark, *rows)
+    evidence = trial_ids.trial_evidence(df, keep=stager("placeholder"))
+    keys = {row.doi_key for row in evidence.collect()}
+    assert keys == {f"10.2/{n}" for n in range(HOT)} | {f"10.1/{n}" for n in range(5)}
+    assert "n/a" in {row.doi_key for row in trial_ids.trial_evidence(df).collect()}
+    pruned, whole = alltrials(df, 1, PROVENANCE, evidence), alltrials(df, 1, PROVENANCE)
+    assert plain(pruned.collect()) == plain(whole.collect())
+
+
 def test_skewed_partitions_are_split(spark, hot_works):
     """A hot key of the works is divided among tasks in their join with staged evidence.
 
@@ -143,7 +157,7 @@ def test_skewed_partitions_are_split(spark, hot_works):
     try:
         many = hot_works.where("doi IS NULL").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_")
         skewed = many.unionByName(hot_works).repartition(40)
-        evidence = stage(trial_ids.trial_evidence(skewed), "skewed_evidence")
+        evidence = trial_ids.trial_evidence(skewed, keep=stager("skewed"))
         df = alltrials(skewed, 1, PROVENANCE, evidence)
         assert df.count() == HOT * 203
         df.collect()
