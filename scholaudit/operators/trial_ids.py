@@ -98,6 +98,15 @@ _ENTRIES = {
 }
 
 
+# One work's entries under its own DOI, in the form of grouped evidence.
+_OWN_ENTRIES = (
+    "sort_array(transform(filter(concat("
+    + ", ".join(f"coalesce({entries}, array())" for entries in _ENTRIES.values())
+    + "), item -> lower(item.doi) = lower(doi)), "
+    "item -> named_struct('kind', item.kind, 'doi', item.doi, 'ids', item.ids, 'label', item.label, 'n', 1L)))"
+)
+
+
 def evidence_rows(works: DataFrame, kinds: Sequence[str] = tuple(_ENTRIES)) -> DataFrame:
     """(published_year, kind, doi, ids, label, own) entries of the asked kinds, from one narrow scan.
 
@@ -149,50 +158,64 @@ def trial_ids_in_field(works: DataFrame) -> DataFrame:
     )
 
 
-def count_entries(rows: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """Distinct entries with their number and join key."""
+def group_evidence(rows: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
+    """Entries with their numbers, sorted, one row per join key.
+
+    Equal entries are counted first, so a group gathers distinct ones only.
+    """
+    entry = F.struct("kind", "doi", "ids", "label", "n")
     return (
-        rows.groupBy(*edition, "kind", "doi", "ids", "label")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
-        .withColumn("doi_key", F.lower("doi"))
+        count_copies(rows, *edition, "kind", "doi", "ids", "label")
+        .groupBy(*edition, F.lower("doi").alias("doi_key"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
 
 
-def matched_entries(entries: DataFrame, works: DataFrame) -> DataFrame:
-    """Entries that some work can match.
-
-    A placeholder in place of PubMed's DOI may gather entries of very many
-    works and match none of them. Only keys that no entry's own work carries
-    are looked up. ``entries`` should be a written table, as it is read twice.
-    """
-    foreign = entries.where("NOT own")
-    asked = foreign.select("doi_key").distinct()
-    present = works.select(doi_key(works)).join(asked, "doi_key", "left_semi").distinct()
-    return entries.where("own").unionByName(foreign.join(present, "doi_key", "left_semi"))
+def trial_evidence(works: DataFrame) -> DataFrame:
+    """All grouped evidence of the works."""
+    return group_evidence(evidence_rows(works))
 
 
-def group_evidence(entries: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """Counted entries of all kinds, sorted, one row per join key.
+def shared_keys(works: DataFrame) -> DataFrame:
+    """Keys whose evidence does not come from one work alone.
 
-    Equal entries have been counted, so a group gathers distinct ones only.
+    These are DOIs of several works, and DOIs of a work that entries of
+    another work name. Keys that no work has, such as a placeholder, are not
+    among them. One narrow shuffle, with repeats combined before it.
     """
-    entry = F.struct("kind", "doi", "ids", "label", "n")
-    return entries.groupBy(*edition, "doi_key").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    named = evidence_rows(works).where("NOT own").select(F.lower("doi").alias("doi_key"))
+    marks = works.select(doi_key(works), F.lit(1).alias("n_works"), F.lit(False).alias("is_named")).unionByName(
+        named.select("doi_key", F.lit(0).alias("n_works"), F.lit(True).alias("is_named"))
+    )
+    return (
+        marks.where("doi_key IS NOT NULL")
+        .groupBy("doi_key")
+        .agg(F.sum("n_works").alias("n_works"), F.max("is_named").alias("is_named"))
+        .where("n_works > 1 OR (n_works = 1 AND is_named)")
+        .select("doi_key")
+    )
 
 
-def trial_evidence(
-    works: DataFrame, rows: DataFrame | None = None, edition: Sequence[str] = (), keep: Keep = lazily
+def shared_evidence(
+    works: DataFrame, keep: Keep, rows: DataFrame | None = None, edition: Sequence[str] = ()
 ) -> DataFrame:
-    """All grouped evidence of the works (or of the given entry rows, which carry their edition)."""
-    entries = count_entries(evidence_rows(works) if rows is None else rows, edition)
-    if keep is lazily:
-        return group_evidence(entries, edition)
-    matched = matched_entries(keep(entries, "entries"), works)
-    return keep(group_evidence(matched, edition), "evidence")
+    """Grouped evidence for the shared keys only.
+
+    Every other work has its own entries at hand (``text_evidence`` with
+    ``own``). In a table of one row per DOI the shared keys are few, so the
+    works meet a small table and stay where they are. ``rows`` may hold the
+    entries with their edition.
+    """
+    entries = (evidence_rows(works) if rows is None else rows).withColumn("doi_key", F.lower("doi"))
+    shared = keep(shared_keys(works), "shared")
+    return keep(group_evidence(entries.join(shared, "doi_key", "left_semi"), edition), "evidence")
 
 
-def text_evidence(works: DataFrame) -> DataFrame:
-    """The row-local part of ``alltrials``: abstracts and the ids found in them."""
+def text_evidence(works: DataFrame, own: bool = False) -> DataFrame:
+    """The row-local part of ``alltrials``: abstracts and the ids found in them.
+
+    With ``own`` also the entries that the work holds under its own DOI.
+    """
     base = works.select(
         "doi",
         doi_key(works),
@@ -200,6 +223,7 @@ def text_evidence(works: DataFrame) -> DataFrame:
         F.col("crossref.abstract").alias("abstract_CROSSREF"),
         F.col(PUBMED_ABSTRACT).alias("abstract_PUBMED"),
         F.expr(has_items(FIELD)).alias("CROSSREF_clintrial_fromfield_found"),
+        *([F.expr(_OWN_ENTRIES).alias("own_entries")] if own else []),
     )
     return trial_ids_in_text(
         base,
@@ -222,12 +246,18 @@ def _by_spelling(kind: str) -> str:
 
 
 def attach_evidence(works: DataFrame, evidence: DataFrame, edition: Sequence[str] = ()) -> DataFrame:
-    """Join the grouped evidence to the works and write out its entries."""
+    """Join the grouped evidence to the works and write out its entries.
+
+    Works that carry their own entries use them where no evidence is joined;
+    evidence of a shared key includes them.
+    """
     joined = works.join(evidence, [*edition, "doi_key"], "left")
+    if "own_entries" in works.columns:
+        joined = joined.withColumn("entries", F.coalesce("entries", "own_entries"))
     for kind in (REGISTRY, DATABANK, CROSSREF):
         joined = joined.withColumn(kind, F.expr(f"explode_outer({_by_spelling(kind)})"))
     return joined.select(
-        *works.columns,
+        *[name for name in works.columns if name != "own_entries"],
         F.expr(repeat_items(REGISTRY, _AS_BANK)).alias("PUBMED_clintrial_fromfield"),
         F.col(REGISTRY).isNotNull().alias("PUBMED_clintrial_fromfield_found"),
         F.expr(repeat_items(DATABANK, _AS_BANK)).alias("PUBMED_opendata_fromfield"),

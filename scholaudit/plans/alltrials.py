@@ -12,12 +12,14 @@ from scholaudit.operators.trial_ids import (
     any_source_trials,
     attach_evidence,
     evidence_rows,
+    group_evidence,
     id_list_strings,
     published_after,
+    shared_evidence,
     text_evidence,
     trial_evidence,
 )
-from scholaudit.sources.staging import Keep, lazily
+from scholaudit.sources.staging import Keep
 
 # Output columns in order.
 SOURCES = (
@@ -58,17 +60,17 @@ def combine(searched: DataFrame, evidence: DataFrame, edition: tuple[str, ...] =
     return any_source_trials(id_list_strings(joined)).select(*edition, *COLUMNS)
 
 
-def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: DataFrame | None = None) -> DataFrame:
+def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, shared: DataFrame | None = None) -> DataFrame:
     """One institution's table.
 
-    ``evidence`` may be passed in from a written table: its size is then known
-    before the join, and when it fits the broadcast threshold the wide works
-    table is not shuffled at all.
+    ``shared`` is the evidence of shared keys, read from a written table
+    (``shared_evidence``). Its size is then known before the join; when it
+    fits the broadcast threshold the wide works table is not shuffled at all.
+    Without it all evidence is grouped and joined within the plan.
     """
     recent = published_after(works, cutoff)
-    if evidence is None:
-        evidence = trial_evidence(recent)
-    return combine(text_evidence(recent), evidence).select(
+    evidence = trial_evidence(recent) if shared is None else shared
+    return combine(text_evidence(recent, own=shared is not None), evidence).select(
         "*",
         F.lit(provenance.works_table).alias("var_AcademicObservatory_doi"),
         F.lit(cutoff).cast("bigint").alias("var_SQL_year_cutoff"),
@@ -77,20 +79,22 @@ def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, evidence: D
     )
 
 
-def evidence_by_cutoff(works: DataFrame, cutoffs: Iterable[int], keep: Keep = lazily) -> DataFrame:
-    """Grouped evidence per cutoff; only found entries are repeated for the cutoffs."""
+def shared_by_cutoff(works: DataFrame, cutoffs: Iterable[int], keep: Keep) -> DataFrame:
+    """Evidence of shared keys per cutoff; only entries are repeated for the cutoffs."""
     years = sorted(set(cutoffs))
     recent = published_after(works, years[0])
-    return trial_evidence(recent, with_cutoffs(evidence_rows(recent), years), (CUTOFF,), keep)
+    return shared_evidence(recent, keep, with_cutoffs(evidence_rows(recent), years), (CUTOFF,))
 
 
-def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], evidence: DataFrame | None = None) -> DataFrame:
+def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], shared: DataFrame | None = None) -> DataFrame:
     """One table for all institutions, with a row set per distinct cutoff.
 
     Texts are searched once, before the rows are repeated for the cutoffs.
     """
     years = sorted(set(cutoffs))
+    recent = published_after(works, years[0])
+    evidence = shared
     if evidence is None:
-        evidence = evidence_by_cutoff(works, years)
-    searched = text_evidence(published_after(works, years[0]))
+        evidence = group_evidence(with_cutoffs(evidence_rows(recent), years), (CUTOFF,))
+    searched = text_evidence(recent, own=shared is not None)
     return combine(with_cutoffs(searched, years), evidence, (CUTOFF,))

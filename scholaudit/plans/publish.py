@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from scholaudit.config import Institution, Provenance, Run
 from scholaudit.functions.sql import inline_table
 from scholaudit.operators.audit import utility_years
-from scholaudit.operators.trial_ids import published_after, trial_evidence
-from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, evidence_by_cutoff
+from scholaudit.operators.trial_ids import published_after, shared_evidence
+from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, shared_by_cutoff
 from scholaudit.plans.many import INSTITUTION, all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
 from scholaudit.plans.trials import trials
@@ -37,8 +37,8 @@ YEARS = "utility_years"
 
 def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None:
     """One institution: ``alltrials``, ``trials`` and ``pubs``, then the latest copies."""
-    shared = [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE]
-    require_tables(spark, [*input_names(institution), *shared])
+    common = [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE]
+    require_tables(spark, [*input_names(institution), *common])
     create_database(spark, institution.output_database)
     create_database(spark, institution.latest_database)
 
@@ -47,8 +47,8 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     names = dict(zip(("alltrials", "trials", "pubs"), output_names(run, institution), strict=True))
 
     keep = stager(f"{institution.institution_id}_{run.run_version}")
-    evidence = trial_evidence(published_after(works, institution.year_cutoff), keep=keep)
-    create_or_replace(alltrials(works, institution.year_cutoff, provenance, evidence), names["alltrials"])
+    shared = shared_evidence(published_after(works, institution.year_cutoff), keep)
+    create_or_replace(alltrials(works, institution.year_cutoff, provenance, shared), names["alltrials"])
     found = spark.table(names["alltrials"])
 
     listed = read_input(spark, institution, institution.trials_table)
@@ -99,9 +99,9 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     institution. ``trials`` and ``pubs`` are partitioned by institution and
     ``alltrials`` by cutoff.
     """
-    shared = [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE]
+    common = [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE]
     wanted = [name for institution in run.institutions for name in input_names(institution)]
-    require_tables(spark, [*wanted, *shared])
+    require_tables(spark, [*wanted, *common])
     latest = f"{database}_latest"
     create_database(spark, database)
     create_database(spark, latest)
@@ -110,9 +110,9 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     works = read_works(spark, run)
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
     keep = stager(f"{database}_{run.run_version}")
-    evidence = evidence_by_cutoff(works, cutoffs.values(), keep)
+    shared = shared_by_cutoff(works, cutoffs.values(), keep)
     version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
-    searched = alltrials_by_cutoff(works, cutoffs.values(), evidence).select(
+    searched = alltrials_by_cutoff(works, cutoffs.values(), shared).select(
         "*",
         F.lit(run.works_table).alias("var_AcademicObservatory_doi"),
         F.col(CUTOFF).alias("var_SQL_year_cutoff"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
 from scholaudit.operators import publications, trial_ids, trial_links
-from scholaudit.plans.alltrials import alltrials
+from scholaudit.plans.alltrials import alltrials, alltrials_by_cutoff, shared_by_cutoff
 from scholaudit.plans.pubs import COLUMNS, audit_publications
 from scholaudit.sources.staging import stager
 
@@ -138,13 +138,33 @@ def test_a_placeholder_doi_gathers_nothing(spark):
     rows = [work(f"10.1/{n}", pubmed=("n/a", None, [("ISRCTN", [f"I{n}"])])) for n in range(HOT)]
     rows += [work(f"10.2/{n}", pubmed=(f"10.2/{n}".upper(), None, [("ISRCTN", [f"J{n}"])])) for n in range(HOT)]
     rows += [work(f"10.3/{n}", pubmed=(f"10.1/{n % 5}", None, [("GEO", [f"G{n}"])])) for n in range(HOT)]
+    rows += [work("10.2/1", numbers=[("N", "t")])]
     df = works(spark, *rows)
-    evidence = trial_ids.trial_evidence(df, keep=stager("placeholder"))
-    keys = {row.doi_key for row in evidence.collect()}
-    assert keys == {f"10.2/{n}" for n in range(HOT)} | {f"10.1/{n}" for n in range(5)}
+    shared = trial_ids.shared_evidence(df, stager("placeholder"))
+    assert {row.doi_key for row in shared.collect()} == {"10.2/1"} | {f"10.1/{n}" for n in range(5)}
     assert "n/a" in {row.doi_key for row in trial_ids.trial_evidence(df).collect()}
-    pruned, whole = alltrials(df, 1, PROVENANCE, evidence), alltrials(df, 1, PROVENANCE)
-    assert plain(pruned.collect()) == plain(whole.collect())
+    split, whole = alltrials(df, 1, PROVENANCE, shared), alltrials(df, 1, PROVENANCE)
+    assert plain(split.collect()) == plain(whole.collect())
+
+
+def test_own_entries_equal_grouped_ones(spark, hot_works):
+    """Works take their own entries where no other work is concerned, and the result is the same."""
+    extra = [
+        work("10.9/a", numbers=[("n2", None), (None, "t"), ("n2", None)], pubmed=("10.9/A", "x", [("DRKS", None)])),
+        work("10.9/B", numbers=[("n3", "t")], pubmed=("10.9/b", None, [("GEO", ["G"]), ("GEO", ["G"]), ("x", [])])),
+        work("10.9/c", pubmed=("10.9/a", None, [("CTRI", ["C"])])),
+        work("10.9/d", year=2000, pubmed=("10.9/d", None, [("CTRI", ["D"])])),
+        work("10.9/D", year=2020, numbers=[("n4", None)]),
+    ]
+    df = hot_works.unionByName(works(spark, *extra))
+    for cutoff in (1, 2010):
+        recent = trial_ids.published_after(df, cutoff)
+        shared = trial_ids.shared_evidence(recent, stager(f"own{cutoff}"))
+        split, whole = alltrials(df, cutoff, PROVENANCE, shared), alltrials(df, cutoff, PROVENANCE)
+        assert plain(split.collect()) == plain(whole.collect())
+    shared = shared_by_cutoff(df, (1, 2010), stager("own"))
+    split, whole = alltrials_by_cutoff(df, (1, 2010), shared), alltrials_by_cutoff(df, (1, 2010))
+    assert plain(split.collect()) == plain(whole.collect())
 
 
 def test_skewed_partitions_are_split(spark, hot_works):
@@ -157,8 +177,8 @@ def test_skewed_partitions_are_split(spark, hot_works):
     try:
         many = hot_works.where("doi IS NULL").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_")
         skewed = many.unionByName(hot_works).repartition(40)
-        evidence = trial_ids.trial_evidence(skewed, keep=stager("skewed"))
-        df = alltrials(skewed, 1, PROVENANCE, evidence)
+        shared = trial_ids.shared_evidence(skewed, stager("skewed"))
+        df = alltrials(skewed, 1, PROVENANCE, shared)
         assert df.count() == HOT * 203
         df.collect()
         assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
