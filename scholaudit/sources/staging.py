@@ -6,6 +6,7 @@ planner its true size for the joins that read it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +37,18 @@ def stager(prefix: str) -> Keep:
     return lambda df, name: stage(df, f"{prefix}/{name}")
 
 
+def staged_or_lazy(spark: SparkSession, prefix: str) -> Keep:
+    """Stage where the session names a shared folder, else leave all to one plan."""
+    return stager(prefix) if spark.conf.get(SETTING, None) else lazily
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows under this application's folder and read them back."""
+    """Write the rows under this application's folder and read them back.
+
+    Every call has a folder of its own, so that plans built earlier stay valid.
+    """
     spark = df.sparkSession
-    folder = f"{staging_root(spark).rstrip('/')}/_staged/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(folder)
+    root = f"{staging_root(spark).rstrip('/')}/_staged/{spark.sparkContext.applicationId}"
+    folder = f"{root}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
