@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholaudit.llm import bloom_dedup, bpe, mixing, quality_rules, url_language_model
+from scholaudit.llm import bloom_dedup, bpe, jaccard_join, mixing, quality_rules, url_language_model
 from scholaudit.llm.shared import read_table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -31,6 +31,10 @@ def op7_bloom_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return bloom_dedup.duplicate_groups(documents(spark, folder))
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link_components(documents(spark, folder))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_schedule(documents(spark, folder), max_repetition=2.0)
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op4_url_language_model": op4_url_language_model,
     "op6_bpe": op6_bpe,
     "op7_bloom_dedup": op7_bloom_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 

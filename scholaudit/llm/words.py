@@ -42,7 +42,7 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     hashes = word_hashes(words)
     count = max(1, len(words) - size + 1)
-    value = np.full(count, np.uint64(min(len(words), size)) * _A)
+    value = np.full(count, min(len(words), size), np.uint64) * _A
     for shift in range(min(len(words), size)):
         value = mixed(value * _A + hashes[shift : shift + count])
     return value
