@@ -16,9 +16,11 @@ often they occur, as counted over all data in a sketch of fixed size, then by
 hash; a common passage comes last and makes no region. Within a region the
 triangle inequality of the size of the symmetric difference is used: with c_j
 the shingles of x in hash class j, |x - y| + |y - x| >= sum |c_j(x) - c_j(y)|,
-which tells almost all unlike pairs apart without their sets. What may still
-link is tied together by a spanning forest, never by all pairs, and the
-components of these ties are the regions of the second level.
+which tells almost all unlike pairs apart without their sets. It is used
+twice, with 16 classes that travel with every point, and for the points that
+have a partner left with n / 8 classes. What may still link is tied together
+by a spanning forest, never by all pairs, and the components of these ties are
+the regions of the second level.
 
 Second level: whole documents are pivots. Each point is measured to some
 pivots and goes to the cell of the nearest one and to every cell that is at
@@ -58,13 +60,14 @@ from scholaudit.llm.words import mixed, shingles, signed
 
 SKETCH_BITS = 20  # the sketch of shingle counts has 2 ** 20 cells of 4 bytes
 SKETCH_BLOCK = 4096
-CLASSES = 16  # hash classes that a point carries its counts of
+CLASSES = 16  # hash classes whose counts travel with every point
+PER_CLASS = 8  # shingles of a set for each class of its fine profile, about
 ROWS_PER_BUCKET = 250_000  # of the first level
 HOT = 100_000  # a pivot more frequent than this ties its documents without looking at them
 REGION_SHINGLES = 8_000_000  # a region with more of them isn't joined in one task
 TASK_SHINGLES = 4_000_000  # regions are packed to about so many
 PIVOTS, SMALL = 8, 48  # of the second level
-BLOCK_SHINGLES = 1_000_000  # of the points of a large region sent at once
+BLOCK_SHINGLES = 4_000_000  # of the points of a large region sent at once
 
 POINT = np.dtype([("shingle", "<u8"), ("key", "<i8"), ("n", "<i4"), ("profile", "u1", CLASSES)])
 
@@ -84,9 +87,14 @@ def least_overlap(n, percent: int):
     return (percent * n + 99) // 100
 
 
-def profile(hashes: np.ndarray) -> np.ndarray:
-    """Counts by hash class, modulo 256."""
-    return np.bincount((hashes & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES).astype(np.uint8)
+def profile(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """Counts by hash class, modulo 256; those of half the classes are the sums of the two halves."""
+    return np.bincount((hashes & np.uint64(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint8)
+
+
+def fine_classes(n):
+    """A power of two: CLASSES at least, else from n / PER_CLASS up to twice that."""
+    return 1 << max(CLASSES.bit_length() - 1, ((n - 1) // PER_CLASS).bit_length())
 
 
 def may_link(n, profile_of, others_n, others_profile, percent: int) -> np.ndarray:
@@ -94,12 +102,11 @@ def may_link(n, profile_of, others_n, others_profile, percent: int) -> np.ndarra
 
     Two linked sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
     """
-    gap = others_profile - profile_of
+    fit = np.minimum(others_n, n) * 100 >= percent * np.maximum(others_n, n)
+    gap = others_profile[fit] - profile_of
     gap = np.minimum(gap, -gap).sum(axis=-1, dtype=np.int64)
-    both = others_n + n
-    return (np.minimum(others_n, n) * 100 >= percent * np.maximum(others_n, n)) & (
-        (100 + percent) * gap <= (100 - percent) * both
-    )
+    fit[fit] = (100 + percent) * gap <= (100 - percent) * (others_n[fit] + n)
+    return fit
 
 
 def linked(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
@@ -153,20 +160,21 @@ def _measure(size: int):
             rows = 0
 
         for batch in batches:
-            keys, counts = [], []
+            keys, counts, fine = [], [], []
             for text in batch.column(2):
                 hashes = shingle_set(text.as_buffer().to_pybytes(), size)
                 keys.append(set_key(hashes))
                 counts.append(len(hashes))
+                fine.append(profile(hashes, fine_classes(len(hashes))).tobytes())
                 waiting.append(hashes)
                 rows += len(hashes)
                 if rows > 2_000_000:
                     count()
             none = pa.nulls(len(keys), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), none,
-                 pa.nulls(len(keys), pa.binary())],
-                names=["doc_id", "text_hash", "key", "n_shingles", "block", "counts"],
+                [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(counts, pa.int64()),
+                 pa.array(fine, pa.binary()), none, pa.nulls(len(keys), pa.binary())],
+                names=["doc_id", "text_hash", "key", "n_shingles", "fine", "block", "counts"],
             )
             ids = batch.schema.field(0).type
         if rows:
@@ -175,22 +183,22 @@ def _measure(size: int):
         if len(used):
             blocks = np.minimum(sketch, 2**32 - 1).astype("<u4").reshape(-1, SKETCH_BLOCK)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(used), ids), *[pa.nulls(len(used), pa.int64())] * 3, pa.array(used, pa.int32()),
-                 pa.array([blocks[place].tobytes() for place in used], pa.binary())],
-                names=["doc_id", "text_hash", "key", "n_shingles", "block", "counts"],
+                [pa.nulls(len(used), ids), *[pa.nulls(len(used), pa.int64())] * 3, pa.nulls(len(used), pa.binary()),
+                 pa.array(used, pa.int32()), pa.array([blocks[place].tobytes() for place in used], pa.binary())],
+                names=["doc_id", "text_hash", "key", "n_shingles", "fine", "block", "counts"],
             )
 
     return run
 
 
 def measured_documents(docs: DataFrame, size: int, id_column: str, text_column: str) -> tuple[DataFrame, np.ndarray]:
-    """``(doc_id, text_hash, key, n_shingles)`` of every row, and the sketch of all shingles' counts."""
+    """``(doc_id, text_hash, key, n_shingles, fine profile)`` of every row, and the sketch of all shingles' counts."""
     text = whole_text(docs, text_column)
     rows = docs.select(
         column(docs, id_column).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_hash long, key long, n_shingles long, block int, counts binary"
+    schema = f"doc_id {kind}, text_hash long, key long, n_shingles long, fine binary, block int, counts binary"
     both = stage(rows.mapInArrow(_measure(size), schema), "sets_and_counts")
 
     def add(parts: pa.Table) -> pa.Table:
@@ -267,30 +275,73 @@ def _regions(size: int, percent: int, buckets: int, hot: int, sketch):
     return run
 
 
-def _ties(percent: int):
-    """A spanning forest of the pairs in a bucket's regions that may link."""
+def _starts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values start and end."""
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.int64)
+    return starts, np.r_[starts[1:], len(values)]
+
+
+def _partnered(percent: int):
+    """``(bucket, shingle, key)`` of a bucket's points with a partner that the coarse profiles allow."""
 
     def run(table: pa.Table) -> pa.Table:
         points = np.concatenate([np.frombuffer(part.as_buffer(), POINT) for part in table.column("points")])
-        order = np.lexsort((points["key"], points["shingle"]))
-        points = points[order]
+        points = points[np.lexsort((points["key"], points["shingle"]))]
         same = (points["shingle"][1:] == points["shingle"][:-1]) & (points["key"][1:] == points["key"][:-1])
         points = points[np.r_[True, ~same]]
-        starts = np.flatnonzero(np.r_[True, points["shingle"][1:] != points["shingle"][:-1]])
-        ends = np.r_[starts[1:], len(points)]
+        partnered = np.zeros(len(points), bool)
+        starts, ends = _starts(points["shingle"])
         several = ends - starts > 1
-        keys, place = np.unique(points["key"], return_inverse=True)
-        forest = Forest(len(keys))
         for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
-            region, nodes = points[start:end], place[start:end]
-            n, profiles = region["n"].astype(np.int64), region["profile"]
-            left = np.arange(1, end - start)
-            first = 0
-            while len(left):  # ties what may link to a point, then goes on from the next
-                found = may_link(n[first], profiles[first], n[left], profiles[left], percent)
-                for other in nodes[left[found]].tolist():
-                    forest.join(int(nodes[first]), other)
-                first, left = int(left[0]), left[1:]
+            n, profiles = points["n"][start:end].astype(np.int64), points["profile"][start:end]
+            for place in range(end - start - 1):
+                fit = may_link(n[place], profiles[place], n[place + 1 :], profiles[place + 1 :], percent)
+                if fit.any():
+                    partnered[start + place] = True
+                    partnered[start + place + 1 : end] |= fit
+        kept = points[partnered]
+        bucket = table.column("bucket")[0].as_py()
+        return pa.table(
+            {"bucket": pa.array([bucket] * len(kept), pa.int32()), "shingle": signed(kept["shingle"].copy()),
+             "key": kept["key"].copy()}
+        )
+
+    return run
+
+
+def _ties(percent: int):
+    """A spanning forest of the pairs in a bucket's regions that the fine profiles allow."""
+
+    def run(table: pa.Table) -> pa.Table:
+        shingle, key = (table.column(name).to_numpy() for name in ("shingle", "key"))
+        keys, first, place = np.unique(key, return_index=True, return_inverse=True)
+        sizes = table.column("n_shingles").to_numpy()[first].astype(np.int64)
+        fine = [np.frombuffer(table.column("fine")[row].as_buffer(), np.uint8) for row in first.tolist()]
+        order = np.lexsort((sizes[place], shingle))
+        shingle, place = shingle[order], place[order]
+        forest = Forest(len(keys))
+        for start, end in zip(*(ends.tolist() for ends in _starts(shingle)), strict=True):
+            # By size, so that the others have as many classes as the point itself, or twice as many.
+            nodes = place[start:end]
+            n = sizes[nodes]
+            classes = np.array([len(fine[node]) for node in nodes.tolist()])
+            stacked: dict[int, tuple[int, int, np.ndarray]] = {}
+            for size in np.unique(classes).tolist():
+                low, high = np.searchsorted(classes, (size, size + 1))
+                stacked[size] = (int(low), int(high), np.array([fine[node] for node in nodes[low:high].tolist()]))
+            for here, (node, many) in enumerate(zip(nodes.tolist(), classes.tolist(), strict=True)):
+                for size in (many, 2 * many):
+                    low, high, profiles = stacked.get(size, (0, 0, None))
+                    begin, stop = max(low, here + 1), int(np.searchsorted(n, n[here] * 100 // percent + 1))
+                    stop = min(stop, high)
+                    if begin >= stop:
+                        continue
+                    profiles = profiles[begin - low : stop - low]
+                    if size != many:
+                        profiles = profiles[:, :many] + profiles[:, many:]
+                    found = may_link(n[here], fine[node], n[begin:stop], profiles, percent)
+                    for other in nodes[begin:stop][found].tolist():
+                        forest.join(node, other)
         nodes = np.arange(len(keys))
         roots = forest.roots(nodes)
         tied = nodes != roots
@@ -299,21 +350,35 @@ def _ties(percent: int):
     return run
 
 
-def tied_points(docs: DataFrame, size: int, percent: int, rows: int, sketch: np.ndarray, text_column: str, hot: int):
+def tied_points(
+    docs: DataFrame, measured: DataFrame, size: int, percent: int, sketch: np.ndarray, text_column: str, hot: int
+) -> DataFrame:
     """Edges ``(key, root)`` that connect all points that may link."""
-    spark = docs.sparkSession
-    counted = spark.sparkContext.broadcast(sketch)
-    buckets = max(1, math.ceil(rows / ROWS_PER_BUCKET))
-    points = (
-        docs.select(whole_text(docs, text_column).alias("text"))
-        .mapInArrow(
-            _regions(size, percent, buckets, hot, counted), "bucket int, shingle long, key long, points binary"
-        )
+    counted = docs.sparkSession.sparkContext.broadcast(sketch)
+    window = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / F.lit(100)) + 1
+    rows = measured.where("n_shingles > 0").agg(F.sum(window)).first()[0] or 0
+    buckets = max(1, math.ceil(int(rows) / ROWS_PER_BUCKET))
+    points = docs.select(whole_text(docs, text_column).alias("text")).mapInArrow(
+        _regions(size, percent, buckets, hot, counted), "bucket int, shingle long, key long, points binary"
     )
-    if int(sketch.max(initial=0)) <= hot:  # then there are no rows of hot pivots
-        return points.groupBy("bucket").applyInArrow(_ties(percent), "key long, root long")
-    points = stage(points, "regions")
-    ties = points.where("bucket is not null").groupBy("bucket").applyInArrow(_ties(percent), "key long, root long")
+    some_hot = int(sketch.max(initial=0)) > hot
+    if some_hot:
+        points = stage(points, "regions")
+    partnered = (
+        points.where("bucket is not null")
+        .groupBy("bucket")
+        .applyInArrow(_partnered(percent), "bucket int, shingle long, key long")
+    )
+    partnered = stage(partnered, "partnered_points")
+    fine = measured.where("n_shingles > 0").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("fine").alias("fine"))
+    ties = (
+        partnered.join(fine, "key")
+        .select("bucket", "shingle", "key", "n_shingles", "fine")
+        .groupBy("bucket")
+        .applyInArrow(_ties(percent), "key long, root long")
+    )
+    if not some_hot:
+        return ties
     frequent = points.where("bucket is null").select("shingle", "key").distinct()
     centres = stage(frequent.groupBy("shingle").agg(F.min("key").alias("root")), "hot_pivots")
     return ties.unionByName(frequent.join(centres, "shingle").where("key <> root").select("key", "root"))
@@ -328,7 +393,8 @@ class Region:
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.sets, self.percent = sets, percent
         self.n = np.array([len(hashes) for hashes in sets], np.int64)
-        self.profiles = np.array([profile(mixed(hashes)) for hashes in sets])
+        classes = fine_classes(int(np.median(self.n)))
+        self.profiles = np.array([profile(mixed(hashes), classes) for hashes in sets])
         self.forest = Forest(len(sets))
 
     def distance(self, first: int, second: int) -> float:
@@ -406,24 +472,25 @@ def _send_block(block: list[tuple[int, int, bytes]], percent: int):
     """Compares all points of large regions with some of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
-        for region, key, hashes in block:
-            values = np.frombuffer(hashes, "<u8")
-            sent.setdefault(region, []).append((key, values, profile(mixed(values))))
+        sent: dict[int, tuple[list, list, np.ndarray, np.ndarray]] = {}
+        for region in {row[0] for row in block}:
+            keys = [row[1] for row in block if row[0] == region]
+            sets = [np.frombuffer(row[2], "<u8") for row in block if row[0] == region]
+            sizes = np.array([len(hashes) for hashes in sets], np.int64)
+            classes = fine_classes(int(np.median(sizes)))
+            sent[region] = (keys, sets, sizes, np.array([profile(mixed(hashes), classes) for hashes in sets]))
         for batch in batches:
             pairs = []
             for region, key, hashes in zip(
                 batch.column("region").to_pylist(), batch.column("key").to_pylist(), batch.column("hashes"), strict=True
             ):
-                values = np.frombuffer(hashes.as_buffer(), "<u8")
-                own = profile(mixed(values))
-                for other, theirs, their_profile in sent.get(region, ()):
-                    if (
-                        other != key
-                        and may_link(len(values), own, np.array([len(theirs)]), their_profile[None, :], percent)[0]
-                        and linked(values, theirs, percent)
-                    ):
-                        pairs.append((key, other))
+                if region in sent:
+                    keys, sets, sizes, profiles = sent[region]
+                    values = np.frombuffer(hashes.as_buffer(), "<u8")
+                    own = profile(mixed(values), profiles.shape[1])
+                    for place in np.flatnonzero(may_link(len(values), own, sizes, profiles, percent)).tolist():
+                        if keys[place] != key and linked(values, sets[place], percent):
+                            pairs.append((key, keys[place]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([pair[0] for pair in pairs], pa.int64()), pa.array([pair[1] for pair in pairs], pa.int64())],
                 names=["key", "root"],
@@ -484,9 +551,7 @@ def set_components(
 ) -> DataFrame:
     """``(key, root)`` of all sets that may link with another one."""
     spark = docs.sparkSession
-    window = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / F.lit(100)) + 1
-    rows = measured.where("n_shingles > 0").agg(F.sum(window)).first()[0] or 0
-    ties = tied_points(docs, size, percent, int(rows), sketch, text_column, hot)
+    ties = tied_points(docs, measured, size, percent, sketch, text_column, hot)
     regions = components(ties, "key", "root").withColumnsRenamed({"node": "key", "root": "region"})
 
     first = F.min(F.struct("text_hash", F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first")
