@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholaudit.llm import bloom_dedup, bpe, jaccard_join, mixing, quality_rules, url_language_model
+from scholaudit.llm import bloom_dedup, bpe, jaccard_join, mixing, quality_rules, suffix_dedup, url_language_model
 from scholaudit.llm.shared import read_table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -35,6 +35,10 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.link_components(documents(spark, folder))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_substrings(documents(spark, folder))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_schedule(documents(spark, folder), max_repetition=2.0)
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_bloom_dedup": op7_bloom_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
 
