@@ -16,6 +16,14 @@ within 132 bytes before a sample suffix that has an equal are sorted by all
 ``length`` bytes. The sample decides nothing by itself, and whatever it lets
 through is compared in full.
 
+Long repeats would still send each of their suffixes. So the first sort also
+takes spans: of all suffixes one in 32 is chosen by its own fingerprint, hence
+the same ones in equal passages, and a span is the text from one chosen suffix
+to the end of the next one. Where a span has an equal, all suffixes in it do.
+One span of each class of equals still sends its suffixes, so that others can
+meet them; beside these, the second sort is left with the suffixes around the
+ends of repeats.
+
 Tasks first combine equal suffixes of their own texts, so that a passage in a
 third of all documents reaches its bucket once per task and not once per
 document. Texts move between machines only where the sample found something;
@@ -38,7 +46,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,17 +54,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, fresh, stage, whole_text
-from scholaudit.llm.words import mixed, signed
+from scholaudit.llm.shared import column, stage, whole_text
+from scholaudit.llm.words import mixed
 
 # A perfect difference set: every residue but 0 is the difference of exactly one pair.
 PERIOD = 133
 COVER = np.array([0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109])
 
-PIECE = PERIOD * 30_000  # a longer text is read in pieces of so many bytes
+PIECE = PERIOD * 7_500  # a longer text is read in pieces of so many bytes
 BLOCK = 1_000_000  # suffixes that a task combines before it sends them
-BUCKET = 6_000_000  # suffixes of a bucket
+BUCKET = 3_000_000  # suffixes of a bucket
 SAMPLE_BYTES, FULL_BYTES = 4, 7  # of a fingerprint that are sent beside the bucket
+CHOSEN = 32  # one suffix in so many ends a span
 FILTER_BITS = 23  # the Bloom filter has 2 ** 23 bits, 1 MB
 FILTER_BLOCK = 1 << 14
 
@@ -90,6 +99,16 @@ class Fingerprints:
         return mixed((sums[places + length] - sums[places]) * self.down[places])
 
 
+def unpacked(data) -> bytes:
+    """A text as ``_passing`` packs it: its size in eight bytes, then zstd."""
+    size = int.from_bytes(bytes(data[:8]), "little")
+    return pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def packed(data) -> bytes:
+    return len(data).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if len(data) else b"")
+
+
 def pieces(size: int) -> Iterator[int]:
     yield from range(0, max(size, 1), PIECE)
 
@@ -103,6 +122,42 @@ def sample_places(size: int, length: int) -> np.ndarray:
     return places[places <= last]
 
 
+def chosen_suffixes(data, prints: Fingerprints, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and fingerprints of the suffixes that end spans."""
+    places, found = [], []
+    for begin in range(0, len(data) - length + 1, PIECE):
+        count = min(PIECE, len(data) - length + 1 - begin)
+        values = prints.of(data[begin : begin + count + length - 1], np.arange(count), length)
+        here = np.flatnonzero(values % np.uint64(CHOSEN) == 0)
+        places.append(here + begin)
+        found.append(values[here])
+    return (np.concatenate(places), np.concatenate(found)) if places else (np.empty(0, np.int64), np.empty(0, np.uint64))
+
+
+def span_prints(places: np.ndarray, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and fingerprints of the spans between neighbours; suffixes farther apart than ``length`` make none."""
+    steps = np.diff(places)
+    numbers = np.flatnonzero(steps <= length)
+    ends = mixed(prints[numbers]) + prints[numbers + 1]
+    return numbers, mixed(ends * np.uint64(_BASE) + steps[numbers].astype(np.uint64))
+
+
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Rising numbers as gaps of one or two bytes; the largest value stands for itself and goes on."""
+    gaps = np.diff(numbers, prepend=0)
+    kind, most = ("<u1", 255) if len(gaps) and gaps.mean() < 128 else ("<u2", 65_535)
+    ends = np.cumsum(gaps // most + 1)
+    values = np.full(ends[-1] if len(ends) else 0, most, kind)
+    values[ends - 1] = gaps % most
+    return kind[2].encode() + values.tobytes()
+
+
+def unpacked_numbers(data) -> np.ndarray:
+    kind = "<u" + bytes(data[:1]).decode()
+    values = np.frombuffer(data, kind, offset=1)
+    return np.cumsum(values, dtype=np.int64)[values != np.iinfo(kind).max]
+
+
 def candidate_ranges(marks: np.ndarray, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last place of the runs of suffixes that lie up to 132 bytes before a mark."""
     first = np.maximum(marks - (PERIOD - 1), 0)
@@ -119,12 +174,17 @@ def candidate_ranges(marks: np.ndarray, size: int, length: int) -> tuple[np.ndar
 
 
 class Block:
-    """Suffixes of one task, numbered in order, and the directory of the texts they are from."""
+    """Suffixes of one task, numbered in order, and the directory of the texts they are from.
+
+    ``offset`` is the first of the block's buckets, ``width`` the bytes of a
+    fingerprint that are sent, ``sorts`` names what the numbers count.
+    """
 
-    def __init__(self, number: int, buckets: int, width: int):
-        self.number, self.buckets, self.width = number, buckets, width
+    def __init__(self, number: int, sorts: str, buckets: int, width: int, offset: int = 0):
+        self.number, self.sorts, self.buckets, self.width, self.offset = number, sorts, buckets, width, offset
         self.prints: list[np.ndarray] = []
         self.directory: list[tuple[int, int, int, int]] = []  # text, size of text, first place, suffixes
+        self.certain: list[tuple[int, int, int]] = []  # text, first byte and byte behind the last to remove
         self.count = 0
 
     def add(self, text: int, size: int, first: int, prints: np.ndarray) -> None:
@@ -134,30 +194,33 @@ class Block:
 
     def rows(self) -> pa.RecordBatch:
         """What to send to the buckets; the directory and own repeats go to a group of the block alone."""
-        prints = np.concatenate(self.prints)
-        own, first, inverse, counts = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
-        repeated = np.flatnonzero(counts[inverse] > 1).astype("<u4")
+        prints = np.concatenate([np.empty(0, np.uint64), *self.prints])
+        _, first, inverse, counts = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+        own = np.flatnonzero(counts[inverse] > 1)
+        leaders = np.sort(first[counts > 1])
         first.sort()
         prints = prints[first]
         bucket = ((prints >> np.uint64(48)) % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) > 0])
         groups, payloads = [], []
-        for part in np.split(order, starts[1:]):
-            numbers = first[part]
-            gaps = np.diff(numbers, prepend=0)
-            kind = "<u1" if gaps.max() < 2**8 else "<u2" if gaps.max() < 2**16 else "<u4"
+        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
             values = prints[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : self.width]
-            groups.append(int(bucket[part[0]]))
-            payloads.append(bytes([int(kind[2])]) + values.tobytes() + gaps.astype(kind).tobytes())
-        alone = -1 - self.number
-        directory = np.array(self.directory, "<i8").tobytes()
+            groups.append(self.offset + int(bucket[part[0]]))
+            payloads.append(
+                len(part).to_bytes(4, "little") + bytes([self.width]) + values.tobytes() + packed_numbers(first[part])
+            )
+        alone = {
+            self.sorts: np.array(self.directory, "<i8").tobytes(),
+            "own": packed_numbers(own),
+            "leaders": packed_numbers(leaders),
+            "certain": np.array(self.certain, "<i8").tobytes(),
+        }
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([*groups, alone, alone], pa.int64()),
-                pa.array([self.number] * (len(groups) + 2), pa.int64()),
-                pa.array(["suffixes"] * len(groups) + ["directory", "repeated"], pa.string()),
-                pa.array([*payloads, directory, repeated.tobytes()], pa.binary()),
+                pa.array([*groups, *[-1 - self.number] * len(alone)], pa.int64()),
+                pa.array([self.number] * (len(groups) + len(alone)), pa.int64()),
+                pa.array(["suffixes"] * len(groups) + list(alone), pa.string()),
+                pa.array([*payloads, *alone.values()], pa.binary()),
             ],
             names=["bucket", "block", "kind", "data"],
         )
@@ -166,60 +229,82 @@ class Block:
 SENT = "bucket long, block long, kind string, data binary"
 
 
-def _sort_bucket(width: int) -> Callable[[pa.Table], pa.Table]:
-    """Sorts a bucket of suffixes and answers with the numbers of those that have an equal."""
+def _sort_bucket(leaders_from: int | None = None):
+    """Sorts a bucket of suffixes and answers with the numbers of those that have an equal.
+
+    Buckets from ``leaders_from`` on also answer which one is the first of its equals.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        if table.column("bucket")[0].as_py() < 0:
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:
             return table.select(["block", "kind", "data"])
-        blocks, sizes, prints, numbers = [], [], [], []
+        blocks, prints, numbers = [], [], []
         for block, data in zip(table.column("block").to_pylist(), table.column("data"), strict=True):
             data = data.as_buffer()
-            gap = np.frombuffer(data, np.uint8, 1)[0].item()
-            count = (len(data) - 1) // (width + gap)
+            count, width = int.from_bytes(bytes(data[:4]), "little"), bytes(data[4:5])[0]
             value = np.zeros((count, 8), np.uint8)
-            value[:, :width] = np.frombuffer(data, np.uint8, count * width, 1).reshape(count, width)
+            value[:, :width] = np.frombuffer(data, np.uint8, count * width, 5).reshape(count, width)
             blocks.append(block)
-            sizes.append(count)
             prints.append(value.view("<u8").ravel())
-            numbers.append(np.cumsum(np.frombuffer(data, f"<u{gap}", count, 1 + count * width), dtype=np.int64))
+            numbers.append(unpacked_numbers(data[5 + count * width :]))
+        ends = np.cumsum([len(part) for part in prints])[:-1]
         prints = np.concatenate(prints)
-        order = np.argsort(prints, kind="stable")
+        order = np.argsort(prints)
         prints = prints[order]
-        equal = prints[1:] == prints[:-1]
-        found = np.zeros(len(order), bool)
-        found[order[1:]] |= equal
-        found[order[:-1]] |= equal
-        answers = [
-            number[mark].astype("<u4").tobytes()
-            for number, mark in zip(numbers, np.split(found, np.cumsum(sizes)[:-1]), strict=True)
-        ]
+        equal = np.r_[False, prints[1:] == prints[:-1], False]
+        del prints
+        has_equal, leads = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        has_equal[order[equal[1:] | equal[:-1]]] = True
+        leads[order[equal[1:] & ~equal[:-1]]] = True
+        answers = {"repeated": has_equal}
+        if leaders_from is not None and bucket >= leaders_from:
+            answers["leaders found"] = leads
+        parts = {
+            kind: [packed_numbers(own[mark]) for own, mark in zip(numbers, np.split(marks, ends), strict=True)]
+            for kind, marks in answers.items()
+        }
         return pa.table(
-            {"block": pa.array(blocks, pa.int64()), "kind": ["repeated"] * len(blocks),
-             "data": pa.array(answers, pa.binary())}
+            {
+                "block": pa.array(blocks * len(parts), pa.int64()),
+                "kind": [kind for kind in parts for _ in blocks],
+                "data": pa.array([data for part in parts.values() for data in part], pa.binary()),
+            }
         )
 
     return run
 
 
-def _answers(table: pa.Table) -> Iterator[tuple[int, int, list[tuple[int, np.ndarray]]]]:
-    """Of one block: each text's hash and size, and its runs of places with the suffixes found in them."""
-    marks, directory = [], None
+def _union(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, np.int64), *parts]))
+
+
+def _answers(table: pa.Table) -> Iterator[tuple[str, int, int, list[tuple[int, np.ndarray, np.ndarray]]]]:
+    """Of one block: what it sorts, and of each text the hash, the size and the runs of suffixes.
+
+    A run has the first place and the numbers of the suffixes found in it, of all and of leaders.
+    """
+    numbers: dict[str, list[np.ndarray]] = {"repeated": [], "leaders found": [], "own": [], "leaders": []}
+    directory, sorts = np.empty((0, 4), np.int64), ""
     for kind, data in zip(table.column("kind").to_pylist(), table.column("data"), strict=True):
-        if kind == "directory":
-            directory = np.frombuffer(data.as_buffer(), "<i8").reshape(-1, 4)
-        else:
-            marks.append(np.frombuffer(data.as_buffer(), "<u4"))
-    marks = np.sort(np.concatenate(marks).astype(np.int64))
+        if kind in numbers:
+            numbers[kind].append(unpacked_numbers(data.as_buffer()))
+        elif kind != "certain":
+            directory, sorts = np.frombuffer(data.as_buffer(), "<i8").reshape(-1, 4), kind
+    elsewhere = _union(numbers["repeated"])
+    every = _union([elsewhere, *numbers["own"]])
+    leading = _union([*numbers["leaders found"], np.setdiff1d(_union(numbers["leaders"]), elsewhere)])
     ends = np.cumsum(directory[:, 3])
-    cuts = np.searchsorted(marks, np.r_[0, ends])
-    texts: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
+    cuts, leading_cuts = (np.searchsorted(marks, np.r_[0, ends]) for marks in (every, leading))
+    texts: dict[tuple[int, int], list[tuple[int, np.ndarray, np.ndarray]]] = {}
     for row, (text, size, first, count) in enumerate(directory.tolist()):
-        own = marks[cuts[row] : cuts[row + 1]]
+        begin = ends[row] - count
+        own = every[cuts[row] : cuts[row + 1]] - begin
         if len(own):
-            texts.setdefault((text, size), []).append((first, own - (ends[row] - count)))
+            leads = leading[leading_cuts[row] : leading_cuts[row + 1]] - begin
+            texts.setdefault((text, size), []).append((first, own, leads))
     for (text, size), runs in texts.items():
-        yield text, size, runs
+        yield sorts, text, size, runs
 
 
 # ---- Bloom filter of texts
@@ -258,13 +343,26 @@ def text_filter(rows: DataFrame, name: str) -> np.ndarray:
     return np.unpackbits(bits.ravel()).astype(bool)
 
 
-def _passing(known, name: str, wanted: bool):
-    """Keeps the rows whose text may be (or can't be) in the filter."""
+def _passing(known, wanted: bool = True, once: bool = False, pack: bool = False):
+    """Keeps the rows whose text may be (or can't be) in the filter.
+
+    With ``once`` a text is kept once per batch; with ``pack`` its data is compressed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column(name).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(known.value[_filter_cells(hashes)].all(axis=0) == wanted))
+            hashes = batch.column("text_hash").to_numpy(zero_copy_only=False)
+            keep = known.value[_filter_cells(hashes)].all(axis=0) == wanted
+            if once:
+                first = np.zeros(len(hashes), bool)
+                first[np.unique(hashes, return_index=True)[1]] = True
+                keep &= first
+            batch = batch.filter(pa.array(keep))
+            if pack:
+                place = batch.schema.get_field_index("data")
+                data = pa.array([packed(value.as_buffer()) for value in batch.column(place)], pa.binary())
+                batch = batch.set_column(place, batch.schema.field(place), data)
+            yield batch
 
     return run
 
@@ -276,12 +374,20 @@ def _block_number() -> Iterator[int]:
     yield from range(TaskContext.get().partitionId() << 24, (TaskContext.get().partitionId() + 1) << 24)
 
 
-def _send_sample(length: int, buckets: int):
+def _send_first(length: int, buckets: int):
+    """The sample suffixes, and the spans, which have buckets of their own."""
     short = length - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, prints = _block_number(), Fingerprints(PIECE + length)
-        block = Block(next(numbers), buckets, SAMPLE_BYTES)
+
+        def blocks() -> tuple[Block, Block]:
+            return (
+                Block(next(numbers), "sample", buckets, SAMPLE_BYTES),
+                Block(next(numbers), "spans", buckets, FULL_BYTES, buckets),
+            )
+
+        sample, spans = blocks()
         for batch in batches:
             for text, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = data.as_buffer()
@@ -290,75 +396,129 @@ def _send_sample(length: int, buckets: int):
                     inside = places[(places >= begin) & (places < begin + PIECE)]
                     if len(inside):
                         part = data[begin : begin + PIECE + length]
-                        block.add(text, len(data), begin, prints.of(part, inside - begin, short))
-                if block.count >= BLOCK:
-                    yield block.rows()
-                    block = Block(next(numbers), buckets, SAMPLE_BYTES)
-        if block.count:
-            yield block.rows()
+                        sample.add(text, len(data), begin, prints.of(part, inside - begin, short))
+                chosen, found = chosen_suffixes(data, prints, length)
+                _, found = span_prints(chosen, found, length)
+                if len(found):
+                    spans.add(text, len(data), 0, found)
+                if sample.count >= BLOCK:
+                    yield sample.rows()
+                    yield spans.rows()
+                    sample, spans = blocks()
+        if sample.count:
+            yield sample.rows()
+            yield spans.rows()
 
     return run
 
 
-def _read_sample(length: int):
-    """``(text_hash, n_bytes, n_suffixes, marks)``: places of the sample suffixes with an equal."""
+FOUND = ("marks", "spans", "leaders")
+
+
+def _read_first(length: int):
+    """``(text_hash, n_suffixes, marks, spans, leaders)``: what has an equal, in each text.
+
+    Marks are places of sample suffixes; spans and leaders are numbers of spans.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         rows = []
-        for text, size, runs in _answers(table):
+        for sorts, text, size, runs in _answers(table):
+            if sorts == "spans":
+                spans, leaders = (np.concatenate([part[kind] for part in runs]) for kind in (1, 2))
+                rows.append((text, 0, None, spans.astype("<i8").tobytes(), leaders.astype("<i8").tobytes()))
+                continue
             places = sample_places(size, length)
-            marks = np.concatenate([places[np.searchsorted(places, first) + own] for first, own in runs])
-            first, last = candidate_ranges(np.sort(marks), size, length)
-            rows.append((text, size, int((last - first + 1).sum()), np.sort(marks).astype("<i8").tobytes()))
+            marks = np.sort(np.concatenate([places[np.searchsorted(places, first) + own] for first, own, _ in runs]))
+            first, last = candidate_ranges(marks, size, length)
+            rows.append((text, int((last - first + 1).sum()), marks.astype("<i8").tobytes(), None, None))
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.table(
-            {
-                "text_hash": pa.array([row[0] for row in rows], pa.int64()),
-                "n_bytes": pa.array([row[1] for row in rows], pa.int64()),
-                "n_suffixes": pa.array([row[2] for row in rows], pa.int64()),
-                "marks": pa.array([row[3] for row in rows], pa.binary()),
-            }
+            [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)],
+            names=["text_hash", "n_suffixes", *FOUND],
         )
 
     return run
 
 
+def uncertain_ranges(
+    first: np.ndarray, last: np.ndarray, certain_first: np.ndarray, certain_last: np.ndarray
+) -> Iterator[tuple[int, int]]:
+    """The ranges without the certain ones; both are in order and free of overlaps."""
+    cuts = iter([*zip(certain_first.tolist(), certain_last.tolist(), strict=True), (1 << 62, 1 << 62)])
+    cut_first, cut_last = next(cuts)
+    for start, stop in zip(first.tolist(), last.tolist(), strict=True):
+        while start <= stop:
+            while cut_last < start:
+                cut_first, cut_last = next(cuts)
+            if cut_first > start:
+                yield start, min(stop, cut_first - 1)
+            start = max(start, min(stop, cut_first - 1) + 1)
+            if cut_first <= start:
+                start = cut_last + 1
+
+
+def united_ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges in order, of which neighbours that share a place become one."""
+    new = np.r_[True, first[1:] > last[:-1]][: len(first)]
+    return first[new], last[np.r_[new[1:], True][: len(first)]]
+
+
 def _send_full(length: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, prints = _block_number(), Fingerprints(PIECE + length)
-        block = Block(next(numbers), buckets, FULL_BYTES)
+        block = Block(next(numbers), "full", buckets, FULL_BYTES)
         before = None
         for batch in batches:
-            for text, data, marks in zip(
-                batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True
+            for text, data, *found in zip(
+                batch.column(0).to_pylist(), batch.column(1), *[batch.column(place).to_pylist() for place in (2, 3, 4)],
+                strict=True,
             ):
                 if text == before:
                     continue  # a copy, which is removed anyway
                 before = text
-                data = data.as_buffer()
-                first, last = candidate_ranges(np.frombuffer(marks.as_buffer(), "<i8"), len(data), length)
-                for begin in pieces(len(data)):
-                    for start, stop in zip(
-                        np.maximum(first, begin).tolist(), np.minimum(last, begin + PIECE - 1).tolist(), strict=True
-                    ):
-                        if start <= stop:
-                            part = data[start : stop + length]
-                            block.add(text, len(data), start, prints.of(part, np.arange(stop - start + 1), length))
+                data = unpacked(data.as_buffer())
+                marks, spans, leaders = (np.frombuffer(part or b"", "<i8") for part in found)
+                first, last = candidate_ranges(marks, len(data), length)
+                known_first = known_last = np.empty(0, np.int64)
+                if len(spans):
+                    chosen, ends = chosen_suffixes(data, prints, length)
+                    numbered, _ = span_prints(chosen, ends, length)
+                    sure = numbered[spans]
+                    block.certain += [
+                        (text, start, stop + length)
+                        for start, stop in zip(*(end.tolist() for end in united_ranges(chosen[sure], chosen[sure + 1])), strict=True)
+                    ]
+                    known = numbered[np.setdiff1d(spans, leaders)]
+                    known_first, known_last = united_ranges(chosen[known], chosen[known + 1])
+                for start, stop in uncertain_ranges(first, last, known_first, known_last):
+                    for begin in range(start, stop + 1, PIECE):
+                        count = min(PIECE, stop + 1 - begin)
+                        part = data[begin : begin + count + length - 1]
+                        block.add(text, len(data), begin, prints.of(part, np.arange(count), length))
                 if block.count >= BLOCK:
                     yield block.rows()
-                    block = Block(next(numbers), buckets, FULL_BYTES)
-        if block.count:
+                    block = Block(next(numbers), "full", buckets, FULL_BYTES)
+        if block.count or block.certain:
             yield block.rows()
 
     return run
 
 
 def _read_full(length: int):
-    """``(text_hash, spans)``: first and behind-the-last byte of the maximal runs to remove."""
+    """``(text_hash, spans)``: first and behind-the-last byte of runs to remove."""
 
     def run(table: pa.Table) -> pa.Table:
         texts, spans = [], []
-        for text, _, runs in _answers(table):
-            places = np.sort(np.concatenate([first + own for first, own in runs]))
+        for kind, data in zip(table.column("kind").to_pylist(), table.column("data"), strict=True):
+            if kind == "certain":
+                rows = np.frombuffer(data.as_buffer(), "<i8").reshape(-1, 3)
+                for part in np.split(rows, np.flatnonzero(np.diff(rows[:, 0])) + 1) if len(rows) else ():
+                    texts.append(part[0, 0].item())
+                    spans.append(np.ascontiguousarray(part[:, 1:]).tobytes())
+        for _, text, _, runs in _answers(table):
+            places = np.sort(np.concatenate([first + own for first, own, _ in runs]))
             new = np.r_[True, places[1:] > places[:-1] + length]
             texts.append(text)
             spans.append(
@@ -369,7 +529,7 @@ def _read_full(length: int):
     return run
 
 
-def unite_spans(parts: list[bytes], length: int) -> np.ndarray:
+def unite_spans(parts: list[bytes]) -> np.ndarray:
     """Spans that overlap or touch become one."""
     spans = np.concatenate([np.frombuffer(part, "<i8").reshape(-1, 2) for part in parts])
     spans = spans[np.argsort(spans[:, 0], kind="stable")]
@@ -378,8 +538,8 @@ def unite_spans(parts: list[bytes], length: int) -> np.ndarray:
     return np.stack((spans[new, 0], np.r_[reach[:-1][new[1:]], reach[-1]]), axis=1)
 
 
-def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
-    """``(text_hash, whole, spans)`` of the texts ``(text_hash, text)`` with something to remove."""
+def repeated_spans(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Of texts ``(text_hash, text)``: ``(text_hash, spans)`` to remove from single ones, and the hashes of copied ones."""
     context = texts.sparkSession.sparkContext
     sizes = stage(
         texts.select("text_hash", F.octet_length("text").cast("long").alias("n_bytes"))
@@ -388,98 +548,98 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies")),
         "text_sizes",
     )
-    suffixes = sizes.agg(F.sum("n_bytes")).first()[0] or 0
+    suffixes = sizes.agg(F.sum(F.col("n_bytes") * F.col("copies"))).first()[0] or 0
     buckets = max(1, math.ceil(suffixes * len(COVER) / PERIOD / BUCKET))
-    sample = (
+    answered = "block long, kind string, data binary"
+    first = (
         texts.select("text_hash", F.encode("text", "utf-8").alias("data"))
-        .mapInArrow(_send_sample(length, buckets), SENT)
+        .mapInArrow(_send_first(length, buckets), SENT)
         .groupBy("bucket")
-        .applyInArrow(_sort_bucket(SAMPLE_BYTES), "block long, kind string, data binary")
+        .applyInArrow(_sort_bucket(leaders_from=buckets), answered)
         .groupBy("block")
-        .applyInArrow(_read_sample(length), "text_hash long, n_bytes long, n_suffixes long, marks binary")
+        .applyInArrow(
+            _read_first(length), "text_hash long, n_suffixes long, marks binary, spans binary, leaders binary"
+        )
     )
-    # A long text can lie in several blocks: its rows stay apart and are read one by one.
-    marks = stage(sample, "sample_marks")
+    marks = stage(first, "first_sort")
     some = context.broadcast(text_filter(marks, "text_hash"))
     total = marks.agg(F.sum("n_suffixes")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET))
     rows = (
         texts.select("text_hash", F.encode("text", "utf-8").alias("data"))
-        .mapInArrow(_passing(some, "text_hash", True), "text_hash long, data binary")
+        .mapInArrow(_passing(some, once=True, pack=True), "text_hash long, data binary")
         .join(_one_row(marks), "text_hash")
-        .select("text_hash", "data", "marks")
+        .select("text_hash", "data", *FOUND)
         .sortWithinPartitions("text_hash")
     )
     spans = (
         rows.mapInArrow(_send_full(length, buckets), SENT)
         .groupBy("bucket")
-        .applyInArrow(_sort_bucket(FULL_BYTES), "block long, kind string, data binary")
+        .applyInArrow(_sort_bucket(), answered)
         .groupBy("block")
         .applyInArrow(_read_full(length), "text_hash long, spans binary")
     )
-    copied = sizes.where("copies > 1").select("text_hash", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("spans"))
-    both = copied.unionByName(spans.withColumn("whole", F.lit(False)))
-    return stage(
-        both.groupBy("text_hash").agg(F.max("whole").alias("whole"), F.collect_list("spans").alias("spans")),
-        "repeated_spans",
-    )
+    copied = stage(sizes.where("copies > 1").select("text_hash"), "copied_texts")
+    single = spans.groupBy("text_hash").agg(F.collect_set("spans").alias("spans"))
+    return stage(single.join(copied, "text_hash", "left_anti"), "repeated_spans"), copied
 
 
 def _one_row(marks: DataFrame) -> DataFrame:
-    """One row per text: its marks from all blocks, sorted; a text's copies agree in theirs."""
+    """One row per text with marks: what was found in it, from all blocks; a text's copies agree in that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             united = [
-                np.unique(np.concatenate([np.frombuffer(part, "<i8") for part in parts])).tobytes()
-                for parts in batch.column(1).to_pylist()
+                [_union([np.frombuffer(part, "<i8") for part in parts]).tobytes() for parts in column.to_pylist()]
+                for column in batch.columns[1:]
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(united, pa.binary())], names=["text_hash", "marks"]
+                [batch.column(0), *[pa.array(values, pa.binary()) for values in united]], names=["text_hash", *FOUND]
             )
 
-    grouped = marks.groupBy("text_hash").agg(F.collect_set("marks").alias("marks"))
-    return stage(grouped.mapInArrow(run, "text_hash long, marks binary"), "marks_of_texts")
-
+    grouped = marks.groupBy("text_hash").agg(*[F.collect_set(name).alias(name) for name in FOUND])
+    rows = grouped.where(F.size("marks") > 0)
+    return stage(rows.mapInArrow(run, "text_hash long, marks binary, spans binary, leaders binary"), "found_in_texts")
 
-def _cut(length: int):
-    """Of ``(doc, data, whole, spans)``: what is left of the data, and the numbers."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, removed, runs, kept = [], [], [], []
-            for data, whole, parts in zip(
-                batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
-            ):
-                if whole and len(data) >= length:
-                    spans = np.array([[0, len(data)]])
-                elif parts:
-                    spans = unite_spans(parts, length)
-                else:
-                    spans = np.empty((0, 2), np.int64)
-                left, at = [], 0
-                for start, stop in spans.tolist():
-                    left.append(data[at:start])
-                    at = stop
-                left.append(data[at:])
-                kept.append(b"".join(left))
-                sizes.append(len(data))
-                removed.append(len(data) - len(kept[-1]))
-                runs.append(len(spans))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(values, pa.int64()) for values in (sizes, removed, runs)],
-                 pa.array(kept, pa.binary())],
-                names=["doc", "n_bytes", "n_removed", "n_spans", "kept"],
-            )
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of ``(doc, data, spans)``: the numbers, and what is left of the data."""
+    for batch in batches:
+        sizes, removed, runs, kept = [], [], [], []
+        for data, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            data, spans = unpacked(data), unite_spans(parts)
+            left, at = [], 0
+            for start, stop in spans.tolist():
+                left.append(data[at:start])
+                at = stop
+            left.append(data[at:])
+            kept.append(b"".join(left))
+            sizes.append(len(data))
+            removed.append(len(data) - len(kept[-1]))
+            runs.append(len(spans))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array(values, pa.int64()) for values in (sizes, removed, runs)],
+             pa.array(kept, pa.binary())],
+            names=["doc", "n_bytes", "n_removed", "n_spans", "kept"],
+        )
 
-    return run
 
+def _split(rows: DataFrame, spans: DataFrame, copied: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows ``(doc, data, text_hash)``: unchanged ones, those to cut with their spans, others, and what others are joined with.
 
-def _split(rows: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose text has nothing to remove, and the others joined with what to remove."""
-    known = rows.sparkSession.sparkContext.broadcast(text_filter(spans, "text_hash"))
-    clean, touched = (rows.mapInArrow(_passing(known, "text_hash", wanted), rows.schema) for wanted in (False, True))
-    return clean, touched.join(spans, "text_hash", "left").select("doc", "data", "whole", "spans")
+    Only rows to be cut move with their data, which is joined with the spans;
+    of those that are copies or pass a filter by chance, narrow rows move.
+    """
+    context = rows.sparkSession.sparkContext
+    touched = spans.select("text_hash", F.lit(False).alias("whole")).unionByName(
+        copied.withColumn("whole", F.lit(True))
+    )
+    any_filter = context.broadcast(text_filter(touched, "text_hash"))
+    span_filter = context.broadcast(text_filter(spans, "text_hash"))
+    clean = rows.mapInArrow(_passing(any_filter, wanted=False), rows.schema)
+    cut = rows.mapInArrow(_passing(span_filter, pack=True), rows.schema).join(spans, "text_hash").select("doc", "data", "spans")
+    others = rows.mapInArrow(_passing(any_filter), rows.schema)
+    return clean, cut, others, stage(touched, "touched_texts")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,36 +657,53 @@ def repeated_substrings(
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     text = whole_text(docs, text_column)
     texts = docs.select(column(docs, id_column).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    spans = repeated_spans(texts.select("text_hash", "text"), length)
-    clean, touched = _split(texts.select("doc", F.encode("text", "utf-8").alias("data"), "text_hash"), spans)
+    spans, copied = repeated_spans(texts.select("text_hash", "text"), length)
+    rows = texts.select("doc", F.encode("text", "utf-8").alias("data"), "text_hash")
+    clean, cut, others, touched = _split(rows, spans, copied)
     kind = texts.schema["doc"].dataType.simpleString()
-    cut = touched.mapInArrow(_cut(length), f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     changed = cut.mapInArrow(
-        _digest, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        _cut, f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
+    ).mapInArrow(_digest, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+    size, digest, none = F.octet_length("data").cast("long"), F.sha2("data", 256), F.lit(0).cast("long")
+    narrow = others.select("doc", size.alias("n_bytes"), digest.alias("digest"), "text_hash")
+    rest = narrow.join(touched, "text_hash", "left").where("whole is null or whole")
+    gone = F.col("whole").isNotNull()
+    uncut = rest.select(
+        F.col("doc").alias("doc_id"),
+        "n_bytes",
+        F.when(gone, F.col("n_bytes")).otherwise(none).alias("n_removed"),
+        F.when(gone, F.lit(1).cast("long")).otherwise(none).alias("n_spans"),
+        F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("digest")).alias("kept_sha256"),
     )
     same = clean.select(
         F.col("doc").alias("doc_id"),
-        F.octet_length("data").cast("long").alias("n_bytes"),
-        *[F.lit(0).cast("long").alias(name) for name in ("n_removed", "n_spans")],
-        F.sha2("data", 256).alias("kept_sha256"),
+        size.alias("n_bytes"),
+        none.alias("n_removed"),
+        none.alias("n_spans"),
+        digest.alias("kept_sha256"),
     )
-    return same.unionByName(changed)
+    return same.unionByName(uncut).unionByName(changed)
 
 
 def without_repeats(docs: DataFrame, length: int = 200, text_column: str = "text") -> DataFrame:
     """The rows with what is left of their texts, with the columns of ``docs``."""
     names = [name for name in docs.columns if name.lower() != text_column.lower()]
     text = whole_text(docs, text_column)
-    doc = F.struct(*[column(docs, name).alias(f"c{place}") for place, name in enumerate(names)])
+    doc = F.struct(F.lit(0).alias("none"), *[column(docs, name).alias(f"c{place}") for place, name in enumerate(names)])
     texts = docs.select(doc.alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    spans = repeated_spans(texts.select("text_hash", "text"), length)
-    clean, touched = _split(texts.select("doc", F.encode("text", "utf-8").alias("data"), "text_hash"), spans)
+    spans, copied = repeated_spans(texts.select("text_hash", "text"), length)
+    rows = texts.select("doc", F.encode("text", "utf-8").alias("data"), "text_hash")
+    clean, cut, others, touched = _split(rows, spans, copied)
     kind = texts.schema["doc"].dataType.simpleString()
-    cut = touched.mapInArrow(_cut(length), f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
-    left = fresh(docs, "kept")
-    both = clean.select("doc", F.col("data").alias(left)).unionByName(cut.select("doc", F.col("kept").alias(left)))
-    fields = {name: F.col(f"doc.c{place}") for place, name in enumerate(names)}
-    readable = F.when(F.is_valid_utf8(F.col(left).cast("string")), F.col(left).cast("string")).otherwise(
-        F.make_valid_utf8(F.col(left).cast("string"))
+    changed = cut.mapInArrow(_cut, f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    rest = others.join(touched, "text_hash", "left").where("whole is null or whole")
+    left = F.when(F.col("whole").isNull(), F.col("data")).otherwise(F.lit(b""))
+    every = (
+        clean.select("doc", F.col("data").alias("kept"))
+        .unionByName(rest.select("doc", left.alias("kept")))
+        .unionByName(changed.select("doc", "kept"))
     )
-    return both.select(*[fields[name].alias(name) if name in fields else readable.alias(name) for name in docs.columns])
+    fields = {name: F.col(f"doc.c{place}") for place, name in enumerate(names)}
+    readable = F.make_valid_utf8(F.col("kept").cast("string"))
+    return every.select(*[fields[name].alias(name) if name in fields else readable.alias(name) for name in docs.columns])
