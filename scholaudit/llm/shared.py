@@ -10,8 +10,10 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,13 @@ def without_spaces(text: Column) -> Column:
     return F.translate(text, SPACES, "")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts, so that a task's copies of texts stay small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """A table of the registered queries, whose tasks will need this package."""
     ship_package(spark)

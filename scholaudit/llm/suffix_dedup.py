@@ -54,7 +54,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, stage, whole_text
+from scholaudit.llm.shared import column, slices, stage, whole_text
 from scholaudit.llm.words import mixed
 
 # A perfect difference set: every residue but 0 is the difference of exactly one pair.
@@ -343,26 +343,21 @@ def text_filter(rows: DataFrame, name: str) -> np.ndarray:
     return np.unpackbits(bits.ravel()).astype(bool)
 
 
-def _passing(known, wanted: bool = True, once: bool = False, pack: bool = False):
-    """Keeps the rows whose text may be (or can't be) in the filter.
-
-    With ``once`` a text is kept once per batch; with ``pack`` its data is compressed.
-    """
+def _passing(known, once: bool = False):
+    """Keeps the rows whose text may be in the filter, with packed data; with ``once`` a text once per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             hashes = batch.column("text_hash").to_numpy(zero_copy_only=False)
-            keep = known.value[_filter_cells(hashes)].all(axis=0) == wanted
+            keep = known.value[_filter_cells(hashes)].all(axis=0)
             if once:
                 first = np.zeros(len(hashes), bool)
                 first[np.unique(hashes, return_index=True)[1]] = True
                 keep &= first
             batch = batch.filter(pa.array(keep))
-            if pack:
-                place = batch.schema.get_field_index("data")
-                data = pa.array([packed(value.as_buffer()) for value in batch.column(place)], pa.binary())
-                batch = batch.set_column(place, batch.schema.field(place), data)
-            yield batch
+            place = batch.schema.get_field_index("data")
+            data = pa.array([packed(value.as_buffer()) for value in batch.column(place)], pa.binary())
+            yield batch.set_column(place, batch.schema.field(place), data)
 
     return run
 
@@ -388,7 +383,7 @@ def _send_first(length: int, buckets: int):
             )
 
         sample, spans = blocks()
-        for batch in batches:
+        for batch in slices(batches):
             for text, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = data.as_buffer()
                 places = sample_places(len(data), length)
@@ -470,7 +465,7 @@ def _send_full(length: int, buckets: int):
         numbers, prints = _block_number(), Fingerprints(PIECE + length)
         block = Block(next(numbers), "full", buckets, FULL_BYTES)
         before = None
-        for batch in batches:
+        for batch in slices(batches):
             for text, data, *found in zip(
                 batch.column(0).to_pylist(), batch.column(1), *[batch.column(place).to_pylist() for place in (2, 3, 4)],
                 strict=True,
@@ -491,7 +486,8 @@ def _send_full(length: int, buckets: int):
                         for start, stop in zip(*(end.tolist() for end in united_ranges(chosen[sure], chosen[sure + 1])), strict=True)
                     ]
                     known = numbered[np.setdiff1d(spans, leaders)]
-                    known_first, known_last = united_ranges(chosen[known], chosen[known + 1])
+                    # The last suffix of a span belongs to the next one.
+                    known_first, known_last = united_ranges(chosen[known], chosen[known + 1] - 1)
                 for start, stop in uncertain_ranges(first, last, known_first, known_last):
                     for begin in range(start, stop + 1, PIECE):
                         count = min(PIECE, stop + 1 - begin)
@@ -538,12 +534,14 @@ def unite_spans(parts: list[bytes]) -> np.ndarray:
     return np.stack((spans[new, 0], np.r_[reach[:-1][new[1:]], reach[-1]]), axis=1)
 
 
-def repeated_spans(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Of texts ``(text_hash, text)``: ``(text_hash, spans)`` to remove from single ones, and the hashes of copied ones."""
+def repeated_spans(texts: DataFrame, narrow: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Of texts ``(text_hash, text)``: ``(text_hash, spans)`` to remove from single ones, and the hashes of copied ones.
+
+    ``narrow`` has text_hash and n_bytes of the same rows.
+    """
     context = texts.sparkSession.sparkContext
     sizes = stage(
-        texts.select("text_hash", F.octet_length("text").cast("long").alias("n_bytes"))
-        .where(F.col("n_bytes") >= length)
+        narrow.where(F.col("n_bytes") >= length)
         .groupBy("text_hash", "n_bytes")
         .agg(F.count(F.lit(1)).alias("copies")),
         "text_sizes",
@@ -567,7 +565,7 @@ def repeated_spans(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]
     buckets = max(1, math.ceil(total / BUCKET))
     rows = (
         texts.select("text_hash", F.encode("text", "utf-8").alias("data"))
-        .mapInArrow(_passing(some, once=True, pack=True), "text_hash long, data binary")
+        .mapInArrow(_passing(some, once=True), "text_hash long, data binary")
         .join(_one_row(marks), "text_hash")
         .select("text_hash", "data", *FOUND)
         .sortWithinPartitions("text_hash")
@@ -602,53 +600,36 @@ def _one_row(marks: DataFrame) -> DataFrame:
     return stage(rows.mapInArrow(run, "text_hash long, marks binary, spans binary, leaders binary"), "found_in_texts")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of ``(doc, data, spans)``: the numbers, and what is left of the data."""
-    for batch in batches:
-        sizes, removed, runs, kept = [], [], [], []
-        for data, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            data, spans = unpacked(data), unite_spans(parts)
-            left, at = [], 0
-            for start, stop in spans.tolist():
-                left.append(data[at:start])
-                at = stop
-            left.append(data[at:])
-            kept.append(b"".join(left))
-            sizes.append(len(data))
-            removed.append(len(data) - len(kept[-1]))
-            runs.append(len(spans))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *[pa.array(values, pa.int64()) for values in (sizes, removed, runs)],
-             pa.array(kept, pa.binary())],
-            names=["doc", "n_bytes", "n_removed", "n_spans", "kept"],
-        )
-
+def _cut(keep_data: bool):
+    """Of ``(doc, data, spans)``: doc, the numbers, and what is left of the data or its digest."""
 
-def _split(rows: DataFrame, spans: DataFrame, copied: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Rows ``(doc, data, text_hash)``: unchanged ones, those to cut with their spans, others, and what others are joined with.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sizes, removed, runs, kept = [], [], [], []
+            for data, parts in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                data, spans = unpacked(data.as_buffer()), unite_spans(parts)
+                left, at = [], 0
+                for start, stop in spans.tolist():
+                    left.append(data[at:start])
+                    at = stop
+                left = b"".join([*left, data[at:]])
+                kept.append(left if keep_data else hashlib.sha256(left).hexdigest())
+                sizes.append(len(data))
+                removed.append(len(data) - len(left))
+                runs.append(len(spans))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(values, pa.int64()) for values in (sizes, removed, runs)],
+                 pa.array(kept, pa.binary() if keep_data else pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept" if keep_data else "kept_sha256"],
+            )
 
-    Only rows to be cut move with their data, which is joined with the spans;
-    of those that are copies or pass a filter by chance, narrow rows move.
-    """
-    context = rows.sparkSession.sparkContext
-    touched = spans.select("text_hash", F.lit(False).alias("whole")).unionByName(
-        copied.withColumn("whole", F.lit(True))
-    )
-    any_filter = context.broadcast(text_filter(touched, "text_hash"))
-    span_filter = context.broadcast(text_filter(spans, "text_hash"))
-    clean = rows.mapInArrow(_passing(any_filter, wanted=False), rows.schema)
-    cut = rows.mapInArrow(_passing(span_filter, pack=True), rows.schema).join(spans, "text_hash").select("doc", "data", "spans")
-    others = rows.mapInArrow(_passing(any_filter), rows.schema)
-    return clean, cut, others, stage(touched, "touched_texts")
+    return run
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = [hashlib.sha256(data.as_buffer()).hexdigest() for data in batch.column(4)]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:4], pa.array(digests, pa.string())],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-        )
+def _to_cut(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``(doc, data, spans)`` of the rows ``(doc, data, text_hash)`` to cut; only about these move with their data."""
+    known = rows.sparkSession.sparkContext.broadcast(text_filter(spans, "text_hash"))
+    return rows.mapInArrow(_passing(known), rows.schema).join(spans, "text_hash").select("doc", "data", "spans")
 
 
 def repeated_substrings(
@@ -657,33 +638,35 @@ def repeated_substrings(
     """One row per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     text = whole_text(docs, text_column)
     texts = docs.select(column(docs, id_column).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    spans, copied = repeated_spans(texts.select("text_hash", "text"), length)
-    rows = texts.select("doc", F.encode("text", "utf-8").alias("data"), "text_hash")
-    clean, cut, others, touched = _split(rows, spans, copied)
+    data = F.encode("text", "utf-8")
+    narrow = stage(
+        texts.select(
+            "doc", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(data, 256).alias("digest")
+        ),
+        "narrow_rows",
+    )
+    spans, copied = repeated_spans(texts.select("text_hash", "text"), narrow, length)
     kind = texts.schema["doc"].dataType.simpleString()
-    changed = cut.mapInArrow(
-        _cut, f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
-    ).mapInArrow(_digest, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-
-    size, digest, none = F.octet_length("data").cast("long"), F.sha2("data", 256), F.lit(0).cast("long")
-    narrow = others.select("doc", size.alias("n_bytes"), digest.alias("digest"), "text_hash")
-    rest = narrow.join(touched, "text_hash", "left").where("whole is null or whole")
-    gone = F.col("whole").isNotNull()
-    uncut = rest.select(
-        F.col("doc").alias("doc_id"),
-        "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(none).alias("n_removed"),
-        F.when(gone, F.lit(1).cast("long")).otherwise(none).alias("n_spans"),
-        F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("digest")).alias("kept_sha256"),
+    changed = _to_cut(texts.select("doc", data.alias("data"), "text_hash"), spans).mapInArrow(
+        _cut(keep_data=False), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    )
+    touched = stage(
+        spans.select("text_hash", F.lit(False).alias("whole")).unionByName(copied.withColumn("whole", F.lit(True))),
+        "touched_texts",
     )
-    same = clean.select(
-        F.col("doc").alias("doc_id"),
-        size.alias("n_bytes"),
-        none.alias("n_removed"),
-        none.alias("n_spans"),
-        digest.alias("kept_sha256"),
+    gone, none = F.col("whole").isNotNull(), F.lit(0).cast("long")
+    uncut = (
+        narrow.join(touched, "text_hash", "left")
+        .where("whole is null or whole")
+        .select(
+            F.col("doc").alias("doc_id"),
+            "n_bytes",
+            F.when(gone, F.col("n_bytes")).otherwise(none).alias("n_removed"),
+            F.when(gone, F.lit(1).cast("long")).otherwise(none).alias("n_spans"),
+            F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("digest")).alias("kept_sha256"),
+        )
     )
-    return same.unionByName(uncut).unionByName(changed)
+    return uncut.unionByName(changed)
 
 
 def without_repeats(docs: DataFrame, length: int = 200, text_column: str = "text") -> DataFrame:
@@ -692,18 +675,17 @@ def without_repeats(docs: DataFrame, length: int = 200, text_column: str = "text
     text = whole_text(docs, text_column)
     doc = F.struct(F.lit(0).alias("none"), *[column(docs, name).alias(f"c{place}") for place, name in enumerate(names)])
     texts = docs.select(doc.alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    spans, copied = repeated_spans(texts.select("text_hash", "text"), length)
+    narrow = texts.select("text_hash", F.octet_length("text").cast("long").alias("n_bytes"))
+    spans, copied = repeated_spans(texts.select("text_hash", "text"), narrow, length)
     rows = texts.select("doc", F.encode("text", "utf-8").alias("data"), "text_hash")
-    clean, cut, others, touched = _split(rows, spans, copied)
     kind = texts.schema["doc"].dataType.simpleString()
-    changed = cut.mapInArrow(_cut, f"doc {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
-    rest = others.join(touched, "text_hash", "left").where("whole is null or whole")
-    left = F.when(F.col("whole").isNull(), F.col("data")).otherwise(F.lit(b""))
-    every = (
-        clean.select("doc", F.col("data").alias("kept"))
-        .unionByName(rest.select("doc", left.alias("kept")))
-        .unionByName(changed.select("doc", "kept"))
+    changed = _to_cut(rows, spans).mapInArrow(
+        _cut(keep_data=True), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     )
+    whole = copied.withColumn("whole", F.lit(True))
+    left = F.when(F.col("whole").isNull(), F.col("data")).otherwise(F.lit(b""))
+    rest = rows.join(spans.select("text_hash"), "text_hash", "left_anti").join(whole, "text_hash", "left")
+    every = rest.select("doc", left.alias("kept")).unionByName(changed.select(F.col("doc_id").alias("doc"), "kept"))
     fields = {name: F.col(f"doc.c{place}") for place, name in enumerate(names)}
     readable = F.make_valid_utf8(F.col("kept").cast("string"))
     return every.select(*[fields[name].alias(name) if name in fields else readable.alias(name) for name in docs.columns])
