@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholaudit.llm import bloom_dedup, bpe, jaccard_join, mixing, quality_rules, suffix_dedup, url_language_model
+from scholaudit.llm import (
+    bloom_dedup,
+    bpe,
+    html_wrappers,
+    jaccard_join,
+    mixing,
+    quality_rules,
+    suffix_dedup,
+    url_language_model,
+)
 from scholaudit.llm.shared import read_table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -15,6 +24,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents")
 
 
+def op1_html_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return html_wrappers.extract_pages(read_table(spark, folder, "pages"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rule_report(documents(spark, folder))
 
@@ -44,6 +57,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_wrappers": op1_html_wrappers,
     "op2_quality_rules": op2_quality_rules,
     "op4_url_language_model": op4_url_language_model,
     "op6_bpe": op6_bpe,
