@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from scholaudit.llm import (
     bloom_dedup,
     bpe,
+    co_training,
     html_wrappers,
     jaccard_join,
     mixing,
+    pseudo_likelihood,
     quality_rules,
     suffix_dedup,
     url_language_model,
@@ -32,10 +34,18 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.rule_report(documents(spark, folder))
 
 
+def op3_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood.score_documents(documents(spark, folder))
+
+
 def op4_url_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return url_language_model.judge_urls(read_table(spark, folder, "pages"), url_language_model.RULES)
 
 
+def op5_co_training(spark: SparkSession, folder: str) -> DataFrame:
+    return co_training.classify(documents(spark, folder), read_table(spark, folder, "labels"))
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(documents(spark, folder), public_tokenizers.path(BPE_FILE))
 
@@ -59,7 +69,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_html_wrappers": op1_html_wrappers,
     "op2_quality_rules": op2_quality_rules,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_url_language_model": op4_url_language_model,
+    "op5_co_training": op5_co_training,
     "op6_bpe": op6_bpe,
     "op7_bloom_dedup": op7_bloom_dedup,
     "op8_jaccard_join": op8_jaccard_join,
