@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholaudit.llm.shared import whole_text
+from scholaudit.llm.shared import slices, whole_text
 
 # The word pattern of byte-level vocabularies. White space is
 # Unicode's property, which leaves out U+001C to U+001F.
@@ -183,20 +183,25 @@ def _clash(docs: DataFrame, new: list[str]) -> None:
 
 
 def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
-    """The rows with ``token_ids`` (array of int)."""
-    _clash(docs, ["token_ids"])
+    """The rows with ``token_ids`` (array of int) and ``round_trip``, whether these decode to the text again."""
+    _clash(docs, ["token_ids", "round_trip"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
-            encoded = [bpe.encode(text) for text in batch.column(-1).to_pylist()]
+        for batch in slices(batches):
+            texts = batch.column(-1).to_pylist()
+            encoded = [bpe.encode(text) for text in texts]
             offsets = np.cumsum([0, *(len(ids) // 4 for ids in encoded)])
             values = pa.array(np.frombuffer(b"".join(encoded), "<i4"))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], "token_ids"])
+            same = pa.array([bpe.decode(own) == text for own, text in zip(encoded, texts, strict=True)], pa.bool_())
+            names = [*batch.schema.names[:-1], "token_ids", "round_trip"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, same], names)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
-    return docs.withColumn("token_ids", whole_text(docs, text_column)).mapInArrow(run, schema)
+    new = [T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    return docs.withColumn("token_ids", whole_text(docs, text_column)).mapInArrow(
+        run, T.StructType([*docs.schema.fields, *new])
+    )
 
 
 def decode(tokens: DataFrame, path: str, ids_column: str = "token_ids") -> DataFrame:
@@ -205,7 +210,7 @@ def decode(tokens: DataFrame, path: str, ids_column: str = "token_ids") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [bpe.decode(_packed(ids or [])) for ids in batch.column(-1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], "decoded"]
@@ -220,7 +225,7 @@ def token_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids_sha, text_sha, same = [], [], [], []
             for text in batch.column(1):
                 text = text.as_py()

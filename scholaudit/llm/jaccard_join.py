@@ -55,7 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaudit.llm.components import components
-from scholaudit.llm.shared import column, fresh, stage, whole_text
+from scholaudit.llm.shared import column, fresh, slices, stage, whole_text
 from scholaudit.llm.words import mixed, shingles, signed
 
 SKETCH_BITS = 20  # the sketch of shingle counts has 2 ** 20 cells of 4 bytes
@@ -159,7 +159,7 @@ def _measure(size: int):
             waiting.clear()
             rows = 0
 
-        for batch in batches:
+        for batch in slices(batches):
             keys, counts, fine = [], [], []
             for text in batch.column(2):
                 hashes = shingle_set(text.as_buffer().to_pybytes(), size)
@@ -243,7 +243,7 @@ def _regions(size: int, percent: int, buckets: int, hot: int, sketch):
                 names=["bucket", "shingle", "key", "points"],
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0):
                 hashes = shingle_set(text.as_buffer().to_pybytes(), size)
                 key = set_key(hashes)
@@ -455,7 +455,7 @@ def _join_regions(percent: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep, sets = [], []
             for place, (text, key) in enumerate(zip(batch.column("text"), batch.column("key").to_pylist(), strict=True)):
                 hashes = shingle_set(text.as_buffer().to_pybytes(), size)
@@ -479,7 +479,7 @@ def _send_block(block: list[tuple[int, int, bytes]], percent: int):
             sizes = np.array([len(hashes) for hashes in sets], np.int64)
             classes = fine_classes(int(np.median(sizes)))
             sent[region] = (keys, sets, sizes, np.array([profile(mixed(hashes), classes) for hashes in sets]))
-        for batch in batches:
+        for batch in slices(batches):
             pairs = []
             for region, key, hashes in zip(
                 batch.column("region").to_pylist(), batch.column("key").to_pylist(), batch.column("hashes"), strict=True

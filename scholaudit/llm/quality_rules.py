@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, fresh, stage, whole_text
+from scholaudit.llm.shared import column, fresh, slices, stage, whole_text
 from scholaudit.llm.words import shingles, signed
 
 SYMBOLS = b"#*$%&|<>"
@@ -95,7 +95,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 40
-    for batch in batches:
+    for batch in slices(batches):
         rows = [measure_text(text.as_buffer().to_pybytes()) for text in batch.column(2)]
         hashes = pa.array([row["hashes"] for row in rows], pa.list_(pa.int64()))
         counts = pa.array([row["counts"] for row in rows], pa.list_(pa.int32()))
@@ -176,7 +176,7 @@ def rule_report(docs: DataFrame, **options) -> DataFrame:
 
 def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Takes the text and its boilerplate lines from the last two columns and gives the text that is left."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = []
         for text, bad in zip(batch.column(-2).to_pylist(), batch.column(-1).to_pylist(), strict=True):
             if bad:
