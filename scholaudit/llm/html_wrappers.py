@@ -15,9 +15,9 @@ Slots are labelled with counts over all pages of the host: pages, words and
 different texts. The main part is the article or main element, or without one
 the innermost element with most of the words. Not part of it are navigation,
 headers and footers outside of the main part, sidebars, forms, notices,
-adverts and comments, known by their tags, roles and class names, and slots
-of the main part that hold the same text on ten pages or more while other
-slots vary. A page is matched against its host's wrapper from left to right
+adverts and comments, known by their tags, roles and class names, and, where
+there is no article or main element, slots that hold the same text on ten
+pages or more while other slots vary. A page is matched against its host's wrapper from left to right
 and gives the texts of its main slots; a page that has none of them is
 labelled alone, by the same rules.
 
@@ -269,6 +269,8 @@ def main_slots(counts: dict[str, tuple[int, int, int]]) -> set[str]:
         for path in inside
         if any(not root or path == root or path.startswith(root + "/") for root in roots)
     }
+    if mains:
+        return chosen
     fixed = {path for path in chosen if counts[path][0] >= SAME_TEXT_PAGES and counts[path][2] == 1}
     return chosen - fixed if chosen - fixed else chosen
 

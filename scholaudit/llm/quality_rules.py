@@ -6,18 +6,19 @@ documents of a host that hold it are counted. A line above the limits is
 boilerplate: it is removed, and a document of which the larger part of the
 words is removed is depleted and rejected.
 
-Copies of a document are not different documents. Each document is counted
-under a sketch, the smallest hash of its three-word windows, which near copies
-mostly share; so the lines of a text that exists a thousand times are not
-taken for boilerplate, whereas a notice below a thousand texts is.
+Copies of a document are not different documents. For each of its lines a
+document is counted under a sketch of the rest, the smallest hash of the
+three-word windows outside of the line, which near copies mostly share; so the
+lines of a text that exists a thousand times are not taken for boilerplate,
+whereas a notice below a thousand texts is, however long.
 
 The measures run over Arrow batches in numpy. Hashes of lines, with their
 numbers of words, are the only thing about texts that shuffles; they are made
 different and counted in two steps, so that a line or a host with a third of
 all rows is spread over all tasks.
 
-Defined cases: null text is the empty text, without words, lines or sketch; it
-fails the base rules. Null hosts count as one host. Repeated rows get the same
+Defined cases: null text is the empty text, without words or lines; it fails
+the base rules. Documents of one line alone are one document for it. Null hosts count as one host. Repeated rows get the same
 verdict each and count as one document for their lines. Lines without a word
 are never duplicates and never boilerplate. Empty tables give empty results.
 Further columns, whatever their names, are carried along by
@@ -77,6 +78,7 @@ def measure_text(data: bytes) -> dict:
     words = [word for line in parted for word in line]
     windows = shingles(words, WINDOW)
     full = [place for place, line in enumerate(parted) if line]
+    sizes = np.array([len(parted[place]) for place in full], np.int64)
     bare = data.translate(None, SPACES)
     return {
         "n_words": len(words),
@@ -84,12 +86,22 @@ def measure_text(data: bytes) -> dict:
         "n_symbols": len(data) - len(data.translate(None, SYMBOLS)),
         "n_dup_lines": len(full) - len({lines[place] for place in full}),
         "n_repeat_words": repeated_words(windows, len(words)),
-        "sketch": signed(windows.min(keepdims=True)).item() if words else None,
         "hashes": [line_hash(parted[place]) for place in full],
-        "counts": [len(parted[place]) for place in full],
+        "counts": sizes,
+        "rests": rest_sketches(windows, sizes),
     }
 
 
+def rest_sketches(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each line the smallest hash of the windows that have none of its words; a fixed value without any."""
+    most = np.array([2**64 - 1], np.uint64)
+    before = np.minimum.accumulate(np.r_[most, windows])
+    behind = np.minimum.accumulate(np.r_[most, windows[::-1]])[::-1]
+    ends = np.cumsum(sizes)
+    first = np.maximum(ends - sizes - (WINDOW - 1), 0)
+    return signed(np.minimum(before[np.minimum(first, len(windows))], behind[np.minimum(ends, len(windows))]))
+
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -98,18 +110,20 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         rows = [measure_text(text.as_buffer().to_pybytes()) for text in batch.column(2)]
         hashes = pa.array([row["hashes"] for row in rows], pa.list_(pa.int64()))
-        counts = pa.array([row["counts"] for row in rows], pa.list_(pa.int32()))
+        counts = pa.array([row["counts"] for row in rows], pa.list_(pa.int64()))
+        rests = pa.array([row["rests"] for row in rows], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(number, number + len(rows)), pa.int64()),
                 batch.column(0),
                 batch.column(1),
                 batch.column(3),
-                *[pa.array([row[name] for row in rows], pa.int64()) for name in (*MEASURES, "sketch")],
+                *[pa.array([row[name] for row in rows], pa.int64()) for name in MEASURES],
                 hashes,
                 counts,
+                rests,
             ],
-            names=["row", "doc_id", "host", "text_hash", *MEASURES, "sketch", "hashes", "counts"],
+            names=["row", "doc_id", "host", "text_hash", *MEASURES, "hashes", "counts", "rests"],
         )
         number += len(rows)
 
@@ -125,7 +139,7 @@ def measure(docs: DataFrame, id_column: str, host_column: str, text_column: str)
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, host string, text_hash long, " + ", ".join(f"{n} long" for n in MEASURES)
-    measured = rows.mapInArrow(_measure, schema + ", sketch long, hashes array<long>, counts array<int>")
+    measured = rows.mapInArrow(_measure, schema + ", hashes array<long>, counts array<long>, rests array<long>")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
@@ -137,7 +151,8 @@ def boilerplate_lines(
 ) -> DataFrame:
     """``(host, line)`` of the lines above the limits."""
     hosts = stage(measured.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents")), "hosts")
-    different = measured.select("host", "sketch", F.explode("hashes").alias("line")).distinct()
+    lines = measured.select("host", F.explode(F.arrays_zip("hashes", "rests")).alias("part"))
+    different = lines.select("host", F.col("part.hashes").alias("line"), F.col("part.rests").alias("rest")).distinct()
     often = different.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
     often = often.where(F.col("documents") > max_documents)
     above = often.join(hosts, "host").where(F.col("documents") > max_share * F.col("host_documents"))
@@ -163,7 +178,7 @@ def verdicts(
         .groupBy("row")
         .agg(F.sum("words").alias("n_boilerplate_words"), F.collect_set("line").alias("lines"))
     )
-    judged = measured.drop("hashes", "counts", "sketch").join(removed, "row", "left")
+    judged = measured.drop("hashes", "counts", "rests").join(removed, "row", "left")
     words = F.coalesce("n_boilerplate_words", F.lit(0).cast("long"))
     kept = ~F.col("base_failed") & (words <= max_removed_share * F.col("n_words"))
     return judged.withColumn("n_boilerplate_words", words).withColumn("kept", kept)
