@@ -489,7 +489,7 @@ def _oracles() -> dict[str, str]:
             """SELECT lower(p.listed_doi) AS doi, lower(p.work_doi) AS doi_academicobservatory,
             t.trial_list AS "TRIALSDATA_matching_doi_CONCAT",
             t.doi IS NOT NULL AS "TRIALDATA_trialids_found_in_pubs",
-            CASE WHEN t.doi IS NOT NULL THEN 'Trial dataset Trial-IDs found in the institution''s publications'
+            CASE WHEN t.doi IS NOT NULL THEN 'Trial dataset Trial-IDs found the institution''s publications'
                 ELSE 'Trial dataset Trial-IDs not found in the institution''s publications' END
                 AS "TRIALDATA_trialids_found_in_pubs_PRETTY"
             FROM audited p LEFT JOIN (

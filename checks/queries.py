@@ -27,7 +27,7 @@ from scholaudit.plans.alltrials import alltrials, alltrials_by_cutoff, shared_by
 from scholaudit.plans.many import all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
 from scholaudit.plans.trials import trials
-from scholaudit.sources.staging import Keep, lazily, staged_or_lazy
+from scholaudit.sources.staging import lazily
 
 PROVENANCE = Provenance(
     workflow_version="v1",
@@ -79,14 +79,8 @@ def _shown(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{text} AS {name}" for name, text in shown.items()])
 
 
-def _keep(df: DataFrame) -> Keep:
-    """Stage on a cluster that names its shared folder; one lazy plan elsewhere."""
-    return staged_or_lazy(df.sparkSession, "queries")
-
-
 def _alltrials(works: DataFrame) -> DataFrame:
-    keep = _keep(works)
-    shared = None if keep is lazily else shared_evidence(published_after(works, CUTOFF), keep)
+    shared = shared_evidence(published_after(works, CUTOFF), lazily)
     return alltrials(works, CUTOFF, PROVENANCE, shared)
 
 
@@ -144,12 +138,12 @@ def _of_raw_trials(operator) -> Query:
 def _q_trials_in_publications(spark, sf_dir):
     pairs = _q_flatten_trial_pairs(spark, sf_dir)
     cleaned = trial_links.clean_trials(tables.trials_raw(spark, sf_dir))
-    return trial_links.trials_in_publications(pairs, tables.dois(spark, sf_dir), cleaned, keep=_keep(pairs))
+    return trial_links.trials_in_publications(pairs, tables.dois(spark, sf_dir), cleaned, keep=lazily)
 
 
 def _q_trials(spark, sf_dir):
     found = _alltrials(tables.works(spark, sf_dir))
-    return trials(tables.trials_raw(spark, sf_dir), found, tables.dois(spark, sf_dir), PROVENANCE, _keep(found))
+    return trials(tables.trials_raw(spark, sf_dir), found, tables.dois(spark, sf_dir), PROVENANCE, lazily)
 
 
 def _q_any_source_links(spark, sf_dir):
@@ -216,7 +210,7 @@ def _pubs(spark: SparkSession, sf_dir: str) -> DataFrame:
         _alltrials(works),
         tables.oddpub(spark, sf_dir),
         PROVENANCE,
-        _keep(works),
+        lazily,
     )
 
 
@@ -316,14 +310,14 @@ def _q_case_insensitive_left_join(spark, sf_dir):
 
 
 def _by_cutoff(works: DataFrame) -> DataFrame:
-    cutoffs, keep = INSTITUTION_CUTOFFS.values(), _keep(works)
-    return alltrials_by_cutoff(works, cutoffs, None if keep is lazily else shared_by_cutoff(works, cutoffs, keep))
+    cutoffs = INSTITUTION_CUTOFFS.values()
+    return alltrials_by_cutoff(works, cutoffs, shared_by_cutoff(works, cutoffs, lazily))
 
 
 def _q_many_institutions_trials(spark, sf_dir):
     found = _by_cutoff(tables.works(spark, sf_dir))
     linked = all_trials_linked(
-        tables.trials_raw(spark, sf_dir), found, tables.dois(spark, sf_dir), INSTITUTION_CUTOFFS, _keep(found)
+        tables.trials_raw(spark, sf_dir), found, tables.dois(spark, sf_dir), INSTITUTION_CUTOFFS, lazily
     )
     return linked.drop("PUBSDATA_doi_found_PRETTY")
 
@@ -337,7 +331,7 @@ def _q_many_institutions_pubs(spark, sf_dir):
         _by_cutoff(works),
         tables.oddpub(spark, sf_dir),
         INSTITUTION_CUTOFFS,
-        _keep(works),
+        lazily,
     )
     return _flat_open_access(audited)
 

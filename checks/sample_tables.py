@@ -271,10 +271,10 @@ def orcids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PubMed articles: the works' banks and abstracts in PubMed's own nesting."""
-    return works(spark, sf_dir).where("pubmed.doi is not null").selectExpr(
-        """named_struct('ArticleIdList', named_struct('ArticleId', array(
-            named_struct('value', concat('pm', pubmed.doi), 'IdType', 'pubmed'),
-            named_struct('value', pubmed.doi, 'IdType', 'doi')))) as PubmedData""",
+    return works(spark, sf_dir).selectExpr(
+        """named_struct('ArticleIdList', named_struct('ArticleId', filter(array(
+            named_struct('value', concat('pm', coalesce(pubmed.doi, doi)), 'IdType', 'pubmed'),
+            named_struct('value', pubmed.doi, 'IdType', 'doi')), id -> id.value is not null))) as PubmedData""",
         """named_struct('Article', named_struct(
             'Abstract', pubmed.MedlineCitation.Article.Abstract,
             'DataBankList', named_struct('DataBank', transform(pubmed.MedlineCitation.Article.DataBankList,

@@ -46,7 +46,11 @@ class Institution:
         if missing:
             raise ConfigError("\n".join(f"institution lacks {key}" for key in missing))
         given = {field: str(values[key]) for field, key in required.items()}
-        return cls(**given, year_cutoff=int(values.get("year_cutoff", ALL_YEARS)))
+        cutoff = values.get("year_cutoff", ALL_YEARS)
+        try:
+            return cls(**given, year_cutoff=int(cutoff))
+        except (TypeError, ValueError):
+            raise ConfigError(f"{given['institution_id']}: year_cutoff is not a year: {cutoff!r}") from None
 
     @property
     def input_database(self) -> str:

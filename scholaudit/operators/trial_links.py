@@ -192,9 +192,10 @@ def trials_matching_publication(pubs: DataFrame, trials: DataFrame, owner: str =
     listed = _joined_list(counted, ["PUBSDATA_doi_flat"], "nct_id", name)
     matched = listed.select(F.lower("PUBSDATA_doi_flat").alias("work_key"), name, F.lit(True).alias("_hit"))
     joined = pubs.withColumn("work_key", F.lower("doi_academicobservatory")).join(matched, "work_key", "left")
+    # Fixed values, worded as the audience of the earlier form knows them.
     label = either(
         "_hit",
-        f"Trial dataset Trial-IDs found in {owner}'s publications",
+        f"Trial dataset Trial-IDs found {owner}'s publications",
         f"Trial dataset Trial-IDs not found in {owner}'s publications",
     )
     return joined.withColumns(

@@ -15,7 +15,7 @@ from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, s
 from scholaudit.plans.many import INSTITUTION, all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
 from scholaudit.plans.trials import trials
-from scholaudit.sources.staging import stager
+from scholaudit.sources.staging import staging
 from scholaudit.sources.tables import (
     ACCESS_TABLE,
     WORKS_DATABASE,
@@ -46,16 +46,16 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     works, dois = read_works(spark, run), read_input(spark, institution, institution.dois_table)
     names = dict(zip(("alltrials", "trials", "pubs"), output_names(run, institution), strict=True))
 
-    keep = stager(f"{institution.institution_id}_{run.run_version}")
-    shared = shared_evidence(published_after(works, institution.year_cutoff), keep)
-    create_or_replace(alltrials(works, institution.year_cutoff, provenance, shared), names["alltrials"])
-    found = spark.table(names["alltrials"])
+    with staging(spark, f"{institution.institution_id}_{run.run_version}") as keep:
+        shared = shared_evidence(published_after(works, institution.year_cutoff), keep)
+        create_or_replace(alltrials(works, institution.year_cutoff, provenance, shared), names["alltrials"])
+        found = spark.table(names["alltrials"])
 
-    listed = read_input(spark, institution, institution.trials_table)
-    create_or_replace(trials(listed, found, dois, provenance, keep), names["trials"])
+        listed = read_input(spark, institution, institution.trials_table)
+        create_or_replace(trials(listed, found, dois, provenance, keep), names["trials"])
 
-    oddpub = read_input(spark, institution, institution.oddpub_table)
-    create_or_replace(pubs(dois, works, read_access(spark), found, oddpub, provenance, keep), names["pubs"])
+        oddpub = read_input(spark, institution, institution.oddpub_table)
+        create_or_replace(pubs(dois, works, read_access(spark), found, oddpub, provenance, keep), names["pubs"])
 
     require_tables(spark, names.values())
     for kind in LATEST:
@@ -63,6 +63,26 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     create_or_replace(utility_years(spark.table(names["pubs"])), f"{institution.latest_database}.{YEARS}")
 
 
+class FailedInstitutions(RuntimeError):
+    """What went wrong, by institution."""
+
+    def __init__(self, errors: dict[str, Exception]):
+        self.errors = dict(errors)
+        super().__init__("\n".join(f"{name}: {error}" for name, error in errors.items()))
+
+
+def publish_each(spark: SparkSession, run: Run) -> None:
+    """``publish_run`` for every institution; those that fail are reported together at the end."""
+    errors: dict[str, Exception] = {}
+    for institution in run.institutions:
+        try:
+            publish_run(spark, run, institution)
+        except Exception as error:  # the others still run
+            errors[institution.institution_id] = error
+    if errors:
+        raise FailedInstitutions(errors)
+
+
 def _together(spark: SparkSession, run: Run, table_of) -> DataFrame:
     """The same kind of input of every institution, with its id."""
     parts = [
@@ -84,6 +104,7 @@ def _provenance(spark: SparkSession, run: Run, *fields: str) -> DataFrame:
 
 
 def _write_partitioned(df: DataFrame, name: str, column: str) -> None:
+    """Replaced while written: a renamed table would keep the old places of its partitions."""
     df.write.mode("overwrite").partitionBy(column).saveAsTable(name)
 
 
@@ -109,30 +130,30 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
 
     works = read_works(spark, run)
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
-    keep = stager(f"{database}_{run.run_version}")
-    shared = shared_by_cutoff(works, cutoffs.values(), keep)
-    version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
-    searched = alltrials_by_cutoff(works, cutoffs.values(), shared).select(
-        "*",
-        F.lit(run.works_table).alias("var_AcademicObservatory_doi"),
-        F.col(CUTOFF).alias("var_SQL_year_cutoff"),
-        version,
-    )
-    _write_partitioned(searched, names["alltrials"], CUTOFF)
-    found = spark.table(names["alltrials"])
-
-    dois = _together(spark, run, lambda one: one.dois_table)
-    linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs, keep)
-    owner = F.col(INSTITUTION).alias("var_institution_id")
-    trial_names = _provenance(spark, run, "trials", "dois")
-    listed = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version, owner))
-    _write_partitioned(listed, names["trials"], INSTITUTION)
-
-    oddpub = _together(spark, run, lambda one: one.oddpub_table)
-    audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs, keep)
-    # Rows come rebalanced by institution.
-    pub_names = _provenance(spark, run, "dois", "oddpub")
-    _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version, owner), names["pubs"], INSTITUTION)
+    with staging(spark, f"{database}_{run.run_version}") as keep:
+        shared = shared_by_cutoff(works, cutoffs.values(), keep)
+        version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
+        searched = alltrials_by_cutoff(works, cutoffs.values(), shared).select(
+            "*",
+            F.lit(run.works_table).alias("var_AcademicObservatory_doi"),
+            F.col(CUTOFF).alias("var_SQL_year_cutoff"),
+            version,
+        )
+        _write_partitioned(searched, names["alltrials"], CUTOFF)
+        found = spark.table(names["alltrials"])
+
+        dois = _together(spark, run, lambda one: one.dois_table)
+        linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs, keep)
+        owner = F.col(INSTITUTION).alias("var_institution_id")
+        trial_names = _provenance(spark, run, "trials", "dois")
+        listed = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version, owner))
+        _write_partitioned(listed, names["trials"], INSTITUTION)
+
+        oddpub = _together(spark, run, lambda one: one.oddpub_table)
+        audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs, keep)
+        # Rows come rebalanced by institution.
+        pub_names = _provenance(spark, run, "dois", "oddpub")
+        _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version, owner), names["pubs"], INSTITUTION)
 
     require_tables(spark, names.values())
     for kind in LATEST:

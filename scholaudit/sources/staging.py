@@ -6,8 +6,10 @@ planner its true size for the joins that read it.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,10 +19,18 @@ Keep = Callable[[DataFrame, str], DataFrame]
 SETTING = "spark.checkpoint.dir"
 
 
+class NoSharedFolder(RuntimeError):
+    """Executors would each write to a disk of their own, and reading back would miss rows."""
+
+
 def staging_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder, or the warehouse where none is named."""
+    """The shared checkpoint folder; a session on one machine may do without and uses its warehouse."""
     named = spark.conf.get(SETTING, None)
-    return named or spark.conf.get("spark.sql.warehouse.dir")
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise NoSharedFolder(f"{SETTING} must name a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir")
 
 
 def lazily(df: DataFrame, name: str) -> DataFrame:
@@ -29,7 +39,7 @@ def lazily(df: DataFrame, name: str) -> DataFrame:
 
 
 def stager(prefix: str) -> Keep:
-    """Stage under names of one run.
+    """Stage under a prefix.
 
     Skewed joins are split only where both sides come straight from a
     shuffle, which a grouped side does not; a staged one does.
@@ -37,9 +47,20 @@ def stager(prefix: str) -> Keep:
     return lambda df, name: stage(df, f"{prefix}/{name}")
 
 
-def staged_or_lazy(spark: SparkSession, prefix: str) -> Keep:
-    """Stage where the session names a shared folder, else leave all to one plan."""
-    return stager(prefix) if spark.conf.get(SETTING, None) else lazily
+@contextmanager
+def staging(spark: SparkSession, name: str) -> Iterator[Keep]:
+    """Stage during one run, and remove what it staged at its end, also after an error."""
+    prefix = f"{name}-{uuid.uuid4().hex}"
+    folder = f"{_application_folder(spark)}/{prefix}"
+    try:
+        yield stager(prefix)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark).rstrip('/')}/_staged/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +69,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Every call has a folder of its own, so that plans built earlier stay valid.
     """
     spark = df.sparkSession
-    root = f"{staging_root(spark).rstrip('/')}/_staged/{spark.sparkContext.applicationId}"
-    folder = f"{root}/{name}-{uuid.uuid4().hex}"
+    folder = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ class MissingTables(RuntimeError):
 
     def __init__(self, names: Iterable[str]):
         self.names = tuple(names)
-        super().__init__("Expected table(s) missing:\n\t" + "\n\t".join(self.names))
+        super().__init__("These tables do not exist: " + ", ".join(self.names))
 
 
 def read_works(spark: SparkSession, run: Run) -> DataFrame:
@@ -50,7 +51,16 @@ def output_names(run: Run, institution: Institution) -> list[str]:
 
 
 def create_or_replace(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+    """Write the rows aside, then put the table in the place of the old one, which stays until then."""
+    spark = df.sparkSession
+    aside = f"{name}__{uuid.uuid4().hex}"
+    try:
+        df.write.saveAsTable(aside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
 
 
 def create_only(df: DataFrame, name: str) -> None:

@@ -38,3 +38,9 @@ def test_all_problems_are_reported_together():
 def test_institution_needs_its_tables():
     with pytest.raises(ConfigError, match="institution_id"):
         Institution.from_mapping({**ONE, "institution_id": ""})
+
+
+@pytest.mark.parametrize("cutoff", [None, "soon"])
+def test_bad_cutoff_is_a_config_error(cutoff):
+    with pytest.raises(ConfigError, match="year_cutoff"):
+        Institution.from_mapping({**ONE, "year_cutoff": cutoff})

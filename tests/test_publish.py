@@ -7,6 +7,7 @@ from builders import plain
 
 from checks import sample_tables as tables
 from scholaudit.config import Institution, Run
+from scholaudit.plans import publish
 from scholaudit.plans.publish import publish_all, publish_run
 from scholaudit.sources.staging import staging_root
 from scholaudit.sources.tables import (
@@ -170,3 +171,23 @@ def test_bucketed_works_meet_a_long_list_without_moving(spark, run):
         assert joined.exceptAll(audited(spark.table(f"observatory.{run.works_table}"))).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_institutions_fail_alone(monkeypatch):
+    ran = []
+
+    def one(spark, run, institution):
+        ran.append(institution)
+        if institution != "c":
+            raise ValueError(f"no {institution}")
+
+    monkeypatch.setattr(publish, "publish_run", one)
+    names = {letter: letter for letter in "abc"}
+
+    class Named(str):
+        institution_id = property(lambda self: str(self))
+
+    run = type("Run", (), {"institutions": [Named(letter) for letter in names]})
+    with pytest.raises(publish.FailedInstitutions) as error:
+        publish.publish_each(None, run)
+    assert ran == ["a", "b", "c"] and sorted(error.value.errors) == ["a", "b"]

@@ -29,3 +29,12 @@ def test_query_equals_sql(spark, connection, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_building_a_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "queries")
+    for build in QUERIES.values():
+        build(spark, "/root/testdata/sf0.001")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not tracker.getJobIdsForGroup("building")
