@@ -7,7 +7,7 @@ joined before they are cut down, and repeats are multiplied by the joins.
 
 from __future__ import annotations
 
-from checks.sample_tables import CUTOFF, LICENSE_CODES, WORK_TYPES
+from checks.sample_tables import CUTOFF, INSTITUTION_CUTOFFS, LICENSE_CODES, WORK_TYPES
 from scholaudit.functions import labels
 from scholaudit.operators.researchers import FLAGS
 from scholaudit.operators.trial_ids import DATABANKS, REGISTRIES, TRIAL_ID
@@ -388,6 +388,39 @@ def _sql(final: str, *names: str) -> str:
     return f"WITH {head}\n{final}" if head else final
 
 
+def _by_institution(final: str, *names: str) -> str:
+    """The same statement for the institutions of each cutoff, put together."""
+    parts = []
+    for place, cutoff in enumerate(INSTITUTION_CUTOFFS):
+        whole = _sql(final, *names).replace(f"published_year > {CUTOFF}", f"published_year > {cutoff}")
+        number = "CAST(substr(institution_id, 7) AS INTEGER)"
+        parts.append(f"SELECT * FROM ({whole}) WHERE {number} % {len(INSTITUTION_CUTOFFS)} = {place}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _audit(*tables: tuple[str, str, str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{column}' AS column_name, count(*) AS n_rows,
+        count(DISTINCT {column}) AS n_distinct,
+        count(DISTINCT {column}) FILTER (WHERE {column} IS NOT NULL) AS n_distinct_notnull FROM {source}"""
+        for name, source, column in tables
+    )
+
+
+_METRICS = (
+    ("prospective_registration", '"is_prospective_PRETTY"', "NULL"),
+    ("summary_results_reporting", '"summary_results_reporting_PRETTY"', '"summary_results_reporting_GRAPHORDER"'),
+    ("linked_reference", '"has_linked_reference_PRETTY"', "NULL"),
+    ("trial_id_in_publications", '"PUBSDATA_doi_found_PRETTY"', "NULL"),
+)
+
+
+def _rollup(metric: str, label: str, rank: str) -> str:
+    return f"""SELECT '{metric}' AS metric, {label} AS label, CAST({rank} AS BIGINT) AS graph_order,
+        count(*) AS n_rows, CAST(count(*) AS DOUBLE) / (SELECT CAST(count(*) AS DOUBLE) FROM linked) AS share
+        FROM linked GROUP BY ALL"""
+
+
 _TEXT_COLUMNS = """fa_found AS "CROSSREF_clintrial_fromabstract_found",
     array_to_string(fa, ' ') AS "CROSSREF_clintrial_fromabstract_ids",
     pa_found AS "PUBMED_clintrial_fromabstract_found",
@@ -522,21 +555,30 @@ def _oracles() -> dict[str, str]:
             "works", "listed_dois",
         ),
         "table_audit": _sql(
-            " UNION ALL ".join(
-                f"""SELECT '{name}' AS table_name, '{column}' AS column_name, count(*) AS n_rows,
-                count(DISTINCT {column}) AS n_distinct,
-                count(DISTINCT {column}) FILTER (WHERE {column} IS NOT NULL) AS n_distinct_notnull FROM {source}"""
-                for name, source, column in (
-                    ("works", "works", "doi"),
-                    ("dois", "listed_dois", "doi"),
-                    ("oddpub", "odd", "doi"),
-                    ("trials_aact", "raw_trials", "nct_id"),
-                    ("orcids", "orcid_list", "orcid_id"),
-                    ("trials", "linked", "nct_id"),
-                )
+            _audit(
+                ("works", "works", "doi"),
+                ("dois", "listed_dois", "doi"),
+                ("oddpub", "odd", "doi"),
+                ("trials_aact", "raw_trials", "nct_id"),
+                ("orcids", "orcid_list", "orcid_id"),
+                ("trials", "linked", "nct_id"),
             ),
             *_FOR_TRIALS, "odd", "orcid_list",
         ),
+        "output_audit": _sql(
+            _audit(
+                ("alltrials", "combined", "doi"),
+                ("pubs", "(SELECT lower(listed_doi) AS doi FROM audited)", "doi"),
+                (
+                    "researchers",
+                    "(SELECT CASE WHEN is_orcid IS TRUE THEN nullif(orcid_id, 'NA') END AS orcid_id FROM orcid_list)",
+                    "orcid_id",
+                ),
+                ("unpaywall", "access", "doi"),
+            ),
+            *_FOR_PUBS, "orcid_list",
+        ),
+        "metric_rollup": _sql(" UNION ALL ".join(_rollup(*metric) for metric in _METRICS), *_FOR_TRIALS),
         "utility_years": _sql(
             """SELECT CAST(unnest(generate_series(min(published_year), max(published_year))) AS BIGINT) AS year
             FROM audited""",
@@ -569,13 +611,13 @@ def _oracles() -> dict[str, str]:
             LEFT JOIN works w ON lower(l.doi) = lower(w.doi)""",
             "works", "listed_dois",
         ),
-        "many_institutions_trials": _sql(
+        "many_institutions_trials": _by_institution(
             """SELECT c.*, k."PUBSDATA_doi", k."PUBSDATA_doi" IS NOT NULL AS "PUBSDATA_doi_found"
             FROM cleaned c LEFT JOIN institution_links k
             ON lower(c.nct_id) = lower(k.nct_id) AND c.institution_id = k.institution_id""",
             *_FOR_TRIALS, "institution_links",
         ),
-        "many_institutions_pubs": _sql(
+        "many_institutions_pubs": _by_institution(
             f"SELECT institution_id, {_PUB_COLUMNS} FROM institution_audited",
             *_FOR_WORKS, "listed_dois", "odd", "institution_audited",
         ),

@@ -17,9 +17,10 @@ from scholaudit.config import Provenance
 from scholaudit.functions import casts
 from scholaudit.functions.arrays import first_green_date
 from scholaudit.functions.dates import month_boundary_diff
+from scholaudit.functions.keys import left_join_any_case
 from scholaudit.functions.text import dedupe_string, string_agg, trim_ws
 from scholaudit.operators import publications, trial_ids, trial_links
-from scholaudit.operators.audit import audit_tables, utility_years
+from scholaudit.operators.audit import TRIAL_METRICS, audit_tables, metric_rollup, utility_years
 from scholaudit.operators.extract import pubmed_extract
 from scholaudit.operators.researchers import researcher_orcid
 from scholaudit.operators.trial_ids import published_after, shared_evidence
@@ -38,7 +39,7 @@ PROVENANCE = Provenance(
     institution_id="inst",
 )
 # Every brand of the parts table stands for an institution.
-INSTITUTION_CUTOFFS = {f"Brand#{number}": CUTOFF for number in range(1, 26)}
+INSTITUTION_CUTOFFS = {f"Brand#{number}": tables.INSTITUTION_CUTOFFS[number % 3] for number in range(1, 26)}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,6 +263,21 @@ def _q_table_audit(spark, sf_dir):
     )
 
 
+def _q_output_audit(spark, sf_dir):
+    return audit_tables(
+        {
+            "alltrials": (_alltrials(tables.works(spark, sf_dir)), "doi"),
+            "pubs": (_pubs(spark, sf_dir), "doi"),
+            "researchers": (_q_researcher_orcid(spark, sf_dir), "orcid_id"),
+            "unpaywall": (tables.unpaywall(spark, sf_dir), "doi"),
+        }
+    )
+
+
+def _q_metric_rollup(spark, sf_dir):
+    return metric_rollup(_q_trials(spark, sf_dir), TRIAL_METRICS)
+
+
 def _q_utility_years(spark, sf_dir):
     return utility_years(_pubs(spark, sf_dir))
 
@@ -304,9 +320,9 @@ def _q_array_string_agg(spark, sf_dir):
 
 
 def _q_case_insensitive_left_join(spark, sf_dir):
-    listed = tables.dois(spark, sf_dir).select(F.col("doi").alias("listed_doi")).withColumn("k", F.lower("listed_doi"))
-    works = tables.works(spark, sf_dir).select(F.col("doi").alias("work_doi")).withColumn("k", F.lower("work_doi"))
-    return listed.join(works, "k", "left").select("listed_doi", "work_doi")
+    listed = tables.dois(spark, sf_dir).select(F.col("doi").alias("listed_doi"))
+    works = tables.works(spark, sf_dir).select(F.col("doi").alias("work_doi"))
+    return left_join_any_case(listed, works, "listed_doi", "work_doi")
 
 
 def _by_cutoff(works: DataFrame) -> DataFrame:
@@ -399,6 +415,8 @@ QUERIES: dict[str, Query] = {
     "many_institutions_pubs": _q_many_institutions_pubs,
     # Counts and years.
     "table_audit": _q_table_audit,
+    "output_audit": _q_output_audit,
+    "metric_rollup": _q_metric_rollup,
     "utility_years": _q_utility_years,
     # Earlier forms.
     "any_source_links": _q_any_source_links,

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 CUTOFF = 2012
+# Cutoffs of the institutions, by the remainder of their number divided by three.
+INSTITUTION_CUTOFFS = (CUTOFF, 1, 2018)
 
 # The licence codes shown in turn, with one unknown code and one missing.
 LICENSE_CODES = (

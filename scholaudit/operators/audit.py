@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,37 @@ def audit_tables(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+# Metrics of the trials table: label and rank, where there is one.
+TRIAL_METRICS = {
+    "prospective_registration": ("is_prospective_PRETTY", None),
+    "summary_results_reporting": ("summary_results_reporting_PRETTY", "summary_results_reporting_GRAPHORDER"),
+    "linked_reference": ("has_linked_reference_PRETTY", None),
+    "trial_id_in_publications": ("PUBSDATA_doi_found_PRETTY", None),
+}
+
+
+def metric_rollup(
+    df: DataFrame, metrics: Mapping[str, tuple[str, str | None]], scope: Sequence[str] = ()
+) -> DataFrame:
+    """Rows and share of every label of every metric (of each institution), in one pass over the table.
+
+    The rows are counted by label on the map side, so that the shares are
+    taken over the few labels of a metric.
+    """
+    shown = [
+        F.struct(
+            F.lit(name).alias("metric"),
+            F.col(label).alias("label"),
+            (F.col(rank) if rank else F.lit(None)).cast("bigint").alias("graph_order"),
+        )
+        for name, (label, rank) in metrics.items()
+    ]
+    rows = df.select(*scope, F.inline(F.array(*shown)))
+    counted = rows.groupBy(*scope, "metric", "label", "graph_order").agg(F.count(F.lit(1)).alias("n_rows"))
+    total = F.sum("n_rows").over(Window.partitionBy(*scope, "metric"))
+    return counted.withColumn("share", F.col("n_rows").cast("double") / total.cast("double"))
+
+
 def utility_years(pubs: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Every year between the first and the last publication (of each institution)."""
     bounds = pubs.groupBy(*scope).agg(F.min("published_year").alias("first"), F.max("published_year").alias("last"))

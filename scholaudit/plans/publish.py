@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scholaudit.config import Institution, Provenance, Run
 from scholaudit.functions.sql import inline_table
-from scholaudit.operators.audit import utility_years
+from scholaudit.operators.audit import audit_tables, utility_years
 from scholaudit.operators.trial_ids import published_after, shared_evidence
 from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, shared_by_cutoff
 from scholaudit.plans.many import INSTITUTION, all_publications_audited, all_trials_linked
@@ -33,6 +33,9 @@ from scholaudit.sources.tables import (
 # Tables that have a latest copy; ``alltrials`` has none.
 LATEST = ("trials", "pubs")
 YEARS = "utility_years"
+AUDIT = "table_audit"
+# The column that each audited table is counted by.
+COUNTED = {"alltrials": "doi", "trials": "nct_id", "pubs": "doi", "unpaywall": "doi"}
 
 
 def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None:
@@ -61,6 +64,13 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     for kind in LATEST:
         copy_table(spark, names[kind], f"{institution.latest_database}.{kind}", overwrite=True)
     create_or_replace(utility_years(spark.table(names["pubs"])), f"{institution.latest_database}.{YEARS}")
+    create_or_replace(_audit(spark, names), f"{institution.latest_database}.{AUDIT}")
+
+
+def _audit(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    """Counts of the written tables and of the open-access locations."""
+    audited = {**names, "unpaywall": ACCESS_TABLE}
+    return audit_tables({kind: (spark.table(audited[kind]), column) for kind, column in COUNTED.items()})
 
 
 class FailedInstitutions(RuntimeError):
@@ -160,3 +170,4 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
         _write_partitioned(_by_institution(spark.table(names[kind])), f"{latest}.{kind}", INSTITUTION)
     years = utility_years(spark.table(names["pubs"]), (INSTITUTION,))
     _write_partitioned(years, f"{latest}.{YEARS}", INSTITUTION)
+    create_or_replace(_audit(spark, names), f"{latest}.{AUDIT}")

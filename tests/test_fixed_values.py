@@ -1,0 +1,130 @@
+"""Fixed values stated a second time, so that a changed entry of a table fails."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from scholaudit.functions import labels
+from scholaudit.operators import publications
+from scholaudit.operators.researchers import FLAGS
+from scholaudit.operators.trial_ids import DATABANKS, REGISTRIES, TRIAL_ID
+
+# Licence code, label, rank, group.
+LICENSES = [
+    ("pd", "Public Domain", 1, "No restrictions"),
+    ("cc0", "CC0", 2, "No restrictions"),
+    ("cc-by", "CC-BY", 3, "Attribution required"),
+    ("cc-by-sa", "CC-BY-SA", 4, "Share-alike"),
+    ("cc-by-nd", "CC-BY-ND", 5, "No derivatives"),
+    ("cc-by-nc", "CC-BY-NC", 6, "Non-commercial"),
+    ("cc-by-nc-sa", "CC-BY-NC-SA", 7, "Non-commercial"),
+    ("cc-by-nc-nd", "CC-BY-NC-ND", 8, "No derivatives"),
+    ("publisher-specific-oa", "Publisher-specific: OA license", 9, "Publisher-specific license"),
+    (
+        "acs-specific: authorchoice/editors choice usage agreement",
+        "ACS-specific: Author-choice/Editor's-choice Usage Agreement",
+        10,
+        "Publisher-specific license",
+    ),
+    ("elsevier-specific: oa user license", "Elsevier-specific: OA User License", 11, "Publisher-specific license"),
+    (
+        "publisher-specific, author manuscript",
+        "Publisher-specific: Author Manuscript",
+        12,
+        "Publisher-specific license",
+    ),
+    ("other-oa", "Other OA license", 13, "Miscellaneous open license"),
+    ("implied-oa", "Free to read (no identified license)", 14, "Free to read"),
+    ("unspecified-oa", "Unspecified OA license", 15, "Free to read (license unclear)"),
+    ("mit", "MIT License", 16, "Software/open-source license"),
+    (None, "No licence info", 99, "No licence info"),
+    ("unheard-of", "No licence info", 99, "No licence info"),
+]
+
+# Months of embargo, label, rank.
+EMBARGOES = [
+    (-1, "Green Open Access prior to published date", 6),
+    (0, "Immediately available", 1),
+    (2, "Immediately available", 1),
+    (3, "Open Access before six months", 2),
+    (7, "Open Access before six months", 2),
+    (8, "Open Access before twelve months", 3),
+    (13, "Open Access before twelve months", 3),
+    (14, "Open Access before two years", 4),
+    (25, "Open Access before two years", 4),
+    (26, "Open Access after two years", 5),
+    (None, "Insufficient Data", 99),
+]
+
+# Work type and label.
+TYPES = {
+    "journal-article": "Journal articles",
+    "book-chapter": "Book chapter",
+    "posted-content": "Preprint",
+    "book": "Book",
+    "mongraphs": "Book",
+    "proceedings-article": "Conference proceedings",
+}
+
+
+def test_licenses(spark):
+    rows = spark.createDataFrame([(code,) for code, *_ in LICENSES], "license string")
+    names = ("license", "license_PRETTY", "license_GRAPHORDER", "license_GROUP")
+    found = publications.license_label(rows).select(*names).collect()
+    assert [tuple(row) for row in found] == LICENSES
+
+
+def test_embargoes(spark):
+    rows = spark.createDataFrame([(months,) for months, *_ in EMBARGOES], "embargo int")
+    found = publications.embargo_label(rows).select("embargo", "embargo_PRETTY", "embargo_GRAPHORDER").collect()
+    assert [tuple(row) for row in found] == EMBARGOES
+
+
+def test_tables_of_labels():
+    assert dict(labels.WORK_TYPES) == TYPES
+    assert labels.RESULTS_REPORTING == (
+        ("results_timely", "Trial reported summary results on time", 1),
+        ("results_due_late", "Trial reported summary results late", 2),
+        ("results_due_missing", "Trial summary results due but not reported", 3),
+        ("results_not_due", "Trial not yet due to report results", 4),
+    )
+    assert labels.ACCESS_ROUTES == (
+        ("publisher_only", "Publisher Open Access", 0),
+        ("both", "Both", 1),
+        ("other_platform_only", "Other Platform Open Access", 2),
+    )
+    assert labels.CLOSED_ACCESS == ("Closed Access", 3)
+    assert FLAGS == (
+        ("is_orcid", "ORCID found for researcher", "No ORCID found for researcher"),
+        ("orcid_verified", "Verified ORCID found for researcher", "No verified ORCID found for researcher"),
+        ("is_affiliation", "ORCID affiliation found for researcher", "No ORCID affiliation found for researcher"),
+    )
+
+
+# Names looked for in data-bank lists.
+REGISTRY_NAMES = [
+    "ANZCTR", "ChiCTR", "CRiS", "ClinicalTrials.gov", "CTRI", "DRKS", "EudraCT", "IRCT", "ISRCTN", "JapicCTI", "JMACCT",
+    "JPRN", "NTR", "PACTR", "ReBec", "REPEC", "RPCEC", "SLCTR", "TCTR", "UMIN CTR", "UMIN-CTR",
+]
+DATABANK_NAMES = [
+    "BioProject", "dbGaP", "dbSNP", "dbVar", "Dryad", "figshare", "GDB", "GENBANK", "GEO", "OMIM", "PIR",
+    "PubChem-BioAssay", "PubChem-Compound", "PubChem-Substance", "RefSeq", "SRA", "SWISSPROT", "UniMES", "UniParc",
+    "UniProtKB", "UniRef", "PDB", "Protein",
+]
+
+
+@pytest.mark.parametrize(("pattern", "names"), [(REGISTRIES, REGISTRY_NAMES), (DATABANKS, DATABANK_NAMES)])
+def test_names(spark, pattern, names):
+    assert [name.replace("\\", "") for name in pattern.split("|")] == names
+    others = [name.swapcase() for name in names] + ["ClinicalTrials-gov", ""]
+    rows = spark.createDataFrame([(name,) for name in [*names, *others]], "name string")
+    found = {row.name for row in rows.where(F.col("name").rlike(pattern)).collect()}
+    assert set(names) <= found
+    assert not {"ClinicalTrials-gov", ""} & found
+
+
+def test_form_of_an_id(spark):
+    texts = [("NCT01234567", True), ("NCT0123456", False), ("nct01234567", False), ("xNCT012345678", True)]
+    rows = spark.createDataFrame(texts, "text string, expected boolean")
+    assert rows.where(F.col("text").rlike(TRIAL_ID) != F.col("expected")).count() == 0

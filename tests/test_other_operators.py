@@ -2,7 +2,8 @@ from __future__ import annotations
 
 from builders import dois, plain
 
-from scholaudit.operators.audit import audit_tables, table_audit, utility_years
+from scholaudit.functions.keys import left_join_any_case
+from scholaudit.operators.audit import audit_tables, metric_rollup, table_audit, utility_years
 from scholaudit.operators.extract import pubmed_extract
 from scholaudit.operators.researchers import researcher_orcid
 
@@ -72,3 +73,24 @@ def test_utility_years(spark):
     df = spark.createDataFrame([(2018,), (None,), (2021,)], "published_year bigint")
     assert sorted(row.year for row in utility_years(df).collect()) == [2018, 2019, 2020, 2021]
     assert utility_years(df.where("published_year IS NULL")).count() == 0
+
+
+def test_metric_rollup(spark):
+    rows = [("a", "Yes", 1), ("a", "Yes", 1), ("a", "No", 2), ("b", None, None)]
+    df = spark.createDataFrame(rows, "institution_id string, x_PRETTY string, x_GRAPHORDER int")
+    found = metric_rollup(df, {"x": ("x_PRETTY", "x_GRAPHORDER"), "plain": ("x_PRETTY", None)}, ("institution_id",))
+    ranked = {(row.institution_id, row.label): row for row in found.where("metric = 'x'").collect()}
+    assert {key: (row.graph_order, row.n_rows) for key, row in ranked.items()} == {
+        ("a", "Yes"): (1, 2), ("a", "No"): (2, 1), ("b", None): (None, 1)
+    }
+    assert ranked["a", "Yes"].share == 2 / 3
+    assert found.where("metric = 'plain'").count() == 3
+    assert metric_rollup(df.limit(0), {"x": ("x_PRETTY", None)}).count() == 0
+
+
+def test_left_join_any_case(spark):
+    left = spark.createDataFrame([("A",), ("b",), (None,), ("a",)], "left_doi string")
+    right = spark.createDataFrame([("a",), (None,), ("c",)], "right_doi string")
+    found = left_join_any_case(left, right, "left_doi", "right_doi")
+    pairs = sorted(found.collect(), key=str)
+    assert pairs == sorted([("A", "a"), ("a", "a"), ("b", None), (None, None)], key=str)

@@ -68,6 +68,11 @@ def test_publish_run(spark, run, institutions):
     years = [row[0] for row in table(spark, f"{one.latest_database}.utility_years")]
     known = [row.published_year for row in spark.table(f"{one.latest_database}.pubs").collect() if row.published_year]
     assert sorted(years) == list(range(min(known), max(known) + 1))
+    audit = {row.table_name: row for row in spark.table(f"{one.latest_database}.table_audit").collect()}
+    assert set(audit) == {"alltrials", "trials", "pubs", "unpaywall"}
+    assert audit["pubs"].n_rows == len(first["pubs"])
+    listed = {row.doi for row in spark.table(f"{one.latest_database}.pubs").collect()} - {None}
+    assert audit["pubs"].n_distinct_notnull == len(listed)
 
     publish_run(spark, run, one)
     for kind, rows in first.items():

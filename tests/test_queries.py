@@ -19,7 +19,12 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql()) == set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) == set(ORACLE_SQL)
+    optional = set(__spark_entry__.LLM_QUERIES)
+    assert not optional & set(QUERIES)
+    assert set(__spark_entry__.queries()) == set(QUERIES) | optional
+    assert set(__spark_entry__.oracle_sql()) == set(ORACLE_SQL) | set(__spark_entry__.LLM_SQL)
+    assert set(__spark_entry__.LLM_SQL) <= optional
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
