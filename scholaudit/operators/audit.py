@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,10 +43,10 @@ TRIAL_METRICS = {
 def metric_rollup(
     df: DataFrame, metrics: Mapping[str, tuple[str, str | None]], scope: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows and share of every label of every metric (of each institution), in one pass over the table.
+    """Rows and share of every label of every metric (of each institution).
 
-    The rows are counted by label on the map side, so that the shares are
-    taken over the few labels of a metric.
+    Rows are counted by label on the map side; a metric's total is the sum of
+    its labels' counts, joined back to them.
     """
     shown = [
         F.struct(
@@ -58,8 +58,11 @@ def metric_rollup(
     ]
     rows = df.select(*scope, F.inline(F.array(*shown)))
     counted = rows.groupBy(*scope, "metric", "label", "graph_order").agg(F.count(F.lit(1)).alias("n_rows"))
-    total = F.sum("n_rows").over(Window.partitionBy(*scope, "metric"))
-    return counted.withColumn("share", F.col("n_rows").cast("double") / total.cast("double"))
+    keys = [*scope, "metric"]
+    totals = counted.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(F.sum("n_rows").alias("_total"))
+    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    share = F.col("n_rows").cast("double") / F.col("_total").cast("double")
+    return counted.join(totals, same).select(*counted.columns, share.alias("share"))
 
 
 def utility_years(pubs: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
