@@ -68,3 +68,32 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert rules.rule_report(docs).count() == 0
     assert rules.apply_rules(docs).count() == 0
+
+
+def mostly_shared(rnd):
+    """Documents that are nearly all shared lines: with a few words of their own, and ten of thirty lines each."""
+    three, thirty = [prose(rnd, 70) for _ in range(3)], [prose(rnd, 20) for _ in range(30)]
+    rows = [(place, "\n".join([*three, prose(rnd, 6)]), "a") for place in range(300)]
+    return rows + [(1000 + place, "\n".join(rnd.sample(thirty, 10)), "b") for place in range(300)]
+
+
+def edited_copies(rnd):
+    lines = [[*prose(rnd, rnd.randint(6, 40)).split()] for _ in range(8)]
+    for place in range(1500):
+        copy = [[prose(rnd, 1) if rnd.random() < 0.04 else word for word in line] for line in lines]
+        yield (2000 + place, "\n".join(map(" ".join, copy)), "c")
+
+
+def test_documents_of_mostly_shared_lines(spark):
+    docs = spark.createDataFrame(mostly_shared(random.Random(3)), "doc_id long, text string, source string")
+    found = rules.rule_report(docs).collect()
+    assert {row["n_boilerplate_words"] for row in found if row["doc_id"] < 1000} == {210}
+    assert {row["n_boilerplate_words"] for row in found if row["doc_id"] >= 1000} == {200}
+    assert not any(row["kept"] for row in found)
+
+
+def test_near_copies_are_one_document(spark):
+    rows = list(edited_copies(random.Random(4)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = rules.rule_report(docs).collect()
+    assert len(found) == 1500 and all(row["kept"] and row["n_boilerplate_words"] == 0 for row in found)
