@@ -11,15 +11,16 @@ never compared in this step, they fill slots. Wrappers align with wrappers in
 the same way, so streams are made different first, joined in parts and then
 joined again, and no task sees all pages of a host.
 
-Slots are labelled with counts over all pages of the host: pages, words and
+Each page is aligned with its host's wrapper, and the positions of the wrapper
+are labelled with counts over all pages of the host: pages, words and
 different texts. The main part is the article or main element, or without one
 the innermost element with most of the words. Not part of it are navigation,
 headers and footers outside of the main part, sidebars, forms, notices,
-adverts and comments, known by their tags, roles and class names, and, where
-there is no article or main element, slots that hold the same text on ten
-pages or more while other slots vary. A page is matched against its host's wrapper from left to right
-and gives the texts of its main slots; a page that has none of them is
-labelled alone, by the same rules.
+adverts and comments, known by their tags, roles and class names, and
+positions, inside articles too, that hold the same text on ten pages or more
+while others vary. A page
+gives the texts of its main positions; a page that has none of them is labelled
+alone, by the same rules.
 
 Blocks end at block elements and line breaks. In a block, character references
 are decoded, white space becomes one space and the ends are trimmed; empty
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from scholaudit.llm.shared import column, slices, stage, whole_text
 from scholaudit.llm.url_language_model import host_and_path
 
-PARTS = 16  # of a host, whose wrappers are joined separately first
+PART_STREAMS = 32  # wrappers of a host that one task joins
 SAME_TEXT_PAGES = 10
 MOST_WORDS = 0.7
 
@@ -162,14 +163,15 @@ def blocks(page: str) -> list[tuple[str, str]]:
 # ---- wrappers: lists of [slots, repeated, optional], slots a list of paths
 
 
-def folded(paths: Iterable[str]) -> list[list]:
-    """A page's stream with runs of equal slots, or of equal sequences of slots, as repeated groups."""
+def placed(paths: Iterable[str]) -> list[list]:
+    """The items of ``folded``, each with its blocks as places in the item's slots, in order."""
     items: list[list] = []
     for path in paths:
         if items and items[-1][0] == [path]:
             items[-1][1] = True
+            items[-1][3].append(0)
         else:
-            items.append([[path], False, False])
+            items.append([[path], False, False, [0]])
     for size in (2, 3, 4):
         result: list[list] = []
         place = 0
@@ -178,9 +180,14 @@ def folded(paths: Iterable[str]) -> list[list]:
             again = items[place + size : place + 2 * size]
             if len(again) == size and [item[0] for item in here] == [item[0] for item in again]:
                 slots = [slot for item in here for slot in item[0]]
+                found: list[int] = []
                 while [item[0] for item in items[place : place + size]] == [item[0] for item in here]:
+                    before = 0
+                    for item in items[place : place + size]:
+                        found += [before + slot for slot in item[3]]
+                        before += len(item[0])
                     place += size
-                result.append([slots, True, False])
+                result.append([slots, True, False, found])
             else:
                 result.append(items[place])
                 place += 1
@@ -188,6 +195,28 @@ def folded(paths: Iterable[str]) -> list[list]:
     return items
 
 
+def folded(paths: Iterable[str]) -> list[list]:
+    """A page's stream with runs of equal slots, or of equal sequences of slots, as repeated groups."""
+    return [item[:3] for item in placed(paths)]
+
+
+def positions(stream: list[list], wrapper: list[list]) -> list[int]:
+    """The item of the wrapper that each item of a page's stream fills; -1 if none is alike."""
+    slots = [[tuple(item[0]) for item in items] for items in (stream, wrapper)]
+    result = [-1] * len(stream)
+    for a, b, size in difflib.SequenceMatcher(None, *slots, autojunk=False).get_matching_blocks():
+        result[a : a + size] = range(b, b + size)
+    places: dict[tuple, list[int]] = {}
+    for place, item in enumerate(slots[1]):
+        places.setdefault(item, []).append(place)
+    at = 0
+    for place, item in enumerate(slots[0]):
+        if result[place] < 0 and item in places:
+            result[place] = next((option for option in places[item] if option >= at), places[item][-1])
+        at = max(at, result[place])
+    return result
+
+
 def aligned(first: list[list], second: list[list]) -> list[list]:
     """The wrapper that fits what either wrapper fits."""
     slots = [[tuple(item[0]) for item in wrapper] for wrapper in (first, second)]
@@ -222,12 +251,12 @@ def joined(wrappers: Iterable[str]) -> str:
 # ---- labels
 
 
-def is_outside(name: str) -> bool:
-    """Whether an element's name marks what isn't main text."""
+def is_outside(name: str, named: bool = True) -> bool:
+    """Whether an element's tag, or if it counts its name, marks what isn't main text."""
     tag, *marks = re.split(r"(?=[.#@])", name)
     if tag in OUTSIDE_TAGS:
         return True
-    for mark in marks:
+    for mark in marks if named else ():
         if mark[0] == "@":
             if mark[1:] in OUTSIDE_ROLES:
                 return True
@@ -236,163 +265,208 @@ def is_outside(name: str) -> bool:
     return False
 
 
-def outside(path: str) -> bool:
+def _tag(name: str) -> str:
+    return re.split(r"[.#@]", name)[0]
+
+
+def _prefixes(path: str) -> list[str]:
     names = path.split("/")
-    return any(is_outside(name) for name in names) or (
-        any(name.startswith("header") for name in names) and not any(name.startswith(MAIN_TAGS) for name in names)
-    )
+    return ["/".join(names[:depth]) for depth in range(1, len(names) + 1)]
 
 
-def main_slots(counts: dict[str, tuple[int, int, int]]) -> set[str]:
-    """The slots of the main text; ``counts`` has pages, words and different texts of each slot."""
-    inside = {path: count for path, count in counts.items() if not outside(path)}
+def outside(path: str, unnamed: set[str] | None = frozenset()) -> bool:
+    """By the elements of a path; the names of those in ``unnamed`` don't count, None is all."""
+    names = path.split("/")
+    return any(
+        is_outside(name, unnamed is not None and prefix not in unnamed)
+        for name, prefix in zip(names, _prefixes(path), strict=True)
+    ) or (any(name.startswith("header") for name in names) and not any(name.startswith(MAIN_TAGS) for name in names))
+
+
+def main_slots(counts: dict[tuple[str, int], tuple[int, int, int]], n_pages: int) -> set[tuple[str, int]]:
+    """The positions (path and place) of the main text; ``counts`` has their pages, words and different texts."""
+    own: dict[str, int] = {}
+    for (path, _), (_, count, _) in counts.items():
+        own[path] = own.get(path, 0) + count
+    inside = {path: count for path, count in own.items() if not outside(path)}
     if not inside:
         return set()
     words: dict[str, int] = {}
-    for path, (_, own, _) in inside.items():
-        names = path.split("/")
-        for depth in range(1, len(names) + 1):
-            prefix = "/".join(names[:depth])
-            words[prefix] = words.get(prefix, 0) + own
-    mains = [path for path in words if re.split(r"[.#@]", path.rsplit("/", 1)[-1])[0] in MAIN_TAGS]
+    for path, count in inside.items():
+        for prefix in _prefixes(path):
+            words[prefix] = words.get(prefix, 0) + count
+    kinds = {path: _tag(path.rsplit("/", 1)[-1]) for path in words}
+    mains = [path for path in words if kinds[path] in MAIN_TAGS]
     if mains:
         # The outermost ones of the better kind of element.
-        best = min(MAIN_TAGS.index(re.split(r"[.#@]", path.rsplit("/", 1)[-1])[0]) for path in mains)
-        roots = [p for p in mains if re.split(r"[.#@]", p.rsplit("/", 1)[-1])[0] == MAIN_TAGS[best]]
+        best = min(MAIN_TAGS.index(kinds[path]) for path in mains)
+        roots = [path for path in mains if kinds[path] == MAIN_TAGS[best]]
         roots = [path for path in roots if not any(path.startswith(other + "/") for other in roots)]
     else:
-        total = sum(own for _, own, _ in inside.values())
-        enough = [path for path, own in words.items() if own >= MOST_WORDS * total and not _is_block(path)]
+        total = sum(inside.values())
+        enough = [path for path, count in words.items() if count >= MOST_WORDS * total and not _is_block(path)]
         roots = [max(enough, key=lambda path: (path.count("/"), path))] if enough else [""]
     chosen = {
-        path
-        for path in inside
-        if any(not root or path == root or path.startswith(root + "/") for root in roots)
+        key
+        for key in counts
+        if key[0] in inside and any(not root or key[0] == root or key[0].startswith(root + "/") for root in roots)
     }
-    if mains:
-        return chosen
-    fixed = {path for path in chosen if counts[path][0] >= SAME_TEXT_PAGES and counts[path][2] == 1}
+    fixed = {key for key in chosen if counts[key][0] >= SAME_TEXT_PAGES and counts[key][2] == 1}
     return chosen - fixed if chosen - fixed else chosen
 
 
 def _is_block(path: str) -> bool:
-    return re.split(r"[.#@]", path.rsplit("/", 1)[-1])[0] in {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "pre"}
-
-
-def matched(paths: list[str], wrapper: list[list], main: set[str]) -> list[bool]:
-    """Which blocks of a page fill main slots: slots are taken from left to right, and from the start if need be."""
-    places: dict[str, list[int]] = {}
-    for place, (slots, _, _) in enumerate(wrapper):
-        for slot in slots:
-            places.setdefault(slot, []).append(place)
-    result, at = [], 0
-    for path in paths:
-        options = places.get(path)
-        if options:
-            at = next((place for place in options if place >= at), options[0])
-        result.append(bool(options) and path in main)
-    return result
+    return _tag(path.rsplit("/", 1)[-1]) in {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "pre"}
 
 
 # ---- Spark
 
 
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of streams (host, wrapper) and of slots (host, path, text hash, words, pages), combined in the task."""
-    streams: set[tuple[str, str]] = set()
-    slots: dict[tuple[str, str, int], list[int]] = {}
+    """Of each page its host, a hash of its blocks, its folded stream, and the text hash and words of each slot."""
+    for batch in slices(batches):
+        rows = []
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = blocks(page)
+            items = placed(path for path, _ in found)
+            texts, words, at = [], [], 0
+            for slots, _, _, filled in items:
+                own: list[list[str]] = [[] for _ in slots]
+                for slot in filled:
+                    own[slot].append(found[at][1])
+                    at += 1
+                texts += [xxhash.xxh64_intdigest("\n".join(part)) - 2**63 for part in own]
+                words += [sum(len(text.split()) for text in part) for part in own]
+            number = xxhash.xxh64_intdigest("\n".join(f"{path}\t{text}" for path, text in found)) - 2**63
+            rows.append((host, number, json.dumps([item[:3] for item in items], ensure_ascii=False), texts, words))
+        host, number, stream, texts, words = zip(*rows, strict=True)
+        longs = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(host, pa.string()), pa.array(number, pa.int64()), pa.array(stream, pa.string()),
+             pa.array(texts, longs), pa.array(words, longs)],
+            names=["host", "page", "stream", "texts", "words"],
+        )
+
+
+def _join_part(table: pa.Table) -> pa.Table:
+    return pa.table({"host": table.column("host").slice(0, 1), "wrapper": [joined(table.column("wrapper").to_pylist())]})
+
+
+def _count_positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (host, path, place, text, words, pages) of pages with their wrappers, combined in the task."""
+    slots: dict[tuple[str, str, int, int], list[int]] = {}
+    known: dict[tuple[str, str], tuple[list, list[int]]] = {}
 
     def rows() -> pa.RecordBatch:
-        hosts = [host for host, _ in streams] + [host for host, _, _ in slots]
-        empty = [None] * len(streams)
-        batch = pa.RecordBatch.from_arrays(
-            [
-                pa.array(hosts, pa.string()),
-                pa.array([wrapper for _, wrapper in streams] + [None] * len(slots), pa.string()),
-                pa.array(empty + [path for _, path, _ in slots], pa.string()),
-                pa.array(empty + [value - 2**63 for _, _, value in slots], pa.int64()),
-                pa.array(empty + [count[0] for count in slots.values()], pa.int64()),
-                pa.array(empty + [count[1] for count in slots.values()], pa.int64()),
-            ],
-            names=["host", "wrapper", "path", "text", "words", "pages"],
-        )
-        streams.clear()
+        host, path, place, text = zip(*slots, strict=True) if slots else ((), (), (), ())
+        words, pages = zip(*slots.values(), strict=True) if slots else ((), ())
+        kinds = {"host": pa.string(), "path": pa.string()}
+        columns = {"host": host, "path": path, "place": place, "text": text, "words": words, "pages": pages}
         slots.clear()
-        return batch
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values, kinds.get(name, pa.int64())) for name, values in columns.items()], names=list(columns)
+        )
 
     for batch in slices(batches):
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = blocks(page)
-            streams.add((host, json.dumps(folded(path for path, _ in found), ensure_ascii=False)))
-            texts: dict[str, list[str]] = {}
-            for path, text in found:
-                texts.setdefault(path, []).append(text)
-            for path, own in texts.items():
-                text = "\n".join(own)
-                count = slots.setdefault((host, path, xxhash.xxh64_intdigest(text)), [0, 0])
-                count[0] += text.count(" ") + len(own)
-                count[1] += 1
-        if len(streams) + len(slots) > 20_000:
+        for host, stream, texts, words, wrapper in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if (stream, wrapper) not in known:
+                if len(known) > 1000:
+                    known.clear()
+                items = json.loads(stream)
+                known[stream, wrapper] = (items, positions(items, json.loads(wrapper)))
+            at = 0
+            for item, place in zip(*known[stream, wrapper], strict=True):
+                for slot, path in enumerate(item[0]):
+                    count = slots.setdefault((host, path, place << 20 | slot, texts[at]), [0, 0])
+                    count[0] += words[at]
+                    count[1] += 1
+                    at += 1
+        if len(slots) > 20_000:
             yield rows()
     yield rows()
 
 
-def _join_part(table: pa.Table) -> pa.Table:
-    return pa.table({"host": table.column("host").slice(0, 1), "wrapper": [joined(table.column("wrapper").to_pylist())]})
+def join_streams(streams: DataFrame) -> DataFrame:
+    """``(host, wrapper)``, one for each host: wrappers are joined in a tree, a bounded number in a task."""
+    left = streams
+    while True:
+        sizes = stage(left.groupBy("host").agg(F.count(F.lit(1)).alias("streams")), "stream_counts")
+        most = sizes.agg(F.max("streams")).first()[0] or 0
+        if most <= 1:
+            return left
+        parts = F.ceil(F.col("streams") / PART_STREAMS)
+        left = stage(
+            left.join(sizes, "host")
+            .withColumn("part", F.pmod(F.xxhash64("wrapper"), parts))
+            .groupBy("host", "part")
+            .applyInArrow(_join_part, "host string, wrapper string"),
+            "joined",
+        )
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, wrapper, counts)`` from pages ``(host, html)``; counts of the slots as JSON."""
+    """``(host, wrapper, n_pages, counts)`` from pages ``(host, html)``; counts of the positions as JSON."""
     read = stage(
         pages.select("host", "html").mapInArrow(
-            _read_pages, "host string, wrapper string, path string, text long, words long, pages long"
+            _read_pages, "host string, page long, stream string, texts array<long>, words array<long>"
         ),
         "pages_read",
     )
-    streams = read.where("wrapper is not null").select("host", "wrapper").distinct()
-    part = F.pmod(F.xxhash64("wrapper"), F.lit(PARTS)).alias("part")
-    schema = "host string, wrapper string"
-    wrappers = (
-        streams.select("host", "wrapper", part)
-        .groupBy("host", "part")
-        .applyInArrow(_join_part, schema)
-        .groupBy("host")
-        .applyInArrow(_join_part, schema)
-    )
+    different = read
+    streams = stage(different.select("host", F.col("stream").alias("wrapper")).distinct(), "streams")
+    wrappers = join_streams(streams)
+    counted = different.join(wrappers, "host").select("host", "stream", "texts", "words", "wrapper")
     slots = (
-        read.where("path is not null")
-        .groupBy("host", "path", "text")
+        counted.mapInArrow(
+            _count_positions, "host string, path string, place long, text long, words long, pages long"
+        )
+        .groupBy("host", "path", "place", "text")
         .agg(F.sum("words").alias("words"), F.sum("pages").alias("pages"))
-        .groupBy("host", "path")
+        .groupBy("host", "path", "place")
         .agg(F.sum("pages").alias("pages"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("texts"))
         .groupBy("host")
-        .agg(F.sort_array(F.collect_list(F.struct("path", "pages", "words", "texts"))).alias("slots"))
-    )
-    return stage(
-        wrappers.join(slots, "host", "left").select("host", "wrapper", F.to_json("slots").alias("counts")), "wrappers"
+        .agg(F.sort_array(F.collect_list(F.struct("path", "place", "pages", "words", "texts"))).alias("slots"))
     )
+    n_pages = different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
+    both = wrappers.join(n_pages, "host").join(slots, "host", "left")
+    return stage(both.select("host", "wrapper", "n_pages", F.to_json("slots").alias("counts")), "wrappers")
+
+
+def page_positions(paths: list[str], wrapper: list[list]) -> list[tuple[str, int]]:
+    """The wrapper's position of each block."""
+    items = placed(paths)
+    numbers = [
+        place << 20 | slot
+        for item, place in zip(items, positions(items, wrapper), strict=True)
+        for slot in item[3]
+    ]
+    return list(zip(paths, numbers, strict=True))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, tuple[list, set[str]]] = {}
+    known: dict[str, tuple[list, set[tuple[str, int]]]] = {}
     for batch in slices(batches):
         texts = []
-        rows = zip(*[batch.column(place).to_pylist() for place in (2, 3, 4)], strict=True)
-        for page, wrapper, counts in rows:
-            key = f"{wrapper}\n{counts}"
+        rows = zip(*[batch.column(place).to_pylist() for place in (2, 3, 4, 5)], strict=True)
+        for page, wrapper, n_pages, counts in rows:
+            key = f"{wrapper}\n{n_pages}\n{counts}"
             if key not in known:
                 if len(known) > 1000:
                     known.clear()
-                stated = {row["path"]: (row["pages"], row["words"], row["texts"]) for row in json.loads(counts or "[]")}
-                known[key] = (json.loads(wrapper or "[]"), main_slots(stated))
+                stated = {
+                    (row["path"], row["place"]): (row["pages"], row["words"], row["texts"])
+                    for row in json.loads(counts or "[]")
+                }
+                known[key] = (json.loads(wrapper or "[]"), main_slots(stated, n_pages or 0))
             found = blocks(page)
-            fills = matched([path for path, _ in found], *known[key])
+            paths = [path for path, _ in found]
+            fills = [position in known[key][1] for position in page_positions(paths, known[key][0])]
             if not any(fills):
-                alone: dict[str, tuple[int, int, int]] = {}
+                alone: dict[tuple[str, int], tuple[int, int, int]] = {}
                 for path, text in found:
-                    alone[path] = (1, alone.get(path, (1, 0, 1))[1] + len(text.split()), 1)
-                main = main_slots(alone)
-                fills = [path in main for path, _ in found]
+                    alone[path, 0] = (1, alone.get((path, 0), (1, 0, 1))[1] + len(text.split()), 1)
+                main = main_slots(alone, 1)
+                fills = [(path, 0) in main for path in paths]
             texts.append("\n".join(text for (_, text), fill in zip(found, fills, strict=True) if fill))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -411,7 +485,9 @@ def extract_pages(
         whole_text(pages, html_column).alias("html"),
     )
     wrappers = infer_wrappers(rows)
-    joined_rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper", "counts")
+    joined_rows = rows.join(wrappers, "host", "left").select(
+        "page_id", "url", "html", "wrapper", "n_pages", "counts"
+    )
     kinds = {field.name: field.dataType.simpleString() for field in rows.schema}
     texts = joined_rows.mapInArrow(_extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))

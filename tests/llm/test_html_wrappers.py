@@ -50,3 +50,21 @@ def test_alignment():
 
 def test_unclosed_quote_is_linear():
     wrappers.blocks('<a href="' * 20_000)
+
+
+def extracted(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {row["page_id"]: row["text"] for row in wrappers.extract_pages(pages).collect()}
+
+
+def test_positions_decide_inside_articles(spark):
+    page = "<body><article><h1>T {n}</h1><p>Share this page<h2>S {n}</h2><p>Text of page {n}</article>"
+    found = extracted(spark, [(n, f"http://d.org/{n}", page.format(n=n)) for n in range(12)])
+    assert found == {n: f"T {n}\nS {n}\nText of page {n}" for n in range(12)}
+
+
+def test_many_streams(spark):
+    rows = [(n, f"http://f.org/{n}", "<article>" + "".join(f"<{t}>{t} {n}</{t}>" for k, t in enumerate(
+        ("h1", "h2", "pre", "h3", "h4", "h5", "blockquote")) if (n + 1) >> k & 1) + "</article>") for n in range(100)]
+    found = extracted(spark, rows)
+    assert all(found[n].count("\n") + 1 == bin(n + 1).count("1") for n in range(100))
