@@ -18,7 +18,8 @@ the innermost element with most of the words. Not part of it are navigation,
 headers and footers outside of the main part, sidebars, forms, notices,
 adverts and comments, known by their tags, roles and class names, and
 positions, inside articles too, that hold the same text on ten pages or more
-while others vary. A page
+while others vary. Names don't count on html, body
+and elements around most of the main part, nor if nothing were left. A page
 gives the texts of its main positions; a page that has none of them is labelled
 alone, by the same rules.
 
@@ -278,17 +279,34 @@ def outside(path: str, unnamed: set[str] | None = frozenset()) -> bool:
     """By the elements of a path; the names of those in ``unnamed`` don't count, None is all."""
     names = path.split("/")
     return any(
-        is_outside(name, unnamed is not None and prefix not in unnamed)
+        is_outside(name, unnamed is not None and _tag(name) not in ("html", "body") and prefix not in unnamed)
         for name, prefix in zip(names, _prefixes(path), strict=True)
     ) or (any(name.startswith("header") for name in names) and not any(name.startswith(MAIN_TAGS) for name in names))
 
 
+def _around_main(own: dict[str, int]) -> set[str]:
+    """Elements around most of the words of article and main, these included, or without them of all words."""
+    own = {path: words for path, words in own.items() if not outside(path)} or own
+    depths = {
+        path: next((k for k, name in enumerate(path.split("/")) if _tag(name) in MAIN_TAGS), None) for path in own
+    }
+    mains = {path: depth for path, depth in depths.items() if depth is not None}
+    words: dict[str, int] = {}
+    for path in mains or own:
+        for prefix in _prefixes(path)[: mains[path] + 1 if mains else None]:
+            words[prefix] = words.get(prefix, 0) + own[path]
+    total = sum(own[path] for path in mains or own)
+    return {prefix for prefix, count in words.items() if count >= MOST_WORDS * total and not _is_block(prefix)}
+
+
 def main_slots(counts: dict[tuple[str, int], tuple[int, int, int]], n_pages: int) -> set[tuple[str, int]]:
     """The positions (path and place) of the main text; ``counts`` has their pages, words and different texts."""
     own: dict[str, int] = {}
     for (path, _), (_, count, _) in counts.items():
         own[path] = own.get(path, 0) + count
-    inside = {path: count for path, count in own.items() if not outside(path)}
+    tagged = {path: count for path, count in own.items() if not outside(path, None)}
+    unnamed = _around_main(tagged) if tagged else set()
+    inside = {path: count for path, count in tagged.items() if not outside(path, unnamed)} or tagged
     if not inside:
         return set()
     words: dict[str, int] = {}

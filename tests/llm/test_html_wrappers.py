@@ -63,6 +63,16 @@ def test_positions_decide_inside_articles(spark):
     assert found == {n: f"T {n}\nS {n}\nText of page {n}" for n in range(12)}
 
 
+def test_names_around_the_article(spark):
+    forms = ["<body class='has-sidebar not-logged-in login'><article><p>{w}</article>",
+             "<body><div class=content-with-sidebar><main><p>{w}</main></div>",
+             "<body><div class=right-sidebar><p>{w}</div>",
+             "<body><article><p>{w}</article><div id=comments><article><p>Nice</article></div>"]
+    words = "some words of the article " * 4
+    found = extracted(spark, [(n, f"http://h{n}.org/", form.format(w=words)) for n, form in enumerate(forms)])
+    assert found == dict.fromkeys(range(4), words.strip())
+
+
 def test_many_streams(spark):
     rows = [(n, f"http://f.org/{n}", "<article>" + "".join(f"<{t}>{t} {n}</{t}>" for k, t in enumerate(
         ("h1", "h2", "pre", "h3", "h4", "h5", "blockquote")) if (n + 1) >> k & 1) + "</article>") for n in range(100)]
