@@ -12,13 +12,13 @@ the same way, so streams are made different first, joined in parts and then
 joined again, and no task sees all pages of a host.
 
 Each page is aligned with its host's wrapper, and the positions of the wrapper
-are labelled with counts over all pages of the host: pages, words and
+are labelled with counts over the different pages of the host: pages, words and
 different texts. The main part is the article or main element, or without one
 the innermost element with most of the words. Not part of it are navigation,
 headers and footers outside of the main part, sidebars, forms, notices,
 adverts and comments, known by their tags, roles and class names, and
 positions, inside articles too, that hold the same text on ten pages or more
-while others vary. Names don't count on html, body
+and on half of the host's while others vary. Names don't count on html, body
 and elements around most of the main part, nor if nothing were left. A page
 gives the texts of its main positions; a page that has none of them is labelled
 alone, by the same rules.
@@ -50,7 +50,7 @@ from scholaudit.llm.shared import column, slices, stage, whole_text
 from scholaudit.llm.url_language_model import host_and_path
 
 PART_STREAMS = 32  # wrappers of a host that one task joins
-SAME_TEXT_PAGES = 10
+SAME_TEXT_PAGES, SAME_TEXT_SHARE = 10, 0.5
 MOST_WORDS = 0.7
 
 # Fixed values of HTML.
@@ -329,7 +329,8 @@ def main_slots(counts: dict[tuple[str, int], tuple[int, int, int]], n_pages: int
         for key in counts
         if key[0] in inside and any(not root or key[0] == root or key[0].startswith(root + "/") for root in roots)
     }
-    fixed = {key for key in chosen if counts[key][0] >= SAME_TEXT_PAGES and counts[key][2] == 1}
+    least = max(SAME_TEXT_PAGES, SAME_TEXT_SHARE * n_pages)
+    fixed = {key for key in chosen if counts[key][0] >= least and counts[key][2] == 1}
     return chosen - fixed if chosen - fixed else chosen
 
 
@@ -430,7 +431,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         ),
         "pages_read",
     )
-    different = read
+    different = stage(read.dropDuplicates(["host", "page"]), "different_pages")
     streams = stage(different.select("host", F.col("stream").alias("wrapper")).distinct(), "streams")
     wrappers = join_streams(streams)
     counted = different.join(wrappers, "host").select("host", "stream", "texts", "words", "wrapper")

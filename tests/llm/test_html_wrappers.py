@@ -73,6 +73,14 @@ def test_names_around_the_article(spark):
     assert found == dict.fromkeys(range(4), words.strip())
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    copy = "<body><div><p>First text of it<blockquote>A quotation</blockquote></div>"
+    rows = [(n, f"http://e.org/{n}", copy) for n in range(12)]
+    rows += [(100 + n, f"http://e.org/o{n}", f"<body><div><p>Other text {n}</div>") for n in range(12)]
+    found = extracted(spark, rows)
+    assert {found[n] for n in range(12)} == {"First text of it\nA quotation"}
+
+
 def test_many_streams(spark):
     rows = [(n, f"http://f.org/{n}", "<article>" + "".join(f"<{t}>{t} {n}</{t}>" for k, t in enumerate(
         ("h1", "h2", "pre", "h3", "h4", "h5", "blockquote")) if (n + 1) >> k & 1) + "</article>") for n in range(100)]
