@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaudit.config import Institution, Run
+from scholaudit.sources.versions import Part, drop_version, switch, write_version
 
 WORKS_DATABASE = "observatory"
 ACCESS_TABLE = "unpaywall.unpaywall"
@@ -22,6 +22,11 @@ class MissingTables(RuntimeError):
         super().__init__("These tables do not exist: " + ", ".join(self.names))
 
 
+class ExistingTable(RuntimeError):
+    def __init__(self, name: str):
+        super().__init__(f"The table {name} already exists")
+
+
 def read_works(spark: SparkSession, run: Run) -> DataFrame:
     return spark.table(f"{WORKS_DATABASE}.{run.works_table}")
 
@@ -50,29 +55,32 @@ def output_names(run: Run, institution: Institution) -> list[str]:
     return [f"{institution.output_database}.{run.output_table(kind)}" for kind in ("alltrials", "trials", "pubs")]
 
 
-def create_or_replace(df: DataFrame, name: str) -> None:
-    """Write the rows aside, then put the table in the place of the old one, which stays until then."""
+def create_or_replace(df: DataFrame, name: str) -> int:
+    """Publish the rows in the place of what the name holds, in one step; the number of rows."""
+    version, rows = write_version(df, name)
+    switch(df.sparkSession, name, [Part(version)])
+    return rows
+
+
+def create_only(df: DataFrame, name: str) -> int:
+    """Fails when the name is already there; the number of rows."""
     spark = df.sparkSession
-    aside = f"{name}__{uuid.uuid4().hex}"
+    if spark.catalog.tableExists(name):
+        raise ExistingTable(name)
+    version, rows = write_version(df, name)
     try:
-        df.write.saveAsTable(aside)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        switch(spark, name, [Part(version)], replace=False)
+    except Exception:  # another writer was first
+        drop_version(spark, version)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-
-
-def create_only(df: DataFrame, name: str) -> None:
-    """Fails when the table is already there."""
-    df.write.mode("errorifexists").saveAsTable(name)
+    return rows
 
 
-def copy_table(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:
-    """Copy a table; without ``overwrite`` the target must not exist."""
+def copy_table(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> int:
+    """Copy a table; without ``overwrite`` the target must not exist. The number of rows."""
     require_tables(spark, [source])
     write = create_or_replace if overwrite else create_only
-    write(spark.table(source), target)
+    return write(spark.table(source), target)
 
 
 def create_database(spark: SparkSession, name: str) -> None:
