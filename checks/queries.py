@@ -23,7 +23,7 @@ from scholaudit.operators import publications, trial_ids, trial_links
 from scholaudit.operators.audit import TRIAL_METRICS, audit_tables, metric_rollup, utility_years
 from scholaudit.operators.extract import pubmed_extract
 from scholaudit.operators.researchers import researcher_orcid
-from scholaudit.operators.trial_ids import published_after, shared_evidence
+from scholaudit.operators.trial_ids import narrow_works, published_after, shared_evidence
 from scholaudit.plans.alltrials import alltrials, alltrials_by_cutoff, shared_by_cutoff
 from scholaudit.plans.many import all_publications_audited, all_trials_linked
 from scholaudit.plans.pubs import pubs
@@ -81,7 +81,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 
 def _alltrials(works: DataFrame) -> DataFrame:
-    shared = shared_evidence(published_after(works, CUTOFF), lazily)
+    shared = shared_evidence(narrow_works(published_after(works, CUTOFF)), lazily)
     return alltrials(works, CUTOFF, PROVENANCE, shared)
 
 

@@ -25,6 +25,18 @@ def table_audit(df: DataFrame, column: str, name: str) -> DataFrame:
     )
 
 
+def written_audit(df: DataFrame, column: str, name: str, rows: int) -> DataFrame:
+    """The same for a table whose rows were counted while it was written; only the column is read."""
+    distinct = df.agg(F.count_distinct(F.col(column)).alias("n_distinct"))
+    return distinct.select(
+        F.lit(name).alias("table_name"),
+        F.lit(column).alias("column_name"),
+        F.lit(rows).cast("bigint").alias("n_rows"),
+        "n_distinct",
+        F.col("n_distinct").alias("n_distinct_notnull"),
+    )
+
+
 def audit_tables(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row per table."""
     rows = [table_audit(df, column, name) for name, (df, column) in tables.items()]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.functions.arrays import has_items, repeat_items
@@ -107,20 +107,33 @@ _OWN_ENTRIES = (
 )
 
 
-def evidence_rows(works: DataFrame, kinds: Sequence[str] = tuple(_ENTRIES)) -> DataFrame:
-    """(published_year, kind, doi, ids, label, own) entries of the asked kinds, from one narrow scan.
+def narrow_works(works: DataFrame, kinds: Sequence[str] = tuple(_ENTRIES)) -> DataFrame:
+    """(published_year, work_key, entries) of works that have a key or entries, from one narrow scan.
 
-    ``own`` tells that the entry carries the DOI of its own work. Entries
-    without a DOI are left out: they match no work.
+    Entries are those of the asked kinds; ``own`` tells that an entry carries
+    the DOI of its own work. Entries without a DOI are left out: they match no
+    work.
     """
     lists = ", ".join(f"coalesce({_ENTRIES[kind]}, array())" for kind in kinds)
-    rows = works.select(
+    marked = (
+        f"transform(filter(concat({lists}), item -> item.doi IS NOT NULL), item -> named_struct('kind', item.kind, "
+        "'doi', item.doi, 'ids', item.ids, 'label', item.label, 'own', coalesce(lower(item.doi) = lower(doi), FALSE)))"
+    )
+    return works.select(
         F.col("crossref.published_year").alias("published_year"),
         F.lower("doi").alias("work_key"),
-        F.expr(f"explode(concat({lists}))").alias("entry"),
+        F.expr(marked).alias("entries"),
     )
-    own = F.expr("coalesce(lower(entry.doi) = work_key, FALSE)").alias("own")
-    return rows.select("published_year", "entry.*", own).where("doi IS NOT NULL")
+
+
+def entries_of(narrow: DataFrame) -> DataFrame:
+    """(published_year, kind, doi, ids, label, own): a row per entry."""
+    return narrow.select("published_year", F.expr("inline(entries)"))
+
+
+def evidence_rows(works: DataFrame, kinds: Sequence[str] = tuple(_ENTRIES)) -> DataFrame:
+    """The entries of the asked kinds of all works."""
+    return entries_of(narrow_works(works, kinds))
 
 
 def _entries_by_doi(works: DataFrame, kind: str, shown: str, name: str) -> DataFrame:
@@ -176,16 +189,17 @@ def trial_evidence(works: DataFrame) -> DataFrame:
     return group_evidence(evidence_rows(works))
 
 
-def shared_keys(works: DataFrame) -> DataFrame:
+def shared_keys(narrow: DataFrame) -> DataFrame:
     """Keys whose evidence does not come from one work alone.
 
     These are DOIs of several works, and DOIs of a work that entries of
     another work name. Keys that no work has, such as a placeholder, are not
-    among them. One narrow shuffle, with repeats combined before it.
+    among them. One narrow scan and shuffle, with repeats combined before it.
     """
-    named = evidence_rows(works).where("NOT own").select(F.lower("doi").alias("doi_key"))
-    marks = works.select(doi_key(works), F.lit(1).alias("n_works"), F.lit(False).alias("is_named")).unionByName(
-        named.select("doi_key", F.lit(0).alias("n_works"), F.lit(True).alias("is_named"))
+    own = "named_struct('doi_key', work_key, 'n_works', 1, 'is_named', FALSE)"
+    named = "named_struct('doi_key', lower(item.doi), 'n_works', 0, 'is_named', TRUE)"
+    marks = narrow.select(
+        F.expr(f"inline(concat(array({own}), transform(filter(entries, item -> NOT item.own), item -> {named})))")
     )
     return (
         marks.where("doi_key IS NOT NULL")
@@ -197,7 +211,7 @@ def shared_keys(works: DataFrame) -> DataFrame:
 
 
 def shared_evidence(
-    works: DataFrame, keep: Keep, rows: DataFrame | None = None, edition: Sequence[str] = ()
+    narrow: DataFrame, keep: Keep, rows: DataFrame | None = None, edition: Sequence[str] = ()
 ) -> DataFrame:
     """Grouped evidence for the shared keys only.
 
@@ -206,25 +220,28 @@ def shared_evidence(
     works meet a small table and stay where they are. ``rows`` may hold the
     entries with their edition.
     """
-    entries = (evidence_rows(works) if rows is None else rows).withColumn("doi_key", F.lower("doi"))
-    shared = keep(shared_keys(works), "shared")
+    entries = (entries_of(narrow) if rows is None else rows).withColumn("doi_key", F.lower("doi"))
+    shared = keep(shared_keys(narrow), "shared")
     return keep(group_evidence(entries.join(shared, "doi_key", "left_semi"), edition), "evidence")
 
 
-def text_evidence(works: DataFrame, own: bool = False) -> DataFrame:
-    """The row-local part of ``alltrials``: abstracts and the ids found in them.
+def text_columns(works: DataFrame, own: bool = False) -> list[Column]:
+    """What ``alltrials`` takes from a work before its texts are searched.
 
     With ``own`` also the entries that the work holds under its own DOI.
     """
-    base = works.select(
-        "doi",
+    return [
+        F.col("doi"),
         doi_key(works),
         F.col("crossref.published_year").alias("published_year"),
         F.col("crossref.abstract").alias("abstract_CROSSREF"),
         F.col(PUBMED_ABSTRACT).alias("abstract_PUBMED"),
         F.expr(has_items(FIELD)).alias("CROSSREF_clintrial_fromfield_found"),
         *([F.expr(_OWN_ENTRIES).alias("own_entries")] if own else []),
-    )
+    ]
+
+
+def search_texts(base: DataFrame) -> DataFrame:
     return trial_ids_in_text(
         base,
         {
@@ -234,6 +251,11 @@ def text_evidence(works: DataFrame, own: bool = False) -> DataFrame:
     )
 
 
+def text_evidence(works: DataFrame, own: bool = False) -> DataFrame:
+    """The row-local part of ``alltrials``: abstracts and the ids found in them."""
+    return search_texts(works.select(*text_columns(works, own)))
+
+
 def _by_spelling(kind: str) -> str:
     """One kind's entries as a list per spelling of the DOI.
 
@@ -254,10 +276,15 @@ def attach_evidence(works: DataFrame, evidence: DataFrame, edition: Sequence[str
     joined = works.join(evidence, [*edition, "doi_key"], "left")
     if "own_entries" in works.columns:
         joined = joined.withColumn("entries", F.coalesce("entries", "own_entries"))
+    return write_out_entries(joined, [name for name in works.columns if name != "own_entries"])
+
+
+def write_out_entries(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns, and the lists that ``entries`` hold by kind; a row per spelling of the DOI that has a list."""
     for kind in (REGISTRY, DATABANK, CROSSREF):
         joined = joined.withColumn(kind, F.expr(f"explode_outer({_by_spelling(kind)})"))
     return joined.select(
-        *[name for name in works.columns if name != "own_entries"],
+        *columns,
         F.expr(repeat_items(REGISTRY, _AS_BANK)).alias("PUBMED_clintrial_fromfield"),
         F.col(REGISTRY).isNotNull().alias("PUBMED_clintrial_fromfield_found"),
         F.expr(repeat_items(DATABANK, _AS_BANK)).alias("PUBMED_opendata_fromfield"),

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
 from scholaudit.operators.trial_ids import (
     any_source_trials,
     attach_evidence,
+    entries_of,
     evidence_rows,
     group_evidence,
     id_list_strings,
+    narrow_works,
     published_after,
     shared_evidence,
     text_evidence,
@@ -49,9 +51,13 @@ def with_cutoffs(df: DataFrame, cutoffs: Iterable[int]) -> DataFrame:
     Lists are grouped after the cutoff, so a build at the lowest cutoff could
     not be filtered down to a higher one.
     """
+    return df.withColumn(CUTOFF, F.expr(f"explode({passed_cutoffs(cutoffs)})"))
+
+
+def passed_cutoffs(cutoffs: Iterable[int]) -> str:
+    """The cutoffs that a row's ``published_year`` passes."""
     known = ", ".join(f"{int(cutoff)}L" for cutoff in sorted(set(cutoffs)))
-    passed = f"explode(filter(array({known}), cutoff -> published_year > cutoff))"
-    return df.withColumn(CUTOFF, F.expr(passed))
+    return f"filter(array({known}), cutoff -> published_year > cutoff)"
 
 
 def combine(searched: DataFrame, evidence: DataFrame, edition: tuple[str, ...] = ()) -> DataFrame:
@@ -70,20 +76,24 @@ def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, shared: Dat
     """
     recent = published_after(works, cutoff)
     evidence = trial_evidence(recent) if shared is None else shared
-    return combine(text_evidence(recent, own=shared is not None), evidence).select(
-        "*",
-        F.lit(provenance.works_table).alias("var_AcademicObservatory_doi"),
-        F.lit(cutoff).cast("bigint").alias("var_SQL_year_cutoff"),
-        F.lit(provenance.workflow_version).alias("var_SQL_workflow_version"),
-        F.lit(provenance.institution_id).alias("var_institution_id"),
-    )
+    combined = combine(text_evidence(recent, own=shared is not None), evidence)
+    return combined.withColumns(provenance_columns(cutoff, provenance))
+
+
+def provenance_columns(cutoff: int, provenance: Provenance) -> dict[str, Column]:
+    return {
+        "var_AcademicObservatory_doi": F.lit(provenance.works_table),
+        "var_SQL_year_cutoff": F.lit(cutoff).cast("bigint"),
+        "var_SQL_workflow_version": F.lit(provenance.workflow_version),
+        "var_institution_id": F.lit(provenance.institution_id),
+    }
 
 
 def shared_by_cutoff(works: DataFrame, cutoffs: Iterable[int], keep: Keep) -> DataFrame:
     """Evidence of shared keys per cutoff; only entries are repeated for the cutoffs."""
     years = sorted(set(cutoffs))
-    recent = published_after(works, years[0])
-    return shared_evidence(recent, keep, with_cutoffs(evidence_rows(recent), years), (CUTOFF,))
+    narrow = narrow_works(published_after(works, years[0]))
+    return shared_evidence(narrow, keep, with_cutoffs(entries_of(narrow), years), (CUTOFF,))
 
 
 def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], shared: DataFrame | None = None) -> DataFrame:

@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from scholaudit.functions.sql import inline_table
 from scholaudit.plans.alltrials import CUTOFF
-from scholaudit.plans.pubs import COLUMNS, audit_publications
+from scholaudit.plans.pubs import COLUMNS, audit_facts, audit_publications
 from scholaudit.plans.trials import link_trials
 from scholaudit.sources.staging import Keep, lazily
 
@@ -52,4 +51,20 @@ def all_publications_audited(
     audited = audit_publications(
         with_cutoff(dois, cutoffs), works, unpaywall, alltrials, oddpub, (INSTITUTION,), (CUTOFF,), keep=keep
     )
-    return audited.select(INSTITUTION, *[F.col(name) for name in COLUMNS])
+    return audited.select(INSTITUTION, *COLUMNS)
+
+
+def all_facts_audited(
+    dois: DataFrame,
+    facts: DataFrame,
+    extract: DataFrame,
+    unpaywall: DataFrame,
+    oddpub: DataFrame,
+    cutoffs: Mapping[str, int],
+    keep: Keep,
+) -> DataFrame:
+    """The same from facts and extracts that hold the listed DOIs; extracts carry the cutoff column."""
+    audited = audit_facts(
+        with_cutoff(dois, cutoffs), facts, extract, unpaywall, oddpub, (INSTITUTION,), (CUTOFF,), keep
+    )
+    return audited.select(INSTITUTION, *COLUMNS)

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scholaudit.config import Institution, Provenance, Run
 from scholaudit.functions.sql import inline_table
-from scholaudit.operators.audit import audit_tables, utility_years
-from scholaudit.operators.trial_ids import published_after, shared_evidence
-from scholaudit.plans.alltrials import CUTOFF, alltrials, alltrials_by_cutoff, shared_by_cutoff
-from scholaudit.plans.many import INSTITUTION, all_publications_audited, all_trials_linked
-from scholaudit.plans.pubs import pubs
+from scholaudit.operators.audit import audit_tables, utility_years, written_audit
+from scholaudit.plans.alltrials import COLUMNS, CUTOFF, passed_cutoffs, provenance_columns
+from scholaudit.plans.many import INSTITUTION, all_facts_audited, all_trials_linked
+from scholaudit.plans.pubs import audit_facts, with_provenance
+from scholaudit.plans.search import EDITION, EXTRACT, FACTS, KIND, TABLE, extract_of, facts_of, search_works, work_keys
 from scholaudit.plans.trials import trials
 from scholaudit.sources.staging import staging
 from scholaudit.sources.tables import (
     ACCESS_TABLE,
     WORKS_DATABASE,
+    MissingTables,
     copy_table,
     create_database,
     create_or_replace,
@@ -29,6 +34,16 @@ from scholaudit.sources.tables import (
     read_works,
     require_tables,
 )
+from scholaudit.sources.versions import (
+    Part,
+    drop_version,
+    register_version,
+    remove_folder,
+    replace_partitions,
+    switch,
+    version_name,
+    write_together,
+)
 
 # Tables that have a latest copy; ``alltrials`` has none.
 LATEST = ("trials", "pubs")
@@ -38,8 +53,68 @@ AUDIT = "table_audit"
 COUNTED = {"alltrials": "doi", "trials": "nct_id", "pubs": "doi", "unpaywall": "doi"}
 
 
+@dataclass(frozen=True)
+class Searched:
+    """What one pass over the texts of works wrote: ``alltrials``, and the rows that publications take over."""
+
+    rows: int
+    facts: DataFrame
+    extract: DataFrame
+    folders: tuple[str, ...]
+
+
+@contextmanager
+def _searched(
+    spark: SparkSession, found: DataFrame, name: str, cutoffs: Sequence[int], added: Mapping[str, Column]
+) -> Iterator[Searched]:
+    """Write the rows of ``search_works``, publish ``alltrials`` and give the rest until the end of the block.
+
+    With several cutoffs the table is a view: rows that don't depend on the
+    cutoff are stored once and repeated when they are read.
+    """
+    several = len(set(cutoffs)) > 1
+    version = version_name(name)
+    passed = passed_cutoffs(cutoffs)
+    kinds = (TABLE, EDITION, EXTRACT, FACTS) if several else (TABLE, EXTRACT, FACTS)
+    columns = [CUTOFF, *COLUMNS, *added] if several else [*COLUMNS, *added]
+    complete = found.withColumns(dict(added))
+    schema = complete.schema
+    together = write_together(
+        complete, version, KIND, kinds, {TABLE: F.expr(f"size({passed})")} if several else {}
+    )
+    try:
+        parts = [Part(version)]
+        register_version(
+            spark, version, together.path(TABLE), StructType([schema[c] for c in columns if c != CUTOFF])
+        )
+        if several:
+            edition = version_name(name)
+            register_version(spark, edition, together.path(EDITION), StructType([schema[c] for c in columns]))
+            shown = (("var_SQL_year_cutoff", CUTOFF),)
+            lateral = f"LATERAL VIEW explode({passed}) AS {CUTOFF}"
+            parts = [Part(version, lateral=lateral, computed=shown), Part(edition, computed=shown)]
+        switch(spark, name, parts)
+    except BaseException:
+        drop_version(spark, version)
+        raise
+    keys = [schema[CUTOFF], schema["doi_key"], schema["abstract_PUBMED"]]
+    facts = together.read(spark, FACTS, StructType([schema["doi_key"], schema["facts"], schema["abstract_CROSSREF"]]))
+    extract = together.read(spark, EXTRACT, StructType(keys if several else keys[1:]))
+    folders = together.path(FACTS), together.path(EXTRACT)
+    rows = together.rows[TABLE] + (together.rows[EDITION] if several else 0)
+    try:
+        yield Searched(rows, facts_of(facts), extract_of(extract, (CUTOFF,) if several else ()), folders)
+    finally:
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
 def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None:
-    """One institution: ``alltrials``, ``trials`` and ``pubs``, then the latest copies."""
+    """One institution: ``alltrials``, ``trials`` and ``pubs``, then the latest copies.
+
+    Works are read twice: a narrow pass for keys and entries, and one pass for
+    texts and facts.
+    """
     common = [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE]
     require_tables(spark, [*input_names(institution), *common])
     create_database(spark, institution.output_database)
@@ -48,29 +123,37 @@ def publish_run(spark: SparkSession, run: Run, institution: Institution) -> None
     provenance = Provenance.of(run, institution)
     works, dois = read_works(spark, run), read_input(spark, institution, institution.dois_table)
     names = dict(zip(("alltrials", "trials", "pubs"), output_names(run, institution), strict=True))
+    cutoffs, rows = [institution.year_cutoff], {}
 
     with staging(spark, f"{institution.institution_id}_{run.run_version}") as keep:
-        shared = shared_evidence(published_after(works, institution.year_cutoff), keep)
-        create_or_replace(alltrials(works, institution.year_cutoff, provenance, shared), names["alltrials"])
-        found = spark.table(names["alltrials"])
-
-        listed = read_input(spark, institution, institution.trials_table)
-        create_or_replace(trials(listed, found, dois, provenance, keep), names["trials"])
-
-        oddpub = read_input(spark, institution, institution.oddpub_table)
-        create_or_replace(pubs(dois, works, read_access(spark), found, oddpub, provenance, keep), names["pubs"])
+        found = search_works(works, work_keys(works, dois, cutoffs, keep), cutoffs)
+        added = provenance_columns(institution.year_cutoff, provenance)
+        with _searched(spark, found, names["alltrials"], cutoffs, added) as searched:
+            rows["alltrials"] = searched.rows
+            listed = read_input(spark, institution, institution.trials_table)
+            alltrials = spark.table(names["alltrials"])
+            rows["trials"] = create_or_replace(trials(listed, alltrials, dois, provenance, keep), names["trials"])
+
+            oddpub = read_input(spark, institution, institution.oddpub_table)
+            access = read_access(spark)
+            audited = audit_facts(dois, searched.facts, searched.extract, access, oddpub, keep=keep)
+            rows["pubs"] = create_or_replace(with_provenance(audited, provenance), names["pubs"])
 
     require_tables(spark, names.values())
     for kind in LATEST:
         copy_table(spark, names[kind], f"{institution.latest_database}.{kind}", overwrite=True)
     create_or_replace(utility_years(spark.table(names["pubs"])), f"{institution.latest_database}.{YEARS}")
-    create_or_replace(_audit(spark, names), f"{institution.latest_database}.{AUDIT}")
+    create_or_replace(_audit(spark, names, rows), f"{institution.latest_database}.{AUDIT}")
 
 
-def _audit(spark: SparkSession, names: dict[str, str]) -> DataFrame:
-    """Counts of the written tables and of the open-access locations."""
-    audited = {**names, "unpaywall": ACCESS_TABLE}
-    return audit_tables({kind: (spark.table(audited[kind]), column) for kind, column in COUNTED.items()})
+def _audit(spark: SparkSession, names: Mapping[str, str], rows: Mapping[str, int]) -> DataFrame:
+    """Counts of the written tables, whose rows were counted by their writers, and of the open-access locations."""
+    written = [
+        written_audit(spark.table(names[kind]), COUNTED[kind], kind, rows[kind]) for kind in names if kind in rows
+    ]
+    scanned = {kind: (spark.table(names[kind]), COUNTED[kind]) for kind in names if kind not in rows}
+    scanned["unpaywall"] = (spark.table(ACCESS_TABLE), COUNTED["unpaywall"])
+    return reduce(DataFrame.unionByName, written, audit_tables(scanned))
 
 
 class FailedInstitutions(RuntimeError):
@@ -113,26 +196,41 @@ def _provenance(spark: SparkSession, run: Run, *fields: str) -> DataFrame:
     return inline_table(spark, columns, rows)
 
 
-def _write_partitioned(df: DataFrame, name: str, column: str) -> None:
-    """Replaced while written: a renamed table would keep the old places of its partitions."""
-    df.write.mode("overwrite").partitionBy(column).saveAsTable(name)
-
-
 def _by_institution(df: DataFrame) -> DataFrame:
     """Few files per institution, and several tasks for one that holds a large share of the rows."""
     return df.hint("rebalance", F.col(INSTITUTION))
 
 
+def _complete(spark: SparkSession, run: Run) -> tuple[list[Institution], dict[str, Exception]]:
+    """The institutions whose input tables are there, and what the others lack."""
+    ready, errors = [], {}
+    for institution in run.institutions:
+        try:
+            require_tables(spark, input_names(institution))
+            ready.append(institution)
+        except MissingTables as error:
+            errors[institution.institution_id] = error
+    return ready, errors
+
+
 def publish_all(spark: SparkSession, run: Run, database: str) -> None:
     """Every institution of the run in one pass.
 
-    Works are searched once per distinct cutoff instead of once per
-    institution. ``trials`` and ``pubs`` are partitioned by institution and
-    ``alltrials`` by cutoff.
+    Works are searched once instead of once per institution. ``trials`` and
+    ``pubs`` are partitioned by institution, and a run replaces the partitions
+    of its institutions only; ``alltrials`` holds the cutoffs of the last run,
+    with rows that don't depend on the cutoff stored once. Institutions that
+    lack an input are left out and reported at the end.
     """
-    common = [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE]
-    wanted = [name for institution in run.institutions for name in input_names(institution)]
-    require_tables(spark, [*wanted, *common])
+    require_tables(spark, [f"{WORKS_DATABASE}.{run.works_table}", ACCESS_TABLE])
+    ready, errors = _complete(spark, run)
+    if ready:
+        _publish_together(spark, replace(run, institutions=tuple(ready)), database)
+    if errors:
+        raise FailedInstitutions(errors)
+
+
+def _publish_together(spark: SparkSession, run: Run, database: str) -> None:
     latest = f"{database}_latest"
     create_database(spark, database)
     create_database(spark, latest)
@@ -140,34 +238,44 @@ def publish_all(spark: SparkSession, run: Run, database: str) -> None:
 
     works = read_works(spark, run)
     cutoffs = {one.institution_id: one.year_cutoff for one in run.institutions}
+    ids = list(cutoffs)
+    dois = _together(spark, run, lambda one: one.dois_table)
+    version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
     with staging(spark, f"{database}_{run.run_version}") as keep:
-        shared = shared_by_cutoff(works, cutoffs.values(), keep)
-        version = F.lit(run.workflow_version).alias("var_SQL_workflow_version")
-        searched = alltrials_by_cutoff(works, cutoffs.values(), shared).select(
-            "*",
-            F.lit(run.works_table).alias("var_AcademicObservatory_doi"),
-            F.col(CUTOFF).alias("var_SQL_year_cutoff"),
-            version,
-        )
-        _write_partitioned(searched, names["alltrials"], CUTOFF)
-        found = spark.table(names["alltrials"])
-
-        dois = _together(spark, run, lambda one: one.dois_table)
-        linked = all_trials_linked(_together(spark, run, lambda one: one.trials_table), found, dois, cutoffs, keep)
-        owner = F.col(INSTITUTION).alias("var_institution_id")
-        trial_names = _provenance(spark, run, "trials", "dois")
-        listed = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version, owner))
-        _write_partitioned(listed, names["trials"], INSTITUTION)
-
-        oddpub = _together(spark, run, lambda one: one.oddpub_table)
-        audited = all_publications_audited(dois, works, read_access(spark), found, oddpub, cutoffs, keep)
-        # Rows come rebalanced by institution.
-        pub_names = _provenance(spark, run, "dois", "oddpub")
-        _write_partitioned(audited.join(pub_names, INSTITUTION).select("*", version, owner), names["pubs"], INSTITUTION)
+        years = sorted(set(cutoffs.values()))
+        found = search_works(works, work_keys(works, dois, years, keep), years)
+        added = {
+            "var_AcademicObservatory_doi": F.lit(run.works_table),
+            "var_SQL_year_cutoff": F.col(CUTOFF) if len(years) > 1 else F.lit(years[0]).cast("bigint"),
+            "var_SQL_workflow_version": F.lit(run.workflow_version),
+        }
+        with _searched(spark, found, names["alltrials"], years, added) as searched:
+            one = F.lit(years[0]).cast("bigint")
+            alltrials, extract = (
+                df if CUTOFF in df.columns else df.withColumn(CUTOFF, one)
+                for df in (spark.table(names["alltrials"]), searched.extract)
+            )
+            listed = _together(spark, run, lambda one: one.trials_table)
+            linked = all_trials_linked(listed, alltrials, dois, cutoffs, keep)
+            owner = F.col(INSTITUTION).alias("var_institution_id")
+            trial_names = _provenance(spark, run, "trials", "dois")
+            linked = _by_institution(linked.join(trial_names, INSTITUTION).select("*", version, owner))
+            replace_partitions(linked, names["trials"], INSTITUTION, ids)
+
+            oddpub = _together(spark, run, lambda one: one.oddpub_table)
+            access = read_access(spark)
+            audited = all_facts_audited(dois, searched.facts, extract, access, oddpub, cutoffs, keep)
+            # Rows come rebalanced by institution.
+            pub_names = _provenance(spark, run, "dois", "oddpub")
+            audited = audited.join(pub_names, INSTITUTION).select("*", version, owner)
+            replace_partitions(audited, names["pubs"], INSTITUTION, ids)
 
     require_tables(spark, names.values())
+    own = F.col(INSTITUTION).isin(ids)
     for kind in LATEST:
-        _write_partitioned(_by_institution(spark.table(names[kind])), f"{latest}.{kind}", INSTITUTION)
-    years = utility_years(spark.table(names["pubs"]), (INSTITUTION,))
-    _write_partitioned(years, f"{latest}.{YEARS}", INSTITUTION)
-    create_or_replace(_audit(spark, names), f"{latest}.{AUDIT}")
+        copied = _by_institution(spark.table(names[kind]).where(own))
+        replace_partitions(copied, f"{latest}.{kind}", INSTITUTION, ids)
+    years_found = utility_years(spark.table(names["pubs"]).where(own), (INSTITUTION,))
+    replace_partitions(years_found, f"{latest}.{YEARS}", INSTITUTION, ids)
+    # Partitions of earlier runs count as well, so only ``alltrials`` has its number of rows at hand.
+    create_or_replace(_audit(spark, names, {"alltrials": searched.rows}), f"{latest}.{AUDIT}")

@@ -81,18 +81,33 @@ def audit_publications(
     tables is shuffled. Works join it inner, so a DOI with very many rows can
     be split on either side; listed DOIs without a work are added after.
     """
+    facts = work_facts(works)
+    extract = extract_facts(alltrials, extra, edition)
+    return audit_facts(dois, facts, extract, unpaywall, oddpub, scope, edition, keep)
+
+
+def audit_facts(
+    dois: DataFrame,
+    facts: DataFrame,
+    extract: DataFrame,
+    unpaywall: DataFrame,
+    oddpub: DataFrame,
+    scope: Sequence[str] = (),
+    edition: Sequence[str] = (),
+    keep: Keep = lazily,
+) -> DataFrame:
+    """The same from facts (``work_facts``) and extracts (``extract_facts``) that hold the listed DOIs."""
     listed = dois.select(*scope, *edition, "doi").distinct().withColumn("doi_key", F.lower("doi"))
     listed = keep(listed, "listed")
     keys = listed.select("doi_key").where("doi_key IS NOT NULL").distinct()
 
-    facts = work_facts(works)
     known = facts.select("doi_key").join(keys, "doi_key", "left_semi").distinct()
     matched = facts.join(listed, "doi_key", "inner")
     missing = listed.join(known, "doi_key", "left_anti")
 
     # Reduced to the listed DOIs and to counted facts, row by row of the key.
     access = keep(access_facts(unpaywall, keys), "access")
-    extract = extract_facts(alltrials, extra, edition).join(keys, "doi_key", "left_semi")
+    extract = extract.join(keys, "doi_key", "left_semi")
     checks = keep(oddpub_facts(oddpub, scope), "checks")
 
     joined = matched.join(access, "doi_key", "left").join(extract, [*edition, "doi_key"], "left")
@@ -112,7 +127,11 @@ def pubs(
     keep: Keep = lazily,
 ) -> DataFrame:
     """One institution's table."""
-    return audit_publications(dois, works, unpaywall, alltrials, oddpub, keep=keep).select(
+    return with_provenance(audit_publications(dois, works, unpaywall, alltrials, oddpub, keep=keep), provenance)
+
+
+def with_provenance(audited: DataFrame, provenance: Provenance) -> DataFrame:
+    return audited.select(
         *COLUMNS,
         F.lit(provenance.workflow_version).alias("var_SQL_workflow_version"),
         F.lit(provenance.dois_table).alias("var_data_dois"),

@@ -20,11 +20,12 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Versions that one view may unite before they are written as one.
 MOST_VERSIONS = 16
@@ -35,11 +36,17 @@ _VERSION = re.compile(r"__v[0-9a-f]{32}")
 
 @dataclass(frozen=True)
 class Part:
-    """A version, and the values of its partition column that are taken from it (None: all rows)."""
+    """A version, and the values of its partition column that are taken from it (None: all rows).
+
+    With ``lateral`` each row is repeated for what a lateral view adds;
+    ``computed`` gives the columns that take another expression, by name.
+    """
 
     table: str
     column: str | None = None
     values: tuple[str | int, ...] | None = None
+    lateral: str | None = None
+    computed: tuple[tuple[str, str], ...] = ()
 
     def without(self, values: Sequence[str | int]) -> Part:
         return Part(self.table, self.column, tuple(value for value in self.values or () if value not in values))
@@ -67,7 +74,13 @@ def read_state(spark: SparkSession, name: str) -> State | None:
         return None
     stored = json.loads(found.group(1))
     parts = tuple(
-        Part(part["table"], part["column"], None if part["values"] is None else tuple(part["values"]))
+        Part(
+            part["table"],
+            part["column"],
+            None if part["values"] is None else tuple(part["values"]),
+            part["lateral"],
+            tuple((column, text) for column, text in part["computed"]),
+        )
         for part in stored["parts"]
     )
     return State(parts, tuple(stored["before"]))
@@ -78,13 +91,18 @@ def _value(value: str | int) -> str:
 
 
 def _text(spark: SparkSession, state: State) -> str:
-    columns = ", ".join(f"`{column}`" for column in spark.table(state.parts[-1].table).columns)
+    columns = spark.table(state.parts[-1].table).columns
     # A comment ends at the first "*/", which a value may hold.
     mark = f"/* state {json.dumps(asdict(state)).replace('*/', '*\\u002f')} */"
     selects = []
     for part in state.parts:
+        computed = dict(part.computed)
+        shown = ", ".join(
+            f"{computed[column]} AS `{column}`" if column in computed else f"`{column}`" for column in columns
+        )
+        source = f"{part.table} {part.lateral}" if part.lateral else part.table
         taken = "" if part.values is None else f" WHERE `{part.column}` IN ({', '.join(map(_value, part.values))})"
-        selects.append(f"{columns} FROM {part.table}{taken}")
+        selects.append(f"{shown} FROM {source}{taken}")
     return f"SELECT {mark} " + " UNION ALL SELECT ".join(selects)
 
 
@@ -149,6 +167,59 @@ def write_version(df: DataFrame, name: str, column: str | None = None) -> tuple[
     return version, written.get["n"]
 
 
+@dataclass(frozen=True)
+class Together:
+    """Rows of several kinds, written by one job into a folder for each kind."""
+
+    folder: str
+    tag: str
+    rows: dict[str, int]
+
+    def path(self, kind: str) -> str:
+        return f"{self.folder}/{self.tag}={kind}"
+
+    def read(self, spark: SparkSession, kind: str, schema: StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(self.path(kind))
+
+
+def write_together(
+    df: DataFrame, version: str, tag: str, kinds: Sequence[str], counted: Mapping[str, Column] | None = None
+) -> Together:
+    """Write the rows into the version's folder by their kind, and count them on the way.
+
+    ``counted`` may give what a row of a kind counts for, where that is not one.
+
+    The tasks keep a file open for each kind instead of sorting wide rows.
+    """
+    spark, written = df.sparkSession, Observation()
+    folder = version_folder(spark, version)
+    one = F.lit(1).cast("bigint")
+    counts = [
+        F.coalesce(F.sum(F.when(F.col(tag) == kind, (counted or {}).get(kind, one))), F.lit(0)).alias(kind)
+        for kind in kinds
+    ]
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(len(kinds)))
+    try:
+        df.observe(written, *counts).write.partitionBy(tag).parquet(folder)
+    except BaseException:
+        remove_folder(spark, folder)
+        raise
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    found = Together(folder, tag, written.get)
+    for kind in kinds:  # a kind without rows has no folder yet
+        path = spark._jvm.org.apache.hadoop.fs.Path(found.path(kind))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return found
+
+
+def register_version(spark: SparkSession, version: str, path: str, schema: StructType) -> None:
+    """A version over files that are already written."""
+    spark.catalog.createTable(version, path=path, source="parquet", schema=schema)
+
+
 def replace_partitions(df: DataFrame, name: str, column: str, values: Sequence[str | int]) -> int:
     """Publish rows that hold the given values of the column, instead of all rows that hold them now.
 
@@ -156,7 +227,7 @@ def replace_partitions(df: DataFrame, name: str, column: str, values: Sequence[s
     """
     spark = df.sparkSession
     old = read_state(spark, name)
-    if old is not None and any(part.column != column for part in old.parts):
+    if old is not None and any(part.column != column or part.lateral for part in old.parts):
         raise ValueError(f"{name} is not kept by {column}")
     version, rows = write_version(df, name, column)
     parts = [part.without(values) for part in old.parts] if old else []

@@ -8,7 +8,7 @@ import pytest
 
 from checks import sample_tables as tables
 from checks.queries import PROVENANCE, QUERIES
-from scholaudit.operators.trial_ids import published_after, shared_evidence, shared_keys, trial_evidence
+from scholaudit.operators.trial_ids import narrow_works, published_after, shared_evidence, shared_keys, trial_evidence
 from scholaudit.plans.alltrials import alltrials
 from scholaudit.plans.pubs import pubs
 from scholaudit.sources.staging import stager
@@ -86,13 +86,13 @@ def test_small_lists_leave_the_big_tables_in_place(audited):
 def test_shared_evidence_under_the_threshold_is_broadcast(stored):
     """With staged evidence the wide works are read once and never shuffled."""
     recent = published_after(stored["works"], tables.CUTOFF)
-    shared = shared_evidence(recent, stager("plans"))
+    shared = shared_evidence(narrow_works(recent), stager("plans"))
     df = alltrials(stored["works"], tables.CUTOFF, PROVENANCE, shared)
     plan = plan_of(df)
     assert "Exchange hashpartitioning" not in plan
     assert "BroadcastHashJoin" in plan
     assert sum("AbstractText" in scan for scan in scans(df)) == 1
-    keys = shared_keys(recent)
+    keys = shared_keys(narrow_works(recent))
     assert not any("abstract" in scan or "AbstractText" in scan for scan in scans(keys))
     # The repeated DOIs of the sample, and none of its other works.
     assert 0 < keys.count() < recent.count() / 20

@@ -140,7 +140,7 @@ def test_a_placeholder_doi_gathers_nothing(spark):
     rows += [work(f"10.3/{n}", pubmed=(f"10.1/{n % 5}", None, [("GEO", [f"G{n}"])])) for n in range(HOT)]
     rows += [work("10.2/1", numbers=[("N", "t")])]
     df = works(spark, *rows)
-    shared = trial_ids.shared_evidence(df, stager("placeholder"))
+    shared = trial_ids.shared_evidence(trial_ids.narrow_works(df), stager("placeholder"))
     assert {row.doi_key for row in shared.collect()} == {"10.2/1"} | {f"10.1/{n}" for n in range(5)}
     assert "n/a" in {row.doi_key for row in trial_ids.trial_evidence(df).collect()}
     split, whole = alltrials(df, 1, PROVENANCE, shared), alltrials(df, 1, PROVENANCE)
@@ -159,7 +159,7 @@ def test_own_entries_equal_grouped_ones(spark, hot_works):
     df = hot_works.unionByName(works(spark, *extra))
     for cutoff in (1, 2010):
         recent = trial_ids.published_after(df, cutoff)
-        shared = trial_ids.shared_evidence(recent, stager(f"own{cutoff}"))
+        shared = trial_ids.shared_evidence(trial_ids.narrow_works(recent), stager(f"own{cutoff}"))
         split, whole = alltrials(df, cutoff, PROVENANCE, shared), alltrials(df, cutoff, PROVENANCE)
         assert plain(split.collect()) == plain(whole.collect())
     shared = shared_by_cutoff(df, (1, 2010), stager("own"))
@@ -177,7 +177,7 @@ def test_skewed_partitions_are_split(spark, hot_works):
     try:
         many = hot_works.where("doi IS NULL").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_")
         skewed = many.unionByName(hot_works).repartition(40)
-        shared = trial_ids.shared_evidence(skewed, stager("skewed"))
+        shared = trial_ids.shared_evidence(trial_ids.narrow_works(skewed), stager("skewed"))
         df = alltrials(skewed, 1, PROVENANCE, shared)
         assert df.count() == HOT * 203
         df.collect()
