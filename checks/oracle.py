@@ -408,17 +408,31 @@ def _audit(*tables: tuple[str, str, str]) -> str:
 
 
 _METRICS = (
-    ("prospective_registration", '"is_prospective_PRETTY"', "NULL"),
-    ("summary_results_reporting", '"summary_results_reporting_PRETTY"', '"summary_results_reporting_GRAPHORDER"'),
-    ("linked_reference", '"has_linked_reference_PRETTY"', "NULL"),
-    ("trial_id_in_publications", '"PUBSDATA_doi_found_PRETTY"', "NULL"),
+    ("trials", '"nct_id_found_PRETTY"', "NULL", "nct_id_found"),
+    ("prospective_registrations", '"is_prospective_PRETTY"', "NULL", "is_prospective"),
+    (
+        "results_within_1y",
+        '"summary_results_reporting_PRETTY"',
+        '"summary_results_reporting_GRAPHORDER"',
+        '"summary_results_reporting_GRAPHORDER" = 1',
+    ),
+    ("linked_references", '"has_linked_reference_PRETTY"', "NULL", "has_linked_reference"),
+    ("trial_id_in_publications", '"PUBSDATA_doi_found_PRETTY"', "NULL", '"PUBSDATA_doi_found"'),
 )
 
 
-def _rollup(metric: str, label: str, rank: str) -> str:
-    return f"""SELECT '{metric}' AS metric, {label} AS label, CAST({rank} AS BIGINT) AS graph_order,
-        count(*) AS n_rows, CAST(count(*) AS DOUBLE) / (SELECT CAST(count(*) AS DOUBLE) FROM linked) AS share
-        FROM linked GROUP BY ALL"""
+def _rollup() -> str:
+    """Labels and metrics of each, and one row for the table."""
+    every = " UNION ALL ".join(
+        f"""SELECT '{metric}' AS metric, {label} AS label, CAST({rank} AS BIGINT) AS graph_order,
+        coalesce({counts}, FALSE) AS counted FROM linked"""
+        for metric, label, rank, counts in _METRICS
+    )
+    return f"""SELECT CASE WHEN grouping(label) = 0 THEN 'label' ELSE 'metric' END AS level, metric, label, graph_order,
+        count(*) AS n_rows, CAST(count(*) FILTER (counted) AS BIGINT) AS n_counted,
+        CAST(count(*) AS DOUBLE) / (SELECT CAST(count(*) AS DOUBLE) FROM linked) AS share
+        FROM ({every}) GROUP BY GROUPING SETS ((metric, label, graph_order), (metric))
+        UNION ALL SELECT 'total', NULL, NULL, NULL, count(*), NULL, NULL FROM linked"""
 
 
 _TEXT_COLUMNS = """fa_found AS "CROSSREF_clintrial_fromabstract_found",
@@ -578,7 +592,7 @@ def _oracles() -> dict[str, str]:
             ),
             *_FOR_PUBS, "orcid_list",
         ),
-        "metric_rollup": _sql(" UNION ALL ".join(_rollup(*metric) for metric in _METRICS), *_FOR_TRIALS),
+        "metric_rollup": _sql(_rollup(), *_FOR_TRIALS),
         "utility_years": _sql(
             """SELECT CAST(unnest(generate_series(min(published_year), max(published_year))) AS BIGINT) AS year
             FROM audited""",

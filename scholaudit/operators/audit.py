@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,38 +44,78 @@ def audit_tables(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-# Metrics of the trials table: label and rank, where there is one.
+@dataclass(frozen=True)
+class Metric:
+    """What a dashboard number counts, and the labels and ranks that it is broken down by."""
+
+    label: str
+    counts: str
+    rank: str | None = None
+
+
+# The rank of results that came in time.
+_IN_TIME = 1
+
+# Metrics of the trials table. The first four are the numbers that the table's columns are named after.
 TRIAL_METRICS = {
-    "prospective_registration": ("is_prospective_PRETTY", None),
-    "summary_results_reporting": ("summary_results_reporting_PRETTY", "summary_results_reporting_GRAPHORDER"),
-    "linked_reference": ("has_linked_reference_PRETTY", None),
-    "trial_id_in_publications": ("PUBSDATA_doi_found_PRETTY", None),
+    "trials": Metric("nct_id_found_PRETTY", "nct_id_found"),
+    "prospective_registrations": Metric("is_prospective_PRETTY", "is_prospective"),
+    "results_within_1y": Metric(
+        "summary_results_reporting_PRETTY",
+        f"summary_results_reporting_GRAPHORDER = {_IN_TIME}",
+        "summary_results_reporting_GRAPHORDER",
+    ),
+    "linked_references": Metric("has_linked_reference_PRETTY", "has_linked_reference"),
+    "trial_id_in_publications": Metric("PUBSDATA_doi_found_PRETTY", "PUBSDATA_doi_found"),
 }
 
+LABEL, METRIC, TOTAL = "label", "metric", "total"
+
 
-def metric_rollup(
-    df: DataFrame, metrics: Mapping[str, tuple[str, str | None]], scope: Sequence[str] = ()
-) -> DataFrame:
-    """Rows and share of every label of every metric (of each institution).
+def metric_rollup(df: DataFrame, metrics: Mapping[str, Metric], scope: Sequence[str] = ()) -> DataFrame:
+    """Rows, counted rows and share by label, by metric and in total (of each institution).
 
-    Rows are counted by label on the map side; a metric's total is the sum of
-    its labels' counts, joined back to them.
+    ``level`` tells the three apart. ``n_counted`` is the metric's number,
+    ``share`` the part of the metric's rows that have the label. Rows are
+    counted by label on the map side; grouping sets over these few rows give
+    metrics and totals, and a metric's labels are written out beside its sum.
     """
     shown = [
         F.struct(
             F.lit(name).alias("metric"),
-            F.col(label).alias("label"),
-            (F.col(rank) if rank else F.lit(None)).cast("bigint").alias("graph_order"),
+            F.col(one.label).alias("label"),
+            (F.col(one.rank) if one.rank else F.lit(None)).cast("bigint").alias("graph_order"),
+            F.expr(f"bigint(coalesce({one.counts}, FALSE))").alias("counted"),
+            F.lit(int(place == 0)).cast("bigint").alias("once"),  # a row of the table counts once in total
         )
-        for name, (label, rank) in metrics.items()
+        for place, (name, one) in enumerate(metrics.items())
     ]
     rows = df.select(*scope, F.inline(F.array(*shown)))
-    counted = rows.groupBy(*scope, "metric", "label", "graph_order").agg(F.count(F.lit(1)).alias("n_rows"))
-    keys = [*scope, "metric"]
-    totals = counted.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(F.sum("n_rows").alias("_total"))
-    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    share = F.col("n_rows").cast("double") / F.col("_total").cast("double")
-    return counted.join(totals, same).select(*counted.columns, share.alias("share"))
+    by_label = rows.groupBy(*scope, "metric", "label", "graph_order").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("counted").alias("n_counted"), F.sum("once").alias("n_table")
+    )
+    label = F.struct("label", "graph_order", "n_rows", "n_counted")
+    sets = by_label.groupingSets([[*scope, "metric"], list(scope)], *scope, "metric").agg(
+        F.grouping("metric").alias("is_total"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_counted").alias("n_counted"),
+        F.sum("n_table").alias("n_table"),
+        F.collect_list(label).alias("labels"),  # one entry for each label of the metric
+    )
+
+    def row(level: str, label: str, order: str, rows: str, counted: str, share: str) -> str:
+        return (
+            f"named_struct('level', '{level}', 'label', {label}, 'graph_order', {order}, 'n_rows', {rows}, "
+            f"'n_counted', {counted}, 'share', {share})"
+        )
+
+    no_label, no_order, no_count, no_share = (f"CAST(NULL AS {kind})" for kind in ("STRING", "BIGINT", "BIGINT", "DOUBLE"))
+    total = row(TOTAL, no_label, no_order, "n_table", no_count, no_share)
+    metric = row(METRIC, no_label, no_order, "n_rows", "n_counted", "1.0D")
+    share = "double(one.n_rows) / double(n_rows)"
+    every = row(LABEL, "one.label", "one.graph_order", "one.n_rows", "one.n_counted", share)
+    written = f"inline(if(is_total = 1, array({total}), concat(array({metric}), transform(labels, one -> {every}))))"
+    return sets.select(*scope, "metric", F.expr(written))
 
 
 def utility_years(pubs: DataFrame, scope: Sequence[str] = ()) -> DataFrame:

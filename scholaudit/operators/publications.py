@@ -19,6 +19,7 @@ from scholaudit.functions.dates import first_of_month, month_boundary_diff
 from scholaudit.functions.keys import doi_key
 from scholaudit.functions.sql import case, either, lookup
 from scholaudit.functions.text import string_agg
+from scholaudit.sources.sorted import sort_columns
 
 WORK_FACTS = {
     "work_doi": "doi",
@@ -257,6 +258,10 @@ def open_data_code(pubs: DataFrame, oddpub: DataFrame) -> DataFrame:
     return labelled.drop("doi_key", "n_oddpub", "is_open_data", "is_open_code")
 
 
+# Newest first, then by DOI.
+EXPORT_ORDER = (("published_year", True), ("doi_academicobservatory", False))
+
+
 def for_export(pubs: DataFrame) -> DataFrame:
-    """Newest first, then by DOI. Only for files read in order; tables are not sorted."""
-    return pubs.orderBy(F.col("published_year").desc(), F.col("doi_academicobservatory").asc())
+    """Newest first, then by DOI. Only for files read in order (``write_sorted``); tables are not sorted."""
+    return pubs.orderBy(*sort_columns(EXPORT_ORDER))

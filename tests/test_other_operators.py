@@ -3,7 +3,7 @@ from __future__ import annotations
 from builders import dois, plain
 
 from scholaudit.functions.keys import left_join_any_case
-from scholaudit.operators.audit import audit_tables, metric_rollup, table_audit, utility_years
+from scholaudit.operators.audit import Metric, audit_tables, metric_rollup, table_audit, utility_years
 from scholaudit.operators.extract import pubmed_extract
 from scholaudit.operators.researchers import researcher_orcid
 
@@ -76,16 +76,24 @@ def test_utility_years(spark):
 
 
 def test_metric_rollup(spark):
-    rows = [("a", "Yes", 1), ("a", "Yes", 1), ("a", "No", 2), ("b", None, None)]
+    rows = [("a", "Yes", 1), ("a", "Yes", 1), ("a", "No", 2), ("b", None, None), ("b", "Yes", 1)]
     df = spark.createDataFrame(rows, "institution_id string, x_PRETTY string, x_GRAPHORDER int")
-    found = metric_rollup(df, {"x": ("x_PRETTY", "x_GRAPHORDER"), "plain": ("x_PRETTY", None)}, ("institution_id",))
-    ranked = {(row.institution_id, row.label): row for row in found.where("metric = 'x'").collect()}
-    assert {key: (row.graph_order, row.n_rows) for key, row in ranked.items()} == {
-        ("a", "Yes"): (1, 2), ("a", "No"): (2, 1), ("b", None): (None, 1)
+    metrics = {"x": Metric("x_PRETTY", "x_GRAPHORDER = 1", "x_GRAPHORDER"), "plain": Metric("x_PRETTY", "x_PRETTY = 'No'")}
+    found = metric_rollup(df, metrics, ("institution_id",)).collect()
+    ranked = {(row.institution_id, row.label): row for row in found if row.metric == "x" and row.level == "label"}
+    assert {key: (row.graph_order, row.n_rows, row.n_counted) for key, row in ranked.items()} == {
+        ("a", "Yes"): (1, 2, 2), ("a", "No"): (2, 1, 0), ("b", None): (None, 1, 0), ("b", "Yes"): (1, 1, 1)
     }
     assert ranked["a", "Yes"].share == 2 / 3
-    assert found.where("metric = 'plain'").count() == 3
-    assert metric_rollup(df.limit(0), {"x": ("x_PRETTY", None)}).count() == 0
+    by_metric = {(row.institution_id, row.metric): row for row in found if row.level == "metric"}
+    assert {key: (row.n_rows, row.n_counted, row.share) for key, row in by_metric.items()} == {
+        ("a", "x"): (3, 2, 1.0), ("b", "x"): (2, 1, 1.0), ("a", "plain"): (3, 1, 1.0), ("b", "plain"): (2, 0, 1.0)
+    }
+    totals = [(row.institution_id, row.metric, row.label, row.n_rows) for row in found if row.level == "total"]
+    assert sorted(totals) == [("a", None, None, 3), ("b", None, None, 2)]
+    whole = metric_rollup(df, metrics).collect()
+    assert [(row.n_rows, row.share) for row in whole if row.level == "total"] == [(5, None)]
+    assert metric_rollup(df.limit(0), metrics).count() == 0
 
 
 def test_left_join_any_case(spark):
