@@ -19,6 +19,7 @@ from scholaudit.functions.dates import first_of_month, month_boundary_diff
 from scholaudit.functions.keys import doi_key
 from scholaudit.functions.sql import case, either, lookup
 from scholaudit.functions.text import string_agg
+from scholaudit.operators.hot_keys import spread_join
 from scholaudit.sources.sorted import sort_columns
 
 WORK_FACTS = {
@@ -91,12 +92,19 @@ def extract_facts(alltrials: DataFrame, columns: Sequence[str] = (), edition: Se
 def enriched_doi(
     works: DataFrame, unpaywall: DataFrame, alltrials: DataFrame, columns: Sequence[str] = ()
 ) -> DataFrame:
-    """Works with their open-access facts and PubMed extract, repeats multiplied."""
-    joined = (
-        work_facts(works)
-        .join(access_facts(unpaywall), "doi_key", "left")
-        .join(extract_facts(alltrials, columns), "doi_key", "left")
+    """Works with their open-access facts and PubMed extract, repeats multiplied.
+
+    A DOI that many works, or many locations, hold is joined in several tasks.
+    """
+    keys = works.select(doi_key(works))
+    with_extract = spread_join(
+        work_facts(works), extract_facts(alltrials, columns), ["doi_key"], "doi_key", left_keys=[keys]
     )
+    # Last, as divided copies are written out where they are joined.
+    joined = spread_join(
+        with_extract, access_facts(unpaywall), ["doi_key"], "doi_key", n="n_access", left_keys=[keys],
+        right_keys=[unpaywall.select(doi_key(unpaywall))],
+    )
     return expand_copies(joined, F.col("n_access")).drop("n_access")
 
 
@@ -253,7 +261,11 @@ def add_labels(df: DataFrame) -> DataFrame:
 
 def open_data_code(pubs: DataFrame, oddpub: DataFrame) -> DataFrame:
     """Publications (with a ``doi``) and the result of the open data and code check."""
-    joined = pubs.withColumn("doi_key", F.lower("doi")).join(oddpub_facts(oddpub), "doi_key", "left")
+    keyed = pubs.withColumn("doi_key", F.lower("doi"))
+    joined = spread_join(
+        keyed, oddpub_facts(oddpub), ["doi_key"], "doi_key", n="n_oddpub", left_keys=[keyed.select("doi_key")],
+        right_keys=[oddpub.select(doi_key(oddpub))],
+    )
     labelled = expand_copies(joined, F.col("n_oddpub")).withColumns(_as_columns(OPEN_DATA_CODE))
     return labelled.drop("doi_key", "n_oddpub", "is_open_data", "is_open_code")
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
 from scholaudit.functions.copies import expand_copies
+from scholaudit.functions.keys import doi_key
+from scholaudit.operators.hot_keys import spread_join
 from scholaudit.operators.publications import (
     access_facts,
     add_labels,
@@ -102,7 +104,9 @@ def audit_facts(
     keys = listed.select("doi_key").where("doi_key IS NOT NULL").distinct()
 
     known = facts.select("doi_key").join(keys, "doi_key", "left_semi").distinct()
-    matched = facts.join(listed, "doi_key", "inner")
+    found_keys = facts.select("doi_key")
+    wanted = listed.where("doi_key IS NOT NULL")
+    matched = spread_join(facts, wanted, ["doi_key"], "doi_key", "inner", left_keys=[found_keys])
     missing = listed.join(known, "doi_key", "left_anti")
 
     # Reduced to the listed DOIs and to counted facts, row by row of the key.
@@ -110,9 +114,17 @@ def audit_facts(
     extract = extract.join(keys, "doi_key", "left_semi")
     checks = keep(oddpub_facts(oddpub, scope), "checks")
 
-    joined = matched.join(access, "doi_key", "left").join(extract, [*edition, "doi_key"], "left")
-    complete = joined.unionByName(missing, allowMissingColumns=True)
-    checked = complete.join(checks, [*scope, "doi_key"], "left")
+    # Hot DOIs of works, locations and checks are dealt over several tasks.
+    with_extract = spread_join(matched, extract, [*edition, "doi_key"], "doi_key", left_keys=[found_keys])
+    access_keys, check_keys = unpaywall.select(doi_key(unpaywall)), oddpub.select(doi_key(oddpub))
+    with_access = spread_join(
+        with_extract, access, ["doi_key"], "doi_key", n="n_access", left_keys=[found_keys], right_keys=[access_keys]
+    )
+    complete = with_access.unionByName(missing, allowMissingColumns=True)
+    checked = spread_join(
+        complete, checks, [*scope, "doi_key"], "doi_key", n="n_oddpub", left_keys=[found_keys, access_keys],
+        right_keys=[check_keys],
+    )
     copies = F.coalesce(F.col("n_access"), F.lit(1)) * F.coalesce(F.col("n_oddpub"), F.lit(1))
     return add_labels(expand_copies(checked, copies, spread=scope)).withColumn("doi", F.lower("doi"))
 
