@@ -1,12 +1,16 @@
 """Joins on a key that a large share of the rows may hold, or none.
 
 A sketch in a narrow pass over a side's keys finds those that hold a large
-share of its rows. Rows with such a key, and rows without one, are dealt over
-``SALTS`` tasks, and the other side's rows of these keys are repeated for each
-of them. Where the other side is counted (``count_copies``) and one of its keys
-holds a large share, its counts are divided instead, and the first side's rows
-repeated, so that the copies of one joined row leave several tasks. All other
-rows are joined as they would be.
+share of its rows. ``deal`` gives the rows with such a key, and the rows
+without one, a salt by the task that reads them; ``meet`` repeats the other
+side's rows of these keys for every salt, and the join takes the salt along
+with the key. Several tables can be joined to a dealt one in a row, which stays
+where the first join put it.
+
+Where the other side is counted (``count_copies``) and its key holds a large
+share, its counts are divided into parts and the dealt rows repeated for these,
+so that the copies of one joined row leave several tasks. All other rows are
+joined as they would be.
 """
 
 from __future__ import annotations
@@ -14,94 +18,82 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
-MOST_HOT = 100  # keys a side, at most
+MOST_HOT = 100  # keys of a table, at most
 TRACKED = 10_000  # keys that the sketch follows
 HOT_PART = 50  # a hot key holds at least one row in so many
 FEWEST = 20  # rows of a hot key, at least
 
 # A row's place among the tasks of its key, and the part of the counts it meets.
-_SALT, _PART = "_salt", "_part"
+SALT, PART = "_salt", "_part"
+_EVERY = f"sequence(0, {SALTS - 1})"
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
     """At most ``MOST_HOT`` keys that hold a large share of the rows, by a sketch combined before it is shuffled."""
-    sketch = rows.select(key).agg(
+    sketch = rows.selectExpr(key).agg(
         F.expr(f"approx_top_k({key}, {MOST_HOT}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("rows")
     )
-    return (
-        sketch.select("rows", F.expr("inline(top)"))
-        .where(F.col("item").isNotNull() & (F.col("count") >= FEWEST) & (F.col("count") * HOT_PART >= F.col("rows")))
-        .select(F.col("item").alias(key))
-    )
+    return sketch.selectExpr("rows", "inline(top)").where(
+        f"item IS NOT NULL AND count >= {FEWEST} AND count * {HOT_PART} >= rows"
+    ).selectExpr(f"item AS {key}")
+
+
+def hot_table(key: str, dealt: Sequence[DataFrame], divided: Sequence[DataFrame] = ()) -> DataFrame:
+    """(key, _hot, _split): keys that are hot in a table to deal, and in one whose counts are to divide."""
+    if not divided and len(dealt) == 1:
+        return hot_keys(dealt[0], key).selectExpr(key, "TRUE AS _hot", "FALSE AS _split")
+    found = [hot_keys(rows, key).selectExpr(key, "TRUE AS _hot", "FALSE AS _split") for rows in dealt]
+    found += [hot_keys(rows, key).selectExpr(key, "FALSE AS _hot", "TRUE AS _split") for rows in divided]
+    return reduce(DataFrame.unionByName, found).groupBy(key).agg(
+        F.max("_hot").alias("_hot"), F.max("_split").alias("_split")
+    )
+
+
+def _flagged(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    # A few hundred rows at most, whatever the size of the tables.
+    return df.join(F.broadcast(hot), key, "left")
+
+
+def _own(df: DataFrame) -> list[str]:
+    return [f"`{name}`" for name in df.columns]
+
 
+def deal(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """The rows with a salt, repeated for the parts of divided counts.
 
-def _hot_among(tables: Sequence[DataFrame], key: str) -> DataFrame | None:
-    found = [hot_keys(rows, key) for rows in tables]
-    if len(found) < 2:
-        return found[0] if found else None
-    return reduce(DataFrame.unionByName, found).distinct()
-
-
-def _flagged(df: DataFrame, hot: DataFrame | None, key: str, name: str) -> tuple[DataFrame, Column]:
-    if hot is None:
-        return df, F.lit(False)
-    # At most MOST_HOT rows, whatever the size of the tables.
-    return df.join(F.broadcast(hot.withColumn(name, F.lit(True))), key, "left"), F.coalesce(F.col(name), F.lit(False))
-
-
-def _numbers(many: Column, count: Column | int = SALTS) -> Column:
-    """0 to ``count`` - 1, or 0 alone."""
-    last = F.lit(count) - 1 if isinstance(count, int) else count - 1
-    return F.when(many, F.sequence(F.lit(0), last.cast("int"))).otherwise(F.array(F.lit(0)))
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    key: str,
-    how: str = "left",
-    n: str | None = None,
-    left_keys: Sequence[DataFrame] = (),
-    right_keys: Sequence[DataFrame] = (),
-) -> DataFrame:
-    """``left.join(right, on, how)`` for ``inner`` and ``left``, with hot values of ``key`` dealt over several tasks.
-
-    ``n`` names the right side's numbers of copies; they are divided where a
-    key is hot on the right. ``left_keys`` and ``right_keys`` are what to
-    sketch, one key per row; a side without them has no hot keys. The left
-    side has some for each table that has been joined to it with divided
-    counts, whose parts must not meet again. The right side has no rows
-    without a key.
+    Copies of a row are dealt by the task that reads them, and the same rows
+    come from it if it is run again.
     """
-    hot_left = _hot_among(left_keys, key)
-    hot_right = None if n is None else _hot_among(right_keys, key)
-
-    first, is_hot = _flagged(left, hot_left, key, "_hot")
-    first, is_split = _flagged(first, hot_right, key, "_split")
-    # Copies of a row are dealt by the task that reads them; the same rows come from it again if it is repeated.
-    salt = F.when(is_hot | F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(F.lit(0))
-    first = first.withColumns({_SALT: salt, "_parts": _numbers(is_split)})
-    first = first.withColumn(_PART, F.explode("_parts")).drop("_parts", "_hot", "_split")
-
-    second, is_hot = _flagged(right, hot_left, key, "_hot")
-    second, is_split = _flagged(second, hot_right, key, "_split")
-    second = second.withColumns({"_salts": _numbers(is_hot), "_divide": is_split}).drop("_hot", "_split")
-    second = second.withColumn(_SALT, F.explode("_salts")).drop("_salts")
+    return _flagged(rows, hot, key).selectExpr(
+        *_own(rows),
+        f"if(coalesce(_hot, {key} IS NULL), pmod(spark_partition_id(), {SALTS}), 0) AS {SALT}",
+        f"explode(if(coalesce(_split, FALSE), {_EVERY}, array(0))) AS {PART}",
+    )
+
+
+def meet(rows: DataFrame, hot: DataFrame, key: str, n: str | None = None) -> DataFrame:
+    """Rows to join to dealt ones by key and salt; with their number of copies ``n`` by part as well."""
+    salted = _flagged(rows, hot, key).selectExpr(
+        *_own(rows),
+        "coalesce(_split, FALSE) AS _divide",
+        f"explode(if(coalesce(_hot, FALSE), {_EVERY}, array(0))) AS {SALT}",
+    )
     if n is None:
-        second = second.withColumn(_PART, F.lit(0)).drop("_divide")
-    else:
-        parts = F.least(F.lit(SALTS).cast("bigint"), F.col(n))
-        own = F.floor(F.col(n) / SALTS) + F.when(F.col(_PART) < F.col(n) % SALTS, 1).otherwise(0)
-        second = second.withColumn("_parts", _numbers(F.col("_divide"), parts))
-        second = second.withColumn(_PART, F.explode("_parts"))
-        second = second.withColumn(n, F.when(F.col("_divide"), own).otherwise(F.col(n)).cast("bigint"))
-        second = second.drop("_parts", "_divide")
-
-    joined = first.join(second.withColumn("_met", F.lit(True)), [*on, _SALT, _PART], how)
+        return salted.drop("_divide")
+    parts = f"if(_divide, sequence(0, int(least({SALTS}, {n})) - 1), array(0))"
+    divided = f"if(_divide, {n} div {SALTS} + if({PART} < {n} % {SALTS}, 1, 0), {n}) AS {n}"
+    return salted.selectExpr("*", f"explode({parts}) AS {PART}").selectExpr(
+        *[divided if name == f"`{n}`" else name for name in _own(rows)], SALT, PART, "TRUE AS _met"
+    )
+
+
+def join_dealt(dealt: DataFrame, met: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join what ``deal`` and ``meet`` gave; after divided counts the parts are gone."""
+    if PART not in met.columns:
+        return dealt.join(met, [*on, SALT], how)
     # Counts are divided from part 0 on, so a row without a match in a later part has its matches before.
-    return joined.where((F.col(_PART) == 0) | F.col("_met")).drop(_SALT, _PART, "_met")
+    return dealt.join(met, [*on, SALT, PART], how).where(f"{PART} = 0 OR _met").drop(PART, "_met")

@@ -19,7 +19,7 @@ from scholaudit.functions.dates import first_of_month, month_boundary_diff
 from scholaudit.functions.keys import doi_key
 from scholaudit.functions.sql import case, either, lookup
 from scholaudit.functions.text import string_agg
-from scholaudit.operators.hot_keys import spread_join
+from scholaudit.operators.hot_keys import SALT, deal, hot_table, join_dealt, meet
 from scholaudit.sources.sorted import sort_columns
 
 WORK_FACTS = {
@@ -96,15 +96,11 @@ def enriched_doi(
 
     A DOI that many works, or many locations, hold is joined in several tasks.
     """
-    keys = works.select(doi_key(works))
-    with_extract = spread_join(
-        work_facts(works), extract_facts(alltrials, columns), ["doi_key"], "doi_key", left_keys=[keys]
-    )
+    hot = hot_table("doi_key", [works.select(doi_key(works))], [unpaywall.select(doi_key(unpaywall))])
+    extract = meet(extract_facts(alltrials, columns), hot, "doi_key")
+    with_extract = join_dealt(deal(work_facts(works), hot, "doi_key"), extract, ["doi_key"])
     # Last, as divided copies are written out where they are joined.
-    joined = spread_join(
-        with_extract, access_facts(unpaywall), ["doi_key"], "doi_key", n="n_access", left_keys=[keys],
-        right_keys=[unpaywall.select(doi_key(unpaywall))],
-    )
+    joined = join_dealt(with_extract, meet(access_facts(unpaywall), hot, "doi_key", "n_access"), ["doi_key"]).drop(SALT)
     return expand_copies(joined, F.col("n_access")).drop("n_access")
 
 
@@ -262,10 +258,9 @@ def add_labels(df: DataFrame) -> DataFrame:
 def open_data_code(pubs: DataFrame, oddpub: DataFrame) -> DataFrame:
     """Publications (with a ``doi``) and the result of the open data and code check."""
     keyed = pubs.withColumn("doi_key", F.lower("doi"))
-    joined = spread_join(
-        keyed, oddpub_facts(oddpub), ["doi_key"], "doi_key", n="n_oddpub", left_keys=[keyed.select("doi_key")],
-        right_keys=[oddpub.select(doi_key(oddpub))],
-    )
+    hot = hot_table("doi_key", [keyed.select("doi_key")], [oddpub.select(doi_key(oddpub))])
+    checks = meet(oddpub_facts(oddpub), hot, "doi_key", "n_oddpub")
+    joined = join_dealt(deal(keyed, hot, "doi_key"), checks, ["doi_key"]).drop(SALT)
     labelled = expand_copies(joined, F.col("n_oddpub")).withColumns(_as_columns(OPEN_DATA_CODE))
     return labelled.drop("doi_key", "n_oddpub", "is_open_data", "is_open_code")
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
 from scholaudit.functions.copies import expand_copies
-from scholaudit.functions.keys import doi_key
-from scholaudit.operators.hot_keys import spread_join
+from scholaudit.operators.hot_keys import PART, SALT, deal, hot_table, join_dealt, meet
 from scholaudit.operators.publications import (
     access_facts,
     add_labels,
@@ -103,28 +102,25 @@ def audit_facts(
     listed = keep(listed, "listed")
     keys = listed.select("doi_key").where("doi_key IS NOT NULL").distinct()
 
+    # A DOI that many works hold, and works without one, are dealt over several tasks in all joins.
+    hot = hot_table("doi_key", [facts.select("doi_key")])
+
+    def met(rows: DataFrame) -> DataFrame:
+        return meet(rows, hot, "doi_key")
+
     known = facts.select("doi_key").join(keys, "doi_key", "left_semi").distinct()
-    found_keys = facts.select("doi_key")
-    wanted = listed.where("doi_key IS NOT NULL")
-    matched = spread_join(facts, wanted, ["doi_key"], "doi_key", "inner", left_keys=[found_keys])
-    missing = listed.join(known, "doi_key", "left_anti")
+    matched = join_dealt(deal(facts, hot, "doi_key").drop(PART), met(listed), ["doi_key"], "inner")
+    missing = listed.join(known, "doi_key", "left_anti").withColumn(SALT, F.lit(0))
 
     # Reduced to the listed DOIs and to counted facts, row by row of the key.
     access = keep(access_facts(unpaywall, keys), "access")
     extract = extract.join(keys, "doi_key", "left_semi")
     checks = keep(oddpub_facts(oddpub, scope), "checks")
 
-    # Hot DOIs of works, locations and checks are dealt over several tasks.
-    with_extract = spread_join(matched, extract, [*edition, "doi_key"], "doi_key", left_keys=[found_keys])
-    access_keys, check_keys = unpaywall.select(doi_key(unpaywall)), oddpub.select(doi_key(oddpub))
-    with_access = spread_join(
-        with_extract, access, ["doi_key"], "doi_key", n="n_access", left_keys=[found_keys], right_keys=[access_keys]
-    )
-    complete = with_access.unionByName(missing, allowMissingColumns=True)
-    checked = spread_join(
-        complete, checks, [*scope, "doi_key"], "doi_key", n="n_oddpub", left_keys=[found_keys, access_keys],
-        right_keys=[check_keys],
-    )
+    with_access = join_dealt(matched, met(access), ["doi_key"])
+    joined = join_dealt(with_access, met(extract), [*edition, "doi_key"])
+    complete = joined.unionByName(missing, allowMissingColumns=True)
+    checked = join_dealt(complete, met(checks), [*scope, "doi_key"]).drop(SALT)
     copies = F.coalesce(F.col("n_access"), F.lit(1)) * F.coalesce(F.col("n_oddpub"), F.lit(1))
     return add_labels(expand_copies(checked, copies, spread=scope)).withColumn("doi", F.lower("doi"))
 

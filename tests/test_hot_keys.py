@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from scholaudit.functions.copies import count_copies, expand_copies
 from scholaudit.operators import hot_keys
-from scholaudit.operators.hot_keys import spread_join
+from scholaudit.operators.hot_keys import deal, join_dealt, meet
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -38,21 +38,42 @@ def sides(spark):
     return left, spark.createDataFrame(right, "doi_key string, value string").repartition(8)
 
 
+def dealt_join(left, right, how="left", n=None, divided=()):
+    hot = hot_keys.hot_table("doi_key", [left.select("doi_key")], [one.select("doi_key") for one in divided])
+    first = deal(left, hot, "doi_key")
+    if n is None:
+        first = first.where("_part = 0").drop("_part")
+    return join_dealt(first, meet(right, hot, "doi_key", n), ["doi_key"], how).drop("_salt")
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_same_rows_as_a_plain_join(spark, how):
     left, right = sides(spark)
     counted = count_copies(right, "doi_key", "value", n="n")
-    found = spread_join(left, counted, ["doi_key"], "doi_key", how, "n", [left.select("doi_key")], [right.select("doi_key")])
-    expected = left.join(right, "doi_key", how)
-    expanded = expand_copies(found, F.col("n")).select("doi_key", "place", "value")
-    assert plain(expanded.collect()) == plain(expected.select("doi_key", "place", "value").collect())
-    # Without numbers of copies, and without sketches.
-    found = spread_join(left, right, ["doi_key"], "doi_key", how, left_keys=[left.select("doi_key")])
-    assert plain(found.select(expanded.columns).collect()) == plain(expanded.collect())
-    found = spread_join(left, counted, ["doi_key"], "doi_key", how, "n")
+    expected = left.join(right, "doi_key", how).select("doi_key", "place", "value")
+    found = dealt_join(left, counted, how, "n", [right])
+    expanded = expand_copies(found, F.col("n")).select(expected.columns)
+    assert plain(expanded.collect()) == plain(expected.collect())
+    # Without numbers of copies, and without keys to divide.
+    assert plain(dealt_join(left, right, how).select(expected.columns).collect()) == plain(expected.collect())
+    found = dealt_join(left, counted, how, "n")
     assert plain(found.collect()) == plain(left.join(counted, "doi_key", how).collect())
 
 
+def test_several_tables_are_joined_where_the_rows_are(spark):
+    left, right = sides(spark)
+    hot = hot_keys.hot_table("doi_key", [left.select("doi_key")])
+    once, twice = right.distinct(), right.distinct().withColumnRenamed("value", "other")
+    joined = deal(left, hot, "doi_key").drop("_part")
+    for table in (once, twice):
+        joined = join_dealt(joined, meet(table, hot, "doi_key"), ["doi_key"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(doi_key" in line and "_salt" in line]
+    assert len(wide) == 3  # the rows once, and each table
+    expected = left.join(once, "doi_key", "left").join(twice, "doi_key", "left")
+    assert plain(joined.drop("_salt").select(expected.columns).collect()) == plain(expected.collect())
+
+
 def tasks(df, condition):
     return df.where(condition).select(F.spark_partition_id().alias("task")).distinct().count()
 
@@ -60,7 +81,7 @@ def tasks(df, condition):
 def test_hot_keys_and_missing_keys_are_in_several_tasks(spark):
     left, right = sides(spark)
     counted = count_copies(right, "doi_key", "value", n="n")
-    found = spread_join(left, counted, ["doi_key"], "doi_key", "left", "n", [left.select("doi_key")], [right.select("doi_key")])
+    found = dealt_join(left, counted, "left", "n", [right])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     assert tasks(found, "doi_key = 'hot'") >= 8
