@@ -1,24 +1,35 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 The network predicts each word from the two words on either side of it, with
-the word itself masked: hidden = tanh(b + sum of M[place][neighbour]), then a
-class of words by softmax, then the word within its class. It is trained in
-numpy. A document's score is the sum over its words of the logarithms of these
-conditional chances, and its mean.
-
-The vocabulary is the most frequent words as counted over all documents; every
-other word is predicted as rare, and its share among the rare words comes from
-counts over all of them in a table of fixed size. Training windows are a fixed
-share of all words, chosen by hash, so they grow with the corpus. They are
-dealt into shards of bounded size; each round trains a copy of the network on
-each shard and averages the copies by their windows, all in Spark, and only the
-averaged network, whose size is fixed, passes the driver.
+the word itself masked. The hidden state is tanh of a bias and the neighbours'
+vectors, each scaled by its place. The chance of a word is the product of the
+choices on its way down a binary tree, each one a logistic function of the
+state and the node's vector. A document's score is the sum over its words of
+the logarithms of these conditional chances, and its mean.
+
+The vocabulary is every different word of the corpus. The tree first tells a
+word's level. The most frequent words (``2 ** top_bits - 1``) have a level for
+each power of two of their rank, and leaves of their own. All other words are
+on the last level and go down by the bits of their hash, to one leaf for each
+``LEAF_WORDS`` of them, so the tree grows with the vocabulary; the words of a
+leaf share its chance by their counts, which are of all documents and exact.
+Neighbours have vectors of their own, or by hash beyond the top words, whose
+number grows in the same way.
+
+Every window of the corpus trains the network once. A round takes the documents
+of one part by hash; each task trains a copy on its documents, and copies are
+averaged row by row, weighted by how often a row was used, in Spark. Only the
+averaged network passes the driver.
+
+The counts of the ``KNOWN`` most frequent words, at most, travel to the tasks;
+occurrences of all other words meet their counts in a join.
 
 Defined cases: null text is the empty text; a text without words has the sum 0
 and no mean. The words beyond a text's ends are one special word. Repeated
-rows get the same score each and all count in training. With no words at all
-the network stays as it starts. Further columns, whatever their names, are
-ignored.
+rows get the same score each and all count in training. Very long texts are
+scored in parts of ``PART`` words with their neighbours. With no words at all
+the network stays as it starts. Empty tables give empty results. Further
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -31,167 +42,251 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, slices, stage, whole_text
+from scholaudit.llm.shared import column, ship_package, slices, stage, whole_text
 from scholaudit.llm.words import mixed, signed, word_hashes
 
 REACH = 2  # words on either side
-CLASSES = CLASS_SIZE = 32
-VOCABULARY = CLASSES * CLASS_SIZE
-EDGE, RARE = 0, VOCABULARY - 1
-HIDDEN = 32
-RARE_BITS = 16
-SHARE = 64  # one window in so many is for training
-SHARD_WINDOWS = 100_000
-ROUNDS, BATCH, RATE = 4, 512, 0.1
-PARTS = 64  # pieces in which networks travel to be averaged
+HIDDEN = 8
+TOP_BITS = 14  # 2 ** TOP_BITS - 1 words have leaves of their own
+LEVELS = 5  # bits of a level; the last one is for all other words
+LEAF_WORDS = 256
+KNOWN = 1 << 18
+ROUNDS, BATCH, RATE = 2, 4_096, 0.1
+SHARD_WORDS = 2_000_000
+PART = 16_384
+PIECES = 64  # in which networks travel to be averaged
+WORDS_KEPT = 200_000
 
 NEIGHBOURS = [place for place in range(2 * REACH + 1) if place != REACH]
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of some runs, one after the other."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(start - (ends - size), size)
+
+
+# For each level, the nodes of its way among the 2 ** LEVELS of the first tree, and the choices there.
+_LAST = (1 << LEVELS) - 1
+_ON_WAY = np.zeros((1 << LEVELS, 1 << LEVELS), np.float32)
+_CHOICE = np.zeros((1 << LEVELS, 1 << LEVELS), np.float32)
+for _level in range(1 << LEVELS):
+    for _step in range(LEVELS):
+        _node = (1 << _step) + (_level >> (LEVELS - _step))
+        _ON_WAY[_level, _node] = 1
+        _CHOICE[_level, _node] = _level >> (LEVELS - 1 - _step) & 1
+
+
+class Code:
+    """Levels of words, their ways below, and the rows of the network that they use.
+
+    ``frequent`` has the hashes of the top words by falling frequency,
+    ``rare`` is the number of all other words. Neighbours: row 0 is the edge,
+    then the top words, then shared ones. Nodes: those of the top words' levels,
+    then those of the last level.
+    """
+
+    def __init__(self, frequent: np.ndarray, rare: int, top_bits: int = TOP_BITS):
+        self.frequent = frequent[: (1 << top_bits) - 1]
+        self.order = np.argsort(self.frequent)
+        self.sorted = self.frequent[self.order]
+        self.depth = max(1, math.ceil(math.log2(max(1, rare / LEAF_WORDS))))
+        self.shared = 1 + len(self.frequent)
+        self.neighbours = self.shared + (1 << self.depth)
+        self.others = 1 << max(1, len(self.frequent)).bit_length()
+        self.nodes = self.others + (1 << self.depth)
+
+    def ranks(self, hashes: np.ndarray) -> np.ndarray:
+        """Of top words; -1 for all others."""
+        if not len(self.sorted):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
+        return np.where(self.sorted[place] == hashes, self.order[place], -1)
+
+    def leaf(self, hashes: np.ndarray) -> np.ndarray:
+        """The leaf of words that are not among the top ones."""
+        return (mixed(hashes) >> np.uint64(64 - self.depth)).astype(np.int64)
+
+    def neighbour_rows(self, hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        return np.where(ranks >= 0, 1 + ranks, self.shared + self.leaf(hashes ^ np.uint64(0x5BD1E995)))
+
+    def levels(self, ranks: np.ndarray) -> np.ndarray:
+        return np.where(ranks >= 0, np.frexp(np.maximum(ranks + 1, 1).astype(np.float64))[1] - 1, _LAST)
+
+    def ways(self, hashes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes below the levels, with choices (1 or 0), of all words, and the length of each word's way."""
+        top = ranks >= 0
+        length = np.where(top, self.levels(ranks), self.depth)
+        code = np.where(top, ranks + 1 - (np.int64(1) << np.where(top, length, 0)), self.leaf(hashes))
+        owner = np.repeat(np.arange(len(hashes)), length)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
+        value, bits = code[owner], length[owner]
+        heap = (np.int64(1) << step) + (value >> (bits - step))  # a node's number among those of its tree
+        # The tree of level l has its nodes at 2 ** l and beyond.
+        node = np.where(top[owner], (np.int64(1) << bits) + heap - 1, self.others + heap)
+        return node, (value >> (bits - 1 - step)) & 1, length
+
+
+def _run_sums(values: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, which may be empty."""
+    values = np.concatenate((values, np.zeros((1, *values.shape[1:]), values.dtype)))
+    sums = np.add.reduceat(values, np.cumsum(length) - length, axis=0)
+    sums[length == 0] = 0
+    return sums
+
+
+def _small(values: np.ndarray, most: int) -> np.ndarray:
+    """16 bits where they do: such numbers are sorted in linear time."""
+    return values.astype(np.uint16) if most <= 1 << 16 else values
+
+
 class Network:
-    """Parameters in one array, with views by name."""
-
-    SHAPES = {
-        "mix": (2 * REACH, VOCABULARY, HIDDEN),
-        "bias": (HIDDEN,),
-        "classes": (HIDDEN, CLASSES),
-        "class_bias": (CLASSES,),
-        "words": (CLASSES, HIDDEN, CLASS_SIZE),
-        "word_bias": (CLASSES, CLASS_SIZE),
-    }
-
-    def __init__(self, values: np.ndarray):
-        self.values = values
-        at = 0
-        for name, shape in self.SHAPES.items():
-            size = math.prod(shape)
-            setattr(self, name, values[at : at + size].reshape(shape))
-            at += size
+    """Rows of neighbours' vectors and of nodes' vectors with their biases, and the few others."""
 
-    @classmethod
-    def start(cls) -> Network:
-        size = sum(math.prod(shape) for shape in cls.SHAPES.values())
-        return cls((np.random.default_rng(1).standard_normal(size) * 0.1).astype(np.float32))
+    def __init__(self, code: Code, values: np.ndarray):
+        self.code, self.values = code, values
+        width = HIDDEN + 1
+        parts = np.split(values, np.cumsum([1, 2 * REACH, 1 << LEVELS, code.neighbours]))
+        self.bias, self.scales, self.levels, self.vectors, self.nodes = parts
+        assert values.shape == (self.rows(code), width)
 
-    def hidden(self, windows: np.ndarray) -> np.ndarray:
-        total = self.bias + self.mix[0][windows[:, NEIGHBOURS[0]]]
+    @staticmethod
+    def rows(code: Code) -> int:
+        return 1 + 2 * REACH + (1 << LEVELS) + code.neighbours + code.nodes
+
+    @classmethod
+    def start(cls, code: Code) -> Network:
+        network = cls(code, np.zeros((cls.rows(code), HIDDEN + 1), np.float32))
+        network.scales[:, :HIDDEN] = 0.5
+        network.vectors[:, :HIDDEN] = np.random.default_rng(1).standard_normal((code.neighbours, HIDDEN)) * 0.3
+        return network
+
+    def hidden(self, neighbours: np.ndarray) -> np.ndarray:
+        total = self.bias[0, :HIDDEN] + self.scales[0, :HIDDEN] * self.vectors[neighbours[:, 0], :HIDDEN]
         for place in range(1, 2 * REACH):
-            total += self.mix[place][windows[:, NEIGHBOURS[place]]]
+            total += self.scales[place, :HIDDEN] * self.vectors[neighbours[:, place], :HIDDEN]
         return np.tanh(total, out=total)
 
-    def log_chances(self, windows: np.ndarray) -> np.ndarray:
-        """Of the middle word of each window."""
-        target = windows[:, REACH]
-        hidden, classes = self.hidden(windows), target // CLASS_SIZE
-        rows = np.arange(len(windows))
-        result = _log_softmax_at(hidden @ self.classes + self.class_bias, rows, classes)
-        order = np.argsort(classes, kind="stable")
-        ends = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-        for kind in range(CLASSES):
-            own = order[ends[kind] : ends[kind + 1]]
-            if len(own):
-                logits = hidden[own] @ self.words[kind] + self.word_bias[kind]
-                result[own] += _log_softmax_at(logits, np.arange(len(own)), target[own] % CLASS_SIZE)
-        return result
-
-    def step(self, windows: np.ndarray, squares: Network) -> None:
-        """One step of Adagrad on a batch."""
-        windows = windows[np.argsort(windows[:, REACH], kind="stable")]  # classes are ranges of numbers
-        target, n = windows[:, REACH], len(windows)
-        classes, inner = target // CLASS_SIZE, target % CLASS_SIZE
-        rows = np.arange(n)
-        hidden = self.hidden(windows)
-
-        def error(logits: np.ndarray, wanted: np.ndarray, rows: np.ndarray) -> np.ndarray:
-            logits -= logits.max(axis=1, keepdims=True)
-            np.exp(logits, out=logits)
-            logits /= logits.sum(axis=1, keepdims=True)
-            logits[rows, wanted] -= 1
-            return logits / n
-
-        class_error = error(hidden @ self.classes + self.class_bias, classes, rows)
-        back = class_error @ self.classes.T
-        used, starts = np.unique(classes, return_index=True)
-        word_slopes = np.empty((len(used), HIDDEN, CLASS_SIZE), np.float32)
-        word_bias_slopes = np.empty((len(used), CLASS_SIZE), np.float32)
-        for place, (kind, start, stop) in enumerate(zip(used, starts, [*starts[1:], n], strict=True)):
-            own = hidden[start:stop]
-            logits = own @ self.words[kind] + self.word_bias[kind]
-            word_error = error(logits, inner[start:stop], rows[: stop - start])
-            back[start:stop] += word_error @ self.words[kind].T
-            word_slopes[place], word_bias_slopes[place] = own.T @ word_error, word_error.sum(axis=0)
+    def _errors(self, hidden: np.ndarray, levels: np.ndarray, nodes: np.ndarray, length: np.ndarray):
+        """Logits at the levels' nodes of all words, vectors of the nodes below, the states there and the logits."""
+        of_levels = np.clip(hidden @ self.levels[:, :HIDDEN].T + self.levels[:, HIDDEN], -60, 60)
+        own, spread = self.nodes[nodes], np.repeat(hidden, length, axis=0)
+        return of_levels, own, spread, np.einsum("ij,ij->i", own[:, :HIDDEN], spread) + own[:, HIDDEN]
+
+    def log_chances(self, neighbours: np.ndarray, words: tuple) -> np.ndarray:
+        """Of words given as (levels, nodes, choices, lengths), from rows of neighbours."""
+        levels, nodes, choices, length = words
+        of_levels, _, _, logits = self._errors(self.hidden(neighbours), levels, nodes, length)
+        signs = 1 - 2 * _CHOICE[levels]
+        logs = (np.log1p(np.exp(np.clip(signs * of_levels, -60, 60))) * _ON_WAY[levels]).sum(axis=1)
+        return -logs - _run_sums(np.log1p(np.exp(np.clip((1 - 2 * choices) * logits, -60, 60))), length)
+
+    def slopes(self, neighbours: np.ndarray, words: tuple):
+        """Of the loss: of the bias, the scales and the levels; of nodes one by one; of the states."""
+        levels, nodes, choices, length = words
+        hidden = self.hidden(neighbours)
+        of_levels, own, spread, logits = self._errors(hidden, levels, nodes, length)
+        level_error = (1 / (1 + np.exp(-of_levels)) - _CHOICE[levels]) * _ON_WAY[levels]
+        error = 1 / (1 + np.exp(-logits)) - choices
+        of_nodes = np.empty((len(error), HIDDEN + 1), self.values.dtype)
+        np.multiply(spread, error[:, None], out=of_nodes[:, :HIDDEN])
+        of_nodes[:, HIDDEN] = error
+        back = level_error @ self.levels[:, :HIDDEN]
+        back += _run_sums(error[:, None] * own[:, :HIDDEN], length)
         back *= 1 - hidden * hidden
-
-        self._move("bias", slice(None), back.sum(axis=0), squares)
-        self._move("classes", slice(None), hidden.T @ class_error, squares)
-        self._move("class_bias", slice(None), class_error.sum(axis=0), squares)
-        self._move("words", used, word_slopes, squares)
-        self._move("word_bias", used, word_bias_slopes, squares)
+        fixed = np.zeros((1 + 2 * REACH + (1 << LEVELS), HIDDEN + 1), self.values.dtype)
+        fixed[0, :HIDDEN] = back.sum(axis=0)
         for place in range(2 * REACH):
-            seen, inverse = np.unique(windows[:, NEIGHBOURS[place]], return_inverse=True)
-            order = np.argsort(inverse, kind="stable")
-            sums = np.add.reduceat(back[order], np.searchsorted(inverse[order], np.arange(len(seen))), axis=0)
-            self._move("mix", (place, seen), sums, squares)
-
-    def _move(self, name: str, where, gradient: np.ndarray, squares: Network) -> None:
-        past = getattr(squares, name)
-        past[where] += gradient * gradient
-        getattr(self, name)[where] -= RATE * gradient / (np.sqrt(past[where]) + 1e-6)
-
-
-def _log_softmax_at(logits: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    chosen = logits[rows, wanted]
-    return chosen - np.log(np.exp(logits).sum(axis=1))
-
-
-class Vocabulary:
-    """Numbers of words by their hashes: the most frequent ones first, the rest is RARE."""
-
-    def __init__(self, frequent: np.ndarray, rare_logs: np.ndarray):
-        order = np.argsort(frequent)
-        self.hashes = frequent[order]
-        self.numbers = (order + 1).astype(np.int32)
-        self.rare_logs = rare_logs
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), RARE, np.int32)
-        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == hashes, self.numbers[place], RARE).astype(np.int32)
-
-    def rare(self, hashes: np.ndarray) -> np.ndarray:
-        """Logarithm of each word's share among the rare words."""
-        return self.rare_logs[(mixed(hashes) >> np.uint64(64 - RARE_BITS)).astype(np.int64)]
-
-
-def _chosen_windows(known: Vocabulary, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The windows around some places; only their words are looked up."""
-    around = places[:, None] + np.arange(-REACH, REACH + 1)
-    inside = (around >= 0) & (around < len(hashes))
-    numbers = known.of(hashes[np.where(inside, around, 0).ravel()]).reshape(around.shape)
-    return np.where(inside, numbers, EDGE).astype("<i2")
-
-
-def score_texts(network: Network, known: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, and the sum of the logarithms of their chances."""
-    parted = [word_hashes(text.split()) for text in texts]
-    counts = np.array([len(hashes) for hashes in parted], np.int64)
-    # One row of words, with edges before, between and behind the texts.
-    places = np.arange(counts.sum()) + np.repeat(REACH * np.arange(1, len(texts) + 1), counts)
-    hashes = np.concatenate([np.empty(0, np.uint64), *parted])
-    numbers = known.of(hashes)
-    row = np.full(counts.sum() + REACH * (len(texts) + 1), EDGE, np.int32)
-    row[places] = numbers
-    logs = np.empty(len(hashes))
-    for start in range(0, len(hashes), 16_384):
-        here = slice(start, start + 16_384)
-        logs[here] = network.log_chances(row[places[here, None] + np.arange(-REACH, REACH + 1)])
-    rare = numbers == RARE
-    logs[rare] += known.rare(hashes[rare])
-    sums = np.r_[0.0, np.cumsum(logs)]
-    ends = np.cumsum(counts)
-    return counts, sums[ends] - sums[ends - counts]
+            fixed[1 + place, :HIDDEN] = (back * self.vectors[neighbours[:, place], :HIDDEN]).sum(axis=0)
+        fixed[1 + 2 * REACH :, :HIDDEN] = level_error.T @ hidden
+        fixed[1 + 2 * REACH :, HIDDEN] = level_error.sum(axis=0)
+        return fixed, of_nodes, back
+
+    def step(self, neighbours: np.ndarray, words: tuple, squares: Network, uses: np.ndarray) -> None:
+        """One step of Adagrad on a batch; ``uses`` counts how often each row was moved."""
+        fixed, of_nodes, back = self.slopes(neighbours, words)
+        count = len(fixed)
+        fixed /= math.sqrt(len(back))
+        squares.values[:count] += fixed * fixed
+        self.values[:count] -= RATE * fixed / (np.sqrt(squares.values[:count]) + 1e-6)
+        uses[:count] += len(back)
+        of_vectors = np.zeros((2 * REACH * len(back), HIDDEN + 1), self.values.dtype)
+        for place in range(2 * REACH):
+            rows = slice(place * len(back), (place + 1) * len(back))
+            np.multiply(back, self.scales[place, :HIDDEN], out=of_vectors[rows, :HIDDEN])
+        before = count
+        for table, past, rows, slopes in (
+            (self.vectors, squares.vectors, neighbours.T.ravel(), of_vectors),
+            (self.nodes, squares.nodes, words[1], of_nodes),
+        ):
+            rows = _small(rows, len(table))
+            order = np.argsort(rows, kind="stable")
+            rows = rows[order]
+            starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, np.int64)
+            if len(starts):
+                used = rows[starts].astype(np.int64)
+                times = np.diff(np.r_[starts, len(rows)])
+                # Frequent rows move by their mean slope times the root of their uses.
+                sums = np.add.reduceat(slopes[order], starts, axis=0)
+                sums /= np.sqrt(times, dtype=np.float32)[:, None]
+                past[used] += sums * sums
+                table[used] -= RATE * sums / (np.sqrt(past[used]) + 1e-6)
+                uses[before + used] += times
+            before += len(table)
+
+
+class Reader:
+    """Words of texts as numbers, with ways and rows; a bounded number of words is remembered."""
+
+    def __init__(self, code: Code):
+        self.code = code
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.hashes = np.empty(0, np.uint64)
+        self.ranks = self.level = self.row = self.start = self.length = np.empty(0, np.int64)
+        self.nodes, self.choices = np.empty(0, np.int32), np.empty(0, np.int8)
+
+    def numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        if len(self.known) > WORDS_KEPT:
+            self.forget()
+        new = list(dict.fromkeys(word for words in texts for word in words if word not in self.known))
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            hashes = word_hashes(new)
+            ranks = self.code.ranks(hashes)
+            nodes, choices, length = self.code.ways(hashes, ranks)
+            self.start = np.r_[self.start, np.cumsum(length) - length + len(self.nodes)]
+            self.hashes, self.ranks = np.r_[self.hashes, hashes], np.r_[self.ranks, ranks]
+            self.level = np.r_[self.level, self.code.levels(ranks)]
+            self.row = np.r_[self.row, self.code.neighbour_rows(hashes, ranks)]
+            self.length = np.r_[self.length, length]
+            self.nodes = np.r_[self.nodes, nodes.astype(np.int32)]
+            self.choices = np.r_[self.choices, choices.astype(np.int8)]
+        return [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in texts]
+
+    def ways(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Levels, nodes, choices and lengths."""
+        length = self.length[words]
+        at = _ranges(self.start[words], length)
+        return self.level[words], self.nodes[at], self.choices[at].astype(np.float32), length
+
+    def windows(self, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """All words of the texts, and the rows of the neighbours of each."""
+        counts = np.array([len(own) for own in numbers], np.int64)
+        words = np.concatenate([np.empty(0, np.int64), *numbers])
+        # One row of words, with edges before, between and behind the texts.
+        places = np.arange(len(words)) + np.repeat(REACH * np.arange(1, len(numbers) + 1), counts)
+        rows = np.zeros(len(words) + REACH * (len(numbers) + 1), np.int64)
+        rows[places] = self.row[words]
+        return words, rows[places[:, None] + (np.array(NEIGHBOURS) - REACH)]
+
+
+def texts_of(batches: Iterator[pa.RecordBatch], place: int, rows: int = 64) -> Iterator[tuple[pa.RecordBatch, list]]:
+    for batch in slices(batches, rows):
+        yield batch, [text.as_buffer().to_pybytes().split() for text in batch.column(place)]
 
 
 # ---- Spark
@@ -218,154 +313,206 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def count_vocabulary(texts: DataFrame) -> Vocabulary:
-    """From the words of all texts."""
+def _unsigned(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy().view(np.uint64)
+
+
+class Shares:
+    """Logarithms of words' shares of their leaves, of the words whose counts are at hand."""
+
+    def __init__(self, hashes: np.ndarray, logs: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.logs = hashes[order], logs[order].astype(np.float64)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """NaN where the word is not at hand."""
+        if not len(self.hashes):
+            return np.full(len(hashes), np.nan)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[place] == hashes, self.logs[place], np.nan)
+
+
+def count_vocabulary(
+    texts: DataFrame, top_bits: int = TOP_BITS, known: int = KNOWN
+) -> tuple[Code, Shares, DataFrame, int]:
+    """The code of all words, the shares of frequent ones, ``(word, log_share)`` of all but the top ones, and all uses."""
     uses = stage(
         texts.mapInArrow(_count_words, "word long, uses long").groupBy("word").agg(F.sum("uses").alias("uses")),
         "word_uses",
     )
-    top = uses.orderBy(F.desc("uses"), "word").limit(VOCABULARY - 2)
-    frequent = np.array([row["word"] for row in top.select("word").collect()], np.int64).view(np.uint64)
-    rare = uses.join(F.broadcast(top.select("word")), "word", "left_anti")  # at most VOCABULARY rows
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    totals = uses.agg(F.count(F.lit(1)).alias("words"), F.sum("uses").alias("uses")).first()
+
+    def fewest(most: int) -> int:
+        """The least number of uses that at most so many words have."""
+        above = 0
+        for row in uses.groupBy("uses").count().orderBy(F.desc("uses")).limit(most).collect():  # rows rise with uses
+            above += row["count"]
+            if above > most:
+                return row["uses"] + 1
+        return 1
+
+    # At most 2 ** top_bits - 1 rows; words of equal frequency are all among them or none.
+    frequent = uses.where(F.col("uses") >= fewest((1 << top_bits) - 1)).orderBy(F.desc("uses"), "word").toArrow()
+    code = Code(_unsigned(frequent, "word"), totals["words"] - len(frequent), top_bits)
+    sent = texts.sparkSession.sparkContext.broadcast(code)
+
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column(0).to_numpy().view(np.uint64)
-            cell = (mixed(words) >> np.uint64(64 - RARE_BITS)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(1)], names=["cell", "uses"])
+            other = pa.array(sent.value.ranks(words) < 0)
+            leaf = pa.array(sent.value.leaf(words))
+            yield pa.RecordBatch.from_arrays([*batch.columns, leaf], names=["word", "uses", "leaf"]).filter(other)
 
-    sums = (
-        rare.mapInArrow(cells, "cell int, uses long")
-        .groupBy("cell")
-        .agg(F.sum("uses").alias("uses"), F.count(F.lit(1)).alias("words"))
-    )
-    share = np.full(1 << RARE_BITS, 0.5)  # a cell without words: half a use
-    total = 1.0
-    for row in sums.toLocalIterator():  # 65,536 rows at most
-        share[row["cell"]] = row["uses"] / row["words"]
-        total += row["uses"]
-    return Vocabulary(frequent, np.log(share / total).astype(np.float32))
+    others = stage(uses.mapInArrow(leaves, "word long, uses long, leaf long"), "other_words")
+    of_leaf = others.groupBy("leaf").agg(F.sum("uses").alias("leaf_uses"))
+    share = F.log(F.col("uses") / F.col("leaf_uses")).alias("log_share")
+    shares = stage(others.join(of_leaf, "leaf").select("word", "uses", share), "word_shares")
+    at_hand = shares.where(F.col("uses") >= fewest(known)).select("word", "log_share").toArrow()  # at most ``known``
+    near = Shares(_unsigned(at_hand, "word"), at_hand.column("log_share").to_numpy())
+    return code, near, shares.select("word", "log_share"), totals["uses"] or 0
 
 
-def _training_windows(vocabulary, shards: int):
-    """Blocks of chosen windows by shard."""
+def _train(code, network):
+    """The documents of a task train a copy, which leaves in pieces with the uses of its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.value
-        for batch in slices(batches, 1024):
-            found, dealt = [], []
-            for text in batch.column(0):
-                hashes = word_hashes(text.as_buffer().to_pybytes().split())
-                if not len(hashes):
-                    continue
-                marks = mixed(hashes + np.arange(len(hashes), dtype=np.uint64) + np.uint64(len(hashes)))
-                chosen = np.flatnonzero(marks % np.uint64(SHARE) == 0)
-                found.append(_chosen_windows(known, hashes, chosen))
-                dealt.append(((marks[chosen] >> np.uint64(16)) % np.uint64(shards)).astype(np.int64))
-            if not found:
-                continue
-            windows, shard = np.concatenate(found), np.concatenate(dealt)
-            order = np.argsort(shard, kind="stable")
-            windows, shard = windows[order], shard[order]
-            starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else np.empty(0, np.int64)
-            blocks = np.split(windows, starts[1:]) if len(starts) else []
+        reader, copy = Reader(code.value), Network(code.value, network.value.copy())
+        squares = Network(code.value, np.zeros_like(copy.values))
+        uses = np.zeros(len(copy.values), np.float32)
+        rnd = np.random.default_rng(3)
+        trained = False
+        for _, texts in texts_of(batches, 0):
+            words, neighbours = reader.windows(reader.numbers(texts))
+            order = rnd.permutation(len(words))
+            for start in range(0, len(order), BATCH):
+                here = order[start : start + BATCH]
+                copy.step(neighbours[here], reader.ways(words[here]), squares, uses)
+                trained = True
+        if not trained:
+            return
+        for piece, rows in enumerate(np.array_split(np.arange(len(uses)), PIECES)):
+            used = rows[uses[rows] > 0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[starts], pa.int64()), pa.array([block.tobytes() for block in blocks], pa.binary())],
-                names=["shard", "windows"],
+                [
+                    pa.array([piece], pa.int32()),
+                    pa.array([used.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([uses[used].astype("<f4").tobytes()], pa.binary()),
+                    pa.array([copy.values[used].astype("<f2").tobytes()], pa.binary()),
+                ],
+                names=["piece", "rows", "uses", "data"],
             )
 
     return run
 
 
-def _train(network, turn: int):
-    """One round on one shard: the trained copy in pieces, weighted by its windows."""
-
-    def run(table: pa.Table) -> pa.Table:
-        windows = np.concatenate(
-            [np.frombuffer(part.as_buffer(), "<i2").reshape(-1, 2 * REACH + 1) for part in table.column("windows")]
-        )
-        # A fixed order, whatever order the blocks came in; then the round's own.
-        windows = windows[np.lexsort(windows.T)].astype(np.int32)
-        windows = windows[np.random.default_rng(turn).permutation(len(windows))]
-        copy = Network(network.value.copy())
-        squares = Network(np.zeros_like(copy.values))
-        for start in range(0, len(windows), BATCH):
-            copy.step(windows[start : start + BATCH], squares)
-        parts = np.array_split(copy.values.astype("<f4"), PARTS)
-        return pa.table(
-            {
-                "part": pa.array(range(PARTS), pa.int32()),
-                "weight": pa.array([float(len(windows))] * PARTS),
-                "shard": pa.array([table.column("shard")[0].as_py()] * PARTS, pa.int64()),
-                "data": pa.array([part.tobytes() for part in parts], pa.binary()),
-            }
-        )
-
-    return run
-
-
 def _average(table: pa.Table) -> pa.Table:
-    table = table.sort_by("shard")
-    weights = table.column("weight").to_numpy()
-    total = np.zeros(len(table.column("data")[0].as_buffer()) // 4)
-    for weight, data in zip(weights, table.column("data"), strict=True):
-        total += weight * np.frombuffer(data.as_buffer(), "<f4")
-    mean = (total / weights.sum()).astype("<f4").tobytes()
-    return pa.table({"part": table.column("part").slice(0, 1), "data": pa.array([mean], pa.binary())})
+    """One piece of the network from all copies, in a fixed order: rows used, and their weighted means."""
+    parts = sorted(zip(*[[bytes(data) for data in table.column(n).to_pylist()] for n in ("rows", "uses", "data")], strict=True))
+    rows = np.concatenate([np.frombuffer(part, "<i4") for part, _, _ in parts])
+    uses = np.concatenate([np.frombuffer(part, "<f4") for _, part, _ in parts]).astype(np.float64)
+    data = np.concatenate([np.frombuffer(part, "<f2").reshape(-1, HIDDEN + 1) for _, _, part in parts])
+    order = np.argsort(rows, kind="stable")
+    used, starts = np.unique(rows[order], return_index=True)
+    if len(used):
+        weights = uses[order, None]
+        data = np.add.reduceat(weights * data[order], starts, axis=0) / np.add.reduceat(weights, starts, axis=0)
+    return pa.table(
+        {
+            "rows": pa.array([used.astype("<i4").tobytes()], pa.binary()),
+            "data": pa.array([data.astype("<f4").tobytes()], pa.binary()),
+        }
+    )
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, words: int, rounds: int = ROUNDS) -> Network:
+def train(texts: DataFrame, code: Code, words: int, rounds: int = ROUNDS) -> Network:
     context = texts.sparkSession.sparkContext
-    shards = max(1, math.ceil(words / SHARE / SHARD_WINDOWS))
-    windows = stage(
-        texts.mapInArrow(_training_windows(context.broadcast(vocabulary), shards), "shard long, windows binary"),
-        "training_windows",
-    )
-    network = Network.start()
+    sent, network = context.broadcast(code), Network.start(code)
+    shards = max(1, math.ceil(words / SHARD_WORDS))
     for turn in range(rounds):
-        copies = windows.groupBy("shard").applyInArrow(
-            _train(context.broadcast(network.values), turn), "part int, weight double, shard long, data binary"
+        part = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).coalesce(shards)
+        copies = part.mapInArrow(
+            _train(sent, context.broadcast(network.values)), "piece int, rows binary, uses binary, data binary"
         )
-        averaged = copies.groupBy("part").applyInArrow(_average, "part int, data binary").collect()  # one network
-        if averaged:
-            parts = [np.frombuffer(row["data"], "<f4") for row in sorted(averaged, key=lambda row: row["part"])]
-            network = Network(np.concatenate(parts).astype(np.float32))
+        averaged = copies.groupBy("piece").applyInArrow(_average, "rows binary, data binary")
+        for row in averaged.collect():  # one network
+            rows = np.frombuffer(row["rows"], "<i4")
+            network.values[rows] = np.frombuffer(row["data"], "<f4").reshape(-1, HIDDEN + 1)
     return network
 
 
-def _score(vocabulary, network):
+def score_words(network: Network, reader: Reader, texts: list[list[bytes]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The words of each text as the reader's numbers, and the logarithms of all their chances, shares left out."""
+    numbers = reader.numbers(texts)
+    words, neighbours = reader.windows(numbers)
+    logs = np.empty(len(words))
+    for start in range(0, len(words), PART):
+        here = slice(start, start + PART)
+        logs[here] = network.log_chances(neighbours[here], reader.ways(words[here]))
+    return numbers, logs
+
+
+def _score(code, network, shares):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = vocabulary.value, Network(network.value)
-        for batch in slices(batches):
-            counts, sums = score_texts(model, known, [text.as_buffer().to_pybytes() for text in batch.column(1)])
+        reader, model, near = Reader(code.value), Network(code.value, network.value), shares.value
+        for batch, texts in texts_of(batches, 2):
+            numbers, logs = score_words(model, reader, texts)
+            counts, sums, missing, ends, at = [], [], [], [0], 0
+            for own in numbers:
+                other = own[reader.ranks[own] < 0]
+                known = near.of(reader.hashes[other])
+                absent = np.isnan(known)
+                missing.append(signed(reader.hashes[other[absent]]))
+                counts.append(len(own))
+                sums.append(logs[at : at + len(own)].sum() + known[~absent].sum())
+                ends.append(ends[-1] + len(missing[-1]))
+                at += len(own)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(missing)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())],
-                names=["doc_id", "n_words", "log_likelihood"],
+                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), lists],
+                names=["row", "doc_id", "n_words", "log_likelihood", "missing"],
             )
 
     return run
 
 
 def score_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rounds: int = ROUNDS,
+    top_bits: int = TOP_BITS,
+    known: int = KNOWN,
 ) -> DataFrame:
     """One row per row: doc_id, n_words, log_likelihood, mean_log_likelihood."""
     context = docs.sparkSession.sparkContext
+    ship_package(docs.sparkSession)
     texts = docs.select(whole_text(docs, text_column).alias("text"))
-    vocabulary = count_vocabulary(texts)
-    words = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    network = train(texts, vocabulary, int(words) // 6, rounds)
-    rows = docs.select(column(docs, id_column).alias("doc_id"), whole_text(docs, text_column).alias("text"))
+    code, near, shares, words = count_vocabulary(texts, top_bits, known)
+    network = train(texts, code, words, rounds)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        column(docs, id_column).alias("doc_id"),
+        whole_text(docs, text_column).alias("text"),
+    )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(
-        _score(context.broadcast(vocabulary), context.broadcast(network.values)),
-        f"doc_id {kind}, n_words long, log_likelihood double",
+    sent = [context.broadcast(one) for one in (code, network.values, near)]
+    scored = stage(
+        rows.mapInArrow(
+            _score(*sent), f"row long, doc_id {kind}, n_words long, log_likelihood double, missing array<long>"
+        ),
+        "words_scored",
     )
-    return scored.select(
+    # Occurrences of words whose counts the tasks did not have.
+    rest = (
+        scored.select("row", F.explode("missing").alias("word"))
+        .join(shares, "word")
+        .groupBy("row")
+        .agg(F.sum("log_share").alias("shares"))
+    )
+    total = F.col("log_likelihood") + F.coalesce("shares", F.lit(0.0))
+    return scored.join(rest, "row", "left").select(
         "doc_id",
         "n_words",
-        F.round("log_likelihood", 3).alias("log_likelihood"),
-        F.round(F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")), 6).alias(
-            "mean_log_likelihood"
-        ),
+        F.round(total, 3).alias("log_likelihood"),
+        F.round(F.when(F.col("n_words") > 0, total / F.col("n_words")), 6).alias("mean_log_likelihood"),
     )
