@@ -2,9 +2,11 @@
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere
 else is removed. Only the first ``length`` bytes of a suffix matter, so
-suffixes are equal or not by a 64-bit fingerprint of these bytes; they are
-sorted by it, one bucket of suffixes at a time, each bucket in one task and of
-bounded size.
+suffixes are equal or not by a 104-bit fingerprint of these bytes: 64 bits of
+one polynomial and 40 of another. They are sorted by it, one bucket of suffixes
+at a time, each bucket in one task and of bounded size. Among n suffixes that
+are compared, two different ones are taken for equal with a chance of about
+n ** 2 / 2 ** 105, which is one in forty million at n = 10 ** 12.
 
 Sorting all suffixes would move ten bytes for each byte of text. The
 difference cover prevents that. COVER holds twelve residues modulo 133 such
@@ -27,7 +29,8 @@ ends of repeats.
 Tasks first combine equal suffixes of their own texts, so that a passage in a
 third of all documents reaches its bucket once per task and not once per
 document. Texts move between machines only where the sample found something;
-which ones these are is told by a Bloom filter of fixed size. What is sent
+which ones these are is told by a Bloom filter with 16 bits for each of them, up to
+``MOST_FILTER_BITS``; where it is full more texts move, with the same result. What is sent
 about a suffix is its fingerprint and the gap to the previous one of its
 bucket; answers name the suffixes by their number within the sending task's
 block, and each block sends a directory of its texts along. Blocks are made
@@ -54,7 +57,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, slices, stage, whole_text
+from scholaudit.llm.shared import column, ship_package, slices, stage, whole_text
 from scholaudit.llm.words import mixed
 
 # A perfect difference set: every residue but 0 is the difference of exactly one pair.
@@ -64,13 +67,14 @@ COVER = np.array([0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109])
 PIECE = PERIOD * 7_500  # a longer text is read in pieces of so many bytes
 BLOCK = 1_000_000  # suffixes that a task combines before it sends them
 BUCKET = 3_000_000  # suffixes of a bucket
-SAMPLE_BYTES, FULL_BYTES = 4, 7  # of a fingerprint that are sent beside the bucket
+SAMPLE_BYTES, FULL_BYTES = 4, 13  # of a fingerprint that are sent
 CHOSEN = 32  # one suffix in so many ends a span
-FILTER_BITS = 23  # the Bloom filter has 2 ** 23 bits, 1 MB
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 16, 27  # powers of two; 16 MB at most
 FILTER_BLOCK = 1 << 14
 
 _BASE = 0x9E3779B97F4A7C15
-_LETTERS = np.random.default_rng(20_240_601).integers(0, 2**64, 256, dtype=np.uint64)
+_OTHER_BASE = 0xD6E8FEB86659FD93
+_LETTERS, _OTHER_LETTERS = np.random.default_rng(20_240_601).integers(0, 2**64, (2, 256), dtype=np.uint64)
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -89,14 +93,21 @@ class Fingerprints:
 
     def __init__(self, size: int):
         self.size = size
-        self.up = _powers(_BASE, size + 1)
-        self.down = _powers(pow(_BASE, -1, 2**64), size + 1)
-
-    def of(self, data: bytes, places: np.ndarray, length: int) -> np.ndarray:
-        letters = _LETTERS[np.frombuffer(data, np.uint8)]
+        self.tables = [
+            (letters, _powers(base, size + 1), _powers(pow(base, -1, 2**64), size + 1))
+            for letters, base in ((_LETTERS, _BASE), (_OTHER_LETTERS, _OTHER_BASE))
+        ]
+
+    def of(self, data: bytes, places: np.ndarray, length: int, other: int = 0) -> np.ndarray:
+        """64 bits each, of the first polynomial or the other one."""
+        letters, up, down = self.tables[other]
+        values = letters[np.frombuffer(data, np.uint8)]
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(letters * self.up[: len(data)], out=sums[1:])
-        return mixed((sums[places + length] - sums[places]) * self.down[places])
+        np.cumsum(values * up[: len(data)], out=sums[1:])
+        return mixed((sums[places + length] - sums[places]) * down[places])
+
+    def both(self, data: bytes, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.of(data, places, length), self.of(data, places, length, 1)
 
 
 def unpacked(data) -> bytes:
@@ -122,24 +133,42 @@ def sample_places(size: int, length: int) -> np.ndarray:
     return places[places <= last]
 
 
-def chosen_suffixes(data, prints: Fingerprints, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and fingerprints of the suffixes that end spans."""
-    places, found = [], []
+def chosen_suffixes(data, prints: Fingerprints, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and both fingerprints of the suffixes that end spans."""
+    places, found, others = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
     for begin in range(0, len(data) - length + 1, PIECE):
         count = min(PIECE, len(data) - length + 1 - begin)
-        values = prints.of(data[begin : begin + count + length - 1], np.arange(count), length)
+        part = data[begin : begin + count + length - 1]
+        values = prints.of(part, np.arange(count), length)
         here = np.flatnonzero(values % np.uint64(CHOSEN) == 0)
         places.append(here + begin)
         found.append(values[here])
-    return (np.concatenate(places), np.concatenate(found)) if places else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        others.append(prints.of(part, here, length, 1) if len(here) else values[:0])
+    return np.concatenate(places), np.concatenate(found), np.concatenate(others)
 
 
-def span_prints(places: np.ndarray, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def span_prints(
+    places: np.ndarray, prints: np.ndarray, others: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers and fingerprints of the spans between neighbours; suffixes farther apart than ``length`` make none."""
     steps = np.diff(places)
     numbers = np.flatnonzero(steps <= length)
-    ends = mixed(prints[numbers]) + prints[numbers + 1]
-    return numbers, mixed(ends * np.uint64(_BASE) + steps[numbers].astype(np.uint64))
+    size = steps[numbers].astype(np.uint64)
+    found = [
+        mixed((mixed(ends[numbers]) + ends[numbers + 1]) * np.uint64(base) + size)
+        for ends, base in ((prints, _BASE), (others, _OTHER_BASE))
+    ]
+    return numbers, *found
+
+
+def classes(first: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal fingerprints are neighbours, and whether each one there equals the one before."""
+    if not other.any():  # the sample sends no second part
+        order = np.argsort(first, kind="stable")
+    else:
+        order = np.lexsort((other, first))
+    first, other = first[order], other[order]
+    return order, np.r_[False, (first[1:] == first[:-1]) & (other[1:] == other[:-1])][: len(order)]
 
 
 def packed_numbers(numbers: np.ndarray) -> bytes:
@@ -183,28 +212,35 @@ class Block:
     def __init__(self, number: int, sorts: str, buckets: int, width: int, offset: int = 0):
         self.number, self.sorts, self.buckets, self.width, self.offset = number, sorts, buckets, width, offset
         self.prints: list[np.ndarray] = []
+        self.others: list[np.ndarray] = []
         self.directory: list[tuple[int, int, int, int]] = []  # text, size of text, first place, suffixes
         self.certain: list[tuple[int, int, int]] = []  # text, first byte and byte behind the last to remove
         self.count = 0
 
-    def add(self, text: int, size: int, first: int, prints: np.ndarray) -> None:
+    def add(self, text: int, size: int, first: int, prints: np.ndarray, others: np.ndarray | None = None) -> None:
         self.directory.append((text, size, first, len(prints)))
         self.prints.append(prints)
+        self.others.append(np.zeros(len(prints), np.uint64) if others is None else others)
         self.count += len(prints)
 
     def rows(self) -> pa.RecordBatch:
         """What to send to the buckets; the directory and own repeats go to a group of the block alone."""
-        prints = np.concatenate([np.empty(0, np.uint64), *self.prints])
-        _, first, inverse, counts = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
-        own = np.flatnonzero(counts[inverse] > 1)
-        leaders = np.sort(first[counts > 1])
-        first.sort()
-        prints = prints[first]
-        bucket = ((prints >> np.uint64(48)) % np.uint64(self.buckets)).astype(np.int64)
+        none = np.empty(0, np.uint64)
+        prints, others = np.concatenate([none, *self.prints]), np.concatenate([none, *self.others])
+        order, again = classes(prints, others)
+        leads = order[np.r_[~again[:-1] & again[1:], False][: len(order)]]
+        own = np.sort(order[again | np.r_[again[1:], False][: len(order)]])
+        leaders = np.sort(leads)
+        first = np.sort(order[~again])  # sorts are stable, so the first of equals leads them
+        prints, others = prints[first], others[first]
+        # By other bits than those that are sent, and for any number of buckets.
+        bucket = (mixed(prints + np.uint64(_OTHER_BASE)) % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         groups, payloads = [], []
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
-            values = prints[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : self.width]
+            values = np.concatenate(
+                [half[part].astype("<u8").view(np.uint8).reshape(-1, 8) for half in (prints, others)], axis=1
+            )[:, : self.width]
             groups.append(self.offset + int(bucket[part[0]]))
             payloads.append(
                 len(part).to_bytes(4, "little") + bytes([self.width]) + values.tobytes() + packed_numbers(first[part])
@@ -239,21 +275,21 @@ def _sort_bucket(leaders_from: int | None = None):
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
             return table.select(["block", "kind", "data"])
-        blocks, prints, numbers = [], [], []
+        blocks, prints, others, numbers = [], [], [], []
         for block, data in zip(table.column("block").to_pylist(), table.column("data"), strict=True):
             data = data.as_buffer()
             count, width = int.from_bytes(bytes(data[:4]), "little"), bytes(data[4:5])[0]
-            value = np.zeros((count, 8), np.uint8)
+            value = np.zeros((count, 16), np.uint8)
             value[:, :width] = np.frombuffer(data, np.uint8, count * width, 5).reshape(count, width)
+            halves = value.view("<u8")
             blocks.append(block)
-            prints.append(value.view("<u8").ravel())
+            prints.append(halves[:, 0])
+            others.append(halves[:, 1])
             numbers.append(unpacked_numbers(data[5 + count * width :]))
         ends = np.cumsum([len(part) for part in prints])[:-1]
-        prints = np.concatenate(prints)
-        order = np.argsort(prints)
-        prints = prints[order]
-        equal = np.r_[False, prints[1:] == prints[:-1], False]
-        del prints
+        order, again = classes(np.concatenate(prints), np.concatenate(others))
+        del prints, others
+        equal = np.r_[again, False]
         has_equal, leads = np.zeros(len(order), bool), np.zeros(len(order), bool)
         has_equal[order[equal[1:] | equal[:-1]]] = True
         leads[order[equal[1:] & ~equal[:-1]]] = True
@@ -310,21 +346,31 @@ def _answers(table: pa.Table) -> Iterator[tuple[str, int, int, list[tuple[int, n
 # ---- Bloom filter of texts
 
 
-def _filter_cells(hashes: np.ndarray) -> np.ndarray:
+def _filter_cells(hashes: np.ndarray, bits: int) -> np.ndarray:
     hashes = mixed(hashes.view(np.uint64))
-    return np.stack((hashes >> np.uint64(64 - FILTER_BITS), hashes & np.uint64((1 << FILTER_BITS) - 1))).astype(np.int64)
+    return np.stack((hashes >> np.uint64(64 - bits), hashes & np.uint64((1 << bits) - 1))).astype(np.int64)
 
 
-def text_filter(rows: DataFrame, name: str) -> np.ndarray:
-    """Bits of the texts' hashes; the size is fixed."""
+def filter_bits(texts: int) -> int:
+    """The power of two of bits for so many texts."""
+    return min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, math.ceil(math.log2(16 * max(1, texts)))))
+
+
+def text_filter(rows: DataFrame, name: str) -> tuple[int, np.ndarray]:
+    """The power of two and the bits of the texts' hashes, eight in a byte."""
+    size = filter_bits(rows.count())
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, bool)
+        cells = [np.empty(0, np.int64)]
         for batch in batches:
-            bits[_filter_cells(batch.column(0).to_numpy(zero_copy_only=False)).ravel()] = True
-        blocks = bits.reshape(-1, FILTER_BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
-        packed = [np.packbits(blocks[place]).tobytes() for place in used]
+            cells.append(np.unique(_filter_cells(batch.column(0).to_numpy(zero_copy_only=False), size)))
+        every = np.unique(np.concatenate(cells))
+        used, starts = np.unique(every // FILTER_BLOCK, return_index=True)
+        packed = []
+        for part in np.split(every % FILTER_BLOCK, starts[1:]) if len(used) else ():
+            bits = np.zeros(FILTER_BLOCK, bool)
+            bits[part] = True
+            packed.append(np.packbits(bits, bitorder="little").tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), pa.array(packed, pa.binary())], names=["place", "bits"]
         )
@@ -337,10 +383,15 @@ def text_filter(rows: DataFrame, name: str) -> np.ndarray:
 
     schema = "place int, bits binary"
     united = rows.select(name).mapInArrow(parts, schema).groupBy("place").applyInArrow(unite, schema)
-    bits = np.zeros((1 << FILTER_BITS) // FILTER_BLOCK * FILTER_BLOCK // 8, np.uint8).reshape(-1, FILTER_BLOCK // 8)
-    for row in united.collect():  # 1 MB at most
+    bits = np.zeros(((1 << size) // FILTER_BLOCK, FILTER_BLOCK // 8), np.uint8)
+    for row in united.collect():  # 16 MB at most
         bits[row["place"]] = np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(bits.ravel()).astype(bool)
+    return size, bits.ravel()
+
+
+def in_filter(known: tuple[int, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    cells = _filter_cells(hashes, known[0])
+    return (known[1][cells >> 3] >> (cells & 7) & 1).astype(bool).all(axis=0)
 
 
 def _passing(known, once: bool = False):
@@ -349,7 +400,7 @@ def _passing(known, once: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
             hashes = batch.column("text_hash").to_numpy(zero_copy_only=False)
-            keep = known.value[_filter_cells(hashes)].all(axis=0)
+            keep = in_filter(known.value, hashes)
             if once:
                 first = np.zeros(len(hashes), bool)
                 first[np.unique(hashes, return_index=True)[1]] = True
@@ -392,10 +443,9 @@ def _send_first(length: int, buckets: int):
                     if len(inside):
                         part = data[begin : begin + PIECE + length]
                         sample.add(text, len(data), begin, prints.of(part, inside - begin, short))
-                chosen, found = chosen_suffixes(data, prints, length)
-                _, found = span_prints(chosen, found, length)
+                _, found, others = span_prints(*chosen_suffixes(data, prints, length), length)
                 if len(found):
-                    spans.add(text, len(data), 0, found)
+                    spans.add(text, len(data), 0, found, others)
                 if sample.count >= BLOCK:
                     yield sample.rows()
                     yield spans.rows()
@@ -478,8 +528,8 @@ def _send_full(length: int, buckets: int):
                 first, last = candidate_ranges(marks, len(data), length)
                 known_first = known_last = np.empty(0, np.int64)
                 if len(spans):
-                    chosen, ends = chosen_suffixes(data, prints, length)
-                    numbered, _ = span_prints(chosen, ends, length)
+                    chosen, *ends = chosen_suffixes(data, prints, length)
+                    numbered, *_ = span_prints(chosen, *ends, length)
                     sure = numbered[spans]
                     block.certain += [
                         (text, start, stop + length)
@@ -492,7 +542,7 @@ def _send_full(length: int, buckets: int):
                     for begin in range(start, stop + 1, PIECE):
                         count = min(PIECE, stop + 1 - begin)
                         part = data[begin : begin + count + length - 1]
-                        block.add(text, len(data), begin, prints.of(part, np.arange(count), length))
+                        block.add(text, len(data), begin, *prints.both(part, np.arange(count), length))
                 if block.count >= BLOCK:
                     yield block.rows()
                     block = Block(next(numbers), "full", buckets, FULL_BYTES)
@@ -540,6 +590,7 @@ def repeated_spans(texts: DataFrame, narrow: DataFrame, length: int) -> tuple[Da
     ``narrow`` has text_hash and n_bytes of the same rows.
     """
     context = texts.sparkSession.sparkContext
+    ship_package(texts.sparkSession)
     sizes = stage(
         narrow.where(F.col("n_bytes") >= length)
         .groupBy("text_hash", "n_bytes")

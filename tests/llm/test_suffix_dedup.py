@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from scholaudit.llm import suffix_dedup as dedup
@@ -85,7 +86,8 @@ def test_pieces_of_long_texts(monkeypatch):
     text = random.Random(1).randbytes(3000)
     prints = dedup.Fingerprints(3000)
     whole = prints.of(text, np.arange(2801), 200)
-    chosen, found = dedup.chosen_suffixes(text, prints, 200)
+    chosen, found, others = dedup.chosen_suffixes(text, prints, 200)
+    assert (others == prints.of(text, np.arange(2801), 200, 1)[chosen]).all()
     assert chosen.tolist() == np.flatnonzero(whole % np.uint64(dedup.CHOSEN) == 0).tolist()
     assert (found == whole[chosen]).all()
 
@@ -111,3 +113,67 @@ def test_uncertain_ranges():
         own, known = ranges(), ranges()
         found = [place for start, stop in dedup.uncertain_ranges(*own, *known) for place in range(start, stop + 1)]
         assert sorted(found) == sorted(places(*own) - places(*known))
+
+
+def sent(prints, others, buckets=1, width=dedup.FULL_BYTES):
+    """A block's rows to the buckets, and which of its own it tells to be equal."""
+    block = dedup.Block(0, "full", buckets, width)
+    block.add(1, 10_000, 0, np.array(prints, np.uint64), np.array(others, np.uint64))
+    rows = block.rows().to_pylist()
+    own = next(row["data"] for row in rows if row["kind"] == "own")
+    return [row for row in rows if row["kind"] == "suffixes"], dedup.unpacked_numbers(own).tolist()
+
+
+def repeated(blocks):
+    """What a bucket answers to several blocks."""
+    table = pa.Table.from_pylist(
+        [{**row, "block": number} for number, rows in enumerate(blocks) for row in rows],
+        pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("kind", pa.string()), ("data", pa.binary())]),
+    )
+    found = dedup._sort_bucket()(table).to_pylist()
+    return [dedup.unpacked_numbers(row["data"]).tolist() for row in found]
+
+
+@pytest.mark.parametrize("bit", [0, 7, 31, 55, 56, 60, 63])
+def test_every_bit_of_the_first_polynomial_counts(bit):
+    first, own = sent([5, 9], [1, 1])
+    assert own == []
+    other, _ = sent([5 ^ (1 << bit), 9], [1, 1])
+    assert repeated([first, other]) == [[1], [1]]
+
+
+def test_equal_halves_are_no_equals():
+    """Suffixes that one polynomial takes for equal are told apart by the other, in a block and in a bucket."""
+    first, own = sent([7, 7, 7, 8], [1, 2, 1, 1])
+    assert own == [0, 2]
+    other, own = sent([7, 7], [3, 2])
+    assert own == []
+    assert repeated([first, other]) == [[1], [1]]
+    alone, _ = sent([7] * 50, list(range(100, 150)))
+    assert repeated([first, alone]) == [[], []]
+
+
+def test_all_buckets_are_used():
+    rnd = np.random.default_rng(3)
+    prints = rnd.integers(0, 2**64, 2_000_000, dtype=np.uint64)
+    buckets = 300_000
+    block = dedup.Block(0, "full", buckets, dedup.FULL_BYTES)
+    used = dedup.mixed(prints + np.uint64(dedup._OTHER_BASE)) % np.uint64(buckets)
+    counts = np.bincount(used.astype(np.int64), minlength=buckets)
+    assert (counts > 0).mean() > 0.99 and counts.max() < 40
+    block.add(1, 10, 0, prints[:1000], prints[:1000])
+    groups = [row["bucket"] for row in block.rows().to_pylist() if row["kind"] == "suffixes"]
+    assert sorted(groups) == sorted(set(used[:1000].tolist()))
+
+
+def test_the_filter_grows_with_the_texts():
+    assert dedup.filter_bits(0) == dedup.LEAST_FILTER_BITS
+    assert [2 ** dedup.filter_bits(n) // n >= 16 for n in (10_000, 1_000_000, 4_000_000)] == [True] * 3
+    assert dedup.filter_bits(10**12) == dedup.MOST_FILTER_BITS
+
+
+def test_the_filter_holds_its_texts(spark):
+    rnd = np.random.default_rng(5)
+    held, others = rnd.integers(-(2**62), 2**62, (2, 20_000))
+    known = dedup.text_filter(spark.createDataFrame([(int(n),) for n in held], "text_hash long").repartition(5), "text_hash")
+    assert dedup.in_filter(known, held).all() and dedup.in_filter(known, others).mean() < 0.05
