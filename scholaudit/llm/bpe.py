@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholaudit.llm.shared import slices, whole_text
+from scholaudit.llm.shared import ship_package, slices, whole_text
 
 # The word pattern of byte-level vocabularies. White space is
 # Unicode's property, which leaves out U+001C to U+001F.
@@ -184,6 +184,7 @@ def _clash(docs: DataFrame, new: list[str]) -> None:
 
 def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
     """The rows with ``token_ids`` (array of int) and ``round_trip``, whether these decode to the text again."""
+    ship_package(docs.sparkSession)
     _clash(docs, ["token_ids", "round_trip"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +207,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
 
 def decode(tokens: DataFrame, path: str, ids_column: str = "token_ids") -> DataFrame:
     """The rows with ``decoded`` (string)."""
+    ship_package(tokens.sparkSession)
     _clash(tokens, ["decoded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +224,7 @@ def decode(tokens: DataFrame, path: str, ids_column: str = "token_ids") -> DataF
 
 def token_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip."""
+    ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)

@@ -5,7 +5,8 @@ source, the language, the length and the layout (lines, their lengths, and the
 shares of capitals, digits and marks). Both are logistic regressions in numpy,
 first fitted on the labelled documents. In each round both score all documents
 without a label; for each view and class, the documents that the view is
-surest of receive its label and join the training rows of the other view. In
+surest of receive its label and join the training rows of the other view;
+documents with equal features are one example. In
 the end each view is calibrated on labelled documents that were never trained
 on, the calibrated views are combined there, and all documents are scored.
 
@@ -16,7 +17,8 @@ Only these rows reach the driver. Everything else covers all documents, in
 Spark: features are made once and written, and each round scores all of them.
 
 Defined cases: null text is the empty text; null source, language or length
-are values of their own. Documents with contradicting labels, or a null one,
+are values of their own, and so are columns that are not there. Very long texts
+are one document. Documents with contradicting labels, or a null one,
 count as unlabelled. Repeated rows are scored each. Without labels of both
 classes every score is 0.5, and every document is kept. Empty tables give
 empty results. Further columns, whatever their names, are ignored.
@@ -31,10 +33,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, slices, stage, whole_text
+from scholaudit.llm.shared import column, ship_package, slices, stage, whole_text
 from scholaudit.llm.words import mixed, word_hashes
 
 TEXT_BITS, META_BITS = 14, 12
@@ -174,7 +176,8 @@ def _logits(models):
                 pa.array(products(weights, [np.frombuffer(row.as_buffer(), FEATURE) for row in batch.column(view)]))
                 for view, weights in models.value.items()
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *models.value])
+            kept = [batch.column(name) for name in ("doc_id", "print")]
+            yield pa.RecordBatch.from_arrays([*kept, *columns], names=["doc_id", "print", *models.value])
 
     return run
 
@@ -182,7 +185,7 @@ def _logits(models):
 def _scored(features: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
     models = features.sparkSession.sparkContext.broadcast(weights)
     kind = features.schema["doc_id"].dataType.simpleString()
-    return features.mapInArrow(_logits(models), f"doc_id {kind}, text double, meta double")
+    return features.mapInArrow(_logits(models), f"doc_id {kind}, print long, text double, meta double")
 
 
 def clean_labels(labels: DataFrame, label_column: str) -> DataFrame:
@@ -209,15 +212,22 @@ def classify(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per row: doc_id, text_score, meta_score, score, kept."""
+    ship_package(docs.sparkSession)
+    own = {name.lower() for name in docs.columns}
+
+    def known_or_null(name: str, kind: str) -> Column:
+        return (column(docs, name) if name in own else F.lit(None)).cast(kind).alias(name)
+
     rows = docs.select(
         column(docs, id_column).alias("doc_id"),
         whole_text(docs, text_column).alias("text"),
-        column(docs, "source").cast("string").alias("source"),
-        column(docs, "lang").cast("string").alias("lang"),
-        column(docs, "n_chars").cast("long").alias("n_chars"),
+        known_or_null("source", "string"),
+        known_or_null("lang", "string"),
+        known_or_null("n_chars", "long"),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    features = stage(rows.mapInArrow(_read, f"doc_id {kind}, text binary, meta binary"), "features")
+    read = rows.mapInArrow(_read, f"doc_id {kind}, text binary, meta binary")
+    features = stage(read.withColumn("print", F.xxhash64("text", "meta")), "features")
     known = stage(clean_labels(labels, label_column), "clean_labels")
 
     # The first labelled documents by hash: bounded, so they may be collected.
@@ -245,11 +255,19 @@ def classify(
             F.lit(True).alias("kept"),
         )
 
-    taken = known.select("doc_id")
+    taken, examples = known.select("doc_id"), None
     weights = {view: fit(train[view], size) for view, size in VIEWS.items()}
     for _ in range(rounds):
         open_rows = _scored(features, weights).join(taken, "doc_id", "left_anti").where("doc_id is not null")
-        open_rows = stage(open_rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("meta").alias("meta")), "open")
+        if examples is not None:
+            open_rows = open_rows.join(examples, "print", "left_anti")
+        # Documents with the same features are one example, whose label they all would get.
+        open_rows = stage(
+            open_rows.groupBy("print").agg(
+                F.min("doc_id").alias("doc_id"), F.min("text").alias("text"), F.min("meta").alias("meta")
+            ),
+            "open",
+        )
         picks: dict[tuple[str, int], list] = {}
         for view in VIEWS:
             for label, sure in ((1, F.desc(view)), (0, F.asc(view))):
@@ -265,14 +283,16 @@ def classify(
             row["doc_id"]: row
             for row in features.join(F.broadcast(new), "doc_id")
             .groupBy("doc_id")
-            .agg(F.min("text").alias("text"), F.min("meta").alias("meta"))
+            .agg(F.min("text").alias("text"), F.min("meta").alias("meta"), F.min("print").alias("print"))
             .collect()
         }
         for (view, label), docs_of in picks.items():
             other = "meta" if view == "text" else "text"
             for doc in docs_of:
                 train[other].add(rows_of[doc][other], label)
-        taken = stage(taken.unionByName(new), "taken")
+        used = [(row["print"],) for row in rows_of.values()]  # at most ``grow`` for each view and class
+        used = features.sparkSession.createDataFrame(used, "print long")
+        examples = stage(used if examples is None else examples.unionByName(used), "examples")
         weights = {view: fit(train[view], size) for view, size in VIEWS.items()}
 
     truth = np.array(held["text"].labels, float)

@@ -55,7 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholaudit.llm.components import components
-from scholaudit.llm.shared import column, fresh, slices, stage, whole_text
+from scholaudit.llm.shared import column, fresh, ship_package, slices, stage, whole_text
 from scholaudit.llm.words import mixed, shingles, signed
 
 SKETCH_BITS = 20  # the sketch of shingle counts has 2 ** 20 cells of 4 bytes
@@ -613,6 +613,7 @@ def link_components(
     block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """One row per row: doc_id, n_shingles, component_id (the smallest doc_id of its component)."""
+    ship_package(docs.sparkSession)
     rows = _components_of_rows(
         docs, size, percent, id_column, text_column, hot, region_shingles, block_shingles
     )
@@ -638,6 +639,7 @@ def one_per_component(
 
     Documents without words all stay, but for repeated rows of one id.
     """
+    ship_package(docs.sparkSession)
     rows = _components_of_rows(
         docs, size, percent, id_column, text_column, hot, region_shingles, block_shingles
     )

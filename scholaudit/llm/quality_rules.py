@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholaudit.llm.shared import column, fresh, slices, stage, whole_text
+from scholaudit.llm.shared import column, fresh, ship_package, slices, stage, whole_text
 from scholaudit.llm.words import mixed, shingles, signed
 
 SYMBOLS = b"#*$%&|<>"
@@ -305,6 +305,7 @@ def verdicts(
 
 def rule_report(docs: DataFrame, **options) -> DataFrame:
     """One row per row: doc_id, the measures, base_failed, n_boilerplate_words, kept."""
+    ship_package(docs.sparkSession)
     return verdicts(docs, **options).select("doc_id", *MEASURES, "base_failed", "n_boilerplate_words", "kept")
 
 
@@ -334,6 +335,7 @@ def apply_rules(
     Decisions are joined by id, host and text, on which equal rows agree. A
     null text stays null unless its document is rejected.
     """
+    ship_package(docs.sparkSession)
     judged = verdicts(docs, id_column, host_column, text_column, **limits)
     known = {name: fresh(docs, f"rule_{name}") for name in ("doc_id", "host", "text_hash", "lines")}
     decisions = stage(

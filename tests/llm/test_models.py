@@ -160,6 +160,37 @@ def test_co_training(spark):
     held = [row for row in found if row["doc_id"] is not None and 60 <= row["doc_id"] < 900]
     right = [int(row["score"] > 0.5) == truth[row["doc_id"]] for row in held]
     assert np.mean(right) > 0.9
+    bare = co_training.classify(docs.select("doc_id", "text"), table, **options)
+    assert bare.count() == len(rows)
     assert co_training.classify(docs.limit(0), table, **options).count() == 0
     without = co_training.classify(docs, table.limit(0), **options)
     assert without.where("score = 0.5 and kept").count() == len(rows)
+
+
+def test_copies_are_one_example(spark):
+    """A thousand copies of the surest text do not fill the lists of the rounds."""
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for place in range(500):
+        label = place % 2
+        words = rnd.choices([f"g{n}" if label else f"b{n}" for n in range(30)], k=8) + [f"n{rnd.randrange(40)}"] * 3
+        rows.append((place, " ".join(words), "s1" if label else "s3", "en", 100))
+        if place < 60:
+            labels.append((place, label))
+    rows += [(10_000 + copy, "g1 g2 g3 g4 g5 " * 6, "s1", "en", 100) for copy in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    added = []
+    fit = co_training.fit
+
+    def counted(own, size):
+        added.append(len({row.tobytes() for row in own.features}) - len(own.features))
+        return fit(own, size)
+
+    co_training.fit = counted
+    try:
+        scored = co_training.classify(docs, table, max_train=40, max_calibrate=20, grow=30, rounds=2).collect()
+    finally:
+        co_training.fit = fit
+    # The text view's rows, first and in each round, are different ones.
+    assert len(scored) == len(rows) and set(added[::2]) == {0}
