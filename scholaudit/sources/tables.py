@@ -12,6 +12,7 @@ from scholaudit.sources.versions import Part, drop_version, switch, write_versio
 
 WORKS_DATABASE = "observatory"
 ACCESS_TABLE = "unpaywall.unpaywall"
+BY_DOI = "_by_doi"
 
 
 class MissingTables(RuntimeError):
@@ -28,7 +29,10 @@ class ExistingTable(RuntimeError):
 
 
 def read_works(spark: SparkSession, run: Run) -> DataFrame:
-    return spark.table(f"{WORKS_DATABASE}.{run.works_table}")
+    """The run's works, as stored by ``store_works_by_doi`` if they are; a version of works doesn't change."""
+    name = f"{WORKS_DATABASE}.{run.works_table}"
+    stored = f"{name}{BY_DOI}"
+    return spark.table(stored if spark.catalog.tableExists(stored) else name)
 
 
 def read_access(spark: SparkSession) -> DataFrame:
@@ -87,17 +91,22 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def write_bucketed_by_doi(df: DataFrame, name: str, buckets: int) -> None:
-    """Store a big table clustered by its lowered DOI, in the column ``doi_key``.
+def write_bucketed_by_doi(df: DataFrame, name: str, buckets: int) -> int:
+    """Publish a big table clustered by its lowered DOI, in the column ``doi_key``; the number of rows.
 
     Jobs that join it on ``doi_key`` then read it without a shuffle. The
-    number of buckets should give files of a few hundred MB.
+    number of buckets should give files of a few hundred MB. Rows without a DOI
+    get keys that no DOI has, by their content, so that they don't share a bucket.
     """
-    (
-        df.withColumn("doi_key", F.lower("doi"))
-        .repartition(buckets, "doi_key")
-        .write.mode("overwrite")
-        .bucketBy(buckets, "doi_key")
-        .sortBy("doi_key")
-        .saveAsTable(name)
-    )
+    none = F.concat(F.lit("\u0000"), F.hex(F.xxhash64(*[F.col(f"`{column}`") for column in df.columns])))
+    keyed = df.withColumn("doi_key", F.coalesce(F.lower("doi"), none)).repartition(buckets, "doi_key")
+    version, rows = write_version(keyed, name, buckets=(buckets, "doi_key"))
+    switch(df.sparkSession, name, [Part(version)])
+    return rows
+
+
+def store_works_by_doi(spark: SparkSession, run: Run, buckets: int) -> int:
+    """Store the run's works clustered by DOI; from then on its jobs read them there."""
+    name = f"{WORKS_DATABASE}.{run.works_table}"
+    require_tables(spark, [name])
+    return write_bucketed_by_doi(spark.table(name), f"{name}{BY_DOI}", buckets)

@@ -151,16 +151,22 @@ def drop_version(spark: SparkSession, version: str) -> None:
     remove_folder(spark, folder)
 
 
-def write_version(df: DataFrame, name: str, column: str | None = None) -> tuple[str, int]:
-    """A new version with the rows, partitioned if a column is given, and the number of rows.
+def write_version(
+    df: DataFrame, name: str, column: str | None = None, buckets: tuple[int, str] | None = None
+) -> tuple[str, int]:
+    """A new version with the rows, and their number; partitioned by a column, or clustered by one in buckets.
 
     Rows are counted by the tasks that write them. A version that could not
     be written is removed; the published name never saw it.
     """
     spark, version, written = df.sparkSession, version_name(name), Observation()
     writer = df.observe(written, F.count(F.lit(1)).alias("n")).write
+    if column:
+        writer = writer.partitionBy(column)
+    if buckets:
+        writer = writer.bucketBy(*buckets).sortBy(buckets[1])
     try:
-        (writer.partitionBy(column) if column else writer).saveAsTable(version)
+        writer.saveAsTable(version)
     except BaseException:
         drop_version(spark, version)
         raise
