@@ -487,6 +487,20 @@ def _oracles() -> dict[str, str]:
             FROM databank_groups WHERE doi IS NOT NULL""",
             "works", "databank_groups",
         ),
+        "entry_pages": _sql(
+            " UNION ALL ".join(
+                f"""SELECT doi, '{kind}' AS kind, len(items) AS n_entries,
+                list_min(list_transform(items, lambda x: coalesce(x.{label}, '-'))) AS first_label,
+                list_max(list_transform(items, lambda x: coalesce(x.{label}, '-'))) AS last_label
+                FROM {groups} WHERE doi IS NOT NULL"""
+                for kind, groups, label in (
+                    ("registry", "registry_groups", "registry"),
+                    ("databank", "databank_groups", "registry"),
+                    ("crossref", "field_groups", "type"),
+                )
+            ),
+            "works", "registry_groups", "databank_groups", "field_groups",
+        ),
         "id_list_strings": _sql(f"SELECT doi, {_LIST_COLUMNS} FROM listed", *_FOR_IDENTIFIERS),
         "any_source_trials": _sql(f"SELECT doi, {_ANY_COLUMNS} FROM combined", *_FOR_IDENTIFIERS),
         "alltrials": _sql(f"SELECT {_ALLTRIALS_COLUMNS} FROM combined", *_FOR_IDENTIFIERS),

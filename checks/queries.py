@@ -7,6 +7,7 @@ Results hold scalars only; lists are joined into text the same way in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +114,25 @@ def _q_databank_entries(spark, sf_dir):
     return _shown(trial_ids.databank_entries(tables.works(spark, sf_dir), CUTOFF))
 
 
+def _q_entry_pages(spark, sf_dir):
+    """Short pages, so that repeated DOIs have several; their sums are the lists'."""
+    kinds = (trial_ids.REGISTRY, trial_ids.DATABANK, trial_ids.CROSSREF)
+    works = tables.works(spark, sf_dir)
+    parts = []
+    for kind in kinds:
+        pages = trial_ids.entry_pages(works, CUTOFF, kind, page=2)
+        text = "one.type" if kind == trial_ids.CROSSREF else "one.registry"
+        parts.append(
+            pages.groupBy("doi").agg(
+                F.lit(kind).alias("kind"),
+                F.sum(F.size("entries")).alias("n_entries"),
+                F.min(F.expr(f"array_min(transform(entries, one -> coalesce({text}, '-')))")).alias("first_label"),
+                F.max(F.expr(f"array_max(transform(entries, one -> coalesce({text}, '-')))")).alias("last_label"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _q_id_list_strings(spark, sf_dir):
     found = _alltrials(tables.works(spark, sf_dir))
     return _shown(found.select("doi", *[c for c in found.columns if c.endswith("_idlist") and "ANYSOURCE" not in c]))
@@ -358,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "trial_ids_in_field": _q_trial_ids_in_field,
     "registry_entries": _q_registry_entries,
     "databank_entries": _q_databank_entries,
+    "entry_pages": _q_entry_pages,
     "id_list_strings": _q_id_list_strings,
     "any_source_trials": _q_any_source_trials,
     "alltrials": _q_alltrials,

@@ -146,6 +146,39 @@ def _entries_by_doi(works: DataFrame, kind: str, shown: str, name: str) -> DataF
     return grouped.select("doi", F.expr(repeat_items("entries", shown)).alias(name))
 
 
+# Entries of a page, about.
+PAGE = 10_000
+
+
+def entry_pages(works: DataFrame, cutoff: int, kind: str, page: int = PAGE) -> DataFrame:
+    """(doi, page, entries): the entries of a kind per DOI in lists of bounded length, repeats kept.
+
+    Beside the list form, for DOIs that very many entries name. Equal entries
+    are counted first, and more copies than a page holds are several entries.
+    A DOI has as many pages as its number of entries asks for; entries are
+    dealt to them by hash, so a page is found without the others and no group
+    gathers more than about a page. Each page is sorted. Pages of one DOI
+    together are its list.
+    """
+    counted = count_copies(evidence_rows(published_after(works, cutoff), [kind]), "doi", "ids", "label")
+    # A DOI with one page, as nearly all have, is not in this table, so it is short beside the entries.
+    long = (
+        counted.groupBy("doi").agg(F.sum("n").alias("_n")).where(F.col("_n") > page)
+        .selectExpr("doi", f"(_n + {page} - 1) div {page} AS _pages")
+    )
+    parts = counted.selectExpr("doi", "ids", "label", "n", f"explode(sequence(0L, (n - 1) div {page})) AS _part")
+    paged = parts.join(long, "doi", "left").selectExpr(
+        "doi",
+        "coalesce(pmod(xxhash64(ids, label, _part), _pages), 0L) AS page",
+        "ids",
+        "label",
+        f"least(n - _part * {page}, {page}L) AS n",
+    )
+    grouped = paged.groupBy("doi", "page").agg(F.sort_array(F.collect_list(F.struct("ids", "label", "n"))).alias("entries"))
+    shown = _AS_FIELD if kind == CROSSREF else _AS_BANK
+    return grouped.select("doi", "page", F.expr(repeat_items("entries", shown)).alias("entries"))
+
+
 def registry_entries(works: DataFrame, cutoff: int) -> DataFrame:
     """Trial-registry entries per PubMed DOI."""
     return _entries_by_doi(published_after(works, cutoff), REGISTRY, _AS_BANK, "PUBMED_clintrial_fromfield")

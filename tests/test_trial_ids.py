@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 from builders import plain, work, works
+from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
 from scholaudit.operators import trial_ids
+from scholaudit.operators.trial_ids import entry_pages, registry_entries
 from scholaudit.plans.alltrials import COLUMNS, alltrials, alltrials_by_cutoff
 
 PROVENANCE = Provenance("v1", "doi1", "dois_1", "oddpub_1", "trials_1", "inst")
@@ -195,3 +197,29 @@ def test_found_flag_of_abstracts_goes_with_their_ids(spark):
     df = works(spark, *[work(str(n), abstract=text) for n, text in enumerate([None, "", "{}", ID1, "x"])])
     wrong = combine(df).where("CROSSREF_clintrial_fromabstract_found != (CROSSREF_clintrial_fromabstract IS NOT NULL)")
     assert wrong.count() == 0
+
+
+def test_entry_pages(spark):
+    """A placeholder's entries are dealt to many bounded pages, which together are its list."""
+    rows = [work(f"10.1/{n}", pubmed=("n/a", None, [("ISRCTN", [f"I{n}"])])) for n in range(300)]
+    rows += [work(f"10.2/{n}", pubmed=("copies", None, [("ISRCTN", ["I"])])) for n in range(95)]
+    rows += [work("10.3/1", pubmed=("10.3/1", None, [("DRKS", ["D2"]), ("DRKS", None), ("ISRCTN", ["D1"])]))]
+    df = works(spark, *rows).repartition(5)
+    pages = entry_pages(df, 1, trial_ids.REGISTRY, page=10)
+    lists = {row.doi: row.PUBMED_clintrial_fromfield for row in registry_entries(df, 1).collect()}
+    found = {}
+    for row in pages.collect():
+        assert row.entries == sorted(row.entries, key=lambda one: (one.id is not None, one.id, one.registry))
+        assert len(row.entries) <= 40
+        found.setdefault(row.doi, []).append((row.page, row.entries))
+    assert len(found["n/a"]) > 20 and len(found["copies"]) > 4 and [page for page, _ in found["10.3/1"]] == [0]
+    assert max(page for page, _ in found["n/a"]) < 30
+    for doi, own in found.items():
+        assert plain(one for _, entries in own for one in entries) == plain(lists[doi])
+    # Pages of one DOI come from several tasks.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = pages.where("doi = 'n/a'").select(F.spark_partition_id().alias("task")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 2
