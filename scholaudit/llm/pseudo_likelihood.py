@@ -35,6 +35,7 @@ columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ ROUNDS, BATCH, RATE = 2, 4_096, 0.1
 SHARD_WORDS = 2_000_000
 PART = 16_384
 PIECES = 64  # in which networks travel to be averaged
-WORDS_KEPT = 200_000
+WORDS_COUNTED = 400_000
 
 NEIGHBOURS = [place for place in range(2 * REACH + 1) if place != REACH]
 
@@ -78,6 +79,11 @@ for _level in range(1 << LEVELS):
         _CHOICE[_level, _node] = _level >> (LEVELS - 1 - _step) & 1
 
 
+# The same as the numbers of the five nodes, and 1 or -1 for the choices there.
+_WAY = np.array([np.flatnonzero(row) for row in _ON_WAY])
+_SIGN = np.take_along_axis(2 * _CHOICE - 1, _WAY, axis=1)
+
+
 class Code:
     """Levels of words, their ways below, and the rows of the network that they use.
 
@@ -178,9 +184,10 @@ class Network:
         """Of words given as (levels, nodes, choices, lengths), from rows of neighbours."""
         levels, nodes, choices, length = words
         of_levels, _, _, logits = self._errors(self.hidden(neighbours), levels, nodes, length)
-        signs = 1 - 2 * _CHOICE[levels]
-        logs = (np.log1p(np.exp(np.clip(signs * of_levels, -60, 60))) * _ON_WAY[levels]).sum(axis=1)
-        return -logs - _run_sums(np.log1p(np.exp(np.clip((1 - 2 * choices) * logits, -60, 60))), length)
+        on_way = np.take_along_axis(of_levels, _WAY[levels], axis=1) * _SIGN[levels]
+        # Logits are clipped, so no chance is 0 and a product of five is none either.
+        of_level = np.log(1 + np.exp(-on_way)).sum(axis=1)
+        return -of_level - _run_sums(np.log(1 + np.exp((1 - 2 * choices) * np.clip(logits, -60, 60))), length)
 
     def slopes(self, neighbours: np.ndarray, words: tuple):
         """Of the loss: of the bias, the scales and the levels; of nodes one by one; of the states."""
@@ -237,51 +244,49 @@ class Network:
 
 
 class Reader:
-    """Words of texts as numbers, with ways and rows; a bounded number of words is remembered."""
+    """Words of texts as hashes, levels, ways and rows; those of the top words are at hand."""
 
     def __init__(self, code: Code):
         self.code = code
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.hashes = np.empty(0, np.uint64)
-        self.ranks = self.level = self.row = self.start = self.length = np.empty(0, np.int64)
-        self.nodes, self.choices = np.empty(0, np.int32), np.empty(0, np.int8)
-
-    def numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        if len(self.known) > WORDS_KEPT:
-            self.forget()
-        new = list(dict.fromkeys(word for words in texts for word in words if word not in self.known))
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            hashes = word_hashes(new)
-            ranks = self.code.ranks(hashes)
-            nodes, choices, length = self.code.ways(hashes, ranks)
-            self.start = np.r_[self.start, np.cumsum(length) - length + len(self.nodes)]
-            self.hashes, self.ranks = np.r_[self.hashes, hashes], np.r_[self.ranks, ranks]
-            self.level = np.r_[self.level, self.code.levels(ranks)]
-            self.row = np.r_[self.row, self.code.neighbour_rows(hashes, ranks)]
-            self.length = np.r_[self.length, length]
-            self.nodes = np.r_[self.nodes, nodes.astype(np.int32)]
-            self.choices = np.r_[self.choices, choices.astype(np.int8)]
-        return [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)) for words in texts]
-
-    def ways(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Levels, nodes, choices and lengths."""
-        length = self.length[words]
-        at = _ranges(self.start[words], length)
-        return self.level[words], self.nodes[at], self.choices[at].astype(np.float32), length
-
-    def windows(self, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """All words of the texts, and the rows of the neighbours of each."""
-        counts = np.array([len(own) for own in numbers], np.int64)
-        words = np.concatenate([np.empty(0, np.int64), *numbers])
+        hashes = code.frequent
+        ranks = np.arange(len(hashes))
+        self.top_nodes, choices, self.top_length = code.ways(hashes, ranks)
+        self.top_choices = choices.astype(np.float32)
+        self.top_start = np.cumsum(self.top_length) - self.top_length
+        self.top_level = code.levels(ranks)
+        steps = np.arange(code.depth)
+        self.heap, self.shift = np.int64(1) << steps, code.depth - steps
+
+    def ways(self, hashes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Levels, nodes, choices and lengths; top words first, so ``order`` must have sorted them."""
+        top = int((ranks >= 0).sum())
+        own, other = ranks[:top], self.code.leaf(hashes[top:])[:, None]
+        length = self.top_length[own]
+        at = _ranges(self.top_start[own], length)
+        nodes = self.code.others + self.heap + (other >> self.shift)
+        choices = (other >> (self.shift - 1) & 1).astype(np.float32)
+        return (
+            np.concatenate((self.top_level[own], np.full(len(other), _LAST))),
+            np.concatenate((self.top_nodes[at], nodes.ravel())),
+            np.concatenate((self.top_choices[at], choices.ravel())),
+            np.concatenate((length, np.full(len(other), self.code.depth))),
+        )
+
+    def windows(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all words of the texts: number of words by text, hashes, ranks and the rows of their neighbours."""
+        counts = np.array([len(own) for own in texts], np.int64)
+        hashes = np.concatenate([np.empty(0, np.uint64), *[word_hashes(own) for own in texts]])
+        ranks = self.code.ranks(hashes)
         # One row of words, with edges before, between and behind the texts.
-        places = np.arange(len(words)) + np.repeat(REACH * np.arange(1, len(numbers) + 1), counts)
-        rows = np.zeros(len(words) + REACH * (len(numbers) + 1), np.int64)
-        rows[places] = self.row[words]
-        return words, rows[places[:, None] + (np.array(NEIGHBOURS) - REACH)]
+        places = np.arange(len(hashes)) + np.repeat(REACH * np.arange(1, len(texts) + 1), counts)
+        rows = np.zeros(len(hashes) + REACH * (len(texts) + 1), np.int64)
+        rows[places] = self.code.neighbour_rows(hashes, ranks)
+        return counts, hashes, ranks, rows[places[:, None] + (np.array(NEIGHBOURS) - REACH)]
+
+
+def top_first(ranks: np.ndarray) -> np.ndarray:
+    """An order with the top words before all others."""
+    return np.argsort(ranks < 0, kind="stable")
 
 
 def texts_of(batches: Iterator[pa.RecordBatch], place: int, rows: int = 64) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -293,24 +298,21 @@ def texts_of(batches: Iterator[pa.RecordBatch], place: int, rows: int = 64) -> I
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    waiting, size = [], 0
+    """Words with their uses, counted in the task for a bounded number of words."""
+    counted: Counter[bytes] = Counter()
 
-    def counted() -> pa.RecordBatch:
-        words, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        waiting.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(signed(words)), pa.array(counts.astype(np.int64))], names=["word", "uses"]
-        )
+    def rows() -> pa.RecordBatch:
+        words = word_hashes(list(counted))
+        uses = np.fromiter(counted.values(), np.int64, len(counted))
+        counted.clear()
+        return pa.RecordBatch.from_arrays([pa.array(signed(words)), pa.array(uses)], names=["word", "uses"])
 
-    for batch in slices(batches):
-        for text in batch.column(0):
-            waiting.append(word_hashes(text.as_buffer().to_pybytes().split()))
-            size += len(waiting[-1])
-        if size > 4_000_000:
-            yield counted()
-            size = 0
-    if size:
-        yield counted()
+    for _, texts in texts_of(batches, 0):
+        for words in texts:
+            counted.update(words)
+        if len(counted) > WORDS_COUNTED:
+            yield rows()
+    yield rows()
 
 
 def _unsigned(table: pa.Table, name: str) -> np.ndarray:
@@ -382,11 +384,12 @@ def _train(code, network):
         rnd = np.random.default_rng(3)
         trained = False
         for _, texts in texts_of(batches, 0):
-            words, neighbours = reader.windows(reader.numbers(texts))
-            order = rnd.permutation(len(words))
+            _, hashes, ranks, neighbours = reader.windows(texts)
+            order = rnd.permutation(len(hashes))
             for start in range(0, len(order), BATCH):
                 here = order[start : start + BATCH]
-                copy.step(neighbours[here], reader.ways(words[here]), squares, uses)
+                here = here[top_first(ranks[here])]
+                copy.step(neighbours[here], reader.ways(hashes[here], ranks[here]), squares, uses)
                 trained = True
         if not trained:
             return
@@ -440,35 +443,33 @@ def train(texts: DataFrame, code: Code, words: int, rounds: int = ROUNDS) -> Net
     return network
 
 
-def score_words(network: Network, reader: Reader, texts: list[list[bytes]]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The words of each text as the reader's numbers, and the logarithms of all their chances, shares left out."""
-    numbers = reader.numbers(texts)
-    words, neighbours = reader.windows(numbers)
-    logs = np.empty(len(words))
-    for start in range(0, len(words), PART):
-        here = slice(start, start + PART)
-        logs[here] = network.log_chances(neighbours[here], reader.ways(words[here]))
-    return numbers, logs
+def score_words(network: Network, reader: Reader, texts: list[list[bytes]]):
+    """Numbers of words by text, and of all words the hashes, ranks and logarithms of the chances, shares left out."""
+    counts, hashes, ranks, neighbours = reader.windows(texts)
+    logs = np.empty(len(hashes))
+    for start in range(0, len(hashes), PART):
+        here = start + top_first(ranks[start : start + PART])
+        logs[here] = network.log_chances(neighbours[here], reader.ways(hashes[here], ranks[here]))
+    return counts, hashes, ranks, logs
 
 
 def _score(code, network, shares):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, model, near = Reader(code.value), Network(code.value, network.value), shares.value
         for batch, texts in texts_of(batches, 2):
-            numbers, logs = score_words(model, reader, texts)
-            counts, sums, missing, ends, at = [], [], [], [0], 0
-            for own in numbers:
-                other = own[reader.ranks[own] < 0]
-                known = near.of(reader.hashes[other])
-                absent = np.isnan(known)
-                missing.append(signed(reader.hashes[other[absent]]))
-                counts.append(len(own))
-                sums.append(logs[at : at + len(own)].sum() + known[~absent].sum())
-                ends.append(ends[-1] + len(missing[-1]))
-                at += len(own)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(missing)))
+            counts, hashes, ranks, logs = score_words(model, reader, texts)
+            other = np.flatnonzero(ranks < 0)
+            known = near.of(hashes[other])
+            absent = np.isnan(known)
+            logs[other] += np.where(absent, 0, known)
+            missing = other[absent]
+            ends = np.r_[0, np.cumsum(counts)]
+            sums = np.r_[0.0, np.cumsum(logs)][ends]
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(missing, ends).astype(np.int32)), pa.array(signed(hashes[missing]))
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), lists],
+                [batch.column(0), batch.column(1), pa.array(counts), pa.array(np.diff(sums)), lists],
                 names=["row", "doc_id", "n_words", "log_likelihood", "missing"],
             )
 

@@ -68,10 +68,10 @@ def test_chances_of_all_words_sum_to_one(monkeypatch):
     monkeypatch.setattr(pseudo_likelihood, "LEAF_WORDS", 4)
     words, code = code_of(15 + 64)
     network, reader = random_network(code), pseudo_likelihood.Reader(code)
-    (numbers,) = reader.numbers([words])
+    hashes = word_hashes(words)
     neighbours = np.tile(np.array([[0, 3, 9, 17]]), (len(words), 1))
-    chances = np.exp(network.log_chances(neighbours, reader.ways(numbers)))
-    leaves = code.leaf(reader.hashes[15:])
+    chances = np.exp(network.log_chances(neighbours, reader.ways(hashes, code.ranks(hashes))))
+    leaves = code.leaf(hashes[15:])
     every_leaf = dict(zip(leaves.tolist(), chances[15:].tolist(), strict=True))
     assert len(every_leaf) == 1 << code.depth
     # A word's share of its leaf is the rest of its chance, so a leaf counts once.
@@ -84,6 +84,16 @@ def test_chances_of_all_words_sum_to_one(monkeypatch):
     assert abs(used + level[4:31].sum() - 1) < 1e-9
 
 
+def test_the_reader_goes_the_ways_of_the_code():
+    words, code = code_of(700, 5)
+    reader, hashes = pseudo_likelihood.Reader(code), word_hashes(words)
+    ranks = code.ranks(hashes)
+    levels, *ways = reader.ways(hashes, ranks)
+    assert (levels == code.levels(ranks)).all()
+    for own, stated in zip(ways, code.ways(hashes, ranks), strict=True):
+        assert (own == stated).all()
+
+
 def test_ways_tell_all_words_apart(monkeypatch):
     monkeypatch.setattr(pseudo_likelihood, "LEAF_WORDS", 1)
     words, code = code_of(400, 6)
@@ -104,13 +114,14 @@ def test_gradient():
     words, code = code_of(60)
     network, reader = random_network(code, 3), pseudo_likelihood.Reader(code)
     rnd = np.random.default_rng(4)
-    (numbers,) = reader.numbers([[words[place] for place in rnd.integers(0, 60, 50)]])
-    chosen, neighbours = reader.windows([numbers])
-    fixed, of_nodes, back = network.slopes(neighbours, reader.ways(chosen))
+    _, hashes, ranks, neighbours = reader.windows([[words[place] for place in rnd.integers(0, 60, 50)]])
+    order = pseudo_likelihood.top_first(ranks)
+    neighbours, chosen = neighbours[order], reader.ways(hashes[order], ranks[order])
+    fixed, of_nodes, back = network.slopes(neighbours, chosen)
     slopes = np.zeros_like(network.values)
     slopes[: len(fixed)] = fixed
     first = len(fixed) + code.neighbours
-    np.add.at(slopes[first:], reader.ways(chosen)[1], of_nodes)
+    np.add.at(slopes[first:], chosen[1], of_nodes)
     for place in range(2 * pseudo_likelihood.REACH):
         np.add.at(slopes[len(fixed) : first, :-1], neighbours[:, place], back * network.scales[place, :-1])
     for row in [0, 1, 4, 6, 9, *rnd.integers(len(fixed), len(slopes), 40)]:
@@ -119,7 +130,7 @@ def test_gradient():
         losses = []
         for value in (kept + size, kept - size):
             network.values[row, column] = value
-            losses.append(-network.log_chances(neighbours, reader.ways(chosen)).sum())
+            losses.append(-network.log_chances(neighbours, chosen).sum())
         network.values[row, column] = kept
         if row >= len(fixed) and row < first and column == pseudo_likelihood.HIDDEN:
             continue  # vectors of neighbours have no bias
@@ -131,9 +142,9 @@ def test_texts_alone_and_together():
     network = random_network(code)
     rnd = random.Random(5)
     texts = [[rnd.choice(words) for _ in range(size)] for size in (4, 0, 60, 1)]
-    numbers, logs = pseudo_likelihood.score_words(network, pseudo_likelihood.Reader(code), texts)
-    assert [len(own) for own in numbers] == [4, 0, 60, 1]
-    alone = [pseudo_likelihood.score_words(network, pseudo_likelihood.Reader(code), [text])[1] for text in texts]
+    counts, *_, logs = pseudo_likelihood.score_words(network, pseudo_likelihood.Reader(code), texts)
+    assert counts.tolist() == [4, 0, 60, 1]
+    alone = [pseudo_likelihood.score_words(network, pseudo_likelihood.Reader(code), [text])[-1] for text in texts]
     assert np.allclose(np.concatenate(alone), logs)
 
 
