@@ -4,6 +4,7 @@ import re
 
 import pytest
 from builders import plain
+from pyspark.sql import functions as F
 
 from checks import sample_tables as tables
 from scholaudit.config import Institution, Run
@@ -97,6 +98,51 @@ def test_all_institutions_at_once_equal_single_runs(spark, run, institutions):
         assert plain(shared.select(names).collect()) == plain(found.select(names).collect())
 
 
+def test_other_institutions_keep_their_rows(spark, run, institutions):
+    """A run replaces the rows of its institutions; one without inputs is left out and reported."""
+    one, other = institutions
+    publish_all(spark, run, "partly_data")
+    before = {kind: spark.table(f"partly_data.{kind}20250310") for kind in ("trials", "pubs")}
+    rows = {kind: plain(df.where(f"institution_id = '{other.institution_id}'").collect()) for kind, df in before.items()}
+    absent = Institution("gone", "dois_x", "oddpub_x", "trials_x")
+    later = Run(run.run_version, run.doi_version, "v2", (one, absent))
+    with pytest.raises(publish.FailedInstitutions) as error:
+        publish_all(spark, later, "partly_data")
+    assert list(error.value.errors) == ["gone"]
+    for kind, own in rows.items():
+        for name in (f"partly_data.{kind}20250310", f"partly_data_latest.{kind}"):
+            found = spark.table(name)
+            assert plain(found.where(f"institution_id = '{other.institution_id}'").collect()) == own
+            versions = found.groupBy("institution_id").agg(F.collect_set("var_SQL_workflow_version").alias("v")).collect()
+            assert {row.institution_id: row.v for row in versions} == {one.institution_id: ["v2"], other.institution_id: ["v1"]}
+    audit = {row.table_name: row.n_rows for row in spark.table("partly_data_latest.table_audit").collect()}
+    for kind in ("alltrials", "trials", "pubs"):
+        assert audit[kind] == spark.table(f"partly_data.{kind}20250310").count()
+
+
+def test_rows_of_several_cutoffs_are_stored_once(spark, run, institutions):
+    """More cutoffs make the table longer, but not its files."""
+    sizes = {}
+    for cutoffs in ((2012, 2016), (2011, 2012, 2013, 2014, 2015, 2016)):
+        stored = search_rows(spark, run, cutoffs).where("kind IN ('table', 'edition')")
+        texts = F.sum(F.coalesce(F.length("abstract_CROSSREF"), F.lit(0)))
+        own = stored.where("kind = 'table'" if len(cutoffs) > 1 else "TRUE")
+        sizes[len(cutoffs)] = own.where("published_year > 2012").agg(texts).first()[0], stored.agg(texts).first()[0]
+        passed = sum(spark.table(f"observatory.{run.works_table}").where(f"crossref.published_year > {c}").count() for c in cutoffs)
+        assert stored.count() < (0.8 if len(cutoffs) == 2 else 0.4) * passed
+    # The rows that don't depend on the cutoff are the same; those of shared keys alone are repeated.
+    assert sizes[6][0] == sizes[2][0]
+
+
+def search_rows(spark, run, cutoffs):
+    from scholaudit.plans.search import search_works, work_keys
+    from scholaudit.sources.staging import stager
+
+    works = spark.table(f"observatory.{run.works_table}")
+    dois = spark.createDataFrame([], "doi string")
+    return search_works(works, work_keys(works, dois, cutoffs, stager("cutoffs")), cutoffs)
+
+
 def test_missing_inputs_are_listed_together(spark, run, institutions):
     absent = Institution("brand3", "dois_x", "oddpub_1", "trials_x")
     with pytest.raises(MissingTables) as error:
@@ -126,8 +172,6 @@ def test_staging_uses_the_named_folder(spark):
 
 
 def test_bucketed_works_are_joined_without_moving_them(spark, run):
-    from pyspark.sql import functions as F
-
     from scholaudit.config import Provenance
     from scholaudit.plans.alltrials import alltrials
 
