@@ -114,6 +114,10 @@ MAIN_TAGS = ("article", "main")
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>|([^<]++|<)""", re.S
 )
+# After a quote that never ends: tags go up to the next bracket.
+TOKEN_WITHOUT_QUOTES = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|([^<]++|<)""", re.S
+)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 DIGITS = re.compile(r"\d+")
 
@@ -147,12 +151,18 @@ def blocks(page: str) -> list[tuple[str, str]]:
             if text:
                 found.append((stack[-1][1] if stack else "", text))
 
+    form = TOKEN
     while at < len(page):
-        token = TOKEN.match(page, at)
-        if token is None:  # a tag that never ends
-            texts.append(page[at])
-            at += 1
+        token = form.match(page, at)
+        if token is None:  # a tag that never ends, or a quote in it
+            if page.find(">", at) < 0:
+                texts.append(page[at:])
+                break
+            form = TOKEN_WITHOUT_QUOTES
             continue
+        if token.group(4) == "<" and page.find(">", at) < 0:
+            texts.append(page[at:])
+            break
         at = token.end()
         closing, tag, attributes, text = token.groups()
         if text is not None:

@@ -119,7 +119,13 @@ def test_deep_pages_are_linear():
 
 
 def test_unclosed_quote_is_linear():
+    start = time.perf_counter()
     wrappers.blocks('<a href="' * 20_000)
+    wrappers.blocks('<a href="' * 20_000 + "<p>end</p>")
+    wrappers.blocks("<" * 200_000)
+    wrappers.blocks("<" * 200_000 + ">")
+    assert time.perf_counter() - start < 5
+    assert wrappers.blocks("<p>one<b title='x <p>two</p>")[-1][1].endswith("two")
 
 
 def extracted(spark, rows):
