@@ -104,7 +104,8 @@ def enriched_doi(
     return expand_copies(joined, F.col("n_access")).drop("n_access")
 
 
-# Output columns by group, as name to SQL expression over the facts.
+# Output columns by group, as name to SQL expression over the facts. The names and the label
+# texts stated in these groups, as the output contract has them.
 
 DOI_MATCH = {
     "doi_academicobservatory": "lower(work_doi)",

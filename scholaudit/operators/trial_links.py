@@ -15,7 +15,8 @@ from scholaudit.functions.sql import case, either, lookup
 from scholaudit.functions.text import split_on, trim_ws
 from scholaudit.sources.staging import Keep, lazily
 
-# Column groups, as output name to SQL expression over the raw columns.
+# Column groups, as output name to SQL expression over the raw columns. The names and the label
+# texts stated in these groups, as the output contract has them.
 
 # The flag and label look at the raw value, so "NA" counts as found.
 TRIAL_ID_COLUMNS = {

@@ -26,6 +26,7 @@ def link_trials(
     cleaned = clean_trials(trials_raw, scope)
     pairs = flatten_trial_pairs(alltrials, edition)
     links = trials_in_publications(pairs, dois, cleaned, scope, edition, keep)
+    # Fixed value: the label's text.
     tail = "Trial-IDs from the institution's trial dataset found in a publication from the institution"
     return attach_links(cleaned, links, scope).withColumns(
         {
