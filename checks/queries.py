@@ -345,9 +345,9 @@ def _q_case_insensitive_left_join(spark, sf_dir):
     return left_join_any_case(listed, works, "listed_doi", "work_doi")
 
 
-def _by_cutoff(works: DataFrame) -> DataFrame:
+def _by_cutoff(works: DataFrame, *key: str) -> DataFrame:
     cutoffs = INSTITUTION_CUTOFFS.values()
-    return alltrials_by_cutoff(works, cutoffs, shared_by_cutoff(works, cutoffs, lazily))
+    return alltrials_by_cutoff(works, cutoffs, shared_by_cutoff(works, cutoffs, lazily), key)
 
 
 def _q_many_institutions_trials(spark, sf_dir):
@@ -364,7 +364,7 @@ def _q_many_institutions_pubs(spark, sf_dir):
         tables.dois(spark, sf_dir),
         works,
         tables.unpaywall(spark, sf_dir),
-        _by_cutoff(works),
+        _by_cutoff(works, "doi_key"),
         tables.oddpub(spark, sf_dir),
         INSTITUTION_CUTOFFS,
         lazily,

@@ -306,10 +306,15 @@ def attach_evidence(works: DataFrame, evidence: DataFrame, edition: Sequence[str
     Works that carry their own entries use them where no evidence is joined;
     evidence of a shared key includes them.
     """
-    joined = works.join(evidence, [*edition, "doi_key"], "left")
-    if "own_entries" in works.columns:
-        joined = joined.withColumn("entries", F.coalesce("entries", "own_entries"))
-    return write_out_entries(joined, [name for name in works.columns if name != "own_entries"])
+    return attach_entries(works.join(evidence, [*edition, "doi_key"], "left"), "entries")
+
+
+def attach_entries(joined: DataFrame, entries: str, drop: Sequence[str] = ()) -> DataFrame:
+    """The same where a work's grouped evidence is at hand as an expression."""
+    own = ", own_entries" if "own_entries" in joined.columns else ""
+    left_out = {"entries", "own_entries", *drop}
+    met = joined.withColumn("entries", F.expr(f"coalesce({entries}{own})"))
+    return write_out_entries(met, [name for name in joined.columns if name not in left_out])
 
 
 def write_out_entries(joined: DataFrame, columns: Sequence[str]) -> DataFrame:

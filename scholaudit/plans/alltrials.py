@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scholaudit.config import Provenance
 from scholaudit.operators.trial_ids import (
     any_source_trials,
+    attach_entries,
     attach_evidence,
     entries_of,
     evidence_rows,
@@ -62,8 +63,12 @@ def passed_cutoffs(cutoffs: Iterable[int]) -> str:
 
 def combine(searched: DataFrame, evidence: DataFrame, edition: tuple[str, ...] = ()) -> DataFrame:
     """All columns but provenance, from works whose texts have been searched."""
-    joined = attach_evidence(searched, evidence, edition)
-    return any_source_trials(id_list_strings(joined)).select(*edition, *COLUMNS)
+    return complete(attach_evidence(searched, evidence, edition), edition)
+
+
+def complete(attached: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """The same from works whose evidence is attached."""
+    return any_source_trials(id_list_strings(attached)).select(*more, *COLUMNS)
 
 
 def alltrials(works: DataFrame, cutoff: int, provenance: Provenance, shared: DataFrame | None = None) -> DataFrame:
@@ -96,15 +101,23 @@ def shared_by_cutoff(works: DataFrame, cutoffs: Iterable[int], keep: Keep) -> Da
     return shared_evidence(narrow, keep, with_cutoffs(entries_of(narrow), years), (CUTOFF,))
 
 
-def alltrials_by_cutoff(works: DataFrame, cutoffs: Iterable[int], shared: DataFrame | None = None) -> DataFrame:
+def alltrials_by_cutoff(
+    works: DataFrame, cutoffs: Iterable[int], shared: DataFrame | None = None, key: tuple[str, ...] = ()
+) -> DataFrame:
     """One table for all institutions, with a row set per distinct cutoff.
 
-    Texts are searched once, before the rows are repeated for the cutoffs.
+    Texts are searched and shuffled once, before the rows are repeated for the
+    cutoffs. With ``key=("doi_key",)`` the rows keep their key, and a join on
+    it finds them in place.
     """
     years = sorted(set(cutoffs))
     recent = published_after(works, years[0])
     evidence = shared
     if evidence is None:
         evidence = group_evidence(with_cutoffs(evidence_rows(recent), years), (CUTOFF,))
-    searched = text_evidence(recent, own=shared is not None)
-    return combine(with_cutoffs(searched, years), evidence, (CUTOFF,))
+    # Works meet the evidence of all cutoffs by one row of their key, and are repeated where they are then.
+    edition = F.struct(CUTOFF, "entries")
+    editions = evidence.groupBy("doi_key").agg(F.collect_list(edition).alias("editions"))  # one for each cutoff
+    searched = text_evidence(recent, own=shared is not None).join(editions, "doi_key", "left")
+    own = f"get(filter(editions, one -> one.{CUTOFF} = {CUTOFF}), 0).entries"
+    return complete(attach_entries(with_cutoffs(searched, years), own, ("editions",)), (CUTOFF, *key))

@@ -63,8 +63,11 @@ def all_facts_audited(
     cutoffs: Mapping[str, int],
     keep: Keep,
 ) -> DataFrame:
-    """The same from facts and extracts that hold the listed DOIs; extracts carry the cutoff column."""
+    """The same from facts and extracts that hold the listed DOIs; extracts carry the cutoff column.
+
+    Rows come rebalanced by institution.
+    """
     audited = audit_facts(
-        with_cutoff(dois, cutoffs), facts, extract, unpaywall, oddpub, (INSTITUTION,), (CUTOFF,), keep
+        with_cutoff(dois, cutoffs), facts, extract, unpaywall, oddpub, (INSTITUTION,), (CUTOFF,), keep, together=True
     )
     return audited.select(INSTITUTION, *COLUMNS)

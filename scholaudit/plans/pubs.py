@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.config import Provenance
-from scholaudit.functions.copies import expand_copies
+from scholaudit.functions.copies import CHUNK, expand_copies
 from scholaudit.operators.hot_keys import PART, SALT, deal, hot_table, join_dealt, meet
 from scholaudit.operators.publications import (
     access_facts,
@@ -79,8 +80,9 @@ def audit_publications(
 
     The big tables are cut down to the listed DOIs before they meet. The list
     is the small side; when it fits the broadcast threshold none of the big
-    tables is shuffled. Works join it inner, so a DOI with very many rows can
-    be split on either side; listed DOIs without a work are added after.
+    tables is shuffled, else each is once, and a text again only where its row
+    has many copies. Works join the list inner, so a DOI with very many rows
+    can be split on either side; listed DOIs without a work are added after.
     """
     facts = work_facts(works)
     extract = extract_facts(alltrials, extra, edition)
@@ -96,8 +98,13 @@ def audit_facts(
     scope: Sequence[str] = (),
     edition: Sequence[str] = (),
     keep: Keep = lazily,
+    together: bool = False,
 ) -> DataFrame:
-    """The same from facts (``work_facts``) and extracts (``extract_facts``) that hold the listed DOIs."""
+    """The same from facts (``work_facts``) and extracts (``extract_facts``) that hold the listed DOIs.
+
+    With ``together`` the rows of a scope come rebalanced, for files by scope,
+    which takes another shuffle of the texts.
+    """
     listed = dois.select(*scope, *edition, "doi").distinct().withColumn("doi_key", F.lower("doi"))
     listed = keep(listed, "listed")
     keys = listed.select("doi_key").where("doi_key IS NOT NULL").distinct()
@@ -108,21 +115,56 @@ def audit_facts(
     def met(rows: DataFrame) -> DataFrame:
         return meet(rows, hot, "doi_key")
 
-    known = facts.select("doi_key").join(keys, "doi_key", "left_semi").distinct()
-    matched = join_dealt(deal(facts, hot, "doi_key").drop(PART), met(listed), ["doi_key"], "inner")
-    missing = listed.join(known, "doi_key", "left_anti").withColumn(SALT, F.lit(0))
-
     # Reduced to the listed DOIs and to counted facts, row by row of the key.
     access = keep(access_facts(unpaywall, keys), "access")
     extract = extract.join(keys, "doi_key", "left_semi")
     checks = keep(oddpub_facts(oddpub, scope), "checks")
 
-    with_access = join_dealt(matched, met(access), ["doi_key"])
-    joined = join_dealt(with_access, met(extract), [*edition, "doi_key"])
-    complete = joined.unionByName(missing, allowMissingColumns=True)
-    checked = join_dealt(complete, met(checks), [*scope, "doi_key"]).drop(SALT)
+    known = facts.select("doi_key").join(keys, "doi_key", "left_semi").distinct()
     copies = F.coalesce(F.col("n_access"), F.lit(1)) * F.coalesce(F.col("n_oddpub"), F.lit(1))
-    return add_labels(expand_copies(checked, copies, spread=scope)).withColumn("doi", F.lower("doi"))
+    dealt = deal(facts, hot, "doi_key").drop(PART)
+    met_access, met_extract, met_checks = met(access), met(extract), met(checks)
+
+    # Texts leave their scans for one join by key and salt, and all further joins find them there.
+    def complete(rows: DataFrame) -> DataFrame:
+        matched = join_dealt(dealt, met(rows), ["doi_key"], "inner")
+        with_access = join_dealt(matched, met_access, ["doi_key"])
+        return _join_within(_join_within(with_access, met_extract, edition), met_checks, scope).drop(SALT)
+
+    missing = listed.join(known, "doi_key", "left_anti").join(checks, [*scope, "doi_key"], "left")
+    missing = missing.withColumn("n_access", F.lit(None).cast("bigint"))
+    if together:
+        parts = [expand_copies(complete(listed).unionByName(missing, allowMissingColumns=True), copies, spread=scope)]
+    else:
+        # Only rows of many copies are worth another shuffle with their texts.
+        counts = access.select("doi_key", "n_access", F.lit(1).alias("n_oddpub")).unionByName(
+            checks.select("doi_key", F.lit(1).alias("n_access"), "n_oddpub")
+        )
+        most = counts.groupBy("doi_key").agg(F.max("n_access").alias("n_access"), F.max("n_oddpub").alias("n_oddpub"))
+        many = most.where(f"n_access * n_oddpub > {CHUNK}").select("doi_key")
+        parts = [
+            expand_copies(complete(listed.join(many, "doi_key", "left_anti")), copies),
+            expand_copies(complete(listed.join(many, "doi_key", "left_semi")), copies, spread=scope),
+            expand_copies(missing, copies, spread=scope),
+        ]
+    found = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    return add_labels(found).withColumn("doi", F.lower("doi"))
+
+
+def _join_within(rows: DataFrame, met: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Dealt rows joined by key and salt, and by further columns.
+
+    Spark moves both sides of a join by all the columns that it compares as
+    keys, so these are compared among the rows of a key, where they are.
+    """
+    if not within:
+        return join_dealt(rows, met, ["doi_key"])
+    own = ("doi_key", SALT, *within)
+    other = met.withColumnsRenamed({name: f"_of_{name}" for name in own})
+    same = (F.col("doi_key") == F.col("_of_doi_key")) & (F.col(SALT) == F.col(f"_of_{SALT}"))
+    for name in within:
+        same &= F.array_contains(F.array(f"_of_{name}"), F.col(name))
+    return rows.join(other, same, "left").drop(*[f"_of_{name}" for name in own])
 
 
 def pubs(
