@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 
 from scholaudit.llm.components import components
 from scholaudit.llm.shared import column, fresh, ship_package, slices, stage, whole_text
-from scholaudit.llm.words import mixed, shingles, signed
+from scholaudit.llm.words import forget_words, mixed, shingles, signed
 
 SKETCH_BITS = 20  # the sketch of shingle counts has 2 ** 20 cells of 4 bytes
 SKETCH_BLOCK = 4096
@@ -68,6 +68,7 @@ REGION_SHINGLES = 8_000_000  # a region with more of them isn't joined in one ta
 TASK_SHINGLES = 4_000_000  # regions are packed to about so many
 PIVOTS, SMALL = 8, 48  # of the second level
 BLOCK_SHINGLES = 4_000_000  # of the points of a large region sent at once
+SENT_BYTES = 2_000_000  # of the points that a task hands over at once, or one bucket's
 
 POINT = np.dtype([("shingle", "<u8"), ("key", "<i8"), ("n", "<i4"), ("profile", "u1", CLASSES)])
 
@@ -154,9 +155,10 @@ def _measure(size: int):
 
         def count() -> None:
             nonlocal rows
-            cells = (np.concatenate(waiting) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-            sketch[:] += np.bincount(cells, minlength=len(sketch))
+            cells = np.concatenate(waiting)
             waiting.clear()
+            cells >>= np.uint64(64 - SKETCH_BITS)
+            np.add(sketch, np.bincount(cells.view(np.int64), minlength=len(sketch)), out=sketch)
             rows = 0
 
         for batch in slices(batches):
@@ -179,6 +181,7 @@ def _measure(size: int):
             ids = batch.schema.field(0).type
         if rows:
             count()
+        forget_words()
         used = np.flatnonzero(sketch.reshape(-1, SKETCH_BLOCK).any(axis=1))
         if len(used):
             blocks = np.minimum(sketch, 2**32 - 1).astype("<u4").reshape(-1, SKETCH_BLOCK)
@@ -223,25 +226,31 @@ def windows(hashes: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.nd
     return hashes[order], counts[order]
 
 
+def _runs(rows: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Runs of rows as binary values that share the rows' memory."""
+    offsets = (np.r_[starts, len(rows)] * rows.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
 def _regions(size: int, percent: int, buckets: int, hot: int, sketch):
     """Blocks of points by bucket of their pivot; hot pivots get rows of their own (bucket null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, seen, waiting, rows = sketch.value, set(), [], 0
 
-        def dealt() -> pa.RecordBatch:
+        def dealt() -> Iterator[pa.RecordBatch]:
             points = np.concatenate(waiting)
             waiting.clear()
             bucket = (mixed(points["shingle"]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             points, bucket = points[order], bucket[order]
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            parts = np.split(points, starts[1:])
-            return pa.RecordBatch.from_arrays(
+            blocks = pa.RecordBatch.from_arrays(
                 [pa.array(bucket[starts], pa.int32()), pa.nulls(len(starts), pa.int64()),
-                 pa.nulls(len(starts), pa.int64()), pa.array([part.tobytes() for part in parts], pa.binary())],
+                 pa.nulls(len(starts), pa.int64()), _runs(points, starts)],
                 names=["bucket", "shingle", "key", "points"],
             )
+            yield from slices([blocks], max(1, SENT_BYTES * len(starts) // points.nbytes))
 
         for batch in slices(batches):
             for text in batch.column(0):
@@ -267,10 +276,12 @@ def _regions(size: int, percent: int, buckets: int, hot: int, sketch):
                 waiting.append(points)
                 rows += len(points)
                 if rows > 400_000:
-                    yield dealt()
+                    yield from dealt()
                     rows = 0
+        seen.clear()
+        forget_words()
         if rows:
-            yield dealt()
+            yield from dealt()
 
     return run
 
@@ -464,6 +475,7 @@ def _sets(size: int):
                     sets.append(hashes.astype("<u8").tobytes())
             kept = batch.drop_columns(["text"]).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(sets, pa.binary())], [*kept.schema.names, "hashes"])
+        forget_words()
 
     return run
 

@@ -27,6 +27,11 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
+def forget_words() -> None:
+    """At the end of a task, as its worker goes on to tasks that need no words."""
+    _hashes.clear()
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers, one to one."""
     values = values ^ (values >> np.uint64(30))
