@@ -16,6 +16,9 @@ leaf share its chance by their counts, which are of all documents and exact.
 Neighbours have vectors of their own, or by hash beyond the top words, whose
 number grows in the same way.
 
+The first ``DENSE`` choices of a tree are made for all nodes of its head at
+once, by products of matrices; further ones step by step, node by node.
+
 Every window of the corpus trains the network once. A round takes the documents
 of one part by hash; each task trains a copy on its documents, and copies are
 averaged row by row, weighted by how often a row was used, in Spark. Only the
@@ -35,8 +38,9 @@ columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,46 +48,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholaudit.llm.shared import column, ship_package, slices, stage, whole_text
-from scholaudit.llm.words import mixed, signed, word_hashes
+from scholaudit.llm.words import mixed, signed, text_hashes, word_hashes
 
 REACH = 2  # words on either side
 HIDDEN = 8
 TOP_BITS = 14  # 2 ** TOP_BITS - 1 words have leaves of their own
 LEVELS = 5  # bits of a level; the last one is for all other words
 LEAF_WORDS = 256
+DENSE = 6  # steps of each tree whose nodes are all computed
 KNOWN = 1 << 18
 ROUNDS, BATCH, RATE = 2, 4_096, 0.1
 SHARD_WORDS = 2_000_000
 PART = 16_384
 PIECES = 64  # in which networks travel to be averaged
-WORDS_COUNTED = 400_000
+WORDS_COUNTED = 2_000_000
 
 NEIGHBOURS = [place for place in range(2 * REACH + 1) if place != REACH]
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """All places of some runs, one after the other."""
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(start - (ends - size), size)
+def _head(steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a tree's first steps, for each way (its choices as bits), the nodes on it and the choices there."""
+    on_way = np.zeros((1 << steps, 1 << steps), np.float32)
+    choice = np.zeros((1 << steps, 1 << steps), np.float32)
+    for way in range(1 << steps):
+        for step in range(steps):
+            node = (1 << step) + (way >> (steps - step))
+            on_way[way, node] = 1
+            choice[way, node] = way >> (steps - 1 - step) & 1
+    return on_way, choice
 
 
 # For each level, the nodes of its way among the 2 ** LEVELS of the first tree, and the choices there.
 _LAST = (1 << LEVELS) - 1
-_ON_WAY = np.zeros((1 << LEVELS, 1 << LEVELS), np.float32)
-_CHOICE = np.zeros((1 << LEVELS, 1 << LEVELS), np.float32)
-for _level in range(1 << LEVELS):
-    for _step in range(LEVELS):
-        _node = (1 << _step) + (_level >> (LEVELS - _step))
-        _ON_WAY[_level, _node] = 1
-        _CHOICE[_level, _node] = _level >> (LEVELS - 1 - _step) & 1
-
+_ON_WAY, _CHOICE = _head(LEVELS)
 
 # The same as the numbers of the five nodes, and 1 or -1 for the choices there.
-_WAY = np.array([np.flatnonzero(row) for row in _ON_WAY])
+_WAY = np.nonzero(_ON_WAY)[1].reshape(1 << LEVELS, LEVELS)
 _SIGN = np.take_along_axis(2 * _CHOICE - 1, _WAY, axis=1)
 
 
+class Head:
+    """For the words of one tree, their level's five nodes and, behind them, the first nodes of the tree.
+
+    By way: the numbers of its nodes; 1 or 0 and 1 or -1 for its choices; 1 for the nodes of the tree on it.
+    """
+
+    def __init__(self, level: int, steps: int):
+        on_way, choice = _head(steps)
+        self.level, self.on_way = _WAY[level], on_way
+        below = np.nonzero(on_way)[1].reshape(len(on_way), steps)
+        of_level = np.tile(_CHOICE[level, self.level], (len(on_way), 1))
+        self.nodes = np.concatenate((np.tile(np.arange(LEVELS), (len(on_way), 1)), LEVELS + below), axis=1)
+        self.choice = np.concatenate((of_level, np.take_along_axis(choice, below, axis=1)), axis=1)
+        self.sign = 2 * self.choice - 1
+
+
 class Code:
     """Levels of words, their ways below, and the rows of the network that they use.
 
@@ -95,20 +114,30 @@ class Code:
 
     def __init__(self, frequent: np.ndarray, rare: int, top_bits: int = TOP_BITS):
         self.frequent = frequent[: (1 << top_bits) - 1]
-        self.order = np.argsort(self.frequent)
-        self.sorted = self.frequent[self.order]
+        order = np.argsort(self.frequent)
+        self.order = np.append(order, -1)
+        self.sorted = np.append(self.frequent[order], np.uint64(~np.uint64(0)))
+        # Where words begin that start with some 16 bits, and how many do at most.
+        self.first = np.searchsorted(self.sorted[:-1] >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
+        self.longest = int(np.diff(self.first).max())
         self.depth = max(1, math.ceil(math.log2(max(1, rare / LEAF_WORDS))))
         self.shared = 1 + len(self.frequent)
         self.neighbours = self.shared + (1 << self.depth)
         self.others = 1 << max(1, len(self.frequent)).bit_length()
         self.nodes = self.others + (1 << self.depth)
+        # All trees below the levels, longest first: (steps, number before the first node, level).
+        trees = [(level, (1 << level) - 1, level) for level in range(len(self.frequent).bit_length())]
+        self.trees = sorted([*trees, (self.depth, self.others, _LAST)], reverse=True)
+        self.way_bits = self.trees[0][0]
+        self.heads = [Head(level, min(steps, DENSE)) for steps, _, level in self.trees]
+        self.head_nodes = np.concatenate([before + np.arange(1 << min(steps, DENSE)) for steps, before, _ in self.trees])
 
     def ranks(self, hashes: np.ndarray) -> np.ndarray:
         """Of top words; -1 for all others."""
-        if not len(self.sorted):
-            return np.full(len(hashes), -1)
-        place = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        return np.where(self.sorted[place] == hashes, self.order[place], -1)
+        place = self.first.take((hashes >> np.uint64(48)).view(np.int64))
+        for _ in range(self.longest):
+            place += self.sorted.take(place) < hashes
+        return np.where(self.sorted.take(place) == hashes, self.order.take(place), -1)
 
     def leaf(self, hashes: np.ndarray) -> np.ndarray:
         """The leaf of words that are not among the top ones."""
@@ -147,6 +176,50 @@ def _small(values: np.ndarray, most: int) -> np.ndarray:
     return values.astype(np.uint16) if most <= 1 << 16 else values
 
 
+def _sigmoid(logits: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.maximum(logits, -60, out=logits)
+    np.exp(np.negative(logits, out=logits), out=logits)
+    logits += 1
+    return np.reciprocal(logits, out=logits)
+
+
+def _softplus(logits: np.ndarray) -> np.ndarray:
+    """In place; of 60 at most, so that no chance is 0."""
+    np.minimum(logits, 60, out=logits)
+    np.exp(logits, out=logits)
+    logits += 1
+    return np.log(logits, out=logits)
+
+
+def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Whole rows, each as one value."""
+    row = f"V{table.itemsize * table.shape[1]}"
+    table.view(row)[:, 0].put(rows, np.ascontiguousarray(values).view(row)[:, 0])
+
+
+def _sums_by_row(rows: np.ndarray, slopes: np.ndarray, biases: np.ndarray | None = None):
+    """Different rows, of rows that stand together, the sums of their slopes, biases behind, and how many there are."""
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])[: len(rows)])
+    sums = np.zeros((len(starts), HIDDEN + 1), slopes.dtype)
+    if len(starts):
+        pairs = np.result_type(slopes.dtype, np.complex64)  # two columns are summed as one complex number
+        sums[:, :HIDDEN] = np.add.reduceat(slopes.view(pairs), starts, axis=0).view(slopes.dtype)
+        if biases is not None:
+            sums[:, HIDDEN] = np.add.reduceat(biases, starts)
+    return rows[starts], sums, np.diff(np.append(starts, len(rows)))
+
+
+class Ways(NamedTuple):
+    """Of words by trees and ways: choices below the levels as bits, and the number of words by tree.
+
+    In this order words that use a node stand together, at every step of a tree.
+    """
+
+    ways: np.ndarray
+    sizes: np.ndarray
+
+
 class Network:
     """Rows of neighbours' vectors and of nodes' vectors with their biases, and the few others."""
 
@@ -168,11 +241,131 @@ class Network:
         network.vectors[:, :HIDDEN] = np.random.default_rng(1).standard_normal((code.neighbours, HIDDEN)) * 0.3
         return network
 
+    def _scaling(self) -> np.ndarray:
+        """The scales as a matrix, from vectors side by side to their scaled sum."""
+        return np.concatenate([np.diag(scales) for scales in self.scales])
+
+    def states(self, neighbours: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The neighbours' vectors side by side, and the hidden states with a 1 at their end, which meets the biases."""
+        vectors = self.vectors.take(neighbours.ravel(), axis=0).reshape(len(neighbours), -1)
+        states = vectors @ self._scaling()
+        states += self.bias[0]
+        np.tanh(states, out=states)
+        states[:, HIDDEN] = 1
+        return vectors, states
+
     def hidden(self, neighbours: np.ndarray) -> np.ndarray:
-        total = self.bias[0, :HIDDEN] + self.scales[0, :HIDDEN] * self.vectors[neighbours[:, 0], :HIDDEN]
-        for place in range(1, 2 * REACH):
-            total += self.scales[place, :HIDDEN] * self.vectors[neighbours[:, place], :HIDDEN]
-        return np.tanh(total, out=total)
+        return self.states(neighbours)[1][:, :HIDDEN]
+
+    def _heads(self, ways: Ways, states: np.ndarray) -> Iterator[tuple]:
+        """By tree with words: their places, its head, their ways in it, its nodes' vectors, the logits on the ways, and where."""
+        end = 0
+        for (steps, before, _), head, size in zip(self.code.trees, self.code.heads, ways.sizes, strict=True):
+            here = slice(end, end := end + size)
+            if size:
+                most = min(steps, DENSE)
+                nodes = np.concatenate((self.levels[head.level], self.nodes[before : before + (1 << most)]))
+                first = ways.ways[here] >> (steps - most)
+                at = head.nodes.take(first, axis=0)
+                at += np.arange(0, size * len(nodes), len(nodes))[:, None]
+                yield here, head, first, nodes, (states[here] @ nodes.T).ravel().take(at), at
+
+    def _tails(self, ways: Ways) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The nodes and choices of each further step, of the first words, whose trees have it."""
+        trees = [(size, steps, before) for (steps, before, _), size in zip(self.code.trees, ways.sizes, strict=True)]
+        sizes, steps, before = np.array([tree for tree in trees if tree[1] > DENSE], np.int64).reshape(-1, 3).T
+        left, before = np.repeat(steps - DENSE, sizes), np.repeat(before, sizes)
+        for step in range(DENSE, max(steps, default=0)):
+            count = int(sizes[steps > step].sum())
+            if not count:
+                return
+            value = ways.ways[:count] >> (left[:count] - 1)
+            yield before[:count] + (1 << step) + (value >> 1), value & 1
+            left -= 1
+
+    def log_chances_by_tree(self, neighbours: np.ndarray, ways: Ways) -> np.ndarray:
+        """The same as log_chances, of words by trees and ways."""
+        _, states = self.states(neighbours)
+        logs = np.empty(len(states))
+        for here, head, first, _, logits, _ in self._heads(ways, states):
+            logits *= head.sign.take(first, axis=0)
+            logs[here] = -_softplus(np.negative(logits, out=logits)).sum(axis=1)
+        for rows, choices in self._tails(ways):
+            own = self.nodes.take(rows, axis=0)
+            logits = np.einsum("ij,ij->i", own, states[: len(rows)])
+            logs[: len(rows)] -= _softplus(np.where(choices, -logits, logits))
+        return logs
+
+    def slopes_by_tree(self, neighbours: np.ndarray, ways: Ways):
+        """The same as slopes, of words by trees and ways.
+
+        Of the bias, the scales and the levels; of the heads' nodes, summed, with
+        their uses; of further nodes, by number, without and of their biases; of
+        the states.
+        """
+        vectors, states = self.states(neighbours)
+        kind = self.values.dtype
+        back = np.empty_like(states)
+        fixed = np.zeros((1 + 2 * REACH + (1 << LEVELS), HIDDEN + 1), kind)
+        levels = fixed[1 + 2 * REACH :]
+        sums = {}
+        for here, head, first, nodes, logits, at in self._heads(ways, states):
+            error = np.zeros((len(first), len(nodes)), kind)
+            error.ravel()[at] = _sigmoid(logits) - head.choice.take(first, axis=0)
+            np.matmul(error, nodes, out=back[here])
+            total = error.T @ states[here]
+            levels[head.level] += total[:LEVELS]
+            sums[head] = total[LEVELS:], np.bincount(first, minlength=len(head.on_way)) @ head.on_way
+        none = [(np.zeros((len(head.on_way), HIDDEN + 1), kind), np.zeros(len(head.on_way))) for head in self.code.heads]
+        of_heads, uses = map(np.concatenate, zip(*map(sums.get, self.code.heads, none), strict=True))
+        inner = np.ascontiguousarray(states[:, :HIDDEN])
+        rows, of_nodes, of_biases = [np.empty(0, np.int64)], [np.empty((0, HIDDEN), kind)], [np.empty(0, kind)]
+        for at, choices in self._tails(ways):
+            own = self.nodes.take(at, axis=0)
+            error = _sigmoid(np.einsum("ij,ij->i", own, states[: len(at)]))
+            error -= choices
+            rows.append(at)
+            of_nodes.append(inner[: len(at)] * error[:, None])
+            of_biases.append(error)
+            own *= error[:, None]
+            back[: len(at)] += own
+        back *= 1 - states * states
+        fixed[0] = back.sum(axis=0)
+        of_scales = (vectors.T @ back).reshape(2 * REACH, HIDDEN + 1, HIDDEN + 1)
+        fixed[1 : 1 + 2 * REACH] = np.diagonal(of_scales, axis1=1, axis2=2)
+        return fixed, of_heads, uses, *map(np.concatenate, (rows, of_nodes, of_biases)), back[:, :HIDDEN]
+
+    def step(self, neighbours: np.ndarray, ways: Ways, squares: Network, uses: np.ndarray) -> None:
+        """One step of Adagrad on a batch; ``uses`` counts how often each row was moved."""
+        fixed, of_heads, times, rows, of_nodes, of_biases, back = self.slopes_by_tree(neighbours, ways)
+        count = len(fixed)
+        fixed /= math.sqrt(len(back))
+        squares.values[:count] += fixed * fixed
+        self.values[:count] -= RATE * fixed / (np.sqrt(squares.values[:count]) + 1e-6)
+        uses[:count] += len(back)
+        scaling = np.concatenate([np.diag(scales[:HIDDEN]) for scales in self.scales])
+        of_vectors, before = (back @ scaling.T).reshape(-1, HIDDEN), count + len(self.vectors)
+        order = np.argsort(_small(neighbours.ravel(), len(self.vectors)), kind="stable")
+        self._move(squares, uses, count, *_sums_by_row(neighbours.ravel()[order], of_vectors.take(order, axis=0)))
+        self._move(squares, uses, before, self.code.head_nodes, of_heads, times)
+        self._move(squares, uses, before, *_sums_by_row(rows, of_nodes, of_biases))
+
+    def _move(self, squares: Network, uses: np.ndarray, before: int, rows: np.ndarray, sums: np.ndarray, times: np.ndarray):
+        """Different rows, counted from ``before``, by the sums of their slopes."""
+        rows = rows + before
+        # Frequent rows move by their mean slope times the root of their uses.
+        sums /= np.sqrt(np.maximum(times, 1), dtype=np.float32)[:, None]
+        squared = squares.values.take(rows, axis=0)
+        squared += sums * sums
+        _put(squares.values, rows, squared)
+        np.sqrt(squared, out=squared)
+        squared += 1e-6
+        sums *= RATE
+        sums /= squared
+        _put(self.values, rows, self.values.take(rows, axis=0) - sums)
+        uses[rows] += times
+
+    # Word by word, in any order: the plain forms that those by tree are tested against.
 
     def _errors(self, hidden: np.ndarray, levels: np.ndarray, nodes: np.ndarray, length: np.ndarray):
         """Logits at the levels' nodes of all words, vectors of the nodes below, the states there and the logits."""
@@ -210,37 +403,23 @@ class Network:
         fixed[1 + 2 * REACH :, HIDDEN] = level_error.sum(axis=0)
         return fixed, of_nodes, back
 
-    def step(self, neighbours: np.ndarray, words: tuple, squares: Network, uses: np.ndarray) -> None:
-        """One step of Adagrad on a batch; ``uses`` counts how often each row was moved."""
-        fixed, of_nodes, back = self.slopes(neighbours, words)
-        count = len(fixed)
-        fixed /= math.sqrt(len(back))
-        squares.values[:count] += fixed * fixed
-        self.values[:count] -= RATE * fixed / (np.sqrt(squares.values[:count]) + 1e-6)
-        uses[:count] += len(back)
-        of_vectors = np.zeros((2 * REACH * len(back), HIDDEN + 1), self.values.dtype)
-        for place in range(2 * REACH):
-            rows = slice(place * len(back), (place + 1) * len(back))
-            np.multiply(back, self.scales[place, :HIDDEN], out=of_vectors[rows, :HIDDEN])
-        before = count
-        for table, past, rows, slopes in (
-            (self.vectors, squares.vectors, neighbours.T.ravel(), of_vectors),
-            (self.nodes, squares.nodes, words[1], of_nodes),
-        ):
-            rows = _small(rows, len(table))
-            order = np.argsort(rows, kind="stable")
-            rows = rows[order]
-            starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, np.int64)
-            if len(starts):
-                used = rows[starts].astype(np.int64)
-                times = np.diff(np.r_[starts, len(rows)])
-                # Frequent rows move by their mean slope times the root of their uses.
-                sums = np.add.reduceat(slopes[order], starts, axis=0)
-                sums /= np.sqrt(times, dtype=np.float32)[:, None]
-                past[used] += sums * sums
-                table[used] -= RATE * sums / (np.sqrt(past[used]) + 1e-6)
-                uses[before + used] += times
-            before += len(table)
+
+class Words(NamedTuple):
+    """Words with edges before, between and behind their texts.
+
+    Of words: hashes, ranks, trees, choices below the levels as bits, places.
+    At all places: rows as neighbours.
+    """
+
+    hashes: np.ndarray
+    ranks: np.ndarray
+    trees: np.ndarray
+    ways: np.ndarray
+    places: np.ndarray
+    rows: np.ndarray
+
+    def neighbours(self, here: np.ndarray | slice) -> np.ndarray:
+        return self.rows.take(self.places[here, None] + (np.array(NEIGHBOURS) - REACH))
 
 
 class Reader:
@@ -248,40 +427,40 @@ class Reader:
 
     def __init__(self, code: Code):
         self.code = code
-        hashes = code.frequent
-        ranks = np.arange(len(hashes))
-        self.top_nodes, choices, self.top_length = code.ways(hashes, ranks)
-        self.top_choices = choices.astype(np.float32)
-        self.top_start = np.cumsum(self.top_length) - self.top_length
-        self.top_level = code.levels(ranks)
-        steps = np.arange(code.depth)
-        self.heap, self.shift = np.int64(1) << steps, code.depth - steps
+        ranks = np.append(np.arange(len(code.frequent)), -1)  # the last one for all other words
+        levels = code.levels(ranks)
+        tree_of_level = np.zeros(1 << LEVELS, np.int64)
+        tree_of_level[[level for _, _, level in code.trees]] = np.arange(len(code.trees))
+        self.trees = tree_of_level[levels]
+        self.top_ways = ranks + 1 - (1 << np.where(ranks >= 0, levels, 0))
 
     def ways(self, hashes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Levels, nodes, choices and lengths; top words first, so ``order`` must have sorted them."""
-        top = int((ranks >= 0).sum())
-        own, other = ranks[:top], self.code.leaf(hashes[top:])[:, None]
-        length = self.top_length[own]
-        at = _ranges(self.top_start[own], length)
-        nodes = self.code.others + self.heap + (other >> self.shift)
-        choices = (other >> (self.shift - 1) & 1).astype(np.float32)
-        return (
-            np.concatenate((self.top_level[own], np.full(len(other), _LAST))),
-            np.concatenate((self.top_nodes[at], nodes.ravel())),
-            np.concatenate((self.top_choices[at], choices.ravel())),
-            np.concatenate((length, np.full(len(other), self.code.depth))),
-        )
+        """Levels, nodes, choices and lengths, word by word."""
+        return self.code.levels(ranks), *self.code.ways(hashes, ranks)
+
+    def by_tree(self, words: Words, here: np.ndarray) -> tuple[np.ndarray, Ways]:
+        """The words at some numbers by trees and ways, and their ways."""
+        trees = words.trees[here]
+        here = here[np.argsort(trees << self.code.way_bits | words.ways[here], kind="stable")]
+        return here, Ways(words.ways[here], np.bincount(trees, minlength=len(self.code.trees)))
+
+    def read(self, counts: np.ndarray, hashes: np.ndarray) -> Words:
+        """Words of texts, given by their hashes and the number of words of each text."""
+        ranks = self.code.ranks(hashes)
+        places = np.arange(len(hashes)) + np.repeat(REACH * np.arange(1, len(counts) + 1), counts)
+        rows = np.zeros(len(hashes) + REACH * (len(counts) + 1), np.int64)
+        rows[places] = 1 + ranks
+        other = np.flatnonzero(ranks < 0)
+        ways = self.top_ways.take(ranks)
+        ways[other] = self.code.leaf(hashes[other])
+        rows[places[other]] = self.code.neighbour_rows(hashes[other], ranks[other])
+        return Words(hashes, ranks, self.trees.take(ranks), ways, places, rows)
 
     def windows(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all words of the texts: number of words by text, hashes, ranks and the rows of their neighbours."""
-        counts = np.array([len(own) for own in texts], np.int64)
-        hashes = np.concatenate([np.empty(0, np.uint64), *[word_hashes(own) for own in texts]])
-        ranks = self.code.ranks(hashes)
-        # One row of words, with edges before, between and behind the texts.
-        places = np.arange(len(hashes)) + np.repeat(REACH * np.arange(1, len(texts) + 1), counts)
-        rows = np.zeros(len(hashes) + REACH * (len(texts) + 1), np.int64)
-        rows[places] = self.code.neighbour_rows(hashes, ranks)
-        return counts, hashes, ranks, rows[places[:, None] + (np.array(NEIGHBOURS) - REACH)]
+        counts, hashes = list_hashes(texts)
+        words = self.read(counts, hashes)
+        return counts, hashes, words.ranks, words.neighbours(slice(None))
 
 
 def top_first(ranks: np.ndarray) -> np.ndarray:
@@ -289,29 +468,36 @@ def top_first(ranks: np.ndarray) -> np.ndarray:
     return np.argsort(ranks < 0, kind="stable")
 
 
-def texts_of(batches: Iterator[pa.RecordBatch], place: int, rows: int = 64) -> Iterator[tuple[pa.RecordBatch, list]]:
+def list_hashes(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of words of each text, and the hashes of all words."""
+    return np.array([len(own) for own in texts], np.int64), word_hashes(list(chain.from_iterable(texts)))
+
+
+def hashes_of(batches: Iterator[pa.RecordBatch], place: int, rows: int = 64) -> Iterator[tuple]:
+    """Batches in small parts, with the number of words of each text and the hashes of all words."""
     for batch in slices(batches, rows):
-        yield batch, [text.as_buffer().to_pybytes().split() for text in batch.column(place)]
+        yield batch, *text_hashes(batch.column(place))
 
 
 # ---- Spark
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their uses, counted in the task for a bounded number of words."""
-    counted: Counter[bytes] = Counter()
+    """Words with their uses, counted in the task for a bounded number of uses at once."""
+    read, size = [np.empty(0, np.uint64)], 0
 
     def rows() -> pa.RecordBatch:
-        words = word_hashes(list(counted))
-        uses = np.fromiter(counted.values(), np.int64, len(counted))
-        counted.clear()
-        return pa.RecordBatch.from_arrays([pa.array(signed(words)), pa.array(uses)], names=["word", "uses"])
-
-    for _, texts in texts_of(batches, 0):
-        for words in texts:
-            counted.update(words)
-        if len(counted) > WORDS_COUNTED:
+        words = np.sort(np.concatenate(read))
+        starts = np.flatnonzero(np.append(True, words[1:] != words[:-1])[: len(words)])
+        uses = np.diff(np.append(starts, len(words)))
+        return pa.RecordBatch.from_arrays([pa.array(signed(words[starts])), pa.array(uses)], names=["word", "uses"])
+
+    for _, _, hashes in hashes_of(batches, 0):
+        read.append(hashes)
+        size += len(hashes)
+        if size > WORDS_COUNTED:
             yield rows()
+            read, size = [np.empty(0, np.uint64)], 0
     yield rows()
 
 
@@ -383,13 +569,12 @@ def _train(code, network):
         uses = np.zeros(len(copy.values), np.float32)
         rnd = np.random.default_rng(3)
         trained = False
-        for _, texts in texts_of(batches, 0):
-            _, hashes, ranks, neighbours = reader.windows(texts)
+        for _, counts, hashes in hashes_of(batches, 0):
+            words = reader.read(counts, hashes)
             order = rnd.permutation(len(hashes))
             for start in range(0, len(order), BATCH):
-                here = order[start : start + BATCH]
-                here = here[top_first(ranks[here])]
-                copy.step(neighbours[here], reader.ways(hashes[here], ranks[here]), squares, uses)
+                here, ways = reader.by_tree(words, order[start : start + BATCH])
+                copy.step(words.neighbours(here), ways, squares, uses)
                 trained = True
         if not trained:
             return
@@ -443,21 +628,26 @@ def train(texts: DataFrame, code: Code, words: int, rounds: int = ROUNDS) -> Net
     return network
 
 
+def score_hashes(network: Network, reader: Reader, counts: np.ndarray, hashes: np.ndarray):
+    """Of all words of texts, their ranks and the logarithms of their chances, shares left out."""
+    words, logs = reader.read(counts, hashes), np.empty(len(hashes))
+    for start in range(0, len(logs), PART):
+        here, ways = reader.by_tree(words, np.arange(start, min(start + PART, len(logs))))
+        logs[here] = network.log_chances_by_tree(words.neighbours(here), ways)
+    return words.ranks, logs
+
+
 def score_words(network: Network, reader: Reader, texts: list[list[bytes]]):
     """Numbers of words by text, and of all words the hashes, ranks and logarithms of the chances, shares left out."""
-    counts, hashes, ranks, neighbours = reader.windows(texts)
-    logs = np.empty(len(hashes))
-    for start in range(0, len(hashes), PART):
-        here = start + top_first(ranks[start : start + PART])
-        logs[here] = network.log_chances(neighbours[here], reader.ways(hashes[here], ranks[here]))
-    return counts, hashes, ranks, logs
+    counts, hashes = list_hashes(texts)
+    return counts, hashes, *score_hashes(network, reader, counts, hashes)
 
 
 def _score(code, network, shares):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, model, near = Reader(code.value), Network(code.value, network.value), shares.value
-        for batch, texts in texts_of(batches, 2):
-            counts, hashes, ranks, logs = score_words(model, reader, texts)
+        for batch, counts, hashes in hashes_of(batches, 2):
+            ranks, logs = score_hashes(model, reader, counts, hashes)
             other = np.flatnonzero(ranks < 0)
             known = near.of(hashes[other])
             absent = np.isnan(known)
